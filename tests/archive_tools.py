@@ -1,0 +1,90 @@
+"""Invented archives for tests and checks: DBF bytes, manifests, and archives packed from a DataFrame."""
+
+from __future__ import annotations
+
+import io
+import os
+import struct
+import sys
+import tempfile
+import uuid
+import zipfile
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def dbf_bytes(fields: list, rows: list, deleted: set = frozenset(), codepage: str = "cp852") -> bytes:
+    """DBF file of `fields` (name, kind, length, decimals) and rows of texts; None is blank."""
+    size = 1 + sum(f[2] for f in fields)
+    head = struct.pack("<BBBBIHH20x", 3, 126, 1, 1, len(rows), 32 + 32 * len(fields) + 1, size)
+    for name, kind, length, decimals in fields:
+        head += struct.pack("<11sc4xBB14x", name.encode("ascii"), kind.encode("ascii"), length, decimals)
+    out = [head, b"\r"]
+    for i, row in enumerate(rows):
+        out.append(b"*" if i in deleted else b" ")
+        for (name, kind, length, decimals), value in zip(fields, row):
+            if kind == "I":
+                out.append(struct.pack("<i", int(value)))
+                continue
+            text = ("" if value is None else str(value)).encode(codepage)
+            if len(text) > length:
+                raise ValueError(f"{name}: {value!r} is longer than {length}")
+            out.append(text.rjust(length) if kind in "NF" else text.ljust(length))
+    out.append(b"\x1a")
+    return b"".join(out)
+
+
+def manifest_bytes(company: str, licence: str = "L-1") -> bytes:
+    def escaped(text):
+        return "".join(c if c.isascii() else f"\\'{c.encode('cp1250').hex()}" for c in text)
+
+    return (
+        "{\\rtf1\\ansi\\ansicpg1250\\deff0{\\fonttbl{\\f0\\fnil\\fcharset238 Arial: CE;}}\r\n"
+        "{\\*\\generator Test: 1;}\\viewkind4\\uc1\\pard\\f0\\fs20 Archiwum\\par\r\n"
+        f"Dane firmy: {escaped(company)}\\par\r\nLicencja: {escaped(licence)}\\par\r\n}}\r\n"
+    ).encode("ascii")
+
+
+def zip_bytes(members: dict, stored: bool = False) -> bytes:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED) as archive:
+        for name, data in members.items():
+            archive.writestr(name, data)
+    return buffer.getvalue()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """New folder for packed archives: in the cluster's shared folder, or a temporary one where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        return tempfile.mkdtemp(prefix="archives-")
+    return os.path.join(shared.removeprefix("file:"), f"archives-{uuid.uuid4().hex}")
+
+
+def pack_archives(df: DataFrame, folder: str, tables: dict, manifest: str = "company") -> int:
+    """Write one archive per `archive_id`, each group by its own task; returns the number of archives.
+
+    `tables` maps a member name to (column of `df` that picks its rows, DBF fields); `manifest` names the
+    column with the company. Callers keep groups to a bounded number of rows.
+    """
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = pdf["archive_id"].iloc[0]
+        pdf = pdf.sort_values("rec_no")
+        members = {"info/ArchiwumInfo_1.rtf": manifest_bytes(str(pdf[manifest].iloc[0]))}
+        for member, (pick, fields) in tables.items():
+            chosen = pdf[pdf[pick]] if pick else pdf
+            cells = chosen[[f[0] for f in fields]].astype(object)
+            members[f"bazy/{member}"] = dbf_bytes(fields, cells.where(cells.notna(), None).values.tolist())
+        os.makedirs(folder, exist_ok=True)
+        scratch = os.path.join(folder, f".{uuid.uuid4().hex}")
+        with open(scratch, "wb") as f:
+            f.write(zip_bytes(members))
+        os.replace(scratch, os.path.join(folder, name))
+        return pd.DataFrame({"archive_id": [name]})
+
+    return df.groupBy("archive_id").applyInPandas(pack, "archive_id string").count()
