@@ -37,7 +37,7 @@ from waybill.operators.filters import (  # noqa: E402
 from waybill.operators.findings import concat_frames, section_counts, summarise  # noqa: E402
 from waybill.operators.joins import first_match_join  # noqa: E402
 from waybill.operators.sequences import consecutive_repeats, sequence_groups  # noqa: E402
-from waybill.operators.slices import SkewRule, hot_groups, position_of, time_position  # noqa: E402
+from waybill.operators.slices import SkewRule, hot_groups, position_of, time_position, with_slice  # noqa: E402
 from waybill.plans.audit import AuditOptions, audit, audit_courses, audit_lines, audit_stops  # noqa: E402
 from waybill.plans.imports import (  # noqa: E402
     import_cards,
@@ -128,15 +128,17 @@ def trip_first_match(spark, sf_dir):
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
-def line_consecutive_stops(spark, sf_dir):
+def line_consecutive_stops(spark, sf_dir, skew=SKEW):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     valid = filter_valid(orders, "o_orderdate", dt.date(1996, 1, 1))
-    rows = first_match_join(lines, valid, [("l_orderkey", "o_orderkey")], ["o_orderstatus"], "o_orderdate", False)
-    spot = position_of(F.col("l_linenumber"), F.col("l_partkey"))
+    key, spot = ["l_orderkey"], position_of(F.col("l_linenumber"), F.col("l_partkey"))
+    hot = hot_groups(lines, key, spot, skew)
+    if hot is not None:
+        lines = with_slice(lines, key, spot, hot)
+    rows = first_match_join(lines, valid, [("l_orderkey", "o_orderkey")], ["o_orderstatus"], "o_orderdate", False, hot)
     repeats = consecutive_repeats(
-        rows, ["l_orderkey"], LINE_ORDER, "l_linenumber", "l_suppkey", {"prev_part": "l_partkey"},
-        position=spot, hot=hot_groups(lines, ["l_orderkey"], spot, SKEW),
+        rows, key, LINE_ORDER, "l_linenumber", "l_suppkey", {"prev_part": "l_partkey"}, position=spot, hot=hot
     )
     status = line_status(F.col("o_orderstatus"), ("O", "F", "P"))
     return repeats.select("l_orderkey", "l_linenumber", "l_suppkey", "prev_part", status.alias("status_name"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .slices import spread_lookup
+
 
 def first_per_key(lookup: DataFrame, keys: list[str], bring: list[str], order: str) -> DataFrame:
     """One row per key: the values of the row that comes first by `order`."""
@@ -19,6 +21,7 @@ def first_match_join(
     bring: list[str],
     order: str = "rec_no",
     null_safe: bool = True,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that have a match in the lookup, with the first match's `bring` columns.
 
@@ -26,6 +29,9 @@ def first_match_join(
     join, so rows never multiply. A brought column replaces a column of the same name. With `null_safe` two
     missing keys match, except where the whole lookup row is missing. Spark picks the join by the size of
     the reduced lookup, and splits a skewed key of `rows` at run time.
+
+    With `hot`, rows sliced by the same keys join on keys and slice, so that the join's shuffle balances them
+    and serves a later window over keys and slice too.
     """
     right_keys = [r for _, r in keys]
     if null_safe:
@@ -38,6 +44,9 @@ def first_match_join(
     )
     rows = rows.drop(*bring)
     match = F.lit(True)
+    if hot is not None:
+        firsts = spread_lookup(firsts, [f"_key{i}" for i in range(len(keys))], hot).withColumnRenamed("_slice", "_part")
+        match = rows["_slice"] == firsts["_part"]
     for i, (left, _) in enumerate(keys):
         key = F.col(f"_key{i}")
         match = match & (rows[left].eqNullSafe(key) if null_safe else rows[left] == key)

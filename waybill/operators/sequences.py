@@ -38,7 +38,7 @@ def consecutive_repeats(
     changed = [(F.col(c), F.col(f"_prev_{c}")) for c in same]
     start = is_new_group(F.col(seq), F.col("_prev_seq"), *changed)
     repeat = ~start & F.col(code).eqNullSafe(F.col("_prev_code"))
-    return paired.where(repeat).select(*rows.columns, *bring)
+    return paired.where(repeat).select(*[c for c in rows.columns if c not in ("_slice", "_hot")], *bring)
 
 
 def sequence_groups(

@@ -5,9 +5,10 @@ the group into 256 slices along its sort order (approximate quantiles), runs the
 carries the last row, or the running count, of each slice over to the next one. The result is exact whatever
 the cuts are; only the balance depends on them.
 
-Finding the large groups costs one pass over the key columns. At most 1/share groups can be that large, so
-the table of cuts is a few megabytes at any input size and may be broadcast. Inputs below `min_bytes`, by
-Spark's own estimate, skip all of it: no group of theirs is too large for one task.
+Finding the large groups costs one pass over the key columns, ahead of the query. At most 1/share groups can
+be that large, so the table of cuts is a few megabytes at any input size and may be broadcast. Without large
+groups the query keeps its plain plan. Inputs below `min_bytes`, by Spark's own estimate, skip all of it: no
+group of theirs is too large for one task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ LOWEST = -1.0e308
 class SkewRule:
     share: float = 0.001
     min_rows: int = 1_000_000
-    min_bytes: int = 4 << 30
+    min_bytes: int = 1 << 30
 
 
 def position_of(major: Column, minor: Column | None = None) -> Column:
@@ -51,30 +52,33 @@ def _estimated_bytes(df: DataFrame) -> float:
 
 
 def hot_groups(df: DataFrame, keys: list[str], position: Column, rule: SkewRule) -> DataFrame | None:
-    """Cut points of the groups holding more than the rule's share of `df`, or None for a small `df`."""
+    """Cut points of the groups holding more than the rule's share of `df`; None when there are none.
+
+    Runs at once, for inputs that are large enough: one pass over the keys, and one over the large groups'
+    positions if there are any. What comes to the driver is at most 1/share groups with 255 numbers each.
+    """
     if _estimated_bytes(df) < rule.min_bytes:
         return None
     tagged = df.select(F.xxhash64(*keys).alias("_tag"), position.alias("_pos"))
     top_k = min(1024, int(1 / rule.share) + 1)
-    top = tagged.agg(F.count(F.lit(1)).alias("total"), F.expr(f"approx_top_k(_tag, {top_k}, {TRACKED})").alias("top"))
-    floor = F.greatest(F.col("total") * rule.share, F.lit(rule.min_rows))
-    hot = (
-        top.select("total", F.explode("top").alias("t"))
-        .where(F.col("t.count") > floor)
-        .select(F.col("t.item").alias("_tag"))
-    )
+    found = tagged.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_tag, {top_k}, {TRACKED})").alias("top")).first()
+    floor = max(found["n"] * rule.share, rule.min_rows)
+    tags = [t["item"] for t in found["top"] if t["count"] > floor]
+    if not tags:
+        return None
     fractions = [i / STEP**2 for i in range(1, STEP**2)]
     cuts = (
-        tagged.join(F.broadcast(hot), "_tag", "left_semi")
+        tagged.where(F.col("_tag").isin(tags))
         .groupBy("_tag")
         .agg(F.percentile_approx("_pos", fractions, 10000).alias("_cuts"))
+        .toArrow()
     )
     coarse = F.transform(F.sequence(F.lit(STEP), F.lit(STEP**2 - STEP), F.lit(STEP)), lambda i: F.get("_cuts", i - 1))
-    return cuts.withColumn("_coarse", coarse)
+    return df.sparkSession.createDataFrame(cuts).withColumn("_coarse", coarse)
 
 
 def with_slice(df: DataFrame, keys: list[str], position: Column, hot: DataFrame) -> DataFrame:
-    """Add `_slice`: 0 for ordinary groups, the number of cuts below the position for hot ones."""
+    """Add `_slice`: 0 for ordinary groups, the number of cuts below the position for hot ones (`_hot`)."""
     placed = df.withColumn("_tag", F.xxhash64(*keys)).withColumn("_pos", position)
     joined = placed.join(F.broadcast(hot), "_tag", "left")
 
@@ -84,13 +88,27 @@ def with_slice(df: DataFrame, keys: list[str], position: Column, hot: DataFrame)
     joined = joined.withColumn("_block", F.when(F.col("_cuts").isNotNull(), below(F.col("_coarse"))))
     within = below(F.slice("_cuts", F.col("_block") * STEP + 1, F.lit(STEP - 1)))
     number = F.coalesce(F.col("_block") * STEP + within, F.lit(0))
-    sliced = (
+    return (
         joined.withColumn("_slice", number)
         .withColumn("_hot", F.col("_cuts").isNotNull())
         .drop("_tag", "_pos", "_block", "_cuts", "_coarse")
     )
-    # An input already partitioned by the keys alone would satisfy the windows and keep a hot group in one task.
-    return sliced.repartition(*keys, "_slice")
+
+
+def spread_lookup(lookup: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """Lookup side of a join on keys and `_slice`: a row of a hot key once for each slice, others for slice 0."""
+    tagged = lookup.withColumn("_tag", F.xxhash64(*keys))
+    marked = tagged.join(F.broadcast(hot.select("_tag", F.lit(STEP**2 - 1).alias("_last"))), "_tag", "left")
+    slices = F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))
+    return marked.withColumn("_slice", F.explode(slices)).drop("_tag", "_last")
+
+
+def _cut(df: DataFrame, keys: list[str], position: Column, hot: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Sliced rows and their proper columns; rows that come with `_slice` are taken as they are."""
+    if "_slice" in df.columns:
+        return df, [c for c in df.columns if c not in ("_slice", "_hot")]
+    # Rows already partitioned by the keys alone would satisfy the windows and keep a hot group in one task.
+    return with_slice(df, keys, position, hot).repartition(*keys, "_slice"), df.columns
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
@@ -119,7 +137,7 @@ def with_previous(
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[F.lag(c).over(w).alias(n) for n, c in previous.items()])
-    cut = with_slice(df, keys, position, hot)
+    cut, columns = _cut(df, keys, position, hot)
     last = F.max_by(F.struct(*[F.col(c).alias(n) for n, c in previous.items()]), F.struct(*order))
     edges = cut.where("_hot").groupBy(*keys, "_slice").agg(last.alias("_last"))
     chain = edges.select(*keys, "_slice", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_carry"))
@@ -132,7 +150,7 @@ def with_previous(
     joined = _join_carry(scanned, chain, keys, "_carry")
     first = F.col("_row") == 1
     return joined.select(
-        *df.columns,
+        *columns,
         *[F.when(first, F.col(f"_carry.{n}")).otherwise(F.col(f"_lag_{n}")).alias(n) for n in previous],
     )
 
@@ -155,7 +173,7 @@ def with_rank(
         w = Window.partitionBy(*keys).orderBy(*order)
         extra = [make(w).alias(n) for n, make in also.items()]
         return df.select("*", F.row_number().over(w).cast("long").alias(name), *extra)
-    cut = with_slice(df, keys, position, hot)
+    cut, columns = _cut(df, keys, position, hot)
     counts = cut.where("_hot").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     chain = counts.select(*keys, "_slice", F.sum("_n").over(before).alias("_before"))
@@ -163,4 +181,4 @@ def with_rank(
     scanned = cut.select("*", F.row_number().over(w).alias("_row"), *[make(w).alias(n) for n, make in also.items()])
     joined = _join_carry(scanned, chain, keys, "_before")
     place = F.col("_row") + F.coalesce(F.col("_before"), F.lit(0).cast("long"))
-    return joined.select(*df.columns, place.alias(name), *also)
+    return joined.select(*columns, place.alias(name), *also)
