@@ -99,7 +99,7 @@ def report_lines(
     name = F.concat_ws("_", file_safe(F.coalesce("company", F.lit(""))), file_safe(archive), F.lit(when.strftime(NAME_TIME)))
     return lines.select(
         F.concat(name, F.lit(".txt")).alias("doc"), F.when(big, part).otherwise(0).alias("part"),
-        "section_no", "step", "rule_no", "block", "sort", "text",
+        "section_no", "step", "rule_no", F.when(big, F.col("block")).otherwise(0).alias("block"), "sort", "text",
     )
 
 
