@@ -18,7 +18,7 @@ ROWS = [
     ("Łódź Żabieniec", 100, "12.50", "1.250", "20240203", "T", "1", 7),
     ("usunięty", 1, "1.00", "1", "20240101", "F", "2", 8),
     ("", None, "***", None, None, "?", None, -1),
-    ("  Świnoujście", 5, "-3.00", "2", "2024xx01", "n", "3", 9),
+    ("  Świnoujście\t", 5, "-3.00", "2", "2024xx01", "n", "3", 9),
 ]
 
 
@@ -67,7 +67,7 @@ def test_table(spark, folder, monkeypatch, split):
     first = rows["one.zip", 1]
     assert first[2:] == ("Łódź Żabieniec", Decimal("100.0"), Decimal("12.50"), 1.25, dt.date(2024, 2, 3), True, bytearray(b"1"), 7)
     assert rows["one.zip", 3][2:] == ("", None, None, None, None, None, bytearray(b""), -1)
-    assert rows["one.zip", 4][2:] == ("  Świnoujście", Decimal("5.0"), Decimal("-3.00"), 2.0, None, False, bytearray(b"3"), 9)
+    assert rows["one.zip", 4][2:] == ("Świnoujście", Decimal("5.0"), Decimal("-3.00"), 2.0, None, False, bytearray(b"3"), 9)
     assert rows["deep/two.ZIP", 1][2:5] == ("A" * 30, Decimal("1234567.5"), None)
 
 

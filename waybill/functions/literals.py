@@ -1,4 +1,8 @@
-"""Rendering of column values as SQL literals and INSERT statements."""
+"""Rendering of column values as SQL literals and INSERT statements.
+
+The literals are composed as Spark SQL text: a statement has up to 92 of them, and one expression to parse is
+far quicker to plan than the several hundred column objects it would take.
+"""
 
 from __future__ import annotations
 
@@ -6,47 +10,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scalars import date_of, format_date, trimmed
+DATE_FORM = "dd.MM.yyyy"
+TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-NULL = "null"
 
+def _string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def quoted(text: Column) -> Column:
-    """Text in single quotes, inner quotes doubled."""
-    return F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
 
+def _quoted(text: str) -> str:
+    return f"concat('\\'', {text}, '\\'')"
 
-def plain_number(c: Column, kind: T.DataType) -> Column:
+
+def _number(c: str, kind: T.DataType) -> str:
     """Number with a decimal dot and no exponent; whole values lose their decimals."""
-    whole = c.try_cast("decimal(38,0)").cast("string")
+    whole = f"cast(try_cast({c} as decimal(38,0)) as string)"
     if isinstance(kind, T.DecimalType):
-        return F.when(c % 1 == 0, whole).otherwise(c.cast("string"))
-    size = F.abs(c)
-    digits = F.rtrim(c.cast("string").try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    fraction = F.when((size >= 1e-3) & (size < 1e7), c.cast("string")).otherwise(digits)
-    return F.coalesce(F.when(c % 1 == 0, whole).otherwise(fraction), c.cast("string"))
+        return f"if({c} % 1 = 0, {whole}, cast({c} as string))"
+    plain = f"abs({c}) >= 1e-3 and abs({c}) < 1e7"
+    digits = f"rtrim('0', cast(try_cast(cast({c} as string) as decimal(38,18)) as string))"
+    fraction = f"if({plain}, cast({c} as string), {digits})"
+    return f"coalesce(if({c} % 1 = 0, {whole}, {fraction}), cast({c} as string))"
 
 
-def sql_value(df: DataFrame, name: str) -> Column:
-    """Literal of a column by its type: null and binary give null, the rest a quoted text."""
-    c, kind = F.col(name), df.schema[name].dataType
+def value_text(df: DataFrame, name: str) -> str:
+    c, kind = _name(name), df.schema[name].dataType
     if isinstance(kind, (T.BinaryType, T.NullType)):
-        return F.lit(NULL)
+        return "'null'"
     if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        text = F.concat(F.lit("'"), plain_number(c, kind), F.lit("'"))
-    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        text = F.concat(F.lit("'"), format_date(c), F.lit("'"))
+        text = _number(c, kind)
+    elif isinstance(kind, TEMPORAL):
+        text = f"date_format({c}, '{DATE_FORM}')"
     elif isinstance(kind, T.BooleanType):
-        text = F.when(c, "'True'").otherwise("'False'")
-        text = F.when(c.isNotNull(), text)
+        text = f"case when {c} then 'True' when not {c} then 'False' end"
+    elif isinstance(kind, T.StringType):
+        text = f"replace(trim({c}), '\\'', '\\'\\'')"
     else:
-        text = quoted(trimmed(c))
-    return F.coalesce(text, F.lit(NULL))
+        text = f"cast({c} as string)"
+    return f"coalesce({_quoted(text)}, 'null')"
+
+
+def date_text(df: DataFrame, name: str) -> str:
+    c, kind = _name(name), df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        day = f"substr(trim({c}), 1, 10)"
+        iso = f"case when length(trim({c})) >= 8 then try_cast(trim({c}) as date) end"
+        c = f"coalesce({iso}, try_to_date({day}, 'dd.MM.yyyy'), try_to_date({day}, 'yyyy/MM/dd'))"
+    elif not isinstance(kind, TEMPORAL):
+        return "'null'"
+    shown = f"date_format({c}, '{DATE_FORM}')"
+    return f"coalesce({_quoted(shown)}, 'null')"
+
+
+def sql_value(df: DataFrame, name: str) -> Column:
+    """Literal of a column by its type: null and binary give null, the rest a quoted text, quotes doubled."""
+    return F.expr(value_text(df, name))
 
 
 def sql_date(df: DataFrame, name: str) -> Column:
     """Quoted day.month.year literal, or null when the value is no date."""
-    return F.coalesce(F.concat(F.lit("'"), format_date(date_of(df, name)), F.lit("'")), F.lit(NULL))
+    return F.expr(date_text(df, name))
 
 
 def insert_statement(df: DataFrame, table: str, spec: list) -> Column:
@@ -54,6 +81,6 @@ def insert_statement(df: DataFrame, table: str, spec: list) -> Column:
     absent = [name for name, _ in spec if name not in df.columns]
     if absent:
         raise ValueError(f"columns missing for {table}: {', '.join(absent)}")
-    literals = [sql_date(df, n) if kind == "date" else sql_value(df, n) for n, kind in spec]
+    literals = [(date_text if kind == "date" else value_text)(df, name) for name, kind in spec]
     head = f"INSERT INTO {table} ({', '.join(n for n, _ in spec)}) VALUES ("
-    return F.concat(F.lit(head), F.concat_ws(",", *literals), F.lit(");"))
+    return F.expr(f"concat({_string(head)}, concat_ws(',', {', '.join(literals)}), ');')")

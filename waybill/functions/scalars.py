@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# White space removed from both ends of a text field.
-WHITESPACE = " \t\n\r\x0b\x0c\x85\xa0"
-
 # Status code -> label, feminine for lines and masculine for courses.
 LINE_STATUS = {1: "projektowana", 2: "aktywna", 3: "zawieszona", 4: "zlikwidowana"}
 COURSE_STATUS = {1: "projektowany", 2: "aktywny", 3: "zawieszony", 4: "zlikwidowany"}
@@ -25,8 +22,25 @@ MIN_DATE = "0001-01-01"
 
 
 def trimmed(c: Column) -> Column:
-    """Text of a value without outer white space; null stays null."""
-    return F.trim(c.cast("string"), F.lit(WHITESPACE))
+    """Text of a value without outer spaces; null stays null. (The archive reader strips other white space.)"""
+    return F.trim(c.cast("string"))
+
+
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
+def text_of(df: DataFrame, name: str) -> Column:
+    """Trimmed text of a column; only text columns can carry spaces."""
+    return F.trim(F.col(name)) if is_text(df, name) else F.col(name).cast("string")
+
+
+def int_of(df: DataFrame, name: str) -> Column:
+    """Whole number of a column; straight from numbers without decimals, else by way of its text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0):
+        return F.col(name).try_cast("int")
+    return to_int(F.col(name))
 
 
 def upper_key(c: Column) -> Column:
@@ -121,6 +135,6 @@ def is_model(c: Column, model: str) -> Column:
     return F.coalesce(c == model, F.lit(False))
 
 
-def int_or(c: Column, default: int) -> Column:
+def int_or(df: DataFrame, name: str, default: int) -> Column:
     """Whole number, with a default for null only (unreadable text stays null)."""
-    return F.when(c.isNull(), F.lit(default)).otherwise(to_int(c))
+    return F.when(F.col(name).isNull(), F.lit(default)).otherwise(int_of(df, name))

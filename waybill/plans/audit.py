@@ -7,17 +7,20 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import texts
 from ..functions.scalars import (
     course_status,
+    int_of,
     int_or,
     is_blank,
+    is_text,
     line_status,
+    text_of,
     to_date_or_min,
     to_int,
     to_ts_or_min,
-    trimmed,
     upper_key,
 )
 from ..operators.duplicates import drop_same_name_and_code, duplicate_findings
@@ -53,7 +56,7 @@ class AuditResult:
 def audit_stops(stops: DataFrame, options: AuditOptions = AuditOptions()) -> AuditResult:
     """Repeated names and codes, missing administration and coordinates."""
     fields = ["NAZWA", "KOD2", "SYM", "X_KRAJ", "Y_KRAJ"]
-    stops = stops.select("archive_id", "rec_no", *[trimmed(F.col(n)).alias(n) for n in fields])
+    stops = stops.select("archive_id", "rec_no", *[text_of(stops, n).alias(n) for n in fields])
     named = stops.where("NAZWA is not null").withColumn("name_key", upper_key(F.col("NAZWA")))
     by_name = ["archive_id", "name_key"]
     mode = options.duplicate_mode
@@ -124,23 +127,29 @@ def active_rows(table: DataFrame, manifest: DataFrame | None, route: _Route, opt
     return filter_valid(rows, route.valid_to, options.ref_date)
 
 
-def _text_keys(df: DataFrame, names: list[str], date: str) -> DataFrame:
-    """Join keys as compared: trimmed text, and the date as it stands."""
-    texts_of = [trimmed(F.col(n)).alias(f"k_{n}") for n in names]
-    return df.select("*", *texts_of, F.col(date).cast("string").alias("k_from"))
+def _match_key(df: DataFrame, name: str, other: DataFrame, other_name: str) -> Column:
+    """Key as compared: trimmed text, or the values themselves where both sides are numbers of one scale or dates."""
+    kinds = df.schema[name].dataType, other.schema[other_name].dataType
+    scales = [getattr(k, "scale", 0) if isinstance(k, T.DecimalType | T.IntegralType) else k for k in kinds]
+    same = scales[0] == scales[1] and not is_text(df, name)
+    return F.col(name) if same else text_of(df, name)
 
 
-def matched_routes(routes: DataFrame, active: DataFrame, route: _Route) -> DataFrame:
-    """Route rows of active lines or courses, every column kept, with the status of the first match."""
-    left, right = [a for a, _ in route.keys], [b for _, b in route.keys]
-    rows = _text_keys(routes, left, route.valid_from)
-    lookup = _text_keys(active, right, route.valid_from).select(
-        "archive_id", "rec_no", *[f"k_{n}" for n in right], "k_from", trimmed(F.col(route.status)).alias(route.status)
+def matched_routes(routes: DataFrame, active: DataFrame, route: _Route, status: Column | None = None) -> DataFrame:
+    """Route rows of active lines or courses, every column kept, with the status of the first match.
+
+    `status` is what to bring as the status; its trimmed text by default.
+    """
+    status = text_of(active, route.status) if status is None else status
+    pairs = [*route.keys, (route.valid_from, route.valid_from)]
+    rows = routes.select("*", *[_match_key(routes, a, active, b).alias(f"k_{i}") for i, (a, b) in enumerate(pairs)])
+    some = F.coalesce(*[text_of(active, c) for c in [*[b for _, b in pairs], route.status]])
+    lookup = active.where(some.isNotNull()).select(
+        "archive_id", "rec_no", *[_match_key(active, b, routes, a).alias(f"k_{i}") for i, (a, b) in enumerate(pairs)],
+        status.alias(route.status),
     )
-    keys = [("archive_id", "archive_id"), *[(f"k_{a}", f"k_{b}") for a, b in route.keys], ("k_from", "k_from")]
-    some = F.coalesce(*[F.col(c) for c in [*[f"k_{n}" for n in right], "k_from", route.status]])
-    joined = first_match_join(rows, lookup.where(some.isNotNull()), keys, [route.status])
-    return joined.drop(*[f"k_{n}" for n in left], "k_from")
+    keys = [("archive_id", "archive_id"), *[(f"k_{i}", f"k_{i}") for i in range(len(pairs))]]
+    return first_match_join(rows, lookup, keys, [route.status]).drop(*[f"k_{i}" for i in range(len(pairs))])
 
 
 def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions) -> AuditResult:
@@ -153,27 +162,29 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
     routes = routes.select(*needed, *stamps)
 
     def typed(df: DataFrame) -> DataFrame:
-        code = int_or(F.col("KOD2"), -1) if is_course else to_int(F.col("KOD2"))
+        code = int_or(df, "KOD2", -1) if is_course else int_of(df, "KOD2")
         stamp = to_ts_or_min(df, *stamps) if by_edit else F.lit(None).cast("timestamp_ntz")
         return df.select(
             "*",
-            to_int(F.col(carrier)).alias("carrier"),
-            to_int(F.col(number)).alias("number"),
-            to_int(F.col(variant)).alias("variant"),
+            int_of(df, carrier).alias("carrier"),
+            int_of(df, number).alias("number"),
+            int_of(df, variant).alias("variant"),
             to_date_or_min(df, route.valid_from).alias("valid_from"),
-            to_int(F.col("NRPRZYST")).alias("seq"),
+            int_of(df, "NRPRZYST").alias("seq"),
             code.alias("code"),
-            F.coalesce(trimmed(F.col("NAZPRZYST")), F.lit("")).alias("name"),
+            F.coalesce(text_of(df, "NAZPRZYST"), F.lit("")).alias("name"),
             stamp.alias("edited"),
         )
 
-    rows = typed(matched_routes(routes, active, route)).withColumn("status_code", to_int(F.col(route.status)))
+    matched = typed(matched_routes(routes, active, route)).withColumn("status_code", to_int(F.col(route.status)))
     parsed = {
         carrier: "carrier", number: "number", variant: "variant", "NRPRZYST": "seq", "KOD2": "code",
         route.status: "status_code",
     }
-    rejects = rejected(rows, route.table, {raw: F.col(p).isNull() for raw, p in parsed.items()})
-    usable = rows.where(" and ".join(f"{p} is not null" for p in parsed.values()))
+    rejects = rejected(matched, route.table, {raw: F.col(p).isNull() for raw, p in parsed.items()})
+    # The findings need the status as a number only, which lets Spark reduce the lookup by hashing.
+    coded = matched_routes(routes, active, route, int_of(active, route.status))
+    usable = typed(coded).withColumnRenamed(route.status, "status_code").where(" and ".join(f"{p} is not null" for p in parsed.values()))
     usable = usable.select(
         "archive_id", "rec_no", "carrier", "number", "variant", "valid_from", "seq", "code", "name", "edited", "status_code"
     )

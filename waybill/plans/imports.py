@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.literals import insert_statement
-from ..functions.scalars import default_status, trimmed
+from ..functions.scalars import default_status, text_of, trimmed
 from ..operators.filters import drop_blank, filter_recent, version_flag, version_rows
 from ..operators.findings import as_findings, concat_frames
 from ..sources.archives import land_tables, read_manifest, read_tables
@@ -54,7 +54,7 @@ def import_machines(df: DataFrame, today: dt.date, keep_null_logo: bool = False)
 
 def import_employees(df: DataFrame) -> ImportResult:
     """Every employee, with statuses other than the known ones replaced."""
-    fixed = df.withColumn("STATUS", default_status(trimmed(F.col("STATUS"))))
+    fixed = df.withColumn("STATUS", default_status(text_of(df, "STATUS")))
     return ImportResult(_script(fixed, "Pracownicy", EMPLOYEES))
 
 

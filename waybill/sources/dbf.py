@@ -8,6 +8,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
+# White space removed from both ends of a field, and two marks of the file format.
+WHITESPACE = " \t\n\r\x0b\x0c\x85\xa0"
 DELETED = 0x2A
 FIELDS_END = 0x0D
 
@@ -48,7 +50,7 @@ def _text(block: np.ndarray, kind: str, characters: np.ndarray) -> pa.Array:
     if kind == "I":
         return pa.array(np.ascontiguousarray(block).view("<i4").ravel()).cast(pa.string())
     wide = np.ascontiguousarray(characters[block]).view(f"U{block.shape[1]}").ravel()
-    return pa.array(np.strings.rstrip(wide, " "), pa.string())
+    return pa.array(np.strings.strip(wide, WHITESPACE), pa.string())
 
 
 def read_columns(stream, header: Header, names: list, start: int, stop: int, codepage: str, chunk: int = 16384):
