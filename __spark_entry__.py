@@ -308,8 +308,7 @@ def timetable_rejects(spark, sf_dir):
 
 
 def _with_nulls(df, spec):
-    absent = [F.lit(None).cast("string").alias(n) for n, _ in spec if n not in df.columns]
-    return df.select("*", *absent)
+    return df.selectExpr("*", *[f"cast(null as string) as {n}" for n, _ in spec if n not in df.columns])
 
 
 def _machines(spark, sf_dir):

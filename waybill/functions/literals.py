@@ -44,7 +44,7 @@ def value_text(df: DataFrame, name: str) -> str:
     if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
         text = _number(c, kind)
     elif isinstance(kind, TEMPORAL):
-        text = f"date_format({c}, '{DATE_FORM}')"
+        text = f"date_format(cast({c} as date), '{DATE_FORM}')"
     elif isinstance(kind, T.BooleanType):
         text = f"case when {c} then 'True' when not {c} then 'False' end"
     elif isinstance(kind, T.StringType):
@@ -62,7 +62,7 @@ def date_text(df: DataFrame, name: str) -> str:
         c = f"coalesce({iso}, try_to_date({day}, 'dd.MM.yyyy'), try_to_date({day}, 'yyyy/MM/dd'))"
     elif not isinstance(kind, TEMPORAL):
         return "'null'"
-    shown = f"date_format({c}, '{DATE_FORM}')"
+    shown = f"date_format(cast({c} as date), '{DATE_FORM}')"
     return f"coalesce({_quoted(shown)}, 'null')"
 
 

@@ -29,7 +29,7 @@ from ..operators.findings import as_findings, concat_frames, rejected, section_c
 from ..operators.joins import first_match_join
 from ..operators.sequences import consecutive_repeats
 from ..operators.slices import SkewRule, hot_groups, position_of, time_position
-from ..sources.archives import land_tables, list_archives, list_members, read_manifest, read_tables
+from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables
 from .specs import AUDIT_TABLES
 
 
@@ -262,15 +262,15 @@ def audit(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Audit every archive below `path`: findings, summary per archive and section, rejected values.
 
-    With `landing`, or with spark.checkpoint.dir set, the tables are first written there as Parquet, so that
-    archives are unpacked once; otherwise each action reads the archives again.
+    The tables are first written as Parquet, so that archives are unpacked once: to `landing`, or to a new folder
+    below spark.checkpoint.dir. On a cluster that sets neither, every pass reads the archives again.
     """
     check_ref_date(options.ref_date, today or dt.date.today())
     archives = list_archives(spark, path)
     members = list_members(spark, path)
     manifest = read_manifest(spark, path)
-    tables = read_tables(spark, path, list(AUDIT_TABLES), {t: c for t, (c, _) in AUDIT_TABLES.items()})
-    tables = land_tables(spark, tables, landing)
+    columns = {t: c for t, (c, _) in AUDIT_TABLES.items()}
+    tables = read_tables(spark, path, list(columns), columns, landing=landing or landing_folder(spark))
     result = audit_tables(tables, manifest, options)
     lacking = missing_tables(archives, members, {t: s for t, (_, s) in AUDIT_TABLES.items()})
     broken = members.where("error is not null").select(

@@ -13,7 +13,7 @@ from ..functions.literals import insert_statement
 from ..functions.scalars import default_status, text_of, trimmed
 from ..operators.filters import drop_blank, filter_recent, version_flag, version_rows
 from ..operators.findings import as_findings, concat_frames
-from ..sources.archives import land_tables, read_manifest, read_tables
+from ..sources.archives import landing_folder, read_manifest, read_tables
 from .specs import CARDS, EMAR_MIN_VERSION, EMAR_MODEL, EMPLOYEES, MACHINES, SCRIPTS
 
 
@@ -88,7 +88,7 @@ def start_data(
     """Scripts, device findings and manifest of every archive below `path`; landing as in the audit."""
     specs = {"kasyfiskalne": MACHINES, "pracownicy": EMPLOYEES, "kartypamieci": CARDS}
     columns = {t: [n for n, _ in spec] for t, spec in specs.items()}
-    tables = land_tables(spark, read_tables(spark, path, list(specs), columns), landing)
+    tables = read_tables(spark, path, list(specs), columns, landing=landing or landing_folder(spark))
     result = import_tables(tables, today or dt.date.today())
     return result.scripts, result.findings, read_manifest(spark, path)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
 import uuid
 import zipfile
 from contextlib import contextmanager
@@ -229,17 +230,28 @@ def _read(archives: DataFrame, table: str, types: dict[str, T.DataType], codepag
     )
 
 
+def landing_folder(spark: SparkSession) -> str | None:
+    """New folder for written tables: in the cluster's shared folder if it names one, local only in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local"):
+        return None
+    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tables-")
+    return f"{root}/tables-{uuid.uuid4().hex}"
+
+
 def read_tables(
     spark: SparkSession,
     path: str,
     tables: list[str],
     columns: dict[str, list[str]] | None = None,
     codepage: str = TABLE_CODEPAGE,
+    landing: str | None = None,
 ) -> dict[str, DataFrame]:
     """Several tables of all archives below `path`, keyed by lower-case name without `.dbf`.
 
     Every table has `archive_id` and `rec_no`, the record's place in its file counting deleted records, which
     are left out. `columns` limits what is read per table; a listed column no archive has comes out as null text.
+    With a `landing` folder each table is written there as Parquet once and read back from it.
     """
     archives = list_archives(spark, path)
     types = table_fields(archives, tables)
@@ -247,7 +259,13 @@ def read_tables(
     out = {}
     for table in tables:
         wanted = (columns or {}).get(table) or list(types[table])
-        out[table] = _read(spread, table, {n: types[table].get(n, T.StringType()) for n in wanted}, codepage)
+        df = _read(spread, table, {n: types[table].get(n, T.StringType()) for n in wanted}, codepage)
+        if not types[table]:
+            df = df.where(F.lit(False))
+        elif landing is not None:
+            df.write.mode("overwrite").parquet(f"{landing}/{table}")
+            df = spark.read.parquet(f"{landing}/{table}")
+        out[table] = df
     return out
 
 
@@ -259,23 +277,6 @@ def read_table(
     return read_tables(spark, path, [table], {table: columns} if columns else None, codepage)[table]
 
 
-def landing_folder(spark: SparkSession) -> str | None:
-    """Shared folder of the cluster for written intermediate tables, if it names one."""
-    return spark.conf.get("spark.checkpoint.dir", None)
-
-
-def land_tables(spark: SparkSession, tables: dict[str, DataFrame], landing: str | None = None) -> dict[str, DataFrame]:
-    """Write tables as Parquet and read them back; without any folder the tables come back as they are."""
-    if landing is None:
-        shared = landing_folder(spark)
-        if shared is None:
-            return tables
-        landing = f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{landing}/{name}")
-    return {name: spark.read.parquet(f"{landing}/{name}") for name in tables}
-
-
 def _manifest_of(archive, row, problem):
     def fits(member):
         name = base_name(member)
