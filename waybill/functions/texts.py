@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The wording users of the reports know. Braces stand for columns, in order.
 SAME_NAME = "Przystanki {} mają taką samą nazwę."
 SAME_NAME_AND_CODE = "Przystanki {} mają taką samą nazwę i kod."
@@ -33,10 +30,15 @@ NO_MANIFEST = "Archiwum nie zawiera danych firmy."
 UNREADABLE = "Nie można odczytać archiwum: {}"
 
 
-def worded(text: str, *values: Column) -> Column:
-    """Fill the braces of a wording with columns; missing values become empty text."""
+def sql_string(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\t", "\\t")
+    return f"'{escaped}'"
+
+
+def worded(text: str, *values: str) -> str:
+    """SQL text that fills the braces of a wording with SQL expressions; missing values become empty text."""
     pieces = text.split("{}")
-    parts = [F.lit(pieces[0])]
+    parts = [sql_string(pieces[0])]
     for value, piece in zip(values, pieces[1:]):
-        parts += [F.coalesce(value.cast("string"), F.lit("")), F.lit(piece)]
-    return F.concat(*parts)
+        parts += [f"coalesce(cast({value} as string), '')", sql_string(piece)]
+    return f"concat({', '.join(parts)})"

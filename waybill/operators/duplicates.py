@@ -40,20 +40,21 @@ def duplicate_runs(df: DataFrame, keys: list[str], name: str, code: str, rec: st
 
     The rank limit runs before the shuffle too, so a key of any size sends two rows per map task.
     """
-    member = F.struct(F.col(name).alias("name"), F.col(code).alias("code"))
     place = F.row_number().over(Win.partitionBy(*keys).orderBy(rec))
     pairs = (
         df.where(F.col(keys[-1]).isNotNull())
-        .select(*keys, rec, member.alias("_member"))
+        .select(*keys, rec, F.col(name).alias("_name"), F.col(code).alias("_code"))
         .withColumn("_place", place)
         .where("_place <= 2")
     )
     runs = pairs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_shown"),
-        F.min_by("_member", "_place").alias("first"),
-        F.max_by("_member", "_place").alias("second"),
+        F.min_by("_name", "_place").alias("first_name"),
+        F.min_by("_code", "_place").alias("first_code"),
+        F.max_by("_name", "_place").alias("second_name"),
+        F.max_by("_code", "_place").alias("second_code"),
     )
-    same = F.col("first.code").eqNullSafe(F.col("second.code"))
+    same = F.col("first_code").eqNullSafe(F.col("second_code"))
     return runs.where("_shown = 2").drop("_shown").withColumn("same_code", same)
 
 
@@ -85,40 +86,43 @@ def duplicate_findings(
     """
     if mode == "group":
         runs = duplicate_groups(df, keys, rec).join(duplicate_runs(df, keys, name, code, rec), keys)
-        pair = [member_text(F.col(f"{side}.name"), F.col(f"{side}.code")) for side in ("first", "second")]
+        pair = [member_text(F.col(f"{side}_name"), F.col(f"{side}_code")) for side in ("first", "second")]
         return runs.select(
             *keys,
             F.col("members").alias("k"),
             F.col("first_rec").alias(rec),
-            *[F.col(f"first.{side}").alias(c) for side, c in (("name", name), ("code", code)) if c not in keys],
+            *[F.col(f"first_{side}").alias(c) for side, c in (("name", name), ("code", code)) if c not in keys],
             "members",
             (F.col("members") - 1).alias("errors"),
             "same_code",
             F.concat(*pair[:1], F.lit(", "), *pair[1:]).alias("listed"),
         )
-    narrow = df.select(*dict.fromkeys([*keys, rec, name, code]))
+    if mode not in ("member", "cumulative"):
+        raise ValueError(f"unknown mode {mode!r}")
+    narrow = df.select(*dict.fromkeys([*keys, rec, name, code])).where(F.col(keys[-1]).isNotNull())
+    narrow = narrow.withColumn("_text", member_text(F.col(name), F.col(code)))
     spot = position_of(F.col(rec))
-    hot = hot_groups(narrow.where(F.col(keys[-1]).isNotNull()), keys, spot, skew)
-    rows = _repeated(narrow, keys, rec).withColumn("_text", member_text(F.col(name), F.col(code)))
+    hot = hot_groups(narrow, keys, spot, skew)
     short = F.col("members") <= list_limit
+    upto = F.collect_list(F.when(short, F.col("_text")))
     also = {}
     if mode == "cumulative":
-        also["_upto"] = lambda w: F.collect_list(F.when(short, F.col("_text"))).over(
-            w.rowsBetween(Win.unboundedPreceding, Win.currentRow)
-        )
-    elif mode != "member":
-        raise ValueError(f"unknown mode {mode!r}")
+        also["_upto"] = lambda w: upto.over(w.rowsBetween(Win.unboundedPreceding, Win.currentRow))
     if hot is None:
-        whole = (Win.unboundedPreceding, Win.unboundedFollowing)
-        also["_first"] = lambda w: F.first("_text").over(w.rowsBetween(*whole))
-        also["same_code"] = lambda w: F.first(code).over(w.rowsBetween(*whole)).eqNullSafe(
-            F.nth_value(code, 2).over(w.rowsBetween(*whole))
+        # No group is large: its size and first members come from the same window as the places.
+        whole = Win.partitionBy(*keys).orderBy(rec).rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
+        rows = narrow.select(
+            "*",
+            F.count(F.lit(1)).over(whole).alias("members"),
+            F.first("_text").over(whole).alias("_first"),
+            F.first(code).over(whole).eqNullSafe(F.nth_value(code, 2).over(whole)).alias("same_code"),
         )
-        ranked = with_rank(rows, keys, [rec], "k", also=also)
+        ranked = with_rank(rows.where("members > 1"), keys, [rec], "k", also=also)
     else:
+        rows = _repeated(narrow, keys, rec)
         ranked = with_rank(rows, keys, [rec], "k", F.when(short, F.lit(0.0)).otherwise(spot), hot, also)
         runs = duplicate_runs(narrow, keys, name, code, rec)
-        first = member_text(F.col("first.name"), F.col("first.code"))
+        first = member_text(F.col("first_name"), F.col("first_code"))
         ranked = ranked.join(runs.select(*keys, first.alias("_first"), "same_code"), keys)
     listed = F.concat("_first", F.lit(", "), "_text")
     if mode == "cumulative":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SECTIONS = ("stops", "lines", "courses", "machines")
@@ -31,23 +31,20 @@ FINDING_TYPES = {
 REJECT_COLUMNS = ("archive_id", "table", "rec_no", "column", "value")
 
 
-def as_findings(df: DataFrame, section: str | Column, **columns: Column) -> DataFrame:
-    """Rows as findings: given columns as they are, the rest of the shape null, one error per row."""
-    columns = {"archive_id": F.col("archive_id"), "section": F.lit(section), "errors": F.lit(1), **columns}
-    return df.select(*[columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in FINDING_TYPES.items()])
+def as_findings(df: DataFrame, section: str, **columns: str) -> DataFrame:
+    """Rows as findings: given columns by their SQL expressions, the rest of the shape null, one error per row."""
+    columns = {"archive_id": "archive_id", "section": section, "errors": "1", **columns}
+    return df.selectExpr(*[f"cast({columns.get(n, 'null')} as {t}) as {n}" for n, t in FINDING_TYPES.items()])
 
 
 def concat_frames(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def rejected(df: DataFrame, table: str, tests: dict[str, Column]) -> DataFrame:
-    """One row per unusable value: `tests` maps a column to the test that finds it bad."""
-    bad = [
-        F.when(test, F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("value")))
-        for n, test in tests.items()
-    ]
-    found = df.select("archive_id", F.lit(table).alias("table"), "rec_no", F.explode(F.array_compact(F.array(*bad))).alias("b"))
+def rejected(df: DataFrame, table: str, tests: dict[str, str]) -> DataFrame:
+    """One row per unusable value: `tests` maps a column to the SQL test that finds it bad."""
+    bad = [f"if({test}, struct('{n}' as column, cast({n} as string) as value), null)" for n, test in tests.items()]
+    found = df.selectExpr("archive_id", f"'{table}' as table", "rec_no", f"explode(array_compact(array({', '.join(bad)}))) as b")
     return found.select("archive_id", "table", "rec_no", "b.column", "b.value")
 
 

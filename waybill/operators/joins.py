@@ -45,6 +45,8 @@ def first_match_join(
     rows = rows.drop(*bring)
     match = F.lit(True)
     if hot is not None:
+        # Slices go by a hash of the keys, which has to see the same types on both sides.
+        firsts = firsts.withColumns({f"_key{i}": F.col(f"_key{i}").cast(rows.schema[a].dataType) for i, (a, _) in enumerate(keys)})
         firsts = spread_lookup(firsts, [f"_key{i}" for i in range(len(keys))], hot).withColumnRenamed("_slice", "_part")
         match = rows["_slice"] == firsts["_part"]
     for i, (left, _) in enumerate(keys):

@@ -5,10 +5,11 @@ the group into 256 slices along its sort order (approximate quantiles), runs the
 carries the last row, or the running count, of each slice over to the next one. The result is exact whatever
 the cuts are; only the balance depends on them.
 
-Finding the large groups costs one pass over the key columns, ahead of the query. At most 1/share groups can
-be that large, so the table of cuts is a few megabytes at any input size and may be broadcast. Without large
-groups the query keeps its plain plan. Inputs below `min_bytes`, by Spark's own estimate, skip all of it: no
-group of theirs is too large for one task.
+Finding the large groups costs one pass over the key columns, ahead of the query. Of the groups above the
+share, up to 1024 of the largest are cut, which leaves none with more than a thousandth of the rows whole and
+keeps the table of cuts to a few megabytes at any input size, so it may be broadcast. Without large groups the
+query keeps its plain plan. Inputs below `min_bytes`, by Spark's own estimate, skip all of it: no group of
+theirs is too large for one task.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP = 16
+LARGEST = 1024
 TRACKED = 1 << 16
 LOWEST = -1.0e308
 
 
 @dataclass(frozen=True)
 class SkewRule:
-    share: float = 0.001
+    share: float = 0.0001
     min_rows: int = 1_000_000
     min_bytes: int = 1 << 30
 
@@ -55,13 +57,12 @@ def hot_groups(df: DataFrame, keys: list[str], position: Column, rule: SkewRule)
     """Cut points of the groups holding more than the rule's share of `df`; None when there are none.
 
     Runs at once, for inputs that are large enough: one pass over the keys, and one over the large groups'
-    positions if there are any. What comes to the driver is at most 1/share groups with 255 numbers each.
+    positions if there are any. What comes to the driver is at most 1024 groups with 255 numbers each.
     """
     if _estimated_bytes(df) < rule.min_bytes:
         return None
     tagged = df.select(F.xxhash64(*keys).alias("_tag"), position.alias("_pos"))
-    top_k = min(1024, int(1 / rule.share) + 1)
-    found = tagged.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_tag, {top_k}, {TRACKED})").alias("top")).first()
+    found = tagged.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_tag, {LARGEST}, {TRACKED})").alias("top")).first()
     floor = max(found["n"] * rule.share, rule.min_rows)
     tags = [t["item"] for t in found["top"] if t["count"] > floor]
     if not tags:
@@ -119,7 +120,7 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 
 
 def _join_carry(df: DataFrame, chain: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Attach a per-slice value; the chain has at most 256 rows for each of at most 1/share groups."""
+    """Attach a per-slice value; the chain has at most 256 rows for each of at most 1024 groups."""
     names = [*keys, "_slice"]
     chain = chain.select(*[F.col(n).alias(f"_c_{n}") for n in names], value)
     return df.join(F.broadcast(chain), _same(df, chain, names), "left").drop(*[f"_c_{n}" for n in names])

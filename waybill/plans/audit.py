@@ -61,38 +61,31 @@ def audit_stops(stops: DataFrame, options: AuditOptions = AuditOptions()) -> Aud
     by_name = ["archive_id", "name_key"]
     mode = options.duplicate_mode
     names = duplicate_findings(named, by_name, "NAZWA", "KOD2", mode=mode, skew=options.skew)
-    wording = F.when(F.col("same_code"), texts.worded(texts.SAME_NAME_AND_CODE, F.col("listed"))).otherwise(
-        texts.worded(texts.SAME_NAME, F.col("listed"))
-    )
-    rule = F.when(F.col("same_code"), "same_name_and_code").otherwise("same_name")
+    both, name_only = [texts.worded(w, "listed") for w in (texts.SAME_NAME_AND_CODE, texts.SAME_NAME)]
+    shared = {"rec_no": "rec_no", "members": "k", "errors": "errors", "code": "KOD2", "name": "NAZWA"}
     found = [
         as_findings(
-            names, "stops", rule=rule, rec_no=F.col("rec_no"), key=F.col("name_key"), members=F.col("k"),
-            errors=F.col("errors"), code=F.col("KOD2"), name=F.col("NAZWA"), message=wording,
+            names, "'stops'", rule="if(same_code, 'same_name_and_code', 'same_name')", key="name_key",
+            message=f"if(same_code, {both}, {name_only})", **shared,
         )
     ]
     kept = drop_same_name_and_code(named, by_name, "NAZWA", "KOD2")
     coded = kept.where("KOD2 is not null") if options.blank_is_key else kept.where(~is_blank(F.col("KOD2")))
     codes = duplicate_findings(coded, ["archive_id", "KOD2"], "NAZWA", "KOD2", mode=mode, skew=options.skew)
-    found.append(
-        as_findings(
-            codes, "stops", rule=F.lit("same_code"), rec_no=F.col("rec_no"), key=F.col("KOD2"),
-            members=F.col("k"), errors=F.col("errors"), code=F.col("KOD2"), name=F.col("NAZWA"),
-            message=texts.worded(texts.SAME_CODE, F.col("listed")),
-        )
-    )
+    message = texts.worded(texts.SAME_CODE, "listed")
+    found.append(as_findings(codes, "'stops'", rule="'same_code'", key="KOD2", message=message, **shared))
     if options.check_admin:
         found.append(missing_findings(kept, ["SYM"], "no_administration", texts.NO_ADMINISTRATION))
     if options.check_coords:
         found.append(missing_findings(kept, ["X_KRAJ", "Y_KRAJ"], "no_coordinates", texts.NO_COORDINATES))
-    rejects = rejected(stops, "przystanki", {"NAZWA": F.col("NAZWA").isNull()})
+    rejects = rejected(stops, "przystanki", {"NAZWA": "NAZWA is null"})
     return AuditResult(concat_frames(found), section_counts(stops, "stops"), rejects)
 
 
 def missing_findings(stops: DataFrame, cols: list[str], rule: str, wording: str) -> DataFrame:
     return as_findings(
-        missing_rows(stops, cols), "stops", rule=F.lit(rule), rec_no=F.col("rec_no"), key=F.col("KOD2"),
-        code=F.col("KOD2"), name=F.col("NAZWA"), message=texts.worded(wording, F.col("NAZWA"), F.col("KOD2")),
+        missing_rows(stops, cols), "'stops'", rule=f"'{rule}'", rec_no="rec_no", key="KOD2", code="KOD2", name="NAZWA",
+        message=texts.worded(wording, "NAZWA", "KOD2"),
     )
 
 
@@ -181,7 +174,7 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
         carrier: "carrier", number: "number", variant: "variant", "NRPRZYST": "seq", "KOD2": "code",
         route.status: "status_code",
     }
-    rejects = rejected(matched, route.table, {raw: F.col(p).isNull() for raw, p in parsed.items()})
+    rejects = rejected(matched, route.table, {raw: f"{p} is null" for raw, p in parsed.items()})
     # The findings need the status as a number only, which lets Spark reduce the lookup by hashing.
     coded = matched_routes(routes, active, route, int_of(active, route.status))
     usable = typed(coded).withColumnRenamed(route.status, "status_code").where(" and ".join(f"{p} is not null" for p in parsed.values()))
@@ -199,15 +192,15 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
     repeats = consecutive_repeats(
         usable, keys, order, "seq", "code", bring={"previous_name": "name"}, same=same, position=spot, hot=hot
     )
-    label = route.label(F.col("status_code"))
-    message = texts.worded(
-        route.wording, F.col("carrier"), F.col("number"), label, F.col("variant"),
-        F.date_format("valid_from", "yyyy-MM-dd"), F.col("previous_name"), F.col("code"),
-    )
-    plain = {n: F.col(n) for n in ("rec_no", "carrier", "number", "variant", "valid_from", "seq", "code", "name")}
-    key = F.concat_ws("/", "carrier", "number", "variant", F.date_format("valid_from", "yyyy-MM-dd"))
+    day = "date_format(valid_from, 'yyyy-MM-dd')"
     found = as_findings(
-        repeats, route.section, rule=F.lit("consecutive_stop"), key=key, status=label, message=message, **plain
+        repeats.withColumn("label", route.label(F.col("status_code"))),
+        f"'{route.section}'",
+        rule="'consecutive_stop'",
+        key=f"concat_ws('/', carrier, number, variant, {day})",
+        status="label",
+        message=texts.worded(route.wording, "carrier", "number", "label", "variant", day, "previous_name", "code"),
+        **{n: n for n in ("rec_no", "carrier", "number", "variant", "valid_from", "seq", "code", "name")},
     )
     return AuditResult(found, section_counts(active, route.section), rejects)
 
@@ -248,8 +241,7 @@ def missing_tables(archives: DataFrame, members: DataFrame, wanted: dict[str, st
     every = archives.select("archive_id", pairs.alias("p")).select("archive_id", "p.*")
     lacking = every.join(members.select("archive_id", "table"), ["archive_id", "table"], "left_anti")
     return as_findings(
-        lacking, F.col("section"), rule=F.lit("missing_table"), key=F.col("table"),
-        errors=F.lit(0), message=texts.worded(texts.NO_TABLE, F.col("table")),
+        lacking, "section", rule="'missing_table'", key="table", errors="0", message=texts.worded(texts.NO_TABLE, "table")
     )
 
 

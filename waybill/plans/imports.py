@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.literals import insert_statement
-from ..functions.scalars import default_status, text_of, trimmed
+from ..functions.scalars import default_status, text_of
 from ..operators.filters import drop_blank, filter_recent, version_flag, version_rows
 from ..operators.findings import as_findings, concat_frames
 from ..sources.archives import landing_folder, read_manifest, read_tables
@@ -38,12 +38,12 @@ def version_findings(
 ) -> DataFrame:
     """Devices of the model that have no software version or one that is too old."""
     found = version_rows(df, model, min_version, "TYPBIL", "WERPSB")
-    logo, version = trimmed(F.col("LOGO")), trimmed(F.col("WERPSB"))
-    missing = texts.worded(texts.NO_VERSION, F.lit(model), logo)
-    old = texts.worded(texts.OLD_VERSION, F.lit(model), logo, version)
+    logo, version = "trim(LOGO)", "trim(WERPSB)"
+    missing = texts.worded(texts.NO_VERSION, f"'{model}'", logo)
+    old = texts.worded(texts.OLD_VERSION, f"'{model}'", logo, version)
     return as_findings(
-        found, "machines", rule=F.col("rule"), rec_no=F.col("rec_no"), key=logo, code=version,
-        message=F.when(F.col("rule") == "version_missing", missing).otherwise(old),
+        found, "'machines'", rule="rule", rec_no="rec_no", key=logo, code=version,
+        message=f"if(rule = 'version_missing', {missing}, {old})",
     )
 
 

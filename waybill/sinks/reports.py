@@ -69,15 +69,15 @@ def report_lines(
         _place(RULES, "rule").alias("rule_no"), F.floor(F.coalesce("rec_no", F.lit(0)) / lines_per_part).alias("block"),
         sort_key(a=col("carrier"), b=col("number"), c=col("variant"), d=col("valid_from"), e=col("seq"), f=col("key"),
                  g=col("rec_no")).alias("sort"),
-        texts.worded("\n\t{}\n", col("message")).alias("text"),
+        F.expr(texts.worded("\n\t{}\n", "message")).alias("text"),
     )
     # Names and names with codes are one pass over the stops and share a place.
     body = body.withColumn("rule_no", F.greatest(F.col("rule_no"), F.lit(1)))
     wording = F.lit("")
     for section, text in texts.SECTION_HEADS.items():
-        wording = F.when(col("section") == section, texts.worded(f"\n\n{text}\n", col("checked"))).otherwise(wording)
+        wording = F.when(col("section") == section, F.expr(texts.worded(f"\n\n{text}\n", "checked"))).otherwise(wording)
     total = F.when(col("clean"), f"\n\t{texts.NO_ERRORS}\n").otherwise(
-        texts.worded(f"\n\n\t{texts.ERRORS_FOUND}\n", col("errors"))
+        F.expr(texts.worded(f"\n\n\t{texts.ERRORS_FOUND}\n", "errors"))
     )
     edges = F.explode(F.array(F.struct(F.lit(0).alias("step"), wording.alias("text")), F.struct(F.lit(2).alias("step"), total.alias("text"))))
     frame = summary.select("archive_id", _place(SECTIONS, "section").alias("section_no"), edges.alias("e")).select(
@@ -85,7 +85,7 @@ def report_lines(
         sort_key().alias("sort"), "e.text",
     )
     before, after = parameter_text(options, when)
-    company = texts.worded(f"\t{texts.COMPANY}\n", col("company"))
+    company = F.expr(texts.worded(f"\t{texts.COMPANY}\n", "company"))
     head = manifest.select(
         "archive_id", F.lit(-1).alias("section_no"), F.lit(0).alias("step"), F.lit(0).alias("rule_no"),
         F.lit(0).cast("long").alias("block"), sort_key().alias("sort"),

@@ -14,7 +14,7 @@ SCRIPT_CODEPAGE = "cp1250"
 FOLDER_SUFFIX = "_import_danych_startowych"
 SCRIPT_FILE = "import_{}.sql"
 
-ROWS_PER_PART = 2_000_000
+ROWS_PER_PART = 500_000
 
 
 def splice(templates: DataFrame) -> DataFrame:
