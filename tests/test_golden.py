@@ -135,9 +135,18 @@ def test_lines_text(spark):
     )
 
 
-def test_lines_rejects(spark):
+def as_numbers(df):
+    keys = ("NRF", "NRLINII", "WARLINII")
+    return df.selectExpr(*[f"cast({c} as decimal(5,0)) as {c}" if c in keys else c for c in df.columns])
+
+
+@pytest.mark.parametrize("numbers", [False, True])
+def test_lines_rejects(spark, numbers):
     extra = [("7", "1", "x", "100", "A"), ("7", "1", "9", None, "A"), ("8", "1", "y", "100", "A")]
-    result = audit_lines(lines_of(spark), line_routes_of(spark, extra), None)
+    lines, routes = lines_of(spark), line_routes_of(spark, extra)
+    if numbers:
+        lines, routes = as_numbers(lines), as_numbers(routes)
+    result = audit_lines(lines, routes, None)
     assert sorted((r.table, r.rec_no, r.column, r.value) for r in result.rejects.collect()) == [
         ("trasylinii", 12, "NRPRZYST", "x"), ("trasylinii", 13, "KOD2", None),
     ]

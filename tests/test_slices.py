@@ -190,10 +190,16 @@ def test_audits_agree_when_sliced(spark):
         "KOD2", "NAZPRZYST", "date'2024-01-01' as DATAOP", "concat(rec_no % 24, ':15') as GODZOP",
     )
     edit = dict(course_order="edit_ts")
+
+    def as_numbers(df):
+        return df.selectExpr(*[f"cast({c} as int) as {c}" if c[:3] in ("NRF", "NRL", "WAR", "NRK") else c for c in df.columns])
+
     for make in (
         lambda o: audit_stops(stops, o),
         lambda o: audit_lines(lines, routes, None, o),
+        lambda o: audit_lines(as_numbers(lines), as_numbers(routes), None, o),
         lambda o: audit_courses(courses, trips, None, o),
+        lambda o: audit_courses(as_numbers(courses), as_numbers(trips), None, o),
         lambda o: audit_courses(courses, trips, None, AuditOptions(skew=o.skew, **edit)),
     ):
         one, two = [sorted(map(tuple, make(o).findings.collect()), key=repr) for o in (plain, cut)]

@@ -28,7 +28,7 @@ from ..operators.filters import check_ref_date, filter_active, filter_carrier, f
 from ..operators.findings import as_findings, concat_frames, rejected, section_counts, summarise
 from ..operators.joins import first_match_join
 from ..operators.sequences import consecutive_repeats
-from ..operators.slices import SkewRule, hot_groups, position_of, time_position
+from ..operators.slices import SkewRule, hot_groups, position_of, time_position, with_slice
 from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables
 from .specs import AUDIT_TABLES
 
@@ -145,6 +145,15 @@ def matched_routes(routes: DataFrame, active: DataFrame, route: _Route, status:
     return first_match_join(rows, lookup, keys, [route.status]).drop(*[f"k_{i}" for i in range(len(pairs))])
 
 
+def _keys_are_numbers(routes: DataFrame, active: DataFrame, route: _Route) -> bool:
+    """Whether all keys are whole numbers and dates, so that equal values and equal texts are the same thing."""
+    kinds = [side.schema[n].dataType for pair in route.keys for side, n in zip((routes, active), pair)]
+    dates = [side.schema[route.valid_from].dataType for side in (routes, active)]
+    return all(isinstance(k, T.IntegralType | T.DecimalType) and getattr(k, "scale", 0) == 0 for k in kinds) and all(
+        isinstance(k, T.DateType) for k in dates
+    )
+
+
 def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions) -> AuditResult:
     active = active_rows(table, manifest, route, options)
     carrier, number, variant = [a for a, _ in route.keys]
@@ -175,12 +184,6 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
         route.status: "status_code",
     }
     rejects = rejected(matched, route.table, {raw: f"{p} is null" for raw, p in parsed.items()})
-    # The findings need the status as a number only, which lets Spark reduce the lookup by hashing.
-    coded = matched_routes(routes, active, route, int_of(active, route.status))
-    usable = typed(coded).withColumnRenamed(route.status, "status_code").where(" and ".join(f"{p} is not null" for p in parsed.values()))
-    usable = usable.select(
-        "archive_id", "rec_no", "carrier", "number", "variant", "valid_from", "seq", "code", "name", "edited", "status_code"
-    )
     keys, same = ["archive_id", "carrier", "number", "variant"], []
     if by_edit:
         order, same = ["edited", "seq", "rec_no"], ["valid_from"]
@@ -188,7 +191,27 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
     else:
         keys, order = [*keys, "valid_from"], ["seq", "rec_no"]
         spot = position_of(F.col("seq"), F.col("rec_no"))
-    hot = hot_groups(typed(routes), keys, spot, options.skew)
+    typed_routes = typed(routes)
+    hot = hot_groups(typed_routes, keys, spot, options.skew)
+    sound = " and ".join(f"{p} is not null" for p in parsed.values())
+    columns = ["archive_id", "rec_no", "carrier", "number", "variant", "valid_from", "seq", "code", "name", "edited"]
+    # The findings need the status as a number only, which lets Spark reduce the lookup by hashing.
+    status = int_of(active, route.status).alias("status_code")
+    if _keys_are_numbers(routes, active, route):
+        rows, match = typed_routes.select(columns), ["archive_id", "carrier", "number", "variant", "valid_from"]
+        lookup = active.select(
+            "archive_id", "rec_no", status, to_date_or_min(active, route.valid_from).alias("valid_from"),
+            *[int_of(active, b).alias(n) for (_, b), n in zip(route.keys, match[1:4])],
+        )
+        # Join and ordered scan have the same keys, so one shuffle of the routes does for both.
+        shared = hot if not by_edit else None
+        if shared is not None:
+            rows = with_slice(rows, keys, spot, hot)
+        usable = first_match_join(rows, lookup, [(k, k) for k in match], ["status_code"], null_safe=False, hot=shared)
+        usable = usable.where(sound)
+    else:
+        coded = typed(matched_routes(routes, active, route, status)).withColumnRenamed(route.status, "status_code")
+        usable = coded.where(sound).select(*columns, "status_code")
     repeats = consecutive_repeats(
         usable, keys, order, "seq", "code", bring={"previous_name": "name"}, same=same, position=spot, hot=hot
     )
