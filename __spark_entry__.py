@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tests.archive_tools import pack_archives, scratch_folder  # noqa: E402
+from driver_archives import pack_archives, scratch_folder  # noqa: E402
 from waybill.functions.literals import insert_statement, sql_date, sql_value  # noqa: E402
 from waybill.functions.scalars import default_status, line_status, upper_key  # noqa: E402
 from waybill.operators.duplicates import (  # noqa: E402
@@ -38,7 +38,16 @@ from waybill.operators.findings import concat_frames, section_counts, summarise
 from waybill.operators.joins import first_match_join  # noqa: E402
 from waybill.operators.sequences import consecutive_repeats, sequence_groups  # noqa: E402
 from waybill.operators.slices import SkewRule, hot_groups, position_of, time_position, with_slice  # noqa: E402
-from waybill.plans.audit import AuditOptions, audit, audit_courses, audit_lines, audit_stops  # noqa: E402
+from waybill.plans.audit import (  # noqa: E402
+    LINES,
+    AuditOptions,
+    active_rows,
+    audit,
+    audit_courses,
+    audit_lines,
+    audit_stops,
+    matched_routes,
+)
 from waybill.plans.imports import (  # noqa: E402
     import_cards,
     import_employees,
@@ -48,7 +57,7 @@ from waybill.plans.imports import (  # noqa: E402
     start_data,
 )
 from waybill.plans.specs import CARDS, EMPLOYEES, MACHINES  # noqa: E402
-from waybill.sinks.reports import write_report  # noqa: E402
+from waybill.sinks.reports import write_findings, write_report  # noqa: E402
 from waybill.sinks.scripts import write_scripts  # noqa: E402
 from waybill.sources.archives import list_members, read_manifest, read_table, read_template  # noqa: E402
 
@@ -259,6 +268,19 @@ def _line_tables(spark, sf_dir):
     return lines, routes
 
 
+def matched_line_routes(spark, sf_dir):
+    """Every column of the routes of valid lines, with the line's status."""
+    lines, routes = _line_tables(spark, sf_dir)
+    active = active_rows(lines, None, LINES, AuditOptions(ref_date=dt.date(1996, 1, 1), only_active=False))
+    return matched_routes(routes, active, LINES).drop("WAZNAOD", "WARLINII")
+
+
+def findings_table(spark, sf_dir):
+    out = scratch_folder(spark)
+    write_findings(audit_stops(_stops(spark, sf_dir)).findings, out, by=("section", "rule"))
+    return spark.read.parquet(out).select("section", *FINDING_KEYS)
+
+
 def line_audit(spark, sf_dir):
     lines, routes = _line_tables(spark, sf_dir)
     options = AuditOptions(ref_date=dt.date(1996, 1, 1), only_active=False)
@@ -480,7 +502,7 @@ QUERIES = (
     duplicate_name_groups, duplicate_name_findings, duplicate_code_findings, missing_admin_findings,
     missing_coords_findings, active_lines, trip_first_match, line_consecutive_stops, course_consecutive_stops,
     device_recency, device_version_findings, device_version_flag, status_default, sql_literals, insert_statements,
-    audit_summary, stop_audit, line_audit, course_audit, course_audit_by_edit_time, timetable_rejects, machine_import,
+    audit_summary, stop_audit, findings_table, matched_line_routes, line_audit, course_audit, course_audit_by_edit_time, timetable_rejects, machine_import,
     machine_findings, employee_import, card_import, script_counts, archive_members, archive_scan, archive_columns,
     manifest, archive_audit, archive_audit_findings, script_files, report_files,
 )

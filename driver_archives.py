@@ -1,4 +1,4 @@
-"""Invented archives for tests and checks: DBF bytes, manifests, and archives packed from a DataFrame."""
+"""Invented archives for checks: DBF bytes, manifests, and archives packed from a DataFrame."""
 
 from __future__ import annotations
 

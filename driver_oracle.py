@@ -224,6 +224,10 @@ select 'parts' as section, count(*) as checked, (select cast(coalesce(sum(n - 1)
  from part group by upper(p_name), p_size having count(*) > 1)) as errors from part
 union all select 'orders', count(*), cast(sum(case when o_orderstatus = 'P' then 1 else 0 end) as bigint) from orders""",
     "stop_audit": stop_findings(MAPPED_STOPS, True) + "select *, cast(1 as bigint) as errors from found",
+    "findings_table": stop_findings(MAPPED_STOPS, False) + "select 'stops' as section, *, cast(1 as bigint) as errors from found",
+    "matched_line_routes": f"""
+select archive_id, rec_no, cast(carrier as varchar) as NRF, cast(number as bigint) as NRLINII, seq as NRPRZYST, code as KOD2,
+ name as NAZPRZYST, case o_orderstatus when 'F' then '2' when 'O' then '1' else '3' end as STATLINII from ({LINE_ROWS})""",
     "line_audit": f"""
 select archive_id, rec_no, carrier, number, seq, status,
  {ROUTE_MESSAGE.format(kind="Linia", end="a", day="'0001-01-01'")} as message from (

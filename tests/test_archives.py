@@ -1,12 +1,13 @@
 """Archives written byte by byte, read back through Spark."""
 
 import datetime as dt
+import pathlib
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.archive_tools import dbf_bytes, manifest_bytes, zip_bytes
+from driver_archives import dbf_bytes, manifest_bytes, zip_bytes
 from waybill.functions.codepages import decode, upper_half
 from waybill.plans.audit import AuditOptions, audit
 from waybill.sources import archives as source
@@ -150,3 +151,15 @@ def test_audit_of_archives(spark, tmp_path):
 def test_audit_needs_a_past_date(spark, tmp_path):
     with pytest.raises(ValueError):
         audit(spark, str(tmp_path), today=dt.date(2018, 1, 1))
+
+
+def test_tables_land_in_the_shared_folder(spark, folder, tmp_path):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    findings, summary, _ = audit(spark, folder, today=dt.date(2026, 12, 1))
+    (landed,) = set(shared.iterdir()) - before
+    assert sorted(p.name for p in landed.iterdir()) == ["kursy", "przystanki"]
+    for name in ("one.zip", "three.zip"):
+        (tmp_path / name).unlink()  # the tables are not read from the archives again
+    assert spark.read.parquet(f"{landed}/przystanki").where("archive_id = 'one.zip'").count() == 3
+    assert findings.where("rule = 'no_administration' and archive_id = 'one.zip'").count() == 3

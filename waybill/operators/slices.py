@@ -1,25 +1,28 @@
 """Ordered scans that stay balanced when one group holds a large part of the rows.
 
 A window over a group runs in one task. For groups that hold more than `share` of all rows this module cuts
-the group into 256 slices along its sort order (approximate quantiles), runs the window per slice, and
-carries the last row, or the running count, of each slice over to the next one. The result is exact whatever
-the cuts are; only the balance depends on them.
+the group into slices of about that share along its sort order (approximate quantiles), runs the window per
+slice, and carries the last row, or the running count, of each slice over to the next one. The result is exact
+whatever the cuts are; only the balance depends on them.
 
 Finding the large groups costs one pass over the key columns, ahead of the query. Of the groups above the
-share, up to 1024 of the largest are cut, which leaves none with more than a thousandth of the rows whole and
-keeps the table of cuts to a few megabytes at any input size, so it may be broadcast. Without large groups the
-query keeps its plain plan. Inputs below `min_bytes`, by Spark's own estimate, skip all of it: no group of
-theirs is too large for one task.
+share, up to 1024 of the largest are cut, which leaves none with more than a thousandth of the rows whole.
+There are at most about 1/share slices over all groups, so cuts and carried rows are small at any input size
+and may be broadcast. Without large groups the query keeps its plain plan. Inputs below `min_bytes`, by Spark's
+own estimate, skip all of it: no group of theirs is too large for one task.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16
+BLOCK = 64
+FINEST = BLOCK**2
 LARGEST = 1024
 TRACKED = 1 << 16
 LOWEST = -1.0e308
@@ -57,38 +60,46 @@ def hot_groups(df: DataFrame, keys: list[str], position: Column, rule: SkewRule)
     """Cut points of the groups holding more than the rule's share of `df`; None when there are none.
 
     Runs at once, for inputs that are large enough: one pass over the keys, and one over the large groups'
-    positions if there are any. What comes to the driver is at most 1024 groups with 255 numbers each.
+    positions if there are any. What comes to the driver is at most 1024 groups and about 1/share numbers.
     """
     if _estimated_bytes(df) < rule.min_bytes:
         return None
     tagged = df.select(F.xxhash64(*keys).alias("_tag"), position.alias("_pos"))
     found = tagged.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_tag, {LARGEST}, {TRACKED})").alias("top")).first()
-    floor = max(found["n"] * rule.share, rule.min_rows)
-    tags = [t["item"] for t in found["top"] if t["count"] > floor]
-    if not tags:
+    rows_per_slice = max(found["n"] * rule.share, rule.min_rows, 1)
+    steps = {
+        t["item"]: FINEST // min(FINEST, math.ceil(t["count"] / rows_per_slice))
+        for t in found["top"]
+        if t["count"] > rows_per_slice
+    }
+    if not steps:
         return None
-    fractions = [i / STEP**2 for i in range(1, STEP**2)]
+    spark = df.sparkSession
+    wanted = spark.createDataFrame(pa.table({"_tag": list(steps), "_step": pa.array(steps.values(), pa.int32())}))
+    quantiles = F.percentile_approx("_pos", [i / FINEST for i in range(1, FINEST)], 10000)
+    step = F.col("_step")
     cuts = (
-        tagged.where(F.col("_tag").isin(tags))
-        .groupBy("_tag")
-        .agg(F.percentile_approx("_pos", fractions, 10000).alias("_cuts"))
-        .toArrow()
+        tagged.join(F.broadcast(wanted), "_tag")
+        .groupBy("_tag", "_step")
+        .agg(quantiles.alias("_all"))
+        .select("_tag", F.transform(F.sequence(step, F.lit(FINEST - 1), step), lambda i: F.get("_all", i - 1)).alias("_cuts"))
     )
-    coarse = F.transform(F.sequence(F.lit(STEP), F.lit(STEP**2 - STEP), F.lit(STEP)), lambda i: F.get("_cuts", i - 1))
-    return df.sparkSession.createDataFrame(cuts).withColumn("_coarse", coarse)
+    return spark.createDataFrame(cuts.toArrow())
 
 
 def with_slice(df: DataFrame, keys: list[str], position: Column, hot: DataFrame) -> DataFrame:
     """Add `_slice`: 0 for ordinary groups, the number of cuts below the position for hot ones (`_hot`)."""
+    every = F.expr(f"filter(_cuts, (cut, i) -> i % {BLOCK} = {BLOCK - 1})")
     placed = df.withColumn("_tag", F.xxhash64(*keys)).withColumn("_pos", position)
-    joined = placed.join(F.broadcast(hot), "_tag", "left")
+    joined = placed.join(F.broadcast(hot.withColumn("_coarse", every)), "_tag", "left")
 
     def below(cuts: Column) -> Column:
         return F.size(F.filter(cuts, lambda cut: cut < F.col("_pos")))
 
+    # The block of 64 cuts first, then the place within the block.
     joined = joined.withColumn("_block", F.when(F.col("_cuts").isNotNull(), below(F.col("_coarse"))))
-    within = below(F.slice("_cuts", F.col("_block") * STEP + 1, F.lit(STEP - 1)))
-    number = F.coalesce(F.col("_block") * STEP + within, F.lit(0))
+    within = below(F.slice("_cuts", F.col("_block") * BLOCK + 1, F.lit(BLOCK - 1)))
+    number = F.coalesce(F.col("_block") * BLOCK + within, F.lit(0))
     return (
         joined.withColumn("_slice", number)
         .withColumn("_hot", F.col("_cuts").isNotNull())
@@ -99,7 +110,7 @@ def with_slice(df: DataFrame, keys: list[str], position: Column, hot: DataFrame)
 def spread_lookup(lookup: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """Lookup side of a join on keys and `_slice`: a row of a hot key once for each slice, others for slice 0."""
     tagged = lookup.withColumn("_tag", F.xxhash64(*keys))
-    marked = tagged.join(F.broadcast(hot.select("_tag", F.lit(STEP**2 - 1).alias("_last"))), "_tag", "left")
+    marked = tagged.join(F.broadcast(hot.select("_tag", F.size("_cuts").alias("_last"))), "_tag", "left")
     slices = F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))
     return marked.withColumn("_slice", F.explode(slices)).drop("_tag", "_last")
 
@@ -120,7 +131,7 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 
 
 def _join_carry(df: DataFrame, chain: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Attach a per-slice value; the chain has at most 256 rows for each of at most 1024 groups."""
+    """Attach a per-slice value; the chain has one row for each slice of a hot group, about 1/share in all."""
     names = [*keys, "_slice"]
     chain = chain.select(*[F.col(n).alias(f"_c_{n}") for n in names], value)
     return df.join(F.broadcast(chain), _same(df, chain, names), "left").drop(*[f"_c_{n}" for n in names])

@@ -7,9 +7,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space removed from both ends of a field, and two marks of the file format.
-WHITESPACE = " \t\n\r\x0b\x0c\x85\xa0"
+WHITESPACE = " \t\n\r\x0b\x0c\x85\xa0"  # the first six are ASCII
 DELETED = 0x2A
 FIELDS_END = 0x0D
 
@@ -49,6 +50,9 @@ def _text(block: np.ndarray, kind: str, characters: np.ndarray) -> pa.Array:
     """One field of all records as text without its padding."""
     if kind == "I":
         return pa.array(np.ascontiguousarray(block).view("<i4").ravel()).cast(pa.string())
+    if block.max(initial=0) < 128:
+        ascii_bytes = np.ascontiguousarray(block).view(f"S{block.shape[1]}").ravel()
+        return pc.ascii_trim(pa.array(ascii_bytes, pa.binary()).cast(pa.string()), characters=WHITESPACE[:6])
     wide = np.ascontiguousarray(characters[block]).view(f"U{block.shape[1]}").ravel()
     return pa.array(np.strings.strip(wide, WHITESPACE), pa.string())
 
