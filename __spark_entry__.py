@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from driver_archives import pack_archives, scratch_folder  # noqa: E402
+from waybill.functions.codepages import decode  # noqa: E402
 from waybill.functions.literals import insert_statement, sql_date, sql_value  # noqa: E402
 from waybill.functions.scalars import default_status, line_status, upper_key  # noqa: E402
 from waybill.operators.duplicates import (  # noqa: E402
@@ -474,8 +475,6 @@ def _lines_of(spark, folder, pattern, codepage):
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     )
-    from waybill.functions.codepages import decode
-
     text = decode(F.col("content"), codepage) if codepage else F.decode("content", "UTF-8")
     relative = F.substring_index("path", "/", -2)
     return files.select(relative.alias("file"), F.explode(F.split(text, "\r?\n")).alias("line"))
