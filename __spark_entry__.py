@@ -483,8 +483,8 @@ def _lines_of(spark, folder, pattern, codepage):
 def script_files(spark, sf_dir):
     folder, out, templates = packed_archives(spark, sf_dir), scratch_folder(spark), scratch_folder(spark)
     _write_templates(templates)
-    scripts, _, companies = start_data(spark, folder, TODAY)
-    write_scripts(scripts, read_template(spark, templates), companies, out)
+    result, companies = start_data(spark, folder, TODAY)
+    write_scripts(result.scripts, read_template(spark, templates), companies, out)
     return _lines_of(spark, out, "import_*.sql", "cp1250")
 
 

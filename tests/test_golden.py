@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from waybill.functions.literals import sql_date, sql_value
 from waybill.operators.duplicates import duplicate_findings
@@ -224,6 +225,14 @@ def test_machines(spark):
     assert import_summary(result.scripts).first().rows == 4
 
 
+def test_unreadable_versions(spark):
+    df = machines_of(spark).withColumn("WERPSB", F.when(F.col("LOGO") == "K1", "1,4").otherwise(F.col("WERPSB")))
+    result = import_machines(df, TODAY)
+    assert [(r.rec_no, r.column, r.value) for r in result.rejects.collect()] == [(1, "WERPSB", "1,4")]
+    assert sorted(r.rec_no for r in result.findings.collect()) == [2, 7]
+    assert result.scripts.count() == 4
+
+
 def test_employee_status(spark):
     df = spark.createDataFrame(
         [("a.zip", i, s) for i, s in enumerate(["7", "8", "3", None, " 7 "], 1)], "archive_id string, rec_no long, STATUS string"

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.literals import insert_statement
-from ..functions.scalars import default_status, text_of
+from ..functions.scalars import default_status, is_model, text_of
 from ..operators.filters import drop_blank, filter_recent, version_flag, version_rows
-from ..operators.findings import as_findings, concat_frames
+from ..operators.findings import as_findings, concat_frames, rejected
 from ..sources.archives import landing_folder, read_manifest, read_tables
 from .specs import CARDS, EMAR_MIN_VERSION, EMAR_MODEL, EMPLOYEES, MACHINES, SCRIPTS
 
@@ -21,6 +21,7 @@ from .specs import CARDS, EMAR_MIN_VERSION, EMAR_MODEL, EMPLOYEES, MACHINES, SCR
 class ImportResult:
     scripts: DataFrame
     findings: DataFrame | None = None
+    rejects: DataFrame | None = None
 
 
 def _script(df: DataFrame, name: str, spec: list) -> DataFrame:
@@ -47,9 +48,15 @@ def version_findings(
     )
 
 
+def version_rejects(df: DataFrame, model: str = EMAR_MODEL) -> DataFrame:
+    """Versions of the model that are no numbers."""
+    unreadable = "trim(WERPSB) <> '' and try_cast(trim(WERPSB) as float) is null"
+    return rejected(df.where(is_model(text_of(df, "TYPBIL"), model)), "kasyfiskalne", {"WERPSB": unreadable})
+
+
 def import_machines(df: DataFrame, today: dt.date, keep_null_logo: bool = False) -> ImportResult:
     kept = current_machines(df, today, keep_null_logo)
-    return ImportResult(_script(kept, "KasyFiskalne", MACHINES), version_findings(kept))
+    return ImportResult(_script(kept, "KasyFiskalne", MACHINES), version_findings(kept), version_rejects(kept))
 
 
 def import_employees(df: DataFrame) -> ImportResult:
@@ -69,31 +76,30 @@ def import_summary(scripts: DataFrame) -> DataFrame:
 
 def import_tables(tables: dict[str, DataFrame], today: dt.date, keep_null_logo: bool = False) -> ImportResult:
     """The scripts of all given tables, gathered under their names."""
-    scripts, findings = [], None
+    scripts, findings, rejects = [], None, None
     if "kasyfiskalne" in tables:
         machines = import_machines(tables["kasyfiskalne"], today, keep_null_logo)
-        scripts, findings = [machines.scripts], machines.findings
+        scripts, findings, rejects = [machines.scripts], machines.findings, machines.rejects
     if "pracownicy" in tables:
         scripts.append(import_employees(tables["pracownicy"]).scripts)
     if "kartypamieci" in tables:
         scripts.append(import_cards(tables["kartypamieci"]).scripts)
     if not scripts:
         raise ValueError("none of the imported tables is present")
-    return ImportResult(concat_frames(scripts), findings)
+    return ImportResult(concat_frames(scripts), findings, rejects)
 
 
 def start_data(
     spark: SparkSession, path: str, today: dt.date | None = None, landing: str | None = None
-) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """Scripts, device findings and manifest of every archive below `path`; landing as in the audit."""
+) -> tuple[ImportResult, DataFrame]:
+    """Scripts, device findings and rejects of every archive below `path`, and the manifest; landing as in the audit."""
     specs = {"kasyfiskalne": MACHINES, "pracownicy": EMPLOYEES, "kartypamieci": CARDS}
     columns = {t: [n for n, _ in spec] for t, spec in specs.items()}
     tables = read_tables(spark, path, list(specs), columns, landing=landing or landing_folder(spark))
-    result = import_tables(tables, today or dt.date.today())
-    return result.scripts, result.findings, read_manifest(spark, path)
+    return import_tables(tables, today or dt.date.today()), read_manifest(spark, path)
 
 
 __all__ = [
     "ImportResult", "current_machines", "import_cards", "import_employees", "import_machines", "import_summary",
-    "import_tables", "start_data", "version_findings", "version_flag",
+    "import_tables", "start_data", "version_findings", "version_flag", "version_rejects",
 ]
