@@ -512,11 +512,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return line_consecutive_stops(spark, "/root/testdata/sf0.001")
 
 
+def _llm():
+    """Queries and SQL of the training-data operators, or none where their folders are not there."""
+    try:
+        from corpus_pipeline import ORACLE_SQL, run
+        from waybill.llm.queries import ORACLES, QUERIES as found
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "waybill.llm"):
+            raise
+        return {}, {}
+    return {**found, "pipeline": run}, {**ORACLES, **({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"sequence_groups": sequence_group_counts, **{q.__name__: q for q in QUERIES}}
+    return {"sequence_groups": sequence_group_counts, **{q.__name__: q for q in QUERIES}, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     from driver_oracle import ORACLES
 
-    return dict(ORACLES)
+    return {**ORACLES, **_llm()[1]}

