@@ -25,4 +25,34 @@ select d.doc_id as doc_id, coalesce(max(s.n), 0) as n_shingles, min(r.v) as comp
 from documents d left join sizes s on s.doc_id = d.doc_id join reach r on r.u = d.doc_id group by d.doc_id
 """
 
-ORACLES = {"op9_ngram_jaccard_join": OP9}
+OP4 = r"""
+with sized as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size from sized group by source
+), weighted as (
+  select *, cast([3, 1, 2][1 + cast((row_number() over (order by source is null, source) - 1) % 3 as int)] as double) as weight,
+    2.0::double * source_size as stop from sources
+), sums as (
+  select *, coalesce(sum(stop) over (order by stop / weight, source is null, source
+      rows between unbounded preceding and 1 preceding), 0.0::double) as before_stop,
+    sum(weight) over (order by stop / weight, source is null, source rows between current row and unbounded following) as rest,
+    cast(sum(source_size) over () as bigint) as total from weighted
+), multiples as (
+  select *, (1.5::double * total - before_stop) / rest as multiple from sums
+), targets as (
+  select source, source_size, least(stop, weight * (select max(multiple) from multiples)) as target,
+    cast(('0x' || substr(md5('waybill-mix' || coalesce(source, '')), 1, 8)) as bigint)::double / 4294967296.0::double as shift
+  from multiples
+), ranked as (
+  select s.doc_id, s.size, t.source_size, t.target, t.shift,
+    case when t.source_size > 0 then t.target / t.source_size else 0.0::double end as each,
+    row_number() over (partition by s.source order by s.size, md5('waybill-mix' || coalesce(cast(s.doc_id as varchar), '')),
+      s.doc_id nulls last) as rank
+  from sized s join targets t on s.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+  cast(floor(each * rank + shift) - floor(each * (rank - 1) + shift) as bigint) * size as taken from ranked
+"""
+
+ORACLES = {"op4_mix_sources": OP4, "op9_ngram_jaccard_join": OP9}

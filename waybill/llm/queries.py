@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard import jaccard_components
+from .mixing import mixture
 from .oracles import ORACLES  # noqa: F401
+from .quality import quality_verdicts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_rules(spark, sf_dir):
+    return quality_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_mix_sources(spark, sf_dir):
+    return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op9_ngram_jaccard_join,)}
+QUERIES = {q.__name__: q for q in (op2_quality_rules, op4_mix_sources, op9_ngram_jaccard_join)}
