@@ -24,13 +24,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Hasher:
     """Tables for hashing words; `fold` maps A-Z to a-z first."""
 
-    def __init__(self, fold: bool = False):
+    def __init__(self, fold: bool = False, space: bytes = b"\t\n\x0b\f\r "):
         byte = np.arange(256, dtype=np.uint64)
         folded = byte.copy()
         if fold:
             folded[65:91] += np.uint64(32)
         self.value = mixed(folded + np.uint64(0xA24BAED4963EE407))
-        self.space = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self.space = np.isin(np.arange(256), list(space))
         self.power = np.full(PIECE_BYTES + 1, _BASE, dtype=np.uint64)
         self.power[0] = 1
         self.power = np.multiply.accumulate(self.power)
@@ -107,18 +107,22 @@ def pieces(data: np.ndarray, bounds: np.ndarray, space: np.ndarray):
         at = upto
 
 
-def word_hashes(column: pa.Array, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a batch in order, and the bounds of each text's words among them."""
+def word_table(column: pa.Array, hasher: Hasher) -> tuple[np.ndarray, ...]:
+    """All words of a batch in order: hashes, starts, ends in the batch's bytes; each text's bounds among them; the bytes."""
     data, bounds = text_buffers(column)
-    found, places = [], []
+    found = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
     for at, upto in pieces(data, bounds, hasher.space):
         part = data[at:upto]
         starts, ends = hasher.spans(part, bounds[(bounds > at) & (bounds < upto)] - at)
-        found.append(hasher.hashes(part, starts, ends))
-        places.append(starts + at)
-    hashes = np.concatenate(found) if found else np.empty(0, np.uint64)
-    starts = np.concatenate(places) if places else np.empty(0, np.int64)
-    return hashes, np.searchsorted(starts, bounds)
+        found.append((hasher.hashes(part, starts, ends), starts + at, ends + at))
+    hashes, starts, ends = (np.concatenate(x) for x in zip(*found))
+    return hashes, starts, ends, np.searchsorted(starts, bounds), data
+
+
+def word_hashes(column: pa.Array, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a batch in order, and the bounds of each text's words among them."""
+    hashes, _, _, bounds, _ = word_table(column, hasher)
+    return hashes, bounds
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
