@@ -2,28 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontamination import contaminated
 from .jaccard import jaccard_components
+from .language import fit_languages, predict_languages
 from .mixing import mixture
 from .oracles import ORACLES  # noqa: F401
 from .quality import quality_verdicts
+from .tokens import token_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 def op2_quality_rules(spark, sf_dir):
     return quality_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_token_ids(spark, sf_dir):
+    import public_tokenizers
+
+    return token_table(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_mix_sources(spark, sf_dir):
     return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    model = fit_languages(docs.where(~held_out))
+    found = predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op2_quality_rules, op4_mix_sources, op9_ngram_jaccard_join)}
+def op10_benchmark_decontamination(spark, sf_dir):
+    found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "matched_windows", "item_windows", "other_values")
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op2_quality_rules, op3_token_ids, op4_mix_sources, op8_language_id, op9_ngram_jaccard_join,
+        op10_benchmark_decontamination,
+    )
+}
