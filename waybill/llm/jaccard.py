@@ -1,16 +1,17 @@
 """Groups of texts whose sets of word n-grams are nearly equal, by adaptive multi-match prefixes.
 
-A text's set is its distinct runs of `width` words. Two texts link when |x ∩ y| / |x ∪ y| is at least the threshold;
+A text's set is its distinct runs of `width` words. Two texts link when |x ∩ y| / |x ∪ y| is at least the threshold t;
 the result has the connected components of all links. The join is exact: nothing is sampled or capped.
 
 1. Texts with equal sets are one class from the start, so copies never meet in a join.
-2. Tokens are ordered by document frequency. Of the n tokens of x at least ⌈t·n⌉ are in any y that links with it, so x
-   and y share a token of their first n - ⌈t·n⌉ + 1. A class with that many tokens of its own links with nothing. A
-   first look at the tokens with the lowest hashes finds most of these; only the rest, which nearly all share their
-   tokens with others, are read again in full.
+2. Tokens have one order for all: those with low hashes come first, as many as prefixes need, and among these the rare
+   before the frequent. Of the n tokens of x at least ⌈t·n⌉ are in any y that links with it, so x and y share a token of
+   their first n - ⌈t·n⌉ + 1. A class with that many low tokens that no other class has links with nothing. Only the
+   rest, the open classes, go on.
 3. A pair that links also shares l tokens of the first n - ⌈t·n⌉ + l. Each class takes the l for which the join and the
    comparisons after it are estimated to cost least, from the frequencies in its prefix: long posting lists make it
-   lengthen the prefix and ask for more shared tokens. A pair must share as many as the lesser l of the two.
+   lengthen the prefix and ask for more shared tokens. A pair must share as many as the lesser l of the two, and enough
+   to reach the overlap its sizes call for with all that lies beyond the prefixes.
 4. Within tokens of many classes, each is first compared with one pivot only. Classes that this connects need no
    comparison with one another, as only components are asked for; all other pairs that pass the filter are compared.
 """
@@ -21,14 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graphs import component_roots
-from .shared import Landing
+from .shared import Landing, broadcast_if_small
 from .words import Hasher, mixed, shingle_hashes, word_hashes
 
-MOST_MATCHES = 12  # shared tokens asked for at most
+MOST_MATCHES = 16  # shared tokens asked for at most
 PIVOT_FROM = 24  # classes from which a token's group gets a pivot
 
 
@@ -48,8 +50,11 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
 
-def _set_reader(width: int, below: int | None):
-    """Rows (id, text) to (id, n, key, tokens); tokens: those with hashes below `below`, or all."""
+def _set_reader(width: int, num: int, den: int, low: int | None):
+    """Rows (id, text) to (id, n, key, tokens), all tokens; with `low`, those below it where a prefix fits into them.
+
+    Rows may have a third column, the key they are wanted for; texts with another one are left out.
+    """
 
     def read(batches):
         hasher = Hasher(fold=True)
@@ -57,39 +62,56 @@ def _set_reader(width: int, below: int | None):
             words, bounds = word_hashes(batch.column(1), hasher)
             sizes, keys, kept = [], [], []
             for tokens in token_sets(words, bounds, width):
-                sizes.append(len(tokens))
-                keys.append(set_key(tokens) if len(tokens) else None)
-                kept.append(tokens if below is None else tokens[: np.searchsorted(tokens, np.uint64(below))])
+                n = len(tokens)
+                sizes.append(n)
+                keys.append(set_key(tokens) if n else None)
+                few = np.searchsorted(tokens, np.uint64(low)) if low is not None else n
+                kept.append(tokens if few < n - -(-num * n // den) + 3 else tokens[:few])
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), _lists(kept)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "key", "tokens"])
+            read_rows = pa.RecordBatch.from_arrays(columns, ["id", "n", "key", "tokens"])
+            if batch.num_columns > 2:
+                read_rows = read_rows.filter(pc.equal(columns[2], batch.column(2)))
+            yield read_rows
 
     return read
 
 
 def _prefixes(num: int, den: int):
-    """Rows (key, n, own, dfs, tokens) to (key, n, own, matches, tokens): the prefix of least estimated cost.
+    """Rows (key, n, low_own, own, dfs, tokens, lows) to the prefix of least estimated cost of each class.
 
-    With l matches asked for, the prefix holds the class's own tokens, which join with nothing, and p more. Their
-    frequencies sum up to S rows in the join and to at most S / l pairs that match l times; comparing a pair costs
-    about an eighth of the set's size in rows.
+    The class's tokens in order: `low_own` that no other open class has, shared low ones, `own` of the others that no other has
+    and shared others; `dfs` and `tokens` list the shared ones, the first `lows` of them low. With l matches asked
+    for, the shared tokens of the prefix have frequencies that sum up to S rows in the join and to at most S / l pairs
+    that match l times; comparing a pair costs about an eighth of the set's size in rows.
     """
 
     def choose(batches):
         for batch in batches:
-            n, own = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            dfs, tokens = batch.column(3), batch.column(4)
-            matches, kept = [], []
-            for i in range(len(n)):
-                need = -(-num * int(n[i]) // den)
-                first = int(n[i]) - need + 1 - int(own[i])
-                rows = np.cumsum(dfs[i].values.to_numpy() - 1)
-                asked = np.arange(1, min(MOST_MATCHES, need) + 1)
-                total = rows[first + asked - 2]
-                best = int(np.argmin(total + total / asked * (4 + n[i] / 8)))
-                matches.append(best + 1)
-                kept.append(tokens[i].values.to_numpy()[: first + best])
-            columns = [*batch.columns[:3], pa.array(matches, pa.int32()), _lists(kept)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "n", "own", "matches", "tokens"])
+            numbers = [batch.column(i).to_numpy() for i in (1, 2, 3, 6)]
+            rows = {"held": [], "matches": [], "last": [], "tokens": []}
+            for n, low_own, own, lows, dfs, tokens in zip(*numbers, batch.column(4), batch.column(5)):
+                dfs, tokens = dfs.values.to_numpy(), tokens.values.to_numpy()
+                need = -(-num * int(n) // den)
+                emitted = low_own + own + len(tokens)
+                asked = np.arange(1, max(1, min(MOST_MATCHES, need, int(emitted - (n - need)))) + 1)
+                length = n - need + asked
+                shared = np.clip(length - low_own, 0, lows) + np.clip(length - low_own - lows - own, 0, len(tokens) - lows)
+                total = np.concatenate([[0], np.cumsum(dfs - 1)])[shared]
+                best = int(np.argmin(total + total / asked * (4 + n / 8)))
+                count = int(shared[best])
+                ends = (int(count > lows), int(dfs[count - 1]), int(tokens[count - 1])) if count else (0, 1, 0)
+                if length[best] > low_own + lows and count <= lows:
+                    ends = (1, 1, (1 << 63) - 1)  # it ends among tokens that nothing else has
+                rows["held"].append(int(length[best]))
+                rows["matches"].append(best + 1)
+                rows["last"].append(ends)
+                rows["tokens"].append(tokens[:count])
+            last = [pa.array([e[i] for e in rows["last"]], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(rows["held"], pa.int64()), pa.array(rows["matches"], pa.int32()),
+                 pa.StructArray.from_arrays(last, ["group", "df", "token"]), _lists(rows["tokens"])],
+                ["key", "n", "held", "matches", "last", "tokens"],
+            )
 
     return choose
 
@@ -119,16 +141,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _candidates(entries: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of classes of different components that share enough prefix tokens."""
+    """Pairs of classes of different components that share enough prefix tokens.
+
+    Of two prefixes, every common token of the one that ends first in the order is in the other too. So the sets
+    share at most the tokens found and those beyond that prefix, which must reach the overlap the sizes call for.
+    """
     entries = entries.join(labels.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in ("key", "n", "matches", "root")])
-    b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in ("key", "n", "matches", "root")])
+    columns = ("key", "n", "matches", "root", "held", "last")
+    a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in columns])
+    b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in columns])
     near = (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num) & (F.col("a_root") != F.col("b_root"))
     pairs = a.join(b, (a["token"] == b["token"]) & (F.col("a_key") < F.col("b_key")) & near)
+    beyond = F.when(F.col("a_last") <= F.col("b_last"), F.col("a_n") - F.col("a_held")).otherwise(F.col("b_n") - F.col("b_held"))
     counted = pairs.groupBy(F.col("a_key").alias("u"), F.col("b_key").alias("v")).agg(
-        F.count(F.lit(1)).alias("shared"), F.min(F.least("a_matches", "b_matches")).alias("asked")
+        F.count(F.lit(1)).alias("shared"), F.min(F.least("a_matches", "b_matches")).alias("asked"),
+        F.min(beyond).alias("beyond"), F.min(F.col("a_n") + F.col("b_n")).alias("sizes"),
+    )
+    enough = (F.col("shared") + F.col("beyond")) * (num + den) >= F.col("sizes") * num
+    return counted.where((F.col("shared") >= F.col("asked")) & enough).select("u", "v")
+
+
+def _sets_of(rows: DataFrame, wanted: DataFrame, reader, schema: str) -> DataFrame:
+    """(key, n, tokens) of the classes in `wanted(key, rep)`, read from the rows of their representatives."""
+    wanted = broadcast_if_small(wanted.toDF("wanted", "rep"))
+    texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("id", "text", "wanted")
+    return texts.mapInArrow(reader, schema).select("key", "n", "tokens")
+
+
+def _own_tokens(tokens: DataFrame) -> DataFrame:
+    """(key, own): how many of the given tokens no other class has."""
+    single = tokens.groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("high")).where("key = high")
+    return single.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _entries(open_sets: DataFrame, landing: Landing, low: int, num: int, den: int) -> DataFrame:
+    """A row for every shared token of the prefix of every open class."""
+    tokens = open_sets.select("key", "n", F.explode("tokens").alias("token"))
+    counted = landing.land(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    shared = tokens.join(counted, "token").select("key", F.struct((~_is_low("token", low)).alias("late"), "df", "token").alias("t"))
+    shared = shared.groupBy("key").agg(F.sort_array(F.collect_set("t")).alias("common"))
+    lows = F.size(F.filter("common", lambda t: ~t["late"])).cast("long")
+    sizes = open_sets.select(
+        "key", "n", F.size("tokens").cast("long").alias("all"), F.size(F.filter("tokens", lambda t: _is_low(t, low))).cast("long").alias("low"),
+    )
+    rows = sizes.join(shared, "key").select(
+        "key", "n", (F.col("low") - lows).alias("low_own"),
+        (F.col("all") - F.col("low") - F.size("common") + lows).alias("own"), "common.df", "common.token", lows.alias("lows"),
     )
-    return counted.where("shared >= asked").select("u", "v")
+    prefixes = rows.mapInArrow(
+        _prefixes(num, den),
+        "key long, n long, held long, matches int, last struct<group:long,df:long,token:long>, tokens array<long>",
+    )
+    return landing.land(prefixes.withColumn("token", F.explode("tokens")).drop("tokens"), "entries")
+
+
+def _is_low(token, low: int):
+    token = F.col(token) if isinstance(token, str) else token
+    return (token >= 0) & (token < low)
 
 
 def jaccard_components(
@@ -141,48 +210,38 @@ def jaccard_components(
     texts are one component, rows with the same id and text too. A row without id takes part, but the component is
     named by the smallest id in it, null if none has one. Other columns are ignored; an empty table gives an empty one.
     """
-    spark: SparkSession = docs.sparkSession
     num, den = threshold
-    landing = Landing(spark, "jaccard")
+    landing = Landing(docs.sparkSession, "jaccard")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n long, key long, tokens array<long>"
-    below = min((1 << 64) - 1, (1 << 64) * 2 * (den - num) // den)
-    profiles = landing.land(rows.mapInArrow(_set_reader(width, below), schema), "profiles")
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, n long, key long, tokens array<long>"
+    low = min((1 << 63) - 1, (1 << 64) * 2 * (den - num) // den)
+    profiles = landing.land(rows.mapInArrow(_set_reader(width, num, den, low), schema), "profiles")
 
     classes = profiles.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
+    tokens = profiles.where("n > 0").select("key", F.explode("tokens").alias("token")).where(_is_low("token", low))
     prefix = F.expr(f"n - ceil({num} * n / {den}) + 1").cast("long")
-    first_look = _own_tokens(profiles.where("n > 0").select("key", F.explode("tokens").alias("token")))
-    open_classes = classes.join(first_look, "key", "left").where(F.coalesce("own", F.lit(0)) < prefix)
-    chosen = landing.land(open_classes.select("key", "rep"), "open")
-    texts = rows.join(chosen.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = texts.mapInArrow(_set_reader(width, None), schema).join(chosen.select("key"), "key", "left_semi")
-    sets = landing.land(sets.select("key", "n", "tokens"), "sets")
-
-    tokens = sets.select("key", "n", F.explode("tokens").alias("token"))
-    counted = tokens.groupBy("token").agg(
-        F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("df")
-    )
-    counted = landing.land(counted.where("low <> high").select("token", "df"), "frequencies")
-    shared = tokens.join(counted, "token")
-    by_class = shared.groupBy("key", "n").agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("common"))
-    by_class = by_class.withColumn("own", F.col("n") - F.size("common")).where(F.col("own") < prefix)
-    chosen_prefixes = by_class.select("key", "n", "own", "common.df", "common.token").mapInArrow(
-        _prefixes(num, den), "key long, n long, own long, matches int, tokens array<long>"
-    )
-    entries = landing.land(
-        chosen_prefixes.select("key", "n", "own", "matches", F.explode("tokens").alias("token")), "entries"
-    )
-
-    pivots = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min_by("key", F.struct("own", "key")).alias("v"))
+    open_classes = classes.join(_own_tokens(tokens), "key", "left").where(F.coalesce("own", F.lit(0)) < prefix)
+    open_classes = landing.land(open_classes.select("key", "rep"), "open")
+    chosen = broadcast_if_small(open_classes.toDF("wanted", "rep"))
+    same = (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("rep"))
+    open_sets = landing.land(profiles.join(chosen, same).select("key", "n", "tokens"), "open-sets")
+    entries = _entries(open_sets, landing, low, num, den)
+
+    pivots = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.max_by("key", F.struct("last", "key")).alias("v"))
     spokes = entries.join(pivots.where(F.col("rows") >= PIVOT_FROM), "token").where("key <> v")
-    spokes = spokes.select(F.col("key").alias("u"), "v").distinct()
-    hub_links = landing.land(_verified(spokes, sets, num, den), "hub-links")
-    labels = landing.land(component_roots(hub_links, landing, "hubs"), "labels")
-    links = _verified(_candidates(entries, labels, num, den), sets, num, den).unionByName(
-        labels.select(F.col("node").alias("u"), F.col("root").alias("v"))
-    )
-    roots = landing.land(component_roots(landing.land(links, "links"), landing, "all"), "roots")
+    spokes = landing.land(spokes.select(F.col("key").alias("u"), "v").distinct(), "spokes")
+    reader = _set_reader(width, num, den, None)
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        members = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
+        wanted = landing.land(open_classes.join(members, "key", "left_semi"), f"{name}-wanted")
+        sets = landing.land(_sets_of(rows, wanted, reader, schema), f"{name}-sets")
+        return landing.land(_verified(pairs, sets, num, den), f"{name}-links")
+
+    labels = landing.land(component_roots(linked(spokes, "hubs"), landing, "hubs"), "labels")
+    pairs = landing.land(_candidates(entries, labels, num, den), "pairs")
+    links = linked(pairs, "pairs").unionByName(labels.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    roots = landing.land(component_roots(links, landing, "all"), "roots")
 
     members = roots.join(classes.select("key", "rep"), roots["node"] == F.col("key"))
     lowest = members.groupBy("root").agg(F.min("rep").alias("named"))
@@ -193,9 +252,3 @@ def jaccard_components(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
-
-
-def _own_tokens(tokens: DataFrame) -> DataFrame:
-    """(key, own): how many of the given tokens no other class has."""
-    single = tokens.groupBy("token").agg(F.min("key").alias("key"), F.max("key").alias("high")).where("key = high")
-    return single.groupBy("key").agg(F.count(F.lit(1)).alias("own"))

@@ -8,6 +8,7 @@ import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -42,6 +43,11 @@ class Landing:
             fs.delete(path, True)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Marks a written table of few narrow columns for broadcast if it has at most `rows` rows; else Spark shuffles."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, over all its tasks."""
     store = sys.modules.setdefault("_waybill_llm_store", types.ModuleType("_waybill_llm_store"))
