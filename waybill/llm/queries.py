@@ -10,7 +10,9 @@ from .jaccard import jaccard_components
 from .language import fit_languages, predict_languages
 from .mixing import mixture
 from .oracles import ORACLES  # noqa: F401
+from .pages import main_texts
 from .quality import quality_verdicts
+from .secrets import secret_spans
 from .tokens import token_table
 
 
@@ -36,6 +38,16 @@ def op4_mix_sources(spark, sf_dir):
     return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_html_extraction(spark, sf_dir):
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
+def op7_secret_scan(spark, sf_dir):
+    import public_tokenizers
+
+    return secret_spans(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op8_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
@@ -56,7 +68,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 QUERIES = {
     q.__name__: q
     for q in (
-        op2_quality_rules, op3_token_ids, op4_mix_sources, op8_language_id, op9_ngram_jaccard_join,
+        op2_quality_rules, op3_token_ids, op4_mix_sources, op6_html_extraction, op7_secret_scan, op8_language_id, op9_ngram_jaccard_join,
         op10_benchmark_decontamination,
     )
 }
