@@ -4,14 +4,17 @@ A text's set is its distinct runs of `width` words. Two texts link when |x ∩ y
 the result has the connected components of all links. The join is exact: nothing is sampled or capped.
 
 1. Texts with equal sets are one class from the start, so copies never meet in a join.
-2. Tokens have one order for all: those with low hashes come first, as many as prefixes need, and among these the rare
-   before the frequent. Of the n tokens of x at least ⌈t·n⌉ are in any y that links with it, so x and y share a token of
-   their first n - ⌈t·n⌉ + 1. A class with that many low tokens that no other class has links with nothing. Only the
-   rest, the open classes, go on.
+2. Of the n tokens of x at least ⌈t·n⌉ are in any y that links with it, so a class with n - ⌈t·n⌉ + 1 tokens that no other
+   class has links with nothing. The tokens with the lowest hashes are enough to find most of these. Rounds over the
+   classes that are left, the open ones, find more, as tokens are shared by fewer. Only the last open ones, which
+   nearly all have a copy or are very short, are read in full. Their tokens have one order for all, rare before frequent: x and y
+   share a token of their first n - ⌈t·n⌉ + 1.
 3. A pair that links also shares l tokens of the first n - ⌈t·n⌉ + l. Each class takes the l for which the join and the
    comparisons after it are estimated to cost least, from the frequencies in its prefix: long posting lists make it
    lengthen the prefix and ask for more shared tokens. A pair must share as many as the lesser l of the two, and enough
    to reach the overlap its sizes call for with all that lies beyond the prefixes.
+   Each class also has a parity of its tokens in 512 bits: two sets differ in as many tokens as their parities do in
+   bits at least, which rules out most other pairs inside the join.
 4. Within tokens of many classes, each is first compared with one pivot only. Classes that this connects need no
    comparison with one another, as only components are asked for; all other pairs that pass the filter are compared.
 """
@@ -28,9 +31,12 @@ from pyspark.sql import functions as F
 
 from .graphs import component_roots
 from .shared import Landing, broadcast_if_small
-from .words import Hasher, mixed, shingle_hashes, word_hashes
+from .words import Hasher, mixed, shingle_hashes, slices, word_hashes
 
 MOST_MATCHES = 16  # shared tokens asked for at most
+WORDS = 8  # of 64 bits in a class's parity
+BITS = tuple(f"bits{i}" for i in range(WORDS))
+ROUNDS = 5  # over the low tokens at most
 PIVOT_FROM = 24  # classes from which a token's group gets a pivot
 
 
@@ -44,31 +50,37 @@ def set_key(tokens: np.ndarray) -> int:
     return int(mixed(np.array([np.sum(mixed(tokens + np.uint64(1)), dtype=np.uint64)]))[0].astype(np.int64))
 
 
+def parities(tokens: np.ndarray) -> tuple[int, ...]:
+    """For each of 512 bits, whether an odd number of tokens falls on it; as signed words of 64 bits."""
+    odd = np.bincount((tokens >> np.uint64(7)).astype(np.int64) & 511, minlength=512) & 1
+    return tuple(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     bounds = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values).astype(np.int64) if values else np.empty(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
 
-def _set_reader(width: int, num: int, den: int, low: int | None):
-    """Rows (id, text) to (id, n, key, tokens), all tokens; with `low`, those below it where a prefix fits into them.
+def _set_reader(width: int, low: int | None):
+    """Rows (id, text) to (id, n, key, tokens, parities), all tokens or, with `low`, those below it and no parities.
 
     Rows may have a third column, the key they are wanted for; texts with another one are left out.
     """
 
     def read(batches):
         hasher = Hasher(fold=True)
-        for batch in batches:
+        for batch in slices(batches):
             words, bounds = word_hashes(batch.column(1), hasher)
-            sizes, keys, kept = [], [], []
+            sizes, keys, kept, bits = [], [], [], []
             for tokens in token_sets(words, bounds, width):
-                n = len(tokens)
-                sizes.append(n)
-                keys.append(set_key(tokens) if n else None)
-                few = np.searchsorted(tokens, np.uint64(low)) if low is not None else n
-                kept.append(tokens if few < n - -(-num * n // den) + 3 else tokens[:few])
+                sizes.append(len(tokens))
+                bits.append(parities(tokens) if low is None else None)
+                keys.append(set_key(tokens) if len(tokens) else None)
+                kept.append(tokens if low is None else tokens[: np.searchsorted(tokens, np.uint64(low))])
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), _lists(kept)]
-            read_rows = pa.RecordBatch.from_arrays(columns, ["id", "n", "key", "tokens"])
+            columns += [pa.array([b and b[i] for b in bits], pa.int64()) for i in range(WORDS)]
+            read_rows = pa.RecordBatch.from_arrays(columns, ["id", "n", "key", "tokens", *BITS])
             if batch.num_columns > 2:
                 read_rows = read_rows.filter(pc.equal(columns[2], batch.column(2)))
             yield read_rows
@@ -77,39 +89,33 @@ def _set_reader(width: int, num: int, den: int, low: int | None):
 
 
 def _prefixes(num: int, den: int):
-    """Rows (key, n, low_own, own, dfs, tokens, lows) to the prefix of least estimated cost of each class.
+    """Rows (key, n, own, dfs, tokens) to (key, n, held, matches, last, tokens): the prefix of least estimated cost.
 
-    The class's tokens in order: `low_own` that no other open class has, shared low ones, `own` of the others that no other has
-    and shared others; `dfs` and `tokens` list the shared ones, the first `lows` of them low. With l matches asked
-    for, the shared tokens of the prefix have frequencies that sum up to S rows in the join and to at most S / l pairs
-    that match l times; comparing a pair costs about an eighth of the set's size in rows.
+    `own` tokens come first in the order and join with nothing; `dfs` and `tokens` list the others. With l matches
+    asked for, the frequencies of those in the prefix sum up to S rows in the join and to at most S / l pairs that
+    match l times; comparing a pair costs about an eighth of the set's size in rows.
     """
 
     def choose(batches):
         for batch in batches:
-            numbers = [batch.column(i).to_numpy() for i in (1, 2, 3, 6)]
-            rows = {"held": [], "matches": [], "last": [], "tokens": []}
-            for n, low_own, own, lows, dfs, tokens in zip(*numbers, batch.column(4), batch.column(5)):
-                dfs, tokens = dfs.values.to_numpy(), tokens.values.to_numpy()
-                need = -(-num * int(n) // den)
-                emitted = low_own + own + len(tokens)
-                asked = np.arange(1, max(1, min(MOST_MATCHES, need, int(emitted - (n - need)))) + 1)
-                length = n - need + asked
-                shared = np.clip(length - low_own, 0, lows) + np.clip(length - low_own - lows - own, 0, len(tokens) - lows)
-                total = np.concatenate([[0], np.cumsum(dfs - 1)])[shared]
-                best = int(np.argmin(total + total / asked * (4 + n / 8)))
-                count = int(shared[best])
-                ends = (int(count > lows), int(dfs[count - 1]), int(tokens[count - 1])) if count else (0, 1, 0)
-                if length[best] > low_own + lows and count <= lows:
-                    ends = (1, 1, (1 << 63) - 1)  # it ends among tokens that nothing else has
-                rows["held"].append(int(length[best]))
-                rows["matches"].append(best + 1)
-                rows["last"].append(ends)
-                rows["tokens"].append(tokens[:count])
-            last = [pa.array([e[i] for e in rows["last"]], pa.int64()) for i in range(3)]
+            n, own = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            held, matches, last, kept = [], [], [], []
+            for i in range(len(n)):
+                dfs, tokens = batch.column(3)[i].values.to_numpy(), batch.column(4)[i].values.to_numpy()
+                need = -(-num * int(n[i]) // den)
+                first = int(n[i]) - need + 1 - int(own[i])
+                asked = np.arange(1, min(MOST_MATCHES, need) + 1)
+                total = np.cumsum(dfs - 1)[first + asked - 2]
+                best = int(np.argmin(total + total / asked * (4 + n[i] / 8)))
+                count = first + best
+                held.append(int(own[i]) + count)
+                matches.append(best + 1)
+                last.append((int(dfs[count - 1]), int(tokens[count - 1])))
+                kept.append(tokens[:count])
+            ends = [pa.array([e[j] for e in last], pa.int64()) for j in range(2)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(rows["held"], pa.int64()), pa.array(rows["matches"], pa.int32()),
-                 pa.StructArray.from_arrays(last, ["group", "df", "token"]), _lists(rows["tokens"])],
+                [*batch.columns[:2], pa.array(held, pa.int64()), pa.array(matches, pa.int32()),
+                 pa.StructArray.from_arrays(ends, ["df", "token"]), _lists(kept)],
                 ["key", "n", "held", "matches", "last", "tokens"],
             )
 
@@ -140,32 +146,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return rows.mapInArrow(_linked(num, den), "u long, v long")
 
 
+def _alike(a: str, b: str, num: int, den: int):
+    """Whether parities leave room for a link: sizes x and y allow (x + y)(1 - t) / (1 + t) different tokens."""
+    apart = sum((F.bit_count(F.col(a.format(c)).bitwiseXOR(F.col(b.format(c)))) for c in BITS[1:]),
+                F.bit_count(F.col(a.format(BITS[0])).bitwiseXOR(F.col(b.format(BITS[0])))))
+    return apart * (num + den) <= (F.col(a.format("n")) + F.col(b.format("n"))) * (den - num)
+
+
 def _candidates(entries: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes of different components that share enough prefix tokens.
 
     Of two prefixes, every common token of the one that ends first in the order is in the other too. So the sets
-    share at most the tokens found and those beyond that prefix, which must reach the overlap the sizes call for.
+    share at most the tokens found and those beyond that prefix, and no more than either has after the last one found;
+    together they must reach the overlap the sizes call for.
     """
     entries = entries.join(labels.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    columns = ("key", "n", "matches", "root", "held", "last")
+    columns = ("key", "n", "matches", "root", "held", "last", "place", *BITS)
     a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in columns])
     b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in columns])
     near = (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num) & (F.col("a_root") != F.col("b_root"))
+    near = near & _alike("a_{}", "b_{}", num, den)
     pairs = a.join(b, (a["token"] == b["token"]) & (F.col("a_key") < F.col("b_key")) & near)
     beyond = F.when(F.col("a_last") <= F.col("b_last"), F.col("a_n") - F.col("a_held")).otherwise(F.col("b_n") - F.col("b_held"))
+    behind = lambda c: F.min(F.col(f"{c}_n") - F.col(f"{c}_place"))  # noqa: E731  tokens after the last one shared
     counted = pairs.groupBy(F.col("a_key").alias("u"), F.col("b_key").alias("v")).agg(
         F.count(F.lit(1)).alias("shared"), F.min(F.least("a_matches", "b_matches")).alias("asked"),
-        F.min(beyond).alias("beyond"), F.min(F.col("a_n") + F.col("b_n")).alias("sizes"),
+        F.least(F.min(beyond), behind("a"), behind("b")).alias("beyond"), F.min(F.col("a_n") + F.col("b_n")).alias("sizes"),
     )
     enough = (F.col("shared") + F.col("beyond")) * (num + den) >= F.col("sizes") * num
     return counted.where((F.col("shared") >= F.col("asked")) & enough).select("u", "v")
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, reader, schema: str) -> DataFrame:
-    """(key, n, tokens) of the classes in `wanted(key, rep)`, read from the rows of their representatives."""
+    """(key, n, tokens, parities) of the classes in `wanted(key, rep)`, read from the rows of their representatives."""
     wanted = broadcast_if_small(wanted.toDF("wanted", "rep"))
     texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("id", "text", "wanted")
-    return texts.mapInArrow(reader, schema).select("key", "n", "tokens")
+    return texts.mapInArrow(reader, schema).select("key", "n", "tokens", *BITS)
 
 
 def _own_tokens(tokens: DataFrame) -> DataFrame:
@@ -174,30 +190,39 @@ def _own_tokens(tokens: DataFrame) -> DataFrame:
     return single.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _entries(open_sets: DataFrame, landing: Landing, low: int, num: int, den: int) -> DataFrame:
+def _open_rounds(profiles: DataFrame, classes: DataFrame, landing: Landing, prefix) -> DataFrame:
+    """(key, rep, n) of the classes that may still link, as the low tokens tell."""
+    tokens = profiles.where("n > 0").select("key", F.explode("tokens").alias("token"))
+    left = classes.join(_own_tokens(tokens), "key", "left").where(F.coalesce("own", F.lit(0)) < prefix)
+    left = landing.land(left.select("key", "rep", "n"), "open-0")
+    chosen = broadcast_if_small(left.select(F.col("key").alias("wanted"), "rep"))
+    same = (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("rep"))
+    sets = landing.land(profiles.join(chosen, same).select("key", "tokens"), "open-sets")
+    count = left.count()
+    for i in range(1, ROUNDS + 1):
+        tokens = sets.join(broadcast_if_small(left.select("key")), "key", "left_semi")
+        tokens = tokens.select("key", F.explode("tokens").alias("token"))
+        less = left.join(_own_tokens(tokens), "key", "left").where(F.coalesce("own", F.lit(0)) < prefix)
+        left = landing.land(less.select("key", "rep", "n"), f"open-{i}")
+        before, count = count, left.count()
+        if count > 0.8 * before:
+            break
+    return left
+
+
+def _entries(sets: DataFrame, landing: Landing, num: int, den: int, prefix) -> DataFrame:
     """A row for every shared token of the prefix of every open class."""
-    tokens = open_sets.select("key", "n", F.explode("tokens").alias("token"))
+    tokens = sets.select("key", "n", F.explode("tokens").alias("token"))
     counted = landing.land(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
-    shared = tokens.join(counted, "token").select("key", F.struct((~_is_low("token", low)).alias("late"), "df", "token").alias("t"))
-    shared = shared.groupBy("key").agg(F.sort_array(F.collect_set("t")).alias("common"))
-    lows = F.size(F.filter("common", lambda t: ~t["late"])).cast("long")
-    sizes = open_sets.select(
-        "key", "n", F.size("tokens").cast("long").alias("all"), F.size(F.filter("tokens", lambda t: _is_low(t, low))).cast("long").alias("low"),
-    )
-    rows = sizes.join(shared, "key").select(
-        "key", "n", (F.col("low") - lows).alias("low_own"),
-        (F.col("all") - F.col("low") - F.size("common") + lows).alias("own"), "common.df", "common.token", lows.alias("lows"),
-    )
-    prefixes = rows.mapInArrow(
-        _prefixes(num, den),
-        "key long, n long, held long, matches int, last struct<group:long,df:long,token:long>, tokens array<long>",
+    shared = tokens.join(counted, "token").groupBy("key", "n").agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("common"))
+    rows = shared.withColumn("own", F.col("n") - F.size("common")).where(F.col("own") < prefix)
+    prefixes = rows.select("key", "n", "own", "common.df", "common.token").mapInArrow(
+        _prefixes(num, den), "key long, n long, held long, matches int, last struct<df:long,token:long>, tokens array<long>"
     )
-    return landing.land(prefixes.withColumn("token", F.explode("tokens")).drop("tokens"), "entries")
-
-
-def _is_low(token, low: int):
-    token = F.col(token) if isinstance(token, str) else token
-    return (token >= 0) & (token < low)
+    prefixes = prefixes.select("*", F.posexplode("tokens").alias("at", "token"))
+    place = (F.col("held") - F.size("tokens") + F.col("at") + 1).alias("place")
+    prefixes = prefixes.select("key", "n", "held", "matches", "last", "token", place)
+    return landing.land(prefixes.join(sets.select("key", *BITS).dropDuplicates(["key"]), "key"), "entries")
 
 
 def jaccard_components(
@@ -213,34 +238,24 @@ def jaccard_components(
     num, den = threshold
     landing = Landing(docs.sparkSession, "jaccard")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, n long, key long, tokens array<long>"
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, n long, key long, tokens array<long>, " + ", ".join(f"{b} long" for b in BITS)
     low = min((1 << 63) - 1, (1 << 64) * 2 * (den - num) // den)
-    profiles = landing.land(rows.mapInArrow(_set_reader(width, num, den, low), schema), "profiles")
-
+    profiles = landing.land(rows.mapInArrow(_set_reader(width, low), schema), "profiles")
     classes = profiles.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
-    tokens = profiles.where("n > 0").select("key", F.explode("tokens").alias("token")).where(_is_low("token", low))
     prefix = F.expr(f"n - ceil({num} * n / {den}) + 1").cast("long")
-    open_classes = classes.join(_own_tokens(tokens), "key", "left").where(F.coalesce("own", F.lit(0)) < prefix)
-    open_classes = landing.land(open_classes.select("key", "rep"), "open")
-    chosen = broadcast_if_small(open_classes.toDF("wanted", "rep"))
-    same = (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("rep"))
-    open_sets = landing.land(profiles.join(chosen, same).select("key", "n", "tokens"), "open-sets")
-    entries = _entries(open_sets, landing, low, num, den)
-
-    pivots = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.max_by("key", F.struct("last", "key")).alias("v"))
-    spokes = entries.join(pivots.where(F.col("rows") >= PIVOT_FROM), "token").where("key <> v")
-    spokes = landing.land(spokes.select(F.col("key").alias("u"), "v").distinct(), "spokes")
-    reader = _set_reader(width, num, den, None)
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        members = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
-        wanted = landing.land(open_classes.join(members, "key", "left_semi"), f"{name}-wanted")
-        sets = landing.land(_sets_of(rows, wanted, reader, schema), f"{name}-sets")
-        return landing.land(_verified(pairs, sets, num, den), f"{name}-links")
-
-    labels = landing.land(component_roots(linked(spokes, "hubs"), landing, "hubs"), "labels")
+    open_classes = _open_rounds(profiles, classes, landing, prefix)
+    sets = landing.land(_sets_of(rows, open_classes.select("key", "rep"), _set_reader(width, None), schema), "sets")
+    entries = _entries(sets, landing, num, den, prefix)
+
+    hub = F.max_by(F.struct("key", "n", *BITS), F.struct("last", "key"))
+    pivots = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), hub.alias("hub")).where(F.col("rows") >= PIVOT_FROM)
+    spokes = entries.join(pivots, "token").where((F.col("key") != F.col("hub.key")) & _alike("{}", "hub.{}", num, den))
+    spokes = landing.land(spokes.select(F.col("key").alias("u"), F.col("hub.key").alias("v")).distinct(), "spokes")
+    hubs = landing.land(_verified(spokes, sets, num, den), "hub-links")
+    labels = landing.land(component_roots(hubs, landing, "hubs"), "labels")
     pairs = landing.land(_candidates(entries, labels, num, den), "pairs")
-    links = linked(pairs, "pairs").unionByName(labels.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    links = landing.land(_verified(pairs, sets, num, den), "pair-links")
+    links = links.unionByName(labels.select(F.col("node").alias("u"), F.col("root").alias("v")))
     roots = landing.land(component_roots(links, landing, "all"), "roots")
 
     members = roots.join(classes.select("key", "rep"), roots["node"] == F.col("key"))

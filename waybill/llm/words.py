@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 18  # bytes hashed at a time: temporary arrays stay in the processor's cache, however long a text is
 
@@ -82,6 +83,18 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds
 
 
+def slices(batches, text: int = 1, most: int = 4 << 20):
+    """Arrow batches cut so that each holds about `most` bytes of text in the given column, or one longer text."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(sizes, dtype=np.int64) // most
+        edges = np.flatnonzero(np.diff(group)) + 1
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)
+
+
 def pieces(data: np.ndarray, bounds: np.ndarray, space: np.ndarray):
     """Cut texts into pieces of about PIECE_BYTES: (from, to, first text, last text + 1).
 
