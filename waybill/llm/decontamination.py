@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Landing
-from .words import Hasher, mixed, word_table
+from .words import Hasher, mixed, slices, word_table
 
 WIDTH = 8  # words of a window; an item with fewer is one window
 LEAST_WORDS = 4  # an item with fewer can't be told from ordinary text
@@ -52,14 +52,14 @@ class Templates:
             first = data[starts]
             second = data[np.minimum(starts + 1, len(data) - 1)]
             capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-            stops = np.concatenate([[0], np.cumsum(self.stop[data], dtype=np.int64)])
+            stops = np.concatenate([[0], np.cumsum(self.stop[data], dtype=np.int32)])
             opens = np.ones(len(values), bool)
             opens[1:] = stops[starts[1:]] > stops[ends[:-1]]
             opens[bounds[:-1][bounds[:-1] < len(values)]] = True
             kinds[capital & ~opens] = NAME
             at = np.minimum(np.searchsorted(self.units, values), len(self.units) - 1)
             kinds[self.units[at] == values] = UNIT
-            digits = np.concatenate([[0], np.cumsum(self.digit[data], dtype=np.int64)])
+            digits = np.concatenate([[0], np.cumsum(self.digit[data], dtype=np.int32)])
             kinds[digits[ends] > digits[starts]] = NUMBER
         template = np.where(kinds == LITERAL, values, mixed(kinds.astype(np.uint64)))
         return template, values, kinds, bounds
@@ -94,7 +94,7 @@ def _windows_of(widths: tuple[int, ...] | None, wanted):
     def read(batches):
         templates = Templates()
         hashes_wanted = None if wanted is None else wanted.value
-        for batch in batches:
+        for batch in slices(batches):
             template, values, kinds, bounds = templates.canonical(batch.column(1))
             sizes = np.diff(bounds)
             own = widths is None

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import worker_store
+from .words import slices
 
 GRAM = 3
 BUCKETS = 1 << 16
@@ -106,7 +107,7 @@ def fit_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
 def _predict(shared):
     def read(batches):
         (names, matrix, share), letters = shared.value, _letters()
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = [], []
             for text in batch.column(1):
                 total = text_scores(text.as_py() or "", letters, matrix, share)
