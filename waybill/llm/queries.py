@@ -14,6 +14,7 @@ from .pages import main_texts
 from .quality import quality_verdicts
 from .secrets import secret_spans
 from .tokens import token_table
+from .toxicity import fit_toxicity, toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,14 @@ def _fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    labels = _table(spark, sf_dir, "labels").where(~held_out)
+    model = fit_toxicity(docs.where(~held_out), labels)
+    return toxicity_scores(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "excess")
+
+
 def op2_quality_rules(spark, sf_dir):
     return quality_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -68,7 +77,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 QUERIES = {
     q.__name__: q
     for q in (
-        op2_quality_rules, op3_token_ids, op4_mix_sources, op6_html_extraction, op7_secret_scan, op8_language_id, op9_ngram_jaccard_join,
+        op1_toxicity, op2_quality_rules, op3_token_ids, op4_mix_sources, op6_html_extraction, op7_secret_scan, op8_language_id, op9_ngram_jaccard_join,
         op10_benchmark_decontamination,
     )
 }
