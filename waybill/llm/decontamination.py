@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Landing
+from .shared import Landing, broadcast_if_small
 from .words import Hasher, mixed, slices, word_table
 
 WIDTH = 8  # words of a window; an item with fewer is one window
@@ -182,4 +182,5 @@ def contaminated(
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of `docs` with all their columns that hold no item of `benchmark`."""
     held = contaminated(docs, benchmark, id_col, text_col, **options).select("text_hash").distinct()
+    held = broadcast_if_small(Landing(docs.sparkSession, "held").land(held, "held"))
     return docs.join(held, F.xxhash64(docs[text_col]) == held["text_hash"], "left_anti")

@@ -267,3 +267,22 @@ def jaccard_components(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def distinct_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (80, 100)
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, that name their component: one of each group of near copies.
+
+    Rows that share an id stay or go together; of those that agree in text too, one stays. Rows without id stay.
+    """
+    landing = Landing(docs.sparkSession, "distinct")
+    groups = landing.land(jaccard_components(docs, id_col, text_col, width, threshold).toDF("of", "n", "component_id"), "groups")
+    gone = groups.where("of is not null").groupBy("of").agg(F.max(F.col("of") == F.col("component_id")).alias("stays"))
+    gone = broadcast_if_small(landing.land(gone.where(~F.col("stays")).select("of"), "gone"))
+    kept = docs.join(gone, docs[id_col] == gone["of"], "left_anti")
+    repeated = landing.land(groups.groupBy("of").count().where("of is not null and count > 1").select("of"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, kept[id_col] == repeated["of"], "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(repeated, kept[id_col] == repeated["of"], "left_anti").unionByName(once)

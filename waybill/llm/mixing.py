@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import Landing
+from .shared import Landing, broadcast_if_small
 
 # The mix's weights, its share of all words, and how often a source may be used.
 WEIGHTS = (3, 1, 2)
@@ -51,19 +51,20 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 def _rank(rows: DataFrame, landing: Landing) -> DataFrame:
     """Adds `rank`, the place among all rows of the source by (size, draw, id), without a task for a whole source.
 
-    Rows are sorted into ranges; each range counts its rows of each source, the counts of earlier ranges are added up,
-    and rows are numbered within their range.
+    Rows are sorted into ranges and numbered on; the first number and the count of each source in each range, summed up
+    over earlier ranges, turn numbers into ranks.
     """
-    order = ["source", "size", "draw", "id"]
-    ranged = rows.repartitionByRange(*[F.col(c).asc_nulls_last() for c in order], F.rand(7))
-    ranged = landing.land(ranged.withColumn("range", F.spark_partition_id()), "ranges")
-    counts = ranged.groupBy("range", "source").agg(F.count(F.lit(1)).alias("rows"))
+    order = [F.col("source").asc_nulls_last(), "size", "draw", F.col("id").asc_nulls_last()]
+    number = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("number", number)
+    ranged = landing.land(ranged.withColumn("range", F.shiftright("number", 33)), "ranges")
+    counts = ranged.groupBy("range", "source").agg(F.count(F.lit(1)).alias("rows"), F.min("number").alias("first"))
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("range", F.col("source").alias("of"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
-    within = Window.partitionBy("range", "source").orderBy("size", "draw", F.col("id").asc_nulls_last())
-    numbered = ranged.withColumn("place", F.row_number().over(within)).alias("n")
-    joined = numbered.join(starts.alias("s"), (F.col("n.range") == F.col("s.range")) & F.col("source").eqNullSafe(F.col("of")))
-    return joined.select("n.*", (F.col("start") + F.col("place")).alias("rank"))
+    start = F.coalesce(F.sum("rows").over(earlier), F.lit(0)) + 1 - F.col("first")
+    starts = counts.select("range", F.col("source").alias("of"), start.alias("start"))
+    starts = broadcast_if_small(landing.land(starts, "starts")).alias("s")
+    joined = ranged.alias("n").join(starts, (F.col("n.range") == F.col("s.range")) & F.col("source").eqNullSafe(F.col("of")))
+    return joined.select("n.*", (F.col("start") + F.col("number")).alias("rank"))
 
 
 def mixture(
@@ -80,14 +81,14 @@ def mixture(
     """
     landing = Landing(docs.sparkSession, "mix")
     draw = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = landing.land(docs.select(
+    rows = docs.select(
         *[F.col(c).alias(f"kept_{c}") for c in keep], F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), draw.alias("draw"),
-    ), "sizes")
+    )
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("")))), 1, 8), 16, 10).cast("double")
     targets = landing.land(targets.withColumn("offset", offset / 4294967296.0).withColumnRenamed("source", "of"), "targets")
-    ranked = _rank(rows, landing).join(targets, F.col("source").eqNullSafe(F.col("of")))
+    ranked = _rank(rows, landing).join(broadcast_if_small(targets), F.col("source").eqNullSafe(F.col("of")))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     upto = lambda rank: F.floor(each * rank + F.col("offset"))
     ranked = ranked.withColumn("copies", (upto(F.col("rank")) - upto(F.col("rank") - 1)).cast("long"))

@@ -55,4 +55,21 @@ select doc_id, size, source_size, target,
   cast(floor(each * rank + shift) - floor(each * (rank - 1) + shift) as bigint) * size as taken from ranked
 """
 
-ORACLES = {"op4_mix_sources": OP4, "op9_ngram_jaccard_join": OP9}
+OP5 = """
+with rows as (
+  select row_number() over () as r, doc_id, source, text from documents
+), lines as (
+  select r, source, unnest(range(1, len(string_split(text, chr(10))) + 1)) as place, unnest(string_split(text, chr(10))) as line from rows
+  where text is not null
+), boilerplate as (
+  select line from lines where regexp_matches(line, '[^\\x20\\x09-\\x0D]') group by line having count(distinct source) >= 10
+), kept as (
+  select r, cast(count(*) as bigint) as n_lines, cast(count(*) filter (line in (select line from boilerplate)) as bigint) as n_removed,
+    coalesce(string_agg(line, chr(10) order by place) filter (line not in (select line from boilerplate)), '') as text
+  from lines group by r
+)
+select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, kept.text as text
+from rows left join kept on rows.r = kept.r
+"""
+
+ORACLES = {"op5_line_dedup": OP5, "op4_mix_sources": OP4, "op9_ngram_jaccard_join": OP9}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontamination import contaminated
 from .jaccard import jaccard_components
 from .language import fit_languages, predict_languages
+from .lines import without_boilerplate
 from .mixing import mixture
 from .oracles import ORACLES  # noqa: F401
 from .pages import main_texts
@@ -47,6 +48,10 @@ def op4_mix_sources(spark, sf_dir):
     return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_line_dedup(spark, sf_dir):
+    return without_boilerplate(_table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark, sf_dir):
     return main_texts(_table(spark, sf_dir, "pages"))
 
@@ -77,7 +82,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 QUERIES = {
     q.__name__: q
     for q in (
-        op1_toxicity, op2_quality_rules, op3_token_ids, op4_mix_sources, op6_html_extraction, op7_secret_scan, op8_language_id, op9_ngram_jaccard_join,
+        op1_toxicity, op2_quality_rules, op3_token_ids, op4_mix_sources, op5_line_dedup, op6_html_extraction, op7_secret_scan, op8_language_id, op9_ngram_jaccard_join,
         op10_benchmark_decontamination,
     )
 }
