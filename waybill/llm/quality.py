@@ -2,7 +2,8 @@
 
 Words and pairs of neighbouring words are hashed into buckets. Two multinomials over the buckets are counted, one over
 all documents and one over the trusted ones. A document's score is the mean logarithm of trusted to raw probability
-over its n-grams; documents below a fixed threshold are rejected. Everything is built from column functions.
+over its n-grams, both smoothed by counts, as trusted documents are a part of all and rare n-grams of others would
+else look untrusted; documents below a fixed threshold are rejected. Everything is built from column functions.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ SYMBOLS = "#*$%&|<>"
 
 BUCKETS = 1 << 16
 TRUSTED_ROWS = 50_000  # labelled rows that the trusted multinomial is fitted on at most, by hash of their id
-PRIOR = 200.0  # n-grams spread like the raw corpus that are added to the trusted counts
-THRESHOLD = -0.1
+PRIOR = 5.0  # added to a bucket's trusted count and to the one expected of it, so that rare n-grams say little
+THRESHOLD = -0.2
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words in repeated windows
 
 
@@ -57,7 +58,7 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     raw_all, good_all = sum(r.raw for r in found), sum(r.good for r in found)
     weights = [0.0] * BUCKETS
     for bucket, raw, good in found:
-        weights[bucket] = math.log((good + PRIOR * raw / raw_all) / (good_all + PRIOR) * raw_all / raw)
+        weights[bucket] = math.log((good + PRIOR) / (raw * good_all / raw_all + PRIOR)) if good_all else 0.0
     return weights
 
 
