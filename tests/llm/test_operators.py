@@ -87,7 +87,7 @@ def hash_long(value, seed):
 def test_quality_rules(spark):
     rng = random.Random(3)
     good = [prose(rng, rng.randint(55, 120)) for _ in range(30)]
-    junk = [" ".join(w + "&&&" for w in prose(rng, 80, vocabulary(12)).split()) for _ in range(10)]
+    junk = [" ".join(w + "&&&" for w in prose(rng, 80, vocabulary(12)).split()) for _ in range(60)]
     texts = [*good, *junk, *ODD, "x\ny\nx\n \n \nx y z x y z", "# * | <a> é é é é " * 20]
     docs = frame(spark, texts)
     labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(31, 0, 0), (None, 1, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
@@ -112,7 +112,7 @@ def test_quality_rules(spark):
         score = sum(np.log((trusted[b] + quality.PRIOR) / (buckets[b] * m / n + quality.PRIOR)) for b in mine) / max(len(mine), 1)
         assert r.score == pytest.approx(score, abs=1e-4)
         assert (r.base_failed, r.kept) == (failed, not failed and r.score >= quality.THRESHOLD)
-    assert all(found[i].kept for i in range(30)) and not any(found[i].kept for i in range(30, 40))
+    assert all(found[i].kept for i in range(30)) and not any(found[i].kept for i in range(30, 90))
     kept = quality.kept_documents(docs, labels)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i in found if found[i].kept)
     assert quality.quality_verdicts(docs.limit(0), labels).count() == 0
@@ -178,7 +178,7 @@ def test_mixture(spark):
     texts = [prose(rng, rng.randint(0, 40)) for _ in range(300)] + [None, ""]
     sources = [rng.choice(["b", "b", "b", "b", "a", "c", "Z", "é", None, "empty"]) for _ in texts]
     texts = ["" if s == "empty" else t for t, s in zip(texts, sources)]
-    ids = list(range(len(texts) - 2)) + [None, 0]
+    ids = list(range(len(texts) - 2)) + [None, -1]
     docs = frame(spark, texts, ids, sources)
     found = mixing.mixture(docs).collect()
     sizes = collections.Counter()
@@ -285,7 +285,7 @@ def test_decontamination(spark, monkeypatch, most):
         items[1].replace(",", " ;").replace(" ", "\n"),
         "So it is. Tom has 31 apples and gives 9 to Eve so Tom now holds 22 apples in 8 kg bags",
         "So it is. Tom has 12 apples and gives 9 to Ann so Tom now holds 12 apples in 12 kg bags and 12",
-        "look: Five words are in here!", prose(rng, 200), *ODD,
+        "Look. Five words are in here!", prose(rng, 200), *ODD,
     ]
     docs = frame(spark, texts)
     found = {(r.doc_id, r.item_id): r.other_values for r in decontamination.contaminated(docs, benchmark).collect()}

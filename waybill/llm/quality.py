@@ -120,4 +120,5 @@ def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """The rows of `docs` with all their columns that `quality_verdicts` keeps."""
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col], docs[text_col])
     judged = quality_verdicts(packed, labels, id_col, text_col, more=("row",), weights=bucket_weights(docs, labels, id_col, text_col))
-    return judged.where("kept").select("row.*")
+    # Filtered behind a generator: Spark would move the condition below the steps that build it and repeat them in it.
+    return judged.select("row", F.explode(F.array("kept")).alias("stays")).where("stays").select("row.*")
