@@ -157,12 +157,10 @@ ORACLES = {
     "duplicate_name_groups": """
 select upper(p_name) as name_key, p_size as part_size, count(*) as members, count(*) - 1 as findings, min(p_partkey) as first_rec
 from part group by upper(p_name), p_size having count(*) > 1""",
-    # Runs of more than 1000 name the first member and the finding's own one.
     "duplicate_name_findings": f"""
 select name_key, p_size as part_size, k, code1 is not distinct from code2 as same_code,
- case when n <= 1000 then upto else f || ', ' || own end as members from (
-select upper(p_name) as name_key, p_size, row_number() over w as k, count(*) over (w {FULL}) as n,
- '[' || p_name || '] [' || p_brand || ']' as own, first_value('[' || p_name || '] [' || p_brand || ']') over w as f,
+ upto as members from (
+select upper(p_name) as name_key, p_size, row_number() over w as k,
  first_value(p_brand) over (w {FULL}) as code1, nth_value(p_brand, 2) over (w {FULL}) as code2,
  string_agg('[' || p_name || '] [' || p_brand || ']', ', ') over (w rows between unbounded preceding and current row) as upto
 from part {PART_WINDOW})) where k >= 2""",
@@ -265,7 +263,7 @@ select archive_id, 'Łódź ' || number as company, 'Dane firmy: Łódź ' || nu
  'Licencja: L-1' as licence_line from ({PACKED_ARCHIVES})""",
     "archive_audit": stop_findings(PACKED_STOPS, False) + f"""
 select a.archive_id, section, case when section = 'stops' then n else 0 end as checked,
- case when section = 'stops' then errors else 0 end as errors, section <> 'stops' or errors = 0 as clean from (
+ case when section = 'stops' then errors else 0 end as errors, case when section = 'stops' then errors = 0 end as clean from (
 select archive_id, count(*) as n, (select count(*) from found f where f.archive_id = s.archive_id) as errors from stops s
 group by archive_id) a cross join (values ('stops'), ('lines'), ('courses')) t(section)""",
     "archive_audit_findings": stop_findings(PACKED_STOPS, False) + f"""

@@ -141,8 +141,8 @@ def test_audit_of_archives(spark, tmp_path):
         ]
         assert [f[1] for f in found if f[2] == "missing_table"] == ["courses", "courses"]
         assert sorted(map(tuple, summary.collect())) == [
-            ("a.zip", "courses", 0, 0, True), ("a.zip", "lines", 1, 1, False), ("a.zip", "stops", 3, 3, False),
-            ("b.zip", "courses", 0, 0, True), ("b.zip", "lines", 0, 0, True), ("b.zip", "stops", 0, 0, True),
+            ("a.zip", "courses", 0, 0, None), ("a.zip", "lines", 1, 1, False), ("a.zip", "stops", 3, 3, False),
+            ("b.zip", "courses", 0, 0, None), ("b.zip", "lines", 0, 0, None), ("b.zip", "stops", 0, 0, None),
         ]
         bad = sorted((r.archive_id, r.table or "", r.rec_no or 0, r.column) for r in rejects.collect())
         assert bad == [("a.zip", "trasylinii", 3, "KOD2"), ("b.zip", "", 0, "archive"), ("b.zip", "archiwuminfo", 0, "company")]
@@ -163,3 +163,41 @@ def test_tables_land_in_the_shared_folder(spark, folder, tmp_path):
         (tmp_path / name).unlink()  # the tables are not read from the archives again
     assert spark.read.parquet(f"{landed}/przystanki").where("archive_id = 'one.zip'").count() == 3
     assert findings.where("rule = 'no_administration' and archive_id = 'one.zip'").count() == 3
+
+
+def test_damaged_tables_are_rejected(spark, tmp_path):
+    """A member of wrong check sum, one cut short and one without header end no run, and no other archive's."""
+    stops = [("NAZWA", "C", 20, 0), ("KOD2", "N", 6, 0), ("SYM", "C", 3, 0), ("X_KRAJ", "N", 8, 2), ("Y_KRAJ", "N", 8, 2)]
+    table = dbf_bytes(stops, [(f"Stop {i}", i, "A", 1, 1) for i in range(10)])
+    whole = zip_bytes({"ArchiwumInfo_1.rtf": manifest_bytes("7"), "przystanki.dbf": table}, stored=True)
+    at = whole.index(b"Stop 5")
+    size = (len(table) - 32 - 5 * 32 - 1) // 10
+    files = {
+        "good.zip": whole,
+        "sum.zip": whole[:at] + b"X" + whole[at + 1 :],
+        "cut.zip": zip_bytes({"ArchiwumInfo_1.rtf": manifest_bytes("7"), "przystanki.dbf": table[: len(table) - 6 * size - 1]}),
+        "head.zip": zip_bytes({"ArchiwumInfo_1.rtf": manifest_bytes("7"), "przystanki.dbf": table[:20]}),
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    findings, summary, rejects = audit(spark, str(tmp_path), AuditOptions(), dt.date(2026, 12, 1))
+    bad = {r.archive_id: r.value for r in rejects.where("column = 'table'").collect()}
+    assert set(bad) == {"sum.zip", "cut.zip", "head.zip"} and bad["cut.zip"].startswith("10 records declared")
+    checked = {r.archive_id: (r.checked, r.clean) for r in summary.where("section = 'stops'").collect()}
+    assert checked["good.zip"] == (10, True) and checked["sum.zip"] == (0, None) == checked["head.zip"]
+    assert checked["cut.zip"][0] == int(bad["cut.zip"].split()[3])
+
+
+def test_neighbours_do_not_change_an_archive(spark, tmp_path):
+    """Another archive's wider number fields leave an archive's statuses and codes as they are."""
+    lines = lambda decimals: [("STATLINII", "N", 3, decimals), ("NRF", "N", 5, 0), ("NRLINII", "N", 5, 0), ("WARLINII", "N", 3, 0), ("WAZNAOD", "D", 8, 0), ("WAZNADO", "D", 8, 0)]
+    routes = [("NRF", "N", 5, 0), ("NRLINII", "N", 5, 0), ("WARLINII", "N", 3, 0), ("WAZNAOD", "D", 8, 0), ("NRPRZYST", "N", 3, 0),
+              ("KOD2", "N", 6, 0), ("NAZPRZYST", "C", 20, 0)]
+    for name, decimals in (("a.zip", 0), ("b.zip", 1)):
+        (tmp_path / name).write_bytes(zip_bytes({
+            "ArchiwumInfo_1.rtf": manifest_bytes("7"),
+            "linie.dbf": dbf_bytes(lines(decimals), [("2.0" if decimals else "2", 7, 1, 1, "20200101", None)]),
+            "trasylinii.dbf": dbf_bytes(routes, [(7, 1, 1, "20200101", s, 5, "A") for s in (1, 2)]),
+        }))
+    _, summary, _ = audit(spark, str(tmp_path), AuditOptions(), dt.date(2026, 12, 1))
+    assert [(r.checked, r.errors) for r in summary.where("section = 'lines'").collect()] == [(1, 1), (1, 1)]

@@ -73,11 +73,11 @@ def test_long_runs_keep_every_member(spark):
     df = stops_of(spark)
     keyed = df.selectExpr("*", "upper(NAZWA) as name_key").where("NAZWA is not null")
     found = duplicate_findings(
-        keyed, ["archive_id", "name_key"], "NAZWA", "KOD2", mode="cumulative", list_limit=2
+        keyed, ["archive_id", "name_key"], "NAZWA", "KOD2", mode="cumulative"
     ).where("name_key = 'DWORZEC'")
     assert [r.listed for r in found.orderBy("k").collect()] == [
         "[Dworzec] [100], [DWORZEC] [101]",
-        "[Dworzec] [100], [Dworzec] [102]",
+        "[Dworzec] [100], [DWORZEC] [101], [Dworzec] [102]",
     ]
 
 
@@ -272,3 +272,22 @@ def test_ref_date():
     for bad in (None, TODAY, dt.date(2027, 1, 1)):
         with pytest.raises(ValueError):
             check_ref_date(bad, TODAY)
+
+
+def test_numbers_of_any_size_keep_their_digits(spark):
+    values = [1.2345678901234567e-10, 1e-20, -2.5e-7, 1.5e16, 12345678.25, -1e22, 1e40, 0.0, 5.0, 0.5, 1e-3]
+    df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    texts = [r.x for r in df.select(sql_value(df, "v").alias("x")).collect()]
+    assert [float(x.strip("'")) for x in texts] == values and not any("E" in x for x in texts)
+    assert texts[1:] == [
+        "'0.00000000000000000001'", "'-0.00000025'", "'15000000000000000'", "'12345678.25'",
+        "'-1" + "0" * 22 + "'", "'1" + "0" * 40 + "'", "'0'", "'5'", "'0.5'", "'0.001'",
+    ]
+
+
+def test_white_space_is_blank(spark):
+    from waybill.functions.scalars import is_blank, parse_date, trimmed
+
+    df = spark.createDataFrame([("\t",), ("\u00a0 x\u2003\n",), (None,), ("20240131",)], "v string").coalesce(1)
+    rows = df.select(is_blank(F.col("v")).alias("b"), trimmed(F.col("v")).alias("t"), parse_date(F.col("v")).alias("d")).collect()
+    assert [r.b for r in rows] == [True, False, True, False] and rows[1].t == "x" and str(rows[3].d) == "2024-01-31"

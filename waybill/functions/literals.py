@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scalars import SPACES
+
 DATE_FORM = "dd.MM.yyyy"
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -22,6 +24,10 @@ def _string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _trimmed(text: str) -> str:
+    return f"btrim({text}, {_string(SPACES)})"
+
+
 def _quoted(text: str) -> str:
     return f"concat('\\'', {text}, '\\'')"
 
@@ -31,10 +37,17 @@ def _number(c: str, kind: T.DataType) -> str:
     whole = f"cast(try_cast({c} as decimal(38,0)) as string)"
     if isinstance(kind, T.DecimalType):
         return f"if({c} % 1 = 0, {whole}, cast({c} as string))"
+    # Beyond these bounds the text has an exponent: 1.25E-10. The point is moved by it in the digits of the text.
     plain = f"abs({c}) >= 1e-3 and abs({c}) < 1e7"
-    digits = f"rtrim('0', cast(try_cast(cast({c} as string) as decimal(38,18)) as string))"
-    fraction = f"if({plain}, cast({c} as string), {digits})"
-    return f"coalesce(if({c} % 1 = 0, {whole}, {fraction}), cast({c} as string))"
+    text = f"cast({c} as string)"
+    digits = f"rtrim('0', translate(split_part({text}, 'E', 1), '-.', ''))"
+    point = f"(1 + try_cast(split_part({text}, 'E', 2) as int))"
+    moved = (
+        f"concat(if({c} < 0, '-', ''), case when {point} <= 0 then concat('0.', repeat('0', -{point}), {digits}) "
+        f"when length({digits}) <= {point} then rpad({digits}, {point}, '0') "
+        f"else concat(substr({digits}, 1, {point}), '.', substr({digits}, {point} + 1)) end)"
+    )
+    return f"case when {plain} and {c} % 1 = 0 then {whole} when {c} = 0 then '0' when {plain} then {text} else coalesce({moved}, {text}) end"
 
 
 def value_text(df: DataFrame, name: str) -> str:
@@ -48,7 +61,7 @@ def value_text(df: DataFrame, name: str) -> str:
     elif isinstance(kind, T.BooleanType):
         text = f"case when {c} then 'True' when not {c} then 'False' end"
     elif isinstance(kind, T.StringType):
-        text = f"replace(trim({c}), '\\'', '\\'\\'')"
+        text = f"replace({_trimmed(c)}, '\\'', '\\'\\'')"
     else:
         text = f"cast({c} as string)"
     return f"coalesce({_quoted(text)}, 'null')"
@@ -57,9 +70,11 @@ def value_text(df: DataFrame, name: str) -> str:
 def date_text(df: DataFrame, name: str) -> str:
     c, kind = _name(name), df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        day = f"substr(trim({c}), 1, 10)"
-        iso = f"case when length(trim({c})) >= 8 then try_cast(trim({c}) as date) end"
-        c = f"coalesce({iso}, try_to_date({day}, 'dd.MM.yyyy'), try_to_date({day}, 'yyyy/MM/dd'))"
+        text = _trimmed(c)
+        day = f"substr({text}, 1, 10)"
+        packed = f"case when {text} rlike '^[0-9]{{8}}$' then try_to_date({text}, 'yyyyMMdd') end"
+        iso = f"case when length({text}) >= 8 then try_cast({text} as date) end"
+        c = f"coalesce({packed}, {iso}, try_to_date({day}, 'dd.MM.yyyy'), try_to_date({day}, 'yyyy/MM/dd'))"
     elif not isinstance(kind, TEMPORAL):
         return "'null'"
     shown = f"date_format(cast({c} as date), '{DATE_FORM}')"

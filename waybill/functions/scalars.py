@@ -21,9 +21,13 @@ DEFAULT_EMPLOYEE_STATUS = "8"
 MIN_DATE = "0001-01-01"
 
 
+# Fixed value: the white space that is trimmed, as code points of Unicode.
+SPACES = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def trimmed(c: Column) -> Column:
-    """Text of a value without outer spaces; null stays null. (The archive reader strips other white space.)"""
-    return F.trim(c.cast("string"))
+    """Text of a value without outer white space; null stays null."""
+    return F.btrim(c.cast("string"), F.lit(SPACES))
 
 
 def is_text(df: DataFrame, name: str) -> bool:
@@ -31,8 +35,13 @@ def is_text(df: DataFrame, name: str) -> bool:
 
 
 def text_of(df: DataFrame, name: str) -> Column:
-    """Trimmed text of a column; only text columns can carry spaces."""
-    return F.trim(F.col(name)) if is_text(df, name) else F.col(name).cast("string")
+    """Trimmed text of a column. Numbers lose decimals that are zero, so that it doesn't matter how many there are."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return trimmed(F.col(name))
+    if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
+        return F.regexp_replace(F.col(name).cast("string"), r"(?<=\d)\.0+$|(\.\d*?[1-9])0+$", "$1")
+    return F.col(name).cast("string")
 
 
 def int_of(df: DataFrame, name: str) -> Column:
@@ -40,6 +49,8 @@ def int_of(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0):
         return F.col(name).try_cast("int")
+    if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
+        return F.when(F.col(name) % 1 == 0, F.col(name).try_cast("int"))
     return to_int(F.col(name))
 
 
@@ -64,9 +75,10 @@ def to_version(c: Column) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    """Date written as text, in ISO or day.month.year form, a time of day being ignored."""
+    """Date written as text, in ISO, archive (yyyyMMdd) or day.month.year form, a time of day being ignored."""
     text = trimmed(c)
     return F.coalesce(
+        F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")),
         F.when(F.length(text) >= 8, text.try_cast("date")),
         F.try_to_date(F.substring(text, 1, 10), "dd.MM.yyyy"),
         F.try_to_date(F.substring(text, 1, 10), "yyyy/MM/dd"),

@@ -25,9 +25,8 @@ YES, NO = "tak", "nie"
 ONLY_ACTIVE, ALL_STATUSES = "tylko aktywne", "wszystkie"
 
 # Our own wording, for cases in which a whole run used to end.
+NOT_CHECKED = "Nie sprawdzono żadnych danych."
 NO_TABLE = "Archiwum nie zawiera tabeli {}."
-NO_MANIFEST = "Archiwum nie zawiera danych firmy."
-UNREADABLE = "Nie można odczytać archiwum: {}"
 
 
 def sql_string(text: str) -> str:

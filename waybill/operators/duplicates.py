@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 
 from .slices import SkewRule, hot_groups, position_of, with_rank
 
-# Runs up to this length list all earlier members in each finding. In longer ones a finding shows the first
-# member and its own, which together hold the same members in linear space.
-LIST_LIMIT = 1000
-
 
 def member_text(name: Column, code: Column) -> Column:
     blank = F.lit("")
@@ -74,12 +70,12 @@ def duplicate_findings(
     rec: str = "rec_no",
     mode: str = "member",
     skew: SkewRule = SkewRule(),
-    list_limit: int = LIST_LIMIT,
 ) -> DataFrame:
     """Repeats of a key, the last of `keys`, in record order.
 
     mode `member`: n-1 rows for n members; row k has member k and the first member.
-    mode `cumulative`: the same rows, `listed` naming members 1 to k (first and k beyond `list_limit`).
+    mode `cumulative`: the same rows, `listed` naming members 1 to k. Its text grows with the square of a run's
+    length and a run is listed by one task, so `member` and `group` are the choices for very long runs.
     mode `group`: one row per key, `listed` naming the first two members.
 
     Result: keys, `k`, the record number, `name`, `code`, `members`, `errors`, `same_code`, `listed`.
@@ -103,8 +99,7 @@ def duplicate_findings(
     narrow = narrow.withColumn("_text", member_text(F.col(name), F.col(code)))
     spot = position_of(F.col(rec))
     hot = hot_groups(narrow, keys, spot, skew)
-    short = F.col("members") <= list_limit
-    upto = F.collect_list(F.when(short, F.col("_text")))
+    upto = F.collect_list("_text")
     also = {}
     if mode == "cumulative":
         also["_upto"] = lambda w: upto.over(w.rowsBetween(Win.unboundedPreceding, Win.currentRow))
@@ -120,13 +115,13 @@ def duplicate_findings(
         ranked = with_rank(rows.where("members > 1"), keys, [rec], "k", also=also)
     else:
         rows = _repeated(narrow, keys, rec)
-        ranked = with_rank(rows, keys, [rec], "k", F.when(short, F.lit(0.0)).otherwise(spot), hot, also)
+        ranked = with_rank(rows, keys, [rec], "k", F.lit(0.0) if mode == "cumulative" else spot, hot, also)
         runs = duplicate_runs(narrow, keys, name, code, rec)
         first = member_text(F.col("first_name"), F.col("first_code"))
         ranked = ranked.join(runs.select(*keys, first.alias("_first"), "same_code"), keys)
     listed = F.concat("_first", F.lit(", "), "_text")
     if mode == "cumulative":
-        listed = F.when(short, F.array_join("_upto", ", ")).otherwise(listed)
+        listed = F.array_join("_upto", ", ")
     return ranked.where("k > 1").select(
         *keys, "k", rec, *dict.fromkeys(c for c in (name, code) if c not in keys), "members",
         F.lit(1).cast("long").alias("errors"), "same_code", listed.alias("listed"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import date_of, is_blank, is_model, to_version, trimmed, years_ago
+from ..functions.scalars import date_of, is_blank, is_model, text_of, to_version, trimmed, years_ago
 
 
 def check_ref_date(ref_date: dt.date | None, today: dt.date) -> dt.date:
@@ -21,7 +21,7 @@ def check_ref_date(ref_date: dt.date | None, today: dt.date) -> dt.date:
 
 def filter_active(df: DataFrame, col: str, on: bool = True, value: str = "2") -> DataFrame:
     """Rows whose status text equals `value`; every row when switched off."""
-    return df.where(trimmed(F.col(col)) == value) if on else df
+    return df.where(text_of(df, col) == value) if on else df
 
 
 def filter_carrier(
@@ -31,7 +31,7 @@ def filter_carrier(
     if include_foreign:
         return df
     own = manifest.select("archive_id", F.col("company").alias("_company"))
-    return df.join(own, "archive_id").where(trimmed(F.col(col)) == F.col("_company")).drop("_company")
+    return df.join(own, "archive_id").where(text_of(df, col) == F.col("_company")).drop("_company")
 
 
 def is_valid_after(end: Column, ref_date: dt.date | dt.datetime) -> Column:

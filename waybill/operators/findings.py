@@ -55,7 +55,8 @@ def section_counts(df: DataFrame, section: str) -> DataFrame:
 def summarise(checked: DataFrame, findings: DataFrame, archives: DataFrame | None = None) -> DataFrame:
     """Rows checked and errors found per archive and section, and whether the section is clean.
 
-    With `archives` given, sections without any row are listed too.
+    A section of which no row was checked is neither clean nor not: `clean` is null. With `archives` given, sections
+    without any row are listed too.
     """
     if archives is not None:
         names = F.explode(F.array(*[F.lit(s) for s in SECTIONS[:3]])).alias("section")
@@ -69,5 +70,5 @@ def summarise(checked: DataFrame, findings: DataFrame, archives: DataFrame | Non
         "section",
         F.coalesce("checked", F.lit(0).cast("long")).alias("checked"),
         total.alias("errors"),
-        (total == 0).alias("clean"),
+        F.when(F.col("checked") > 0, total == 0).alias("clean"),
     )

@@ -29,7 +29,7 @@ from ..operators.findings import as_findings, concat_frames, rejected, section_c
 from ..operators.joins import first_match_join
 from ..operators.sequences import consecutive_repeats
 from ..operators.slices import SkewRule, hot_groups, position_of, time_position, with_slice
-from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables
+from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables, table_faults
 from .specs import AUDIT_TABLES
 
 
@@ -268,6 +268,19 @@ def missing_tables(archives: DataFrame, members: DataFrame, wanted: dict[str, st
     )
 
 
+def archive_rejects(members: DataFrame, manifest: DataFrame, faults: DataFrame) -> list[DataFrame]:
+    """Files that are no archives, archives without company, and tables that are unreadable or cut short."""
+    nothing = F.lit(None).cast("long").alias("rec_no")
+    broken = members.where("error is not null").select(
+        "archive_id", F.lit(None).cast("string").alias("table"), nothing, F.lit("archive").alias("column"), F.col("error").alias("value")
+    )
+    nameless = manifest.where("company is null").select(
+        "archive_id", F.lit("archiwuminfo").alias("table"), nothing, F.lit("company").alias("column"), F.col("company_line").alias("value")
+    )
+    damaged = faults.select("archive_id", "table", nothing, F.lit("table").alias("column"), F.col("fault").alias("value"))
+    return [broken, nameless, damaged]
+
+
 def audit(
     spark: SparkSession,
     path: str,
@@ -285,17 +298,10 @@ def audit(
     members = list_members(spark, path)
     manifest = read_manifest(spark, path)
     columns = {t: c for t, (c, _) in AUDIT_TABLES.items()}
-    tables = read_tables(spark, path, list(columns), columns, landing=landing or landing_folder(spark))
+    faults = table_faults(spark, path, list(columns))
+    tables = read_tables(spark, path, list(columns), columns, landing=landing or landing_folder(spark), faults=faults)
     result = audit_tables(tables, manifest, options)
     lacking = missing_tables(archives, members, {t: s for t, (_, s) in AUDIT_TABLES.items()})
-    broken = members.where("error is not null").select(
-        "archive_id", F.lit(None).cast("string").alias("table"), F.lit(None).cast("long").alias("rec_no"),
-        F.lit("archive").alias("column"), F.col("error").alias("value"),
-    )
-    nameless = manifest.where("company is null").select(
-        "archive_id", F.lit("archiwuminfo").alias("table"), F.lit(None).cast("long").alias("rec_no"),
-        F.lit("company").alias("column"), F.col("company_line").alias("value"),
-    )
     findings = concat_frames([result.findings, lacking])
-    rejects = concat_frames([result.rejects, broken, nameless])
+    rejects = concat_frames([result.rejects, *archive_rejects(members, manifest, faults)])
     return findings, summarise(result.checked, result.findings, archives), rejects

@@ -13,7 +13,8 @@ from ..functions.literals import insert_statement
 from ..functions.scalars import default_status, is_model, text_of
 from ..operators.filters import drop_blank, filter_recent, version_flag, version_rows
 from ..operators.findings import as_findings, concat_frames, rejected
-from ..sources.archives import landing_folder, read_manifest, read_tables
+from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables, table_faults
+from .audit import archive_rejects, missing_tables
 from .specs import CARDS, EMAR_MIN_VERSION, EMAR_MODEL, EMPLOYEES, MACHINES, SCRIPTS
 
 
@@ -92,11 +93,21 @@ def import_tables(tables: dict[str, DataFrame], today: dt.date, keep_null_logo:
 def start_data(
     spark: SparkSession, path: str, today: dt.date | None = None, landing: str | None = None
 ) -> tuple[ImportResult, DataFrame]:
-    """Scripts, device findings and rejects of every archive below `path`, and the manifest; landing as in the audit."""
+    """Scripts, findings and rejects of every archive below `path`, and the manifest; landing as in the audit.
+
+    Findings are about devices and missing tables; rejects also name unreadable archives and tables and those without
+    company. `import_summary` counts the scripts' rows, `version_flag` tells of devices that are too old.
+    """
     specs = {"kasyfiskalne": MACHINES, "pracownicy": EMPLOYEES, "kartypamieci": CARDS}
     columns = {t: [n for n, _ in spec] for t, spec in specs.items()}
-    tables = read_tables(spark, path, list(specs), columns, landing=landing or landing_folder(spark))
-    return import_tables(tables, today or dt.date.today()), read_manifest(spark, path)
+    faults = table_faults(spark, path, list(specs))
+    tables = read_tables(spark, path, list(specs), columns, landing=landing or landing_folder(spark), faults=faults)
+    archives, members, manifest = list_archives(spark, path), list_members(spark, path), read_manifest(spark, path)
+    result = import_tables(tables, today or dt.date.today())
+    lacking = missing_tables(archives, members, dict.fromkeys(specs, "import"))
+    findings = concat_frames([f for f in (result.findings, lacking) if f is not None])
+    rejects = concat_frames([f for f in (result.rejects, *archive_rejects(members, manifest, faults)) if f is not None])
+    return ImportResult(result.scripts, findings, rejects), manifest
 
 
 __all__ = [

@@ -76,7 +76,8 @@ def report_lines(
     wording = F.lit("")
     for section, text in texts.SECTION_HEADS.items():
         wording = F.when(col("section") == section, F.expr(texts.worded(f"\n\n{text}\n", "checked"))).otherwise(wording)
-    total = F.when(col("clean"), f"\n\t{texts.NO_ERRORS}\n").otherwise(
+    unchecked = F.when(col("clean").isNull() & (col("errors") == 0), f"\n\t{texts.NOT_CHECKED}\n")
+    total = unchecked.when(col("clean"), f"\n\t{texts.NO_ERRORS}\n").otherwise(
         F.expr(texts.worded(f"\n\n\t{texts.ERRORS_FOUND}\n", "errors"))
     )
     edges = F.explode(F.array(F.struct(F.lit(0).alias("step"), wording.alias("text")), F.struct(F.lit(2).alias("step"), total.alias("text"))))

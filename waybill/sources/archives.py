@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import tempfile
 import uuid
 import zipfile
+import zlib
 from contextlib import contextmanager
 from functools import partial
 
@@ -133,6 +135,40 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
     return list_archives(spark, path).mapInArrow(read, MEMBER_SCHEMA)
 
 
+# What a damaged, encrypted or cut member raises while it is read.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, ValueError, EOFError, RuntimeError, NotImplementedError, struct.error)
+FAULT_SCHEMA = "archive_id string, table string, fault string, fatal boolean"
+
+
+def _faults_of(archive, row, problem, tables):
+    """Reads each wanted member to its end, so that the archive checks it, and counts its records."""
+    out = []
+    for table in tables:
+        member = first_member(archive, lambda m: table_of(m) == table)
+        if member is None:
+            continue
+        try:
+            with archive.open(member) as stream:
+                header = read_header(stream)
+                size = header.length
+                while block := stream.read(1 << 20):
+                    size += len(block)
+            found = max(0, size - header.length) // max(1, header.record_length)
+            if found < header.records:
+                out.append((row["archive_id"], table, f"{header.records} records declared, {found} found", False))
+        except UNREADABLE as problem:
+            out.append((row["archive_id"], table, str(problem), True))
+    kinds = [pa.string(), pa.string(), pa.string(), pa.bool_()]
+    columns = list(zip(*out)) or [[]] * len(kinds)
+    yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["archive_id", "table", "fault", "fatal"])
+
+
+def table_faults(spark: SparkSession, path: str, tables: list[str]) -> DataFrame:
+    """Tables that can't be read (`fatal`) or have fewer records than declared, of all archives below `path`."""
+    read = partial(_per_archive, read=partial(_faults_of, tables=tables), columns=("archive_id", "path"), guard=True)
+    return list_archives(spark, path).mapInArrow(read, FAULT_SCHEMA)
+
+
 FIELD_SCHEMA = "table string, ordinal int, name string, kind string, length int, decimals int"
 
 
@@ -141,8 +177,11 @@ def _fields_of(archive, row, problem, tables):
     for table in tables:
         member = first_member(archive, lambda m: table_of(m) == table)
         if member is not None:
-            with archive.open(member) as stream:
-                header = read_header(stream)
+            try:
+                with archive.open(member) as stream:
+                    header = read_header(stream)
+            except UNREADABLE:
+                continue  # `table_faults` names it
             out += [(table, i, f.name, f.kind, f.length, f.decimals) for i, f in enumerate(header.fields)]
     kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
     names = ["table", "ordinal", "name", "kind", "length", "decimals"]
@@ -176,8 +215,8 @@ def table_fields(archives: DataFrame, tables: list[str]) -> dict[str, dict[str,
 
 def _type_of(kinds: set, whole: int, decimals: int) -> T.DataType:
     if kinds == {"N"}:
-        decimals = min(decimals, 18)
-        return T.DecimalType(max(1, min(38, max(whole, 0) + decimals)), decimals)
+        digits = max(1, max(whole, 0) + decimals)
+        return T.DecimalType(digits, decimals) if digits <= 38 else T.StringType()  # as text no digit is lost
     if kinds <= {"N", "F"}:
         return T.DoubleType()
     single = {"C": T.StringType(), "D": T.DateType(), "L": T.BooleanType(), "I": T.IntegerType()}
@@ -204,15 +243,18 @@ def _records_of(archive, row, problem, table, names, codepage):
     member = first_member(archive, lambda m: table_of(m) == table)
     if member is None:
         return
-    with archive.open(member) as stream:
-        header = read_header(stream)
-        start, stop = (header.records * p // row["parts"] for p in (row["part"], row["part"] + 1))
-        for rec_no, columns in read_columns(stream, header, names, start, stop, codepage):
-            n = len(rec_no)
-            arrays = [columns.get(c, pa.nulls(n, pa.string())) for c in names]
-            yield pa.record_batch(
-                [pa.repeat(row["archive_id"], n), pa.array(rec_no), *arrays], names=["archive_id", "rec_no", *names]
-            )
+    try:
+        with archive.open(member) as stream:
+            header = read_header(stream)
+            start, stop = (header.records * p // row["parts"] for p in (row["part"], row["part"] + 1))
+            for rec_no, columns in read_columns(stream, header, names, start, stop, codepage):
+                n = len(rec_no)
+                arrays = [columns.get(c, pa.nulls(n, pa.string())) for c in names]
+                yield pa.record_batch(
+                    [pa.repeat(row["archive_id"], n), pa.array(rec_no), *arrays], names=["archive_id", "rec_no", *names]
+                )
+    except UNREADABLE:
+        return  # `table_faults` names it, and its readers leave out the rows read until then
 
 
 def _read(archives: DataFrame, table: str, types: dict[str, T.DataType], codepage: str) -> DataFrame:
@@ -246,12 +288,14 @@ def read_tables(
     columns: dict[str, list[str]] | None = None,
     codepage: str = TABLE_CODEPAGE,
     landing: str | None = None,
+    faults: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Several tables of all archives below `path`, keyed by lower-case name without `.dbf`.
 
     Every table has `archive_id` and `rec_no`, the record's place in its file counting deleted records, which
     are left out. `columns` limits what is read per table; a listed column no archive has comes out as null text.
-    With a `landing` folder each table is written there as Parquet once and read back from it.
+    With a `landing` folder each table is written there as Parquet once and read back from it. With `faults`, tables
+    that can't be read to their end are left out whole; without, their rows end where the fault is.
     """
     archives = list_archives(spark, path)
     types = table_fields(archives, tables)
@@ -260,6 +304,9 @@ def read_tables(
     for table in tables:
         wanted = (columns or {}).get(table) or list(types[table])
         df = _read(spread, table, {n: types[table].get(n, T.StringType()) for n in wanted}, codepage)
+        if faults is not None:
+            unreadable = faults.where(F.col("fatal") & (F.col("table") == table)).select("archive_id")
+            df = df.join(unreadable, "archive_id", "left_anti")
         if not types[table]:
             df = df.where(F.lit(False))
         elif landing is not None:
@@ -285,7 +332,10 @@ def _manifest_of(archive, row, problem):
     data = None
     if archive is not None:
         member = first_member(archive, fits)
-        data = archive.read(member) if member is not None else None
+        try:
+            data = archive.read(member) if member is not None else None
+        except UNREADABLE:
+            data = None
     yield pa.record_batch(
         [pa.array([row["archive_id"]], pa.string()), pa.array([data], pa.binary())], names=["archive_id", "data"]
     )
