@@ -226,7 +226,8 @@ def _entries(sets: DataFrame, landing: Landing, num: int, den: int, prefix) -> D
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: tuple[int, int] = (90, 100)
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, threshold: tuple[int, int] = (90, 100),
+    landing: Landing | None = None,
 ) -> DataFrame:
     """(id, n_shingles, component_id) for each row of `docs`, for all links of the given similarity.
 
@@ -236,7 +237,7 @@ def jaccard_components(
     named by the smallest id in it, null if none has one. Other columns are ignored; an empty table gives an empty one.
     """
     num, den = threshold
-    landing = Landing(docs.sparkSession, "jaccard")
+    landing = landing or Landing(docs.sparkSession, "jaccard")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, n long, key long, tokens array<long>, " + ", ".join(f"{b} long" for b in BITS)
     low = min((1 << 63) - 1, (1 << 64) * 2 * (den - num) // den)
@@ -277,7 +278,10 @@ def distinct_documents(
     Rows that share an id stay or go together; of those that agree in text too, one stays. Rows without id stay.
     """
     landing = Landing(docs.sparkSession, "distinct")
-    groups = landing.land(jaccard_components(docs, id_col, text_col, width, threshold).toDF("of", "n", "component_id"), "groups")
+    inner = Landing(docs.sparkSession, "jaccard")
+    groups = jaccard_components(docs, id_col, text_col, width, threshold, inner)
+    groups = landing.land(groups.toDF("of", "n", "component_id"), "groups")
+    inner.close()
     gone = groups.where("of is not null").groupBy("of").agg(F.max(F.col("of") == F.col("component_id")).alias("stays"))
     gone = broadcast_if_small(landing.land(gone.where(~F.col("stays")).select("of"), "gone"))
     kept = docs.join(gone, docs[id_col] == gone["of"], "left_anti")

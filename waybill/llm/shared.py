@@ -37,6 +37,11 @@ class Landing:
         df.write.parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
+    def close(self) -> None:
+        """Delete all tables of the run; for callers that have written what they took from them."""
+        fs, root = self._path(self.root)
+        fs.delete(root, True)
+
     def drop(self, *names: str) -> None:
         for name in names:
             fs, path = self._path(f"{self.root}/{name}")
