@@ -297,6 +297,26 @@ def test_decontamination(spark, monkeypatch, most):
     assert decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontamination.BROADCAST_WINDOWS, 0])
+def test_decontamination_of_items_with_few_literal_words(spark, monkeypatch, most):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
+    items = [
+        "Compute 12 + 7 * 3 - 4 / 2 = ?", "Convert 12 km 300 m to cm and 5 kg 20 g to mg.",
+        "Members: Anna Berg, Carl Dahl, Eva Falk, Gustav Holm, Ida Jansson, Karl Lund", "What is the capital of France",
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [
+        "We ask: " + items[0] + " and more", "see " + items[1].lower() + " Done", "The list. " + items[2] + ".",
+        "Q: What is the capital of France", 'He said "What is the capital of Norway" twice', "Q: Rome is the capital of Italy",
+        "Compute 13 + 7 * 3 - 4 / 2 = ?", "Convert 12 km 301 m to cm and 5 kg 21 g to mg.", "prose only " * 9,
+    ]
+    docs = frame(spark, texts)
+    found = {(r.doc_id, r.item_id): r.other_values for r in decontamination.contaminated(docs, benchmark).collect()}
+    assert found == {(0, 0): False, (1, 1): False, (2, 2): False, (3, 3): False, (4, 3): True}
+    clean = decontamination.clean_documents(docs, benchmark)
+    assert sorted(r.doc_id for r in clean.collect()) == [5, 6, 7, 8]
+
+
 # --- the others ----------------------------------------------------------------------------------------------
 
 

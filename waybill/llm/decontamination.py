@@ -3,7 +3,9 @@
 Texts become runs of letters and digits, lower-cased. Those with a digit, capitalised ones inside a sentence and words of
 measure are replaced by a placeholder of their kind. Windows of WIDTH such words are hashed; windows of documents and of
 items with the same hash are joined. In each passage so found a slot's value in the item must always stand for the
-same value in the document. A document holds an item if enough of the item's windows are in it.
+same value in the document. Windows with few literal words are left out there, as too much would fit them. All windows
+are hashed a second time with their words as they are, and joined exactly. A document holds an item if enough of the
+item's windows of either kind are in it.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from .words import Hasher, mixed, slices, word_table
 
 WIDTH = 8  # words of a window; an item with fewer is one window
 LEAST_WORDS = 4  # an item with fewer can't be told from ordinary text
-LITERAL_SHARE = 0.5  # of a window's words that aren't placeholders, at least
+LITERAL_SHARE = 0.5  # of a template window's words that aren't placeholders, at least
 COVER = 0.3  # of an item's windows, at least
 BROADCAST_WINDOWS = 2_000_000  # hashes of item windows sent to all executors at most (16 MB); beyond, a shuffled join
 
@@ -30,9 +32,11 @@ UNITS = (
     "degree degrees usd eur gbp"
 ).split()
 LITERAL, NUMBER, NAME, UNIT = range(4)
+TEMPLATE, QUOTED, RAW = range(3)  # forms of windows
 
 _SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+_RAW = np.uint64(0x165667B19E3779F9)  # keeps hashes of plain words apart from those of templates
 
 
 class Templates:
@@ -45,9 +49,9 @@ class Templates:
         self.stop = np.isin(np.arange(256), list(b".!?\n"))
 
     def canonical(self, column: pa.Array):
-        """(template hash, value hash, kind) of every word, and each text's bounds among the words."""
+        """(template hash, value hash, kind) of every word, whether it is capitalised, and each text's bounds among them."""
         values, starts, ends, bounds, data = word_table(column, self.hasher)
-        kinds = np.zeros(len(values), np.int8)
+        kinds, capital = np.zeros(len(values), np.int8), np.zeros(len(values), bool)
         if len(values):
             first = data[starts]
             second = data[np.minimum(starts + 1, len(data) - 1)]
@@ -62,23 +66,28 @@ class Templates:
             digits = np.concatenate([[0], np.cumsum(self.digit[data], dtype=np.int32)])
             kinds[digits[ends] > digits[starts]] = NUMBER
         template = np.where(kinds == LITERAL, values, mixed(kinds.astype(np.uint64)))
-        return template, values, kinds, bounds
+        return template, values, kinds, capital, bounds
 
     @staticmethod
-    def windows(template: np.ndarray, kinds: np.ndarray, bounds: np.ndarray, width: int):
-        """Hashes of all windows of `width` words and where they start; those of too few literal words are left out."""
+    def windows(template: np.ndarray, kinds: np.ndarray | None, bounds: np.ndarray, width: int):
+        """Hashes of all windows of `width` words and where they start.
+
+        Those of too few literal words are left out. With `kinds` None the words are plain, and none is.
+        """
         n = len(template) - width + 1
         if n <= 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
         hashes = np.zeros(n, np.uint64)
         for i in range(width):
             hashes = hashes * _STEP + template[i : n + i]
-        literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-        fit = (literal[width:] - literal[:-width]) >= LITERAL_SHARE * width
+        fit = np.ones(n, bool)
+        if kinds is not None:
+            literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+            fit = (literal[width:] - literal[:-width]) >= LITERAL_SHARE * width
         for cut in bounds[1:-1]:
             fit[max(0, cut - width + 1) : cut] = False
         at = np.flatnonzero(fit)
-        return mixed(hashes[at] + np.uint64(width)), at
+        return mixed(hashes[at] + np.uint64(width) + (_RAW if kinds is None else np.uint64(0))), at
 
 
 def _slots(values, kinds, at, width):
@@ -86,20 +95,23 @@ def _slots(values, kinds, at, width):
 
 
 def _windows_of(widths: tuple[int, ...] | None, wanted):
-    """Rows (key, text) to (key, hash, place, slots, windows): those in `wanted`, a broadcast sorted array, or all.
+    """Rows (key, text) to (key, hash, place, slots, windows, form): those in `wanted`, a broadcast sorted array, or all.
 
     With `widths` None each text has windows of WIDTH words, or one of all its words; `windows` says how many.
+    Raw windows have no slots. A capitalised word that opens such a text is a literal there, but a name where the text is
+    quoted behind a colon or quotation mark: its first window comes in both forms.
     """
 
     def read(batches):
         templates = Templates()
         hashes_wanted = None if wanted is None else wanted.value
+        own = widths is None
         for batch in slices(batches):
-            template, values, kinds, bounds = templates.canonical(batch.column(1))
+            template, values, kinds, capital, bounds = templates.canonical(batch.column(1))
             sizes = np.diff(bounds)
-            own = widths is None
-            for width in sorted({min(WIDTH, int(s)) for s in sizes if s >= LEAST_WORDS}) if own else widths:
-                hashes, at = templates.windows(template, kinds, bounds, width)
+
+            def found(words, kinds, width, form):
+                hashes, at = templates.windows(words, kinds, bounds, width)
                 text = np.searchsorted(bounds, at, "right") - 1
                 keep = np.ones(len(at), bool)
                 if own:
@@ -108,19 +120,32 @@ def _windows_of(widths: tuple[int, ...] | None, wanted):
                     there = np.minimum(np.searchsorted(hashes_wanted, hashes), len(hashes_wanted) - 1)
                     keep = hashes_wanted[there] == hashes
                 hashes, at, text = hashes[keep], at[keep], text[keep]
-                slots = _slots(values, kinds, at, width)
                 counts = np.bincount(text, minlength=len(sizes))[text] if len(text) else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
+                if form == QUOTED:
+                    first = at == bounds[text]
+                    hashes, at, text, counts = hashes[first], at[first], text[first], counts[first]
+                slots = [[]] * len(at) if form == RAW else _slots(values, kinds, at, width)
+                return pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(text)), pa.array(hashes.astype(np.int64)), pa.array(at - bounds[text]),
-                     pa.array(slots, pa.list_(pa.int64())), pa.array(counts, pa.int64())],
-                    ["key", "hash", "place", "slots", "windows"],
+                     pa.array(slots, pa.list_(pa.int64())), pa.array(counts, pa.int64()), pa.array(np.full(len(at), form, np.int32))],
+                    ["key", "hash", "place", "slots", "windows", "form"],
                 )
 
+            for width in sorted({min(WIDTH, int(s)) for s in sizes if s >= LEAST_WORDS}) if own else widths:
+                yield found(values, None, width, RAW)
+                yield found(template, kinds, width, TEMPLATE)
+                if own:
+                    opens = bounds[:-1][sizes > 0]
+                    opens = opens[capital[opens] & (kinds[opens] == LITERAL)]
+                    named, named_kinds = template.copy(), kinds.copy()
+                    named[opens], named_kinds[opens] = mixed(np.array([NAME], np.uint64))[0], NAME
+                    yield found(named, named_kinds, width, QUOTED)
+
     return read
 
 
 def _schema(kind: str) -> str:
-    return f"key {kind}, hash long, place long, slots array<long>, windows long"
+    return f"key {kind}, hash long, place long, slots array<long>, windows long, form int"
 
 
 def contaminated(
@@ -129,6 +154,7 @@ def contaminated(
 ) -> DataFrame:
     """One row for each document and each item it holds: id, item, matched and item windows, whether values differ.
 
+    The windows are those of templates, or the raw ones where only they reach the cover.
     Null, empty and blank texts hold nothing, items of fewer than LEAST_WORDS words are held by nothing. Rows that
     agree in id and text give one row for each item; rows with an id but different texts are looked at each for
     itself. Null ids stay null. Items of equal text are all named. Other columns are ignored. With no documents or no items the
@@ -141,7 +167,7 @@ def contaminated(
     items = landing.land(items.mapInArrow(_windows_of(None, None), _schema(kind)), "items")
     items = items.select(
         F.col("key").alias("item"), "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"),
-        F.col("windows").alias("item_windows"),
+        F.col("windows").alias("item_windows"), "form",
     )
     short = [r[0] for r in items.where(F.col("item_windows") == 1).select(F.lit(1)).limit(1).collect()]
     widths = tuple(range(LEAST_WORDS, WIDTH + 1)) if short else (WIDTH,)
@@ -157,11 +183,13 @@ def contaminated(
     kind = docs.schema[id_col].dataType.simpleString()
     windows = rows.mapInArrow(_windows_of(widths, wanted), _schema(f"struct<id:{kind},text_hash:bigint>"))
     met = windows.select("key.id", "key.text_hash", "hash", "place", "slots").join(items, "hash").where(
-        F.size("slots") == F.size("item_slots")
+        (F.size("slots") == F.size("item_slots"))
+        & ((F.col("form") != QUOTED) | F.get("slots", F.lit(0)).eqNullSafe(F.get("item_slots", F.lit(0))))
     )
+    met = met.withColumn("raw", F.col("form") == RAW).drop("form")
     met = landing.land(met.distinct(), "met")
 
-    passage = ["id", "text_hash", "item", "shift"]
+    passage = ["id", "text_hash", "item", "raw", "shift"]
     met = met.withColumn("shift", F.col("place") - F.col("item_place"))
     slots = met.select(*passage, F.explode(F.arrays_zip("item_slots", "slots")).alias("slot"))
     slots = slots.select(*passage, F.col("slot.item_slots").alias("item_value"), F.col("slot.slots").alias("value")).distinct()
@@ -169,13 +197,15 @@ def contaminated(
     clashes = clashes.select(*[F.col(c).alias(f"c_{c}") for c in passage]).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in passage]
     sound = met.join(clashes, same, "left_anti")
-    counted = sound.groupBy("id", "text_hash", "item").agg(
+    counted = sound.groupBy("id", "text_hash", "item", "raw").agg(
         F.countDistinct("item_place").alias("matched_windows"), F.max("item_windows").alias("item_windows"),
         F.max(F.col("slots") != F.col("item_slots")).alias("other_values"),
     )
-    return counted.where(F.col("matched_windows") >= cover * F.col("item_windows")).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "matched_windows", "item_windows", "other_values",
-        "text_hash",
+    enough = counted.where(F.col("matched_windows") >= cover * F.col("item_windows"))
+    of_kind = F.min(F.struct("raw", "matched_windows", "item_windows", "other_values")).alias("best")
+    return enough.groupBy("id", "text_hash", "item").agg(of_kind).select(
+        F.col("id").alias(id_col), F.col("item").alias(item_col), "best.matched_windows", "best.item_windows",
+        "best.other_values", "text_hash",
     )
 
 
