@@ -407,6 +407,25 @@ def test_secrets(spark):
     assert secrets.secret_spans(frame(spark, texts).limit(0), BPE).count() == 0
 
 
+def test_secrets_of_one_case():
+    encoding = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(15)
+    for letters, least in (("abcdefghijklmnopqrstuvwxyz", 0.85), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.98)):
+        for n in (20, 30, 40):
+            keys = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(200)]
+            for form in ("see %s now", "%s_ID9"):
+                found = [secrets.random_spans(form % k, encoding) for k in keys]
+                assert sum(map(bool, found)) >= least * len(keys)
+    key = "xqzkjvwpmtrnbdlgfhscy"
+    assert secrets.random_spans(f"see {key} now", encoding) == [(4, 3, 4 + len(key))]
+    assert secrets.random_spans("ab xqzkj-vwpmt-rnbdl-gfhsc", encoding) == [(3, 3, 26)]
+    ordinary = [
+        "donaudampfschifffahrtsgesellschaft", "ELECTROENCEPHALOGRAPHICALLY", "some_long_identifier_name_here", "SOME_LONG_IDENTIFIER",
+        "usr/share/doc/var/log/tmp/etc", "a/b/c/d/e/f/g/h/i/j/k/l", "a" * 40, "-" * 40, "=" * 20, "1234-5678-9012-3456-78", "0" * 30,
+    ]
+    assert not [x for x in ordinary if secrets.random_spans(x, encoding)]
+
+
 def test_languages(spark):
     rng = random.Random(13)
     pools = {"aa": vocabulary(200, 1), "bb": [w + "ß" for w in vocabulary(200, 2)], "cc": [w[::-1] + "ion" for w in vocabulary(200, 3)]}

@@ -27,11 +27,13 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST_RUN = 20  # characters of RUN; letters of one case that are no word by their form alone
 MOST_CHARS_PER_TOKEN = 2.0
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 PART = re.compile(r"[A-Z]?[a-z]{3,}|(?<![A-Z0-9])[A-Z]{3,}(?![A-Z0-9])|(?<![A-Za-z0-9])[0-9]{4}(?![A-Za-z0-9])")
+LETTERS = re.compile(r"[A-Za-z]{3,}")
 BLOCK = 4096  # characters given to the vocabulary at a time
 
 
@@ -57,26 +59,36 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def one_case(run: str) -> bool:
+    """Letters of one case, and joints."""
+    return (run.islower() or run.isupper()) and not any(c.isdigit() for c in run)
+
+
 def is_known(run: str) -> bool:
-    """Digests, numbers, and identifiers and paths: all but a fifth of their characters are in words, years and joints."""
+    """Digests, numbers, and identifiers and paths: all but a fifth of their characters are in words, years and joints.
+
+    Letters of one case look like words whatever they are: of LEAST_RUN or more nothing is known by their form.
+    """
     if UUID.fullmatch(run) or DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or run.strip("+/_=-").isdigit():
         return True
-    kinds = any(c.islower() for c in run) + any(c.isupper() for c in run) + any(c.isdigit() for c in run)
-    if kinds < 2:
+    if not any(c.isalpha() for c in run):
         return True
-    letters = sum(len(m) for m in PART.findall(run))
+    if one_case(run):
+        return sum(map(len, LETTERS.findall(run))) < LEAST_RUN
+    letters = sum(len(m) for m in PART.findall(run) if len(m) < LEAST_RUN)
     return letters + sum(c in "+/_=-" for c in run) >= 0.8 * len(run)
 
 
 def random_spans(text: str, encoding) -> list[tuple[int, int, int]]:
-    """(start, 3, end) of runs with few characters to a token."""
+    """(start, 3, end) of runs with few characters to a token; in runs of one case joints don't count."""
     spans = []
     for m in RUN.finditer(text):
         run = m.group()
         if is_known(run):
             continue
-        tokens = sum(len(encoding.encode_ordinary(run[i : i + BLOCK])) for i in range(0, len(run), BLOCK))
-        if len(run) < MOST_CHARS_PER_TOKEN * tokens:
+        parts = LETTERS.findall(run) if one_case(run) else [run]
+        tokens = sum(len(encoding.encode_ordinary(p[i : i + BLOCK])) for p in parts for i in range(0, len(p), BLOCK))
+        if sum(map(len, parts)) < MOST_CHARS_PER_TOKEN * tokens:
             spans.append((m.start(), 3, m.end()))
     return spans
 
