@@ -143,6 +143,23 @@ def test_pieces_are_the_library_s():
     assert [e.tolist() for e in encoder.encode(texts)] == expected
 
 
+def test_added_tokens_are_the_library_s(spark):
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(BPE)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "it's <|endoftext|> \n<|endoftext|><|endoftext|> x", "中<|endoftext|>", "plain <|endoftext|", "é"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [64, 50256, 65]
+    assert [e.tolist() for e in tokens.PieceEncoder(BPE).encode(texts)] == expected
+    found = [tuple(r) for r in tokens.token_table(frame(spark, texts), BPE).collect()]
+    coded = [np.array([*e, tokens.END_ID], "<u4") for e in expected]
+    assert sorted(found) == [
+        (i, sum(map(len, coded[:i])), len(c), zlib.crc32(c.tobytes())) for i, c in enumerate(coded)
+    ]
+
+
 def test_token_table(spark):
     import zlib
 

@@ -26,7 +26,8 @@ FILE_TOKENS = 8_000_000  # tokens after which a file is closed
 BATCH_CHARS = 2 << 20
 CACHED_PIECES = 1_500_000
 
-# Code points up to here are cut into pieces here; texts with others, or with rare white space, by the library.
+# Code points up to here are cut into pieces here; texts with others, with rare white space or with the text of an added
+# token, by the library.
 KNOWN = 0x250
 RARE = (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0)
 # Classes of the byte-level pattern, and the endings that an apostrophe takes with it.
@@ -46,7 +47,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # the texts of special tokens are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         kinds = [unicodedata.category(chr(c))[0] for c in range(KNOWN)]
         self.classes = np.array([LETTER if k == "L" else DIGIT if k == "N" else OTHER for k in kinds], np.int8)
         self.classes[[9, 10, 11, 12, 13, 32]] = SPACE
@@ -119,7 +120,10 @@ class PieceEncoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [np.empty(0, np.uint32)] * len(texts)
         points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-        known = [i for i, p in enumerate(points) if len(p) and not self.strange[np.minimum(p, KNOWN)].any()]
+        known = [
+            i for i, p in enumerate(points)
+            if len(p) and not self.strange[np.minimum(p, KNOWN)].any() and not any(a in texts[i] for a in self.added)
+        ]
         if known:
             joined = np.concatenate([points[i] for i in known])
             cuts = np.cumsum([0] + [len(points[i]) for i in known])
