@@ -2,6 +2,7 @@
 
 import datetime as dt
 import pathlib
+import random
 from decimal import Decimal
 
 import pytest
@@ -188,6 +189,31 @@ def test_damaged_tables_are_rejected(spark, tmp_path):
     assert checked["cut.zip"][0] == int(bad["cut.zip"].split()[3])
 
 
+def test_read_table_gives_no_part_of_a_damaged_table(spark, tmp_path):
+    """A wrong check sum, a cut stream or a cut header raises, whatever columns are read; with faults the table is left out."""
+    fields = [("NAZWA", "C", 20, 0), ("KOD2", "N", 6, 0)]
+    rng = random.Random(1)
+    table = dbf_bytes(fields, [("".join(rng.choice("abcdefgh") for _ in range(20)), i, ) for i in range(20_000)])
+    stored, packed = (zip_bytes({"przystanki.dbf": table}, stored=s) for s in (True, False))
+    at, half = stored.index(table[1000:1020]), len(packed) // 2
+    damaged = {
+        "sum": stored[:at] + b"?" + stored[at + 1 :], "stream": packed[:half] + bytes(64) + packed[half + 64 :],
+        "head": zip_bytes({"przystanki.dbf": table[:20]}),
+    }
+    for name, data in damaged.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "bad.zip").write_bytes(data)
+        for others in (0, 1):
+            if others:
+                (tmp_path / name / "good.zip").write_bytes(packed)
+            path = str(tmp_path / name)
+            for columns in (None, ["KOD2"]):
+                with pytest.raises(Exception, match="przystanki of bad.zip can't be read"):
+                    read_table(spark, path, "przystanki", columns).collect()
+            found = read_table(spark, path, "przystanki", faults=source.table_faults(spark, path, ["przystanki"]))
+            assert [tuple(r) for r in found.groupBy("archive_id").count().collect()] == [("good.zip", 20_000)] * others
+
+
 def test_neighbours_do_not_change_an_archive(spark, tmp_path):
     """Another archive's wider number fields leave an archive's statuses and codes as they are."""
     lines = lambda decimals: [("STATLINII", "N", 3, decimals), ("NRF", "N", 5, 0), ("NRLINII", "N", 5, 0), ("WARLINII", "N", 3, 0), ("WAZNAOD", "D", 8, 0), ("WAZNADO", "D", 8, 0)]

@@ -172,7 +172,11 @@ def table_faults(spark: SparkSession, path: str, tables: list[str]) -> DataFrame
 FIELD_SCHEMA = "table string, ordinal int, name string, kind string, length int, decimals int"
 
 
-def _fields_of(archive, row, problem, tables):
+def _damaged(row, table: str, problem: Exception) -> ValueError:
+    return ValueError(f"{table} of {row['archive_id']} can't be read: {problem}")
+
+
+def _fields_of(archive, row, problem, tables, strict):
     out = []
     for table in tables:
         member = first_member(archive, lambda m: table_of(m) == table)
@@ -180,7 +184,9 @@ def _fields_of(archive, row, problem, tables):
             try:
                 with archive.open(member) as stream:
                     header = read_header(stream)
-            except UNREADABLE:
+            except UNREADABLE as problem:
+                if strict:
+                    raise _damaged(row, table, problem) from problem
                 continue  # `table_faults` names it
             out += [(table, i, f.name, f.kind, f.length, f.decimals) for i, f in enumerate(header.fields)]
     kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
@@ -189,12 +195,15 @@ def _fields_of(archive, row, problem, tables):
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
-def table_fields(archives: DataFrame, tables: list[str]) -> dict[str, dict[str, T.DataType]]:
+def table_fields(archives: DataFrame, tables: list[str], strict: bool = False) -> dict[str, dict[str, T.DataType]]:
     """Columns of each table over all archives, as Spark types wide enough for every archive.
 
-    Only headers are read, and they are merged on the executors: one row per column name comes back.
+    Only headers are read, and they are merged on the executors: one row per column name comes back. A header that
+    can't be read is passed over, or raises if `strict`.
     """
-    read = partial(_per_archive, read=partial(_fields_of, tables=tables), columns=("path",), guard=True)
+    read = partial(
+        _per_archive, read=partial(_fields_of, tables=tables, strict=strict), columns=("archive_id", "path"), guard=True
+    )
     rows = (
         archives.mapInArrow(read, FIELD_SCHEMA)
         .groupBy("table", "name")
@@ -239,7 +248,7 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return trimmed(c).try_cast(kind)
 
 
-def _records_of(archive, row, problem, table, names, codepage):
+def _records_of(archive, row, problem, table, names, codepage, strict):
     member = first_member(archive, lambda m: table_of(m) == table)
     if member is None:
         return
@@ -253,17 +262,21 @@ def _records_of(archive, row, problem, table, names, codepage):
                 yield pa.record_batch(
                     [pa.repeat(row["archive_id"], n), pa.array(rec_no), *arrays], names=["archive_id", "rec_no", *names]
                 )
-    except UNREADABLE:
+            while strict and row["part"] == row["parts"] - 1 and stream.read(1 << 20):
+                pass  # the check sum is compared at the end of the member
+    except UNREADABLE as problem:
+        if strict:
+            raise _damaged(row, table, problem) from problem
         return  # `table_faults` names it, and its readers leave out the rows read until then
 
 
-def _read(archives: DataFrame, table: str, types: dict[str, T.DataType], codepage: str) -> DataFrame:
+def _read(archives: DataFrame, table: str, types: dict[str, T.DataType], codepage: str, strict: bool) -> DataFrame:
     names = list(types)
     fields = [T.StructField("archive_id", T.StringType()), T.StructField("rec_no", T.LongType())]
     raw = T.StructType(fields + [T.StructField(n, T.StringType()) for n in names])
     read = partial(
         _per_archive,
-        read=partial(_records_of, table=table, names=names, codepage=codepage),
+        read=partial(_records_of, table=table, names=names, codepage=codepage, strict=strict),
         columns=("archive_id", "path", "part", "parts"),
         guard=True,
     )
@@ -295,15 +308,15 @@ def read_tables(
     Every table has `archive_id` and `rec_no`, the record's place in its file counting deleted records, which
     are left out. `columns` limits what is read per table; a listed column no archive has comes out as null text.
     With a `landing` folder each table is written there as Parquet once and read back from it. With `faults`, tables
-    that can't be read to their end are left out whole; without, their rows end where the fault is.
+    that can't be read to their end are left out whole; without, such a table raises.
     """
     archives = list_archives(spark, path)
-    types = table_fields(archives, tables)
+    types = table_fields(archives, tables, strict=faults is None)
     spread = _spread(archives)
     out = {}
     for table in tables:
         wanted = (columns or {}).get(table) or list(types[table])
-        df = _read(spread, table, {n: types[table].get(n, T.StringType()) for n in wanted}, codepage)
+        df = _read(spread, table, {n: types[table].get(n, T.StringType()) for n in wanted}, codepage, faults is None)
         if faults is not None:
             unreadable = faults.where(F.col("fatal") & (F.col("table") == table)).select("archive_id")
             df = df.join(unreadable, "archive_id", "left_anti")
@@ -317,11 +330,15 @@ def read_tables(
 
 
 def read_table(
-    spark: SparkSession, path: str, table: str, columns: list[str] | None = None, codepage: str = TABLE_CODEPAGE
+    spark: SparkSession, path: str, table: str, columns: list[str] | None = None, codepage: str = TABLE_CODEPAGE,
+    faults: DataFrame | None = None,
 ) -> DataFrame:
-    """One table of all archives below `path`."""
+    """One table of all archives below `path`; one that can't be read to its end raises.
+
+    With `faults`, the result of `table_faults`, it is left out whole instead.
+    """
     table = table.lower().removesuffix(".dbf")
-    return read_tables(spark, path, [table], {table: columns} if columns else None, codepage)[table]
+    return read_tables(spark, path, [table], {table: columns} if columns else None, codepage, faults=faults)[table]
 
 
 def _manifest_of(archive, row, problem):
