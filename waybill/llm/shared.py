@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below `spark.checkpoint.dir`. Where that is unset, as in tests, one of this machine."""
+    """A new folder below `spark.checkpoint.dir`. Where that is unset in local mode, as in tests, one of this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="waybill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -33,8 +35,8 @@ class Landing:
         path = jvm.org.apache.hadoop.fs.Path(path)
         return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
 
-    def land(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.root}/{name}")
+    def land(self, df: DataFrame, name: str, **options) -> DataFrame:
+        df.write.options(**options).parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def close(self) -> None:
