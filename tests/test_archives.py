@@ -1,10 +1,13 @@
 """Archives written byte by byte, read back through Spark."""
 
+import collections
 import datetime as dt
 import pathlib
 import random
+import zipfile
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from waybill.functions.codepages import decode, upper_half
 from waybill.plans.audit import AuditOptions, audit
 from waybill.sources import archives as source
 from waybill.sources.archives import list_archives, list_members, read_manifest, read_table, read_template
+from waybill.sources.dbf import DAY_FIRST, canonical, unread_map
 
 FIELDS = [("NAZWA", "C", 20, 0), ("KOD2", "N", 6, 0), ("CENA", "N", 8, 2), ("KM", "F", 8, 3), ("OD", "D", 8, 0), ("OK", "L", 1, 0),
           ("OPIS", "M", 10, 0), ("NR", "I", 4, 0)]
@@ -159,10 +163,11 @@ def test_tables_land_in_the_shared_folder(spark, folder, tmp_path):
     before = set(shared.iterdir())
     findings, summary, _ = audit(spark, folder, today=dt.date(2026, 12, 1))
     (landed,) = set(shared.iterdir()) - before
-    assert sorted(p.name for p in landed.iterdir()) == ["kursy", "przystanki"]
+    assert sorted(p.name for p in landed.iterdir()) == ["directory", "scan"]
+    assert {p.name for p in (landed / "scan" / "entry=row").iterdir()} == {"table=kursy", "table=przystanki"}
     for name in ("one.zip", "three.zip"):
         (tmp_path / name).unlink()  # the tables are not read from the archives again
-    assert spark.read.parquet(f"{landed}/przystanki").where("archive_id = 'one.zip'").count() == 3
+    assert spark.read.parquet(f"{landed}/scan").where("table = 'przystanki' and archive_id = 'one.zip'").count() == 3
     assert findings.where("rule = 'no_administration' and archive_id = 'one.zip'").count() == 3
 
 
@@ -227,3 +232,178 @@ def test_neighbours_do_not_change_an_archive(spark, tmp_path):
         }))
     _, summary, _ = audit(spark, str(tmp_path), AuditOptions(), dt.date(2026, 12, 1))
     assert [(r.checked, r.errors) for r in summary.where("section = 'lines'").collect()] == [(1, 1), (1, 1)]
+
+
+# --- canonical cells -----------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "kind, cells",
+    [
+        ("N", {"5": "5", "007": "7", "-0.50": "-0.5", ".5": "0.5", "5.": "5", "+3": "3", "-0": "0", "0.00": "0", "": None, "12.3400": "12.34",
+               "100": "100", "1e3": "1000", "1.25E-10": "0.000000000125", "123456789012345678": "123456789012345678"}),
+        ("F", {"2.0": "2", "1.250": "1.25"}),
+        ("D", {"20240203": "2024-02-03", "18991231": "1899-12-31", "": None, "00000000": None}),
+        ("L", {"T": "True", "y": "True", "F": "False", "n": "False", "?": None, "": None}),
+        ("C", {"007": "007", "": "", "2.0": "2.0", "x": "x"}),
+    ],
+)
+def test_canonical_cells(kind, cells):
+    for chosen in (list(cells), *([c] for c in cells)):  # alone, and beside cells of other forms
+        text, bad = canonical(pa.array(chosen, pa.string()), kind)
+        assert text.to_pylist() == [cells[c] for c in chosen]
+        assert bad is None or not any(bad.to_pylist())
+
+
+@pytest.mark.parametrize("kind, cells", [("N", ["*****", ".", "-", "1.2.3", "nan", "1 2"]), ("D", ["20240230", "2024xx01", "202402"]), ("L", ["x", "1"])])
+def test_unreadable_cells(kind, cells):
+    text, bad = canonical(pa.array([*cells, ""], pa.string()), kind)
+    assert text.to_pylist() == [None] * (len(cells) + 1) and bad.to_pylist() == [True] * len(cells) + [False]
+
+
+def test_dates_with_the_day_first():
+    assert canonical(pa.array(["20240203", "x", ""]), "D", DAY_FIRST)[0].to_pylist() == ["03.02.2024", None, None]
+
+
+def test_unread_map():
+    bad = {"A": (pa.array(["x", "1", "y"]), pa.array([True, False, True])), "B": (pa.array(["1", "2", "z"]), pa.array([False, False, True]))}
+    assert [dict(m) for m in unread_map(3, bad).to_pylist()] == [{"A": "x"}, {}, {"A": "y", "B": "z"}]
+    assert unread_map(2, {}).to_pylist() == [[], []]
+
+
+ROUTE_KINDS = {"NRF": "CNF", "NRLINII": "CNF", "WARLINII": "CN", "WAZNAOD": "CD", "NRPRZYST": "CNF", "KOD2": "CNF", "NAZPRZYST": "C"}
+LINE_KINDS = {"STATLINII": "CNF", "NRF": "CNF", "NRLINII": "CNF", "WARLINII": "CN", "WAZNAOD": "CD", "WAZNADO": "CD"}
+
+
+def random_archive(rng):
+    """Lines and routes whose fields have any kinds, decimals and spellings, some of them unreadable."""
+
+    def cell(name, kind, decimals, value):
+        if name.startswith("WAZNA"):
+            return {"D": ["20200101", "20200101", "2020xx01", ""], "C": ["2020-01-01", "20200101", "01.01.2020", "?"]}[kind][value]
+        if rng.random() < 0.05:
+            return "*****"
+        if kind == "C":
+            return rng.choice([str(value), f"0{value}", f"{value}.0", ""]) if rng.random() < 0.2 else str(value)
+        return f"{value}.{'0' * decimals}" if decimals else str(value)
+
+    def table(kinds, rows):
+        fields = []
+        for name, allowed in kinds.items():
+            kind = rng.choice(allowed)
+            fields.append((name, kind, 8 if kind == "D" else 12, rng.choice([0, 0, 1, 3]) if kind in "NF" else 0))
+        return dbf_bytes(fields, [[cell(f[0], f[1], f[3], row[f[0]]) for f in fields] for row in rows])
+
+    day = rng.choice([0, 0, 0, 1])
+    keys = [{"NRF": rng.randint(7, 8), "NRLINII": rng.randint(1, 3), "WARLINII": 1, "WAZNAOD": day} for _ in range(4)]
+    lines = [{**k, "STATLINII": rng.choice([2, 2, 1]), "WAZNADO": rng.choice([3, 3, 2])} for k in keys]
+    routes = [{**k, "NRPRZYST": s, "KOD2": rng.randint(1, 2), "NAZPRZYST": f"P{s}"} for k in keys for s in range(1, 7)]
+    return zip_bytes(
+        {"ArchiwumInfo_1.rtf": manifest_bytes("7"), "linie.dbf": table(LINE_KINDS, lines), "trasylinii.dbf": table(ROUTE_KINDS, routes)},
+        stored=rng.random() < 0.5,
+    )
+
+
+def test_an_archive_gives_the_same_alone_and_beside_any_other(spark, tmp_path):
+    rng = random.Random(11)
+
+    def results(folder):
+        found = audit(spark, str(folder), AuditOptions(), dt.date(2026, 12, 1))
+        rows = [sorted((r.asDict() for r in df.collect()), key=repr) for df in found]
+        return {a: [[r for r in part if r["archive_id"] == a] for part in rows] for a in {r["archive_id"] for part in rows for r in part}}
+
+    (tmp_path / "all").mkdir()
+    alone = {}
+    for i in range(5):
+        data = random_archive(rng)
+        (tmp_path / str(i)).mkdir()
+        for folder in (str(i), "all"):
+            (tmp_path / folder / f"a{i}.zip").write_bytes(data)
+        alone |= results(tmp_path / str(i))
+    together = results(tmp_path / "all")
+    assert together == alone
+    assert sum(len(r[0]) for r in alone.values()) > 10 and any(x["value"] == "*****" for r in alone.values() for x in r[2])
+
+
+def test_cells_that_do_not_parse_are_rejected_with_their_text(spark, tmp_path):
+    """An unreadable code is no missing code: it gives no repeat, and the reject names what stood there."""
+    courses = [("STATKURSU", "N", 1, 0), ("NRF", "N", 5, 0), ("NRKURSU", "N", 5, 0), ("WARIANT", "N", 3, 0), ("WAZNYOD", "D", 8, 0), ("WAZNYDO", "D", 8, 0)]
+    routes = [("NRFK", "N", 5, 0), ("NRKURSU", "N", 5, 0), ("WARIANT", "N", 3, 0), ("WAZNYOD", "D", 8, 0), ("NRPRZYST", "N", 3, 0), ("KOD2", "N", 6, 0),
+              ("NAZPRZYST", "C", 9, 0), ("DATAOP", "D", 8, 0), ("GODZOP", "C", 8, 0)]
+    stops = [("NAZWA", "C", 20, 0), ("KOD2", "N", 6, 0), ("SYM", "C", 3, 0), ("X_KRAJ", "N", 8, 2), ("Y_KRAJ", "N", 8, 2)]
+    rest = ("20200101", "10:00")
+    (tmp_path / "a.zip").write_bytes(zip_bytes({
+        "ArchiwumInfo_1.rtf": manifest_bytes("7"),
+        "przystanki.dbf": dbf_bytes(stops, [("A", 1, "x", "****", 1), ("B", "?", "x", 1, 1), ("C", "?", "x", 1, None)]),
+        "kursy.dbf": dbf_bytes(courses, [(2, 7, 10, 1, "20200101", None), (2, 7, 11, 1, "20200101", "2020ab01")]),
+        "trasykursow.dbf": dbf_bytes(routes, [(7, 10, 1, "20200101", s, c, n, *rest) for s, c, n in
+                                              ((1, "*****", "A"), (2, "*****", "B"), (3, None, "C"), (4, None, "D"), ("x", 5, "E"))]),
+    }))
+    findings, summary, rejects = audit(spark, str(tmp_path), AuditOptions(check_coords=True), dt.date(2026, 12, 1))
+    assert sorted((r.section, r.rule, r.rec_no) for r in findings.where("rule <> 'missing_table'").collect()) == [
+        ("courses", "consecutive_stop", 4), ("stops", "no_coordinates", 3),
+    ]
+    assert sorted((r.table, r.rec_no, r.column, r.value) for r in rejects.collect()) == [
+        ("kursy", 2, "WAZNYDO", "2020ab01"), ("przystanki", 1, "X_KRAJ", "****"), ("przystanki", 2, "KOD2", "?"), ("przystanki", 3, "KOD2", "?"),
+        ("trasykursow", 1, "KOD2", "*****"), ("trasykursow", 2, "KOD2", "*****"), ("trasykursow", 5, "NRPRZYST", "x"),
+    ]
+    assert {r.section: r.checked for r in summary.collect()} == {"stops": 3, "lines": 0, "courses": 1}
+
+
+# --- how members are read ------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("split", [64 << 20, 3000, 500])
+def test_every_member_is_inflated_once(spark, tmp_path, monkeypatch, split):
+    """Small archives are read in one go, large ones by member; ranges are cut of stored members only."""
+    monkeypatch.setattr(source, "SPLIT_BYTES", split)
+    fields = [("NAZWA", "C", 20, 0), ("KOD2", "N", 6, 0)]
+    sizes = {"przystanki": 40, "linie": 300, "kursy": 3, "obca": 90}
+    for name, stored in (("packed", False), ("stored", True)):
+        members = {f"{t}.dbf": dbf_bytes(fields, [(f"{t} {i}", i) for i in range(n)]) for t, n in sizes.items()}
+        (tmp_path / f"{name}.zip").write_bytes(zip_bytes({**members, "ArchiwumInfo_1.rtf": manifest_bytes("7")}, stored=stored))
+    tables = {t: ["NAZWA", "KOD2"] for t in sizes if t != "obca"}
+    units = source._dealt(source._units(source.archive_directory(spark, str(tmp_path)), list(tables), True, False)).drop("place", "cost").toArrow()
+    opened, records = collections.Counter(), collections.Counter()
+    real = zipfile.ZipFile.open
+
+    def counting(archive, member, *more, **named):
+        opened[pathlib.Path(archive.fp.name).stem, getattr(member, "filename", member)] += 1
+        return real(archive, member, *more, **named)
+
+    monkeypatch.setattr(zipfile.ZipFile, "open", counting)
+    for batch in source._Scanner(tables, "cp852", "-", False, False)(units.to_batches()):
+        for row in batch.select(["archive_id", "entry", "table", "c0"]).to_pylist():
+            assert row["entry"] != "fault"
+            records[row["archive_id"], row["entry"], row["table"], row["c0"]] += 1
+    assert set(records.values()) == {1} and len(records) == 2 * (343 + 1)
+    wanted = {"przystanki.dbf", "linie.dbf", "kursy.dbf", "ArchiwumInfo_1.rtf"}
+    assert {m for _, m in opened} == wanted and all(opened["packed", m] == 1 for m in wanted)
+    parts = -(-(len(dbf_bytes(fields, [])) + 300 * 27) // split)
+    assert opened["stored", "linie.dbf"] == (1 if parts == 1 else parts + 1)
+    assert len({u["archive_id"] for u in units.to_pylist()}) == 2 and (len(units) == 2) == (split > 1 << 20)
+
+
+def test_units_are_dealt_out_by_size(spark):
+    rng = random.Random(5)
+    costs = [int(1000 * rng.paretovariate(1.5)) for _ in range(3000)]
+    rows = [(f"a{i}", "p", "", [], min(c, source.SPLIT_BYTES)) for i, c in enumerate(costs)]
+    units = spark.createDataFrame(rows, "archive_id string, path string, unit string, items array<string>, cost long")
+    loads = source._dealt(units).groupBy(F.spark_partition_id()).agg(F.sum("cost"), F.count("*")).collect()
+    assert sum(r[2] for r in loads) == 3000 and sum(r[1] for r in loads) == sum(costs)
+    assert len(loads) == 16 and max(r[1] for r in loads) <= sum(costs) / 16 + 2 * max(costs)
+
+
+def test_damage_in_a_stored_member_read_by_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "SPLIT_BYTES", 2000)
+    fields = [("NAZWA", "C", 20, 0), ("KOD2", "N", 6, 0)]
+    whole = zip_bytes({"przystanki.dbf": dbf_bytes(fields, [(f"Stop {i}", i) for i in range(500)])}, stored=True)
+    at = whole.index(b"Stop 77 ")
+    (tmp_path / "good.zip").write_bytes(whole)
+    (tmp_path / "bad.zip").write_bytes(whole[:at] + b"X" + whole[at + 1 :])
+    with pytest.raises(Exception, match="przystanki of bad.zip can't be read"):
+        read_table(spark, str(tmp_path), "przystanki").collect()
+    faults = source.table_faults(spark, str(tmp_path), ["przystanki"])
+    assert [(r.archive_id, r.fatal) for r in faults.collect()] == [("bad.zip", True)]
+    found = read_table(spark, str(tmp_path), "przystanki", faults=faults).collect()
+    assert sorted((r.archive_id, r.rec_no) for r in found) == [("good.zip", i) for i in range(1, 501)]

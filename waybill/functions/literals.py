@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scalars import SPACES
+from .scalars import SPACES, is_clean
 
 DATE_FORM = "dd.MM.yyyy"
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -24,8 +24,12 @@ def _string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _trimmed(text: str) -> str:
-    return f"btrim({text}, {_string(SPACES)})"
+def _trimmed(df: DataFrame, name: str) -> str:
+    c = _name(name)
+    if is_clean(df, name):
+        return c
+    plain = " and ".join(f"ascii({end}) between 33 and 126" for end in (c, f"right({c}, 1)"))
+    return f"if({plain}, {c}, btrim({c}, {_string(SPACES)}))"
 
 
 def _quoted(text: str) -> str:
@@ -61,7 +65,7 @@ def value_text(df: DataFrame, name: str) -> str:
     elif isinstance(kind, T.BooleanType):
         text = f"case when {c} then 'True' when not {c} then 'False' end"
     elif isinstance(kind, T.StringType):
-        text = f"replace({_trimmed(c)}, '\\'', '\\'\\'')"
+        text = f"replace({_trimmed(df, name)}, '\\'', '\\'\\'')"
     else:
         text = f"cast({c} as string)"
     return f"coalesce({_quoted(text)}, 'null')"
@@ -70,7 +74,7 @@ def value_text(df: DataFrame, name: str) -> str:
 def date_text(df: DataFrame, name: str) -> str:
     c, kind = _name(name), df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        text = _trimmed(c)
+        text = _trimmed(df, name)
         day = f"substr({text}, 1, 10)"
         packed = f"case when {text} rlike '^[0-9]{{8}}$' then try_to_date({text}, 'yyyyMMdd') end"
         iso = f"case when length({text}) >= 8 then try_cast({text} as date) end"

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import UNREAD, unread_text
+
 SECTIONS = ("stops", "lines", "courses", "machines")
 
 FINDING_TYPES = {
@@ -48,6 +50,21 @@ def rejected(df: DataFrame, table: str, tests: dict[str, str]) -> DataFrame:
     return found.select("archive_id", "table", "rec_no", "b.column", "b.value")
 
 
+def unread_cells(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """Rejects for the cells of the given columns that are not what their field says; none where the rows don't tell."""
+    if UNREAD not in df.columns:
+        return df.sparkSession.createDataFrame([], "archive_id string, table string, rec_no long, column string, value string")
+    rows = df.where(F.size(UNREAD) > 0).select("archive_id", "rec_no", F.explode(UNREAD).alias("column", "value"))
+    return rows.where(F.col("column").isin(columns)).select("archive_id", F.lit(table).alias("table"), "rec_no", "column", "value")
+
+
+def readable(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without unreadable cells in the given columns."""
+    if UNREAD not in df.columns:
+        return df
+    return df.where(F.coalesce(*[unread_text(df, n) for n in columns]).isNull())
+
+
 def section_counts(df: DataFrame, section: str) -> DataFrame:
     return df.groupBy("archive_id").agg(F.count(F.lit(1)).alias("checked")).withColumn("section", F.lit(section))
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import texts
 from ..functions.scalars import (
+    UNREAD,
     course_status,
     int_of,
     int_or,
@@ -25,11 +26,11 @@ from ..functions.scalars import (
 )
 from ..operators.duplicates import drop_same_name_and_code, duplicate_findings
 from ..operators.filters import check_ref_date, filter_active, filter_carrier, filter_valid, missing_rows
-from ..operators.findings import as_findings, concat_frames, rejected, section_counts, summarise
+from ..operators.findings import as_findings, concat_frames, readable, rejected, section_counts, summarise, unread_cells
 from ..operators.joins import first_match_join
 from ..operators.sequences import consecutive_repeats
 from ..operators.slices import SkewRule, hot_groups, position_of, time_position, with_slice
-from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables, table_faults
+from ..sources.archives import landing_folder, scan_archives
 from .specs import AUDIT_TABLES
 
 
@@ -56,7 +57,8 @@ class AuditResult:
 def audit_stops(stops: DataFrame, options: AuditOptions = AuditOptions()) -> AuditResult:
     """Repeated names and codes, missing administration and coordinates."""
     fields = ["NAZWA", "KOD2", "SYM", "X_KRAJ", "Y_KRAJ"]
-    stops = stops.select("archive_id", "rec_no", *[text_of(stops, n).alias(n) for n in fields])
+    unread = [UNREAD] if UNREAD in stops.columns else []
+    stops = stops.select("archive_id", "rec_no", *[text_of(stops, n).alias(n) for n in fields], *unread)
     named = stops.where("NAZWA is not null").withColumn("name_key", upper_key(F.col("NAZWA")))
     by_name = ["archive_id", "name_key"]
     mode = options.duplicate_mode
@@ -75,10 +77,12 @@ def audit_stops(stops: DataFrame, options: AuditOptions = AuditOptions()) -> Aud
     message = texts.worded(texts.SAME_CODE, "listed")
     found.append(as_findings(codes, "'stops'", rule="'same_code'", key="KOD2", message=message, **shared))
     if options.check_admin:
-        found.append(missing_findings(kept, ["SYM"], "no_administration", texts.NO_ADMINISTRATION))
+        found.append(missing_findings(readable(kept, ["SYM"]), ["SYM"], "no_administration", texts.NO_ADMINISTRATION))
     if options.check_coords:
-        found.append(missing_findings(kept, ["X_KRAJ", "Y_KRAJ"], "no_coordinates", texts.NO_COORDINATES))
-    rejects = rejected(stops, "przystanki", {"NAZWA": "NAZWA is null"})
+        placed = readable(kept, ["X_KRAJ", "Y_KRAJ"])
+        found.append(missing_findings(placed, ["X_KRAJ", "Y_KRAJ"], "no_coordinates", texts.NO_COORDINATES))
+    rejects = rejected(readable(stops, ["NAZWA"]), "przystanki", {"NAZWA": "NAZWA is null"})
+    rejects = concat_frames([rejects, unread_cells(stops, "przystanki", fields)])
     return AuditResult(concat_frames(found), section_counts(stops, "stops"), rejects)
 
 
@@ -95,6 +99,7 @@ class _Route:
 
     section: str
     table: str
+    owner: str
     status: str
     valid_from: str
     valid_to: str
@@ -104,11 +109,11 @@ class _Route:
 
 
 LINES = _Route(
-    "lines", "trasylinii", "STATLINII", "WAZNAOD", "WAZNADO",
+    "lines", "trasylinii", "linie", "STATLINII", "WAZNAOD", "WAZNADO",
     (("NRF", "NRF"), ("NRLINII", "NRLINII"), ("WARLINII", "WARLINII")), line_status, texts.LINE_REPEAT,
 )
 COURSES = _Route(
-    "courses", "trasykursow", "STATKURSU", "WAZNYOD", "WAZNYDO",
+    "courses", "trasykursow", "kursy", "STATKURSU", "WAZNYOD", "WAZNYDO",
     (("NRFK", "NRF"), ("NRKURSU", "NRKURSU"), ("WARIANT", "WARIANT")), course_status, texts.COURSE_REPEAT,
 )
 
@@ -155,13 +160,17 @@ def _keys_are_numbers(routes: DataFrame, active: DataFrame, route: _Route) -> bo
 
 
 def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions) -> AuditResult:
-    active = active_rows(table, manifest, route, options)
+    fields = [*[b for _, b in route.keys], route.status, route.valid_from, route.valid_to]
+    unread = [unread_cells(table, route.owner, fields)]
+    active = active_rows(readable(table, fields), manifest, route, options)
     carrier, number, variant = [a for a, _ in route.keys]
     is_course = route is COURSES
     by_edit = is_course and options.course_order == "edit_ts"
     needed = ["archive_id", "rec_no", carrier, number, variant, route.valid_from, "NRPRZYST", "KOD2", "NAZPRZYST"]
     stamps = ["DATAOP", "GODZOP"] if by_edit else []
-    routes = routes.select(*needed, *stamps)
+    unread.append(unread_cells(routes, route.table, [*needed, *stamps]))
+    # What can't be read is rejected, and its row is not examined.
+    routes = readable(routes, [*needed[2:], *stamps]).select(*needed, *stamps)
 
     def typed(df: DataFrame) -> DataFrame:
         code = int_or(df, "KOD2", -1) if is_course else int_of(df, "KOD2")
@@ -183,7 +192,7 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
         carrier: "carrier", number: "number", variant: "variant", "NRPRZYST": "seq", "KOD2": "code",
         route.status: "status_code",
     }
-    rejects = rejected(matched, route.table, {raw: f"{p} is null" for raw, p in parsed.items()})
+    rejects = concat_frames([rejected(matched, route.table, {raw: f"{p} is null" for raw, p in parsed.items()}), *unread])
     keys, same = ["archive_id", "carrier", "number", "variant"], []
     if by_edit:
         order, same = ["edited", "seq", "rec_no"], ["valid_from"]
@@ -294,14 +303,10 @@ def audit(
     below spark.checkpoint.dir. On a cluster that sets neither, every pass reads the archives again.
     """
     check_ref_date(options.ref_date, today or dt.date.today())
-    archives = list_archives(spark, path)
-    members = list_members(spark, path)
-    manifest = read_manifest(spark, path)
     columns = {t: c for t, (c, _) in AUDIT_TABLES.items()}
-    faults = table_faults(spark, path, list(columns))
-    tables = read_tables(spark, path, list(columns), columns, landing=landing or landing_folder(spark), faults=faults)
-    result = audit_tables(tables, manifest, options)
-    lacking = missing_tables(archives, members, {t: s for t, (_, s) in AUDIT_TABLES.items()})
+    found = scan_archives(spark, path, columns, landing or landing_folder(spark))
+    result = audit_tables(found.tables, found.manifest, options)
+    lacking = missing_tables(found.directory, found.members, {t: s for t, (_, s) in AUDIT_TABLES.items()})
     findings = concat_frames([result.findings, lacking])
-    rejects = concat_frames([result.rejects, *archive_rejects(members, manifest, faults)])
-    return findings, summarise(result.checked, result.findings, archives), rejects
+    rejects = concat_frames([result.rejects, *archive_rejects(found.members, found.manifest, found.faults)])
+    return findings, summarise(result.checked, result.findings, found.directory), rejects

@@ -12,8 +12,9 @@ from ..functions import texts
 from ..functions.literals import insert_statement
 from ..functions.scalars import default_status, is_model, text_of
 from ..operators.filters import drop_blank, filter_recent, version_flag, version_rows
-from ..operators.findings import as_findings, concat_frames, rejected
-from ..sources.archives import landing_folder, list_archives, list_members, read_manifest, read_tables, table_faults
+from ..operators.findings import as_findings, concat_frames, rejected, unread_cells
+from ..sources.archives import landing_folder, scan_archives
+from ..sources.dbf import DAY_FIRST
 from .audit import archive_rejects, missing_tables
 from .specs import CARDS, EMAR_MIN_VERSION, EMAR_MODEL, EMPLOYEES, MACHINES, SCRIPTS
 
@@ -100,14 +101,14 @@ def start_data(
     """
     specs = {"kasyfiskalne": MACHINES, "pracownicy": EMPLOYEES, "kartypamieci": CARDS}
     columns = {t: [n for n, _ in spec] for t, spec in specs.items()}
-    faults = table_faults(spark, path, list(specs))
-    tables = read_tables(spark, path, list(specs), columns, landing=landing or landing_folder(spark), faults=faults)
-    archives, members, manifest = list_archives(spark, path), list_members(spark, path), read_manifest(spark, path)
-    result = import_tables(tables, today or dt.date.today())
-    lacking = missing_tables(archives, members, dict.fromkeys(specs, "import"))
+    found = scan_archives(spark, path, columns, landing or landing_folder(spark), dates=DAY_FIRST)
+    result = import_tables(found.tables, today or dt.date.today())
+    lacking = missing_tables(found.directory, found.members, dict.fromkeys(specs, "import"))
     findings = concat_frames([f for f in (result.findings, lacking) if f is not None])
-    rejects = concat_frames([f for f in (result.rejects, *archive_rejects(members, manifest, faults)) if f is not None])
-    return ImportResult(result.scripts, findings, rejects), manifest
+    unread = [unread_cells(found.tables[t], t, names) for t, names in columns.items()]
+    damaged = archive_rejects(found.members, found.manifest, found.faults)
+    rejects = concat_frames([f for f in (result.rejects, *unread, *damaged) if f is not None])
+    return ImportResult(result.scripts, findings, rejects), found.manifest
 
 
 __all__ = [
