@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from waybill.operators.duplicates import duplicate_findings, duplicate_runs
 from waybill.operators.sequences import consecutive_repeats, sequence_groups
-from waybill.operators.slices import SkewRule, hot_groups, position_of, with_rank, with_slice
+from waybill.operators.slices import SkewRule, hot_groups, position_of, time_position, with_rank, with_slice
 from waybill.plans.audit import AuditOptions, audit_courses, audit_lines, audit_stops
 
 FORCED = SkewRule(share=0.005, min_rows=10, min_bytes=0)
@@ -83,6 +83,37 @@ def test_slices_follow_the_order(spark, n):
     assert rows.value_counts().max() <= 2.5 * 20000 / n + 20
 
 
+def test_rows_of_one_edit_stamp_spread_over_slices(spark):
+    """The cuts fall between later order columns where the first ones are the same throughout."""
+    stamp = F.lit("2021-05-04 10:00:00.123456").cast("timestamp_ntz")
+    df = spark.range(20000).select(F.lit(1).alias("grp"), stamp.alias("edited"), F.lit(7).alias("seq"), ((F.col("id") * 7919) % 20000).alias("rec_no"))
+    spot = position_of(time_position(F.col("edited")), F.col("seq"), F.col("rec_no"))
+    hot = hot_groups(df, ["grp"], spot, SkewRule(share=0.01, min_rows=1, min_bytes=0))
+    sizes = with_slice(df, ["grp"], spot, hot).groupBy("_slice").count().toPandas()["count"]
+    assert len(sizes) > 80 and sizes.max() < 500
+    ranked = with_rank(df, ["grp"], ["edited", "seq", "rec_no"], "k", spot, hot)
+    assert ranked.where("k <> rec_no + 1").count() == 0 and ranked.count() == 20000
+
+
+def test_positions_follow_microseconds_and_nulls(spark):
+    stamps = [None, "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "1970-01-01 00:00:00.000001", "0001-01-01 00:00:00"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "i int, s string")
+    rows = df.select("i", time_position(F.col("s").cast("timestamp_ntz")).alias("at")).collect()
+    assert {r.i: r["at"] for r in rows} == {0: None, 1: -1, 2: 0, 3: 1, 4: -62135596800000000}
+    assert [r.i for r in df.orderBy(position_of(F.col("s").cast("timestamp_ntz"), F.col("i"))).collect()] == [0, 4, 1, 2, 3]
+
+
+def test_any_number_of_large_groups_is_cut(spark):
+    df = spark.range(200_000).selectExpr("id % 5000 as grp", "id as seq")
+    spot = position_of(F.col("seq"))
+    hot = hot_groups(df, ["grp"], spot, SkewRule(share=1 / 20_000, min_rows=1, min_bytes=0))
+    assert hot.count() == 5000
+    sizes = with_slice(df, ["grp"], spot, hot).groupBy("grp", "_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20
+    ranked = with_rank(df, ["grp"], ["seq"], "k", spot, hot)
+    assert ranked.where("k <> (seq div 5000) + 1").count() == 0 and ranked.count() == 200_000
+
+
 def test_rank(spark):
     rows = skewed_rows(7)
     df = spark.createDataFrame(rows, SCHEMA)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
-from .slices import SkewRule, hot_groups, position_of, with_rank
+from .slices import SkewRule, hot_groups, position_of, with_rank, with_slice
 
 
 def member_text(name: Column, code: Column) -> Column:
@@ -62,6 +65,18 @@ def drop_same_name_and_code(
     return df.join(runs.where("same_code").select(*keys), keys, "left_anti")
 
 
+def _with_carry(rows: DataFrame, keys: list[str], rec: str, spot: Column, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with their slices, and for each slice but the first of a long run the texts of all slices before it."""
+    cut = with_slice(rows, keys, spot, hot).repartition(*keys, "_slice")
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct(rec, "_text"))), lambda r: r["_text"])
+    pieces = cut.where("_hot").groupBy(*keys, "_slice").agg(F.array_join(in_order, ", ").alias("_piece"))
+    before = Win.partitionBy(*keys).orderBy("_slice").rowsBetween(Win.unboundedPreceding, -1)
+    carry = pieces.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_slice").alias("_of_part"), F.collect_list("_piece").over(before).alias("_pieces")
+    )
+    return cut, carry.where(F.size("_pieces") > 0).withColumn("_earlier", F.array_join("_pieces", ", ")).drop("_pieces")
+
+
 def duplicate_findings(
     df: DataFrame,
     keys: list[str],
@@ -75,7 +90,8 @@ def duplicate_findings(
 
     mode `member`: n-1 rows for n members; row k has member k and the first member.
     mode `cumulative`: the same rows, `listed` naming members 1 to k. Its text grows with the square of a run's
-    length and a run is listed by one task, so `member` and `group` are the choices for very long runs.
+    length, so `member` and `group` are the choices for very long runs. A task holds one slice of a long run, and the text
+    of the slices before it.
     mode `group`: one row per key, `listed` naming the first two members.
 
     Result: keys, `k`, the record number, `name`, `code`, `members`, `errors`, `same_code`, `listed`.
@@ -103,6 +119,7 @@ def duplicate_findings(
     also = {}
     if mode == "cumulative":
         also["_upto"] = lambda w: upto.over(w.rowsBetween(Win.unboundedPreceding, Win.currentRow))
+    carry = None
     if hot is None:
         # No group is large: its size and first members come from the same window as the places.
         whole = Win.partitionBy(*keys).orderBy(rec).rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
@@ -115,12 +132,19 @@ def duplicate_findings(
         ranked = with_rank(rows.where("members > 1"), keys, [rec], "k", also=also)
     else:
         rows = _repeated(narrow, keys, rec)
-        ranked = with_rank(rows, keys, [rec], "k", F.lit(0.0) if mode == "cumulative" else spot, hot, also)
+        if mode == "cumulative":
+            rows, carry = _with_carry(rows, keys, rec, spot, hot)
+            also["_part"] = lambda w: F.max("_slice").over(w)
+        ranked = with_rank(rows, keys, [rec], "k", spot, hot, also)
         runs = duplicate_runs(narrow, keys, name, code, rec)
         first = member_text(F.col("first_name"), F.col("first_code"))
         ranked = ranked.join(runs.select(*keys, first.alias("_first"), "same_code"), keys)
     listed = F.concat("_first", F.lit(", "), "_text")
-    if mode == "cumulative":
+    if carry is not None:
+        same = [ranked[k].eqNullSafe(carry[f"_of_{k}"]) for k in keys]
+        ranked = ranked.join(carry, reduce(and_, same, ranked["_part"] == carry["_of_part"]), "left")
+        listed = F.concat_ws(", ", "_earlier", F.array_join("_upto", ", "))
+    elif mode == "cumulative":
         listed = F.array_join("_upto", ", ")
     return ranked.where("k > 1").select(
         *keys, "k", rec, *dict.fromkeys(c for c in (name, code) if c not in keys), "members",

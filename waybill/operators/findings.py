@@ -27,6 +27,7 @@ FINDING_TYPES = {
     "code": "string",
     "name": "string",
     "status": "string",
+    "edited": "timestamp_ntz",
     "message": "string",
 }
 

@@ -1,13 +1,12 @@
 """Ordered scans that stay balanced when one group holds a large part of the rows.
 
 A window over a group runs in one task. For groups that hold more than `share` of all rows this module cuts
-the group into slices of about that share along its sort order (approximate quantiles), runs the window per
-slice, and carries the last row, or the running count, of each slice over to the next one. The result is exact
-whatever the cuts are; only the balance depends on them.
+the group into slices of about that share along its sort order, runs the window per slice, and carries the last row,
+or the running count, of each slice over to the next one. The cuts are values of the real order columns, compared one after
+another, out of a sorted sample. The result is exact whatever the cuts are; only the balance depends on them.
 
-Finding the large groups costs one pass over the key columns, ahead of the query. Of the groups above the
-share, up to 1024 of the largest are cut, which leaves none with more than a thousandth of the rows whole.
-There are at most about 1/share slices over all groups, so cuts and carried rows are small at any input size
+Finding the large groups costs one pass over the key columns, ahead of the query. All groups above the share are cut, of which
+there are at most 1/share, as there are slices over all groups: cuts and carried rows are small at any input size
 and may be broadcast. Without large groups the query keeps its plain plan. Inputs below `min_bytes`, by Spark's
 own estimate, skip all of it: no group of theirs is too large for one task.
 """
@@ -22,10 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 64
-FINEST = BLOCK**2
-LARGEST = 1024
-TRACKED = 1 << 16
-LOWEST = -1.0e308
+SAMPLED = 32  # sampled rows for each slice
+TRACKED = 1 << 18  # groups that the search for large ones keeps count of
 
 
 @dataclass(frozen=True)
@@ -35,18 +32,16 @@ class SkewRule:
     min_bytes: int = 1 << 30
 
 
-def position_of(major: Column, minor: Column | None = None) -> Column:
-    """Sort position as one number: weakly rising in (major, minor), which is all the cuts need."""
-    spot = major.cast("double")
-    if minor is not None:
-        spot = spot + minor.cast("double") / F.lit(float(1 << 43))
-    return F.coalesce(spot, F.lit(LOWEST))
+def position_of(*columns: Column) -> Column:
+    """Sort position: the order columns as they are, compared one after another, nulls first."""
+    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(columns)])
 
 
 def time_position(stamp: Column) -> Column:
-    """Seconds of a zone-free timestamp."""
-    day = F.datediff(stamp, F.lit("1970-01-01").cast("date")).cast("double")
-    return day * 86400 + F.hour(stamp) * 3600 + F.minute(stamp) * 60 + F.second(stamp)
+    """Microseconds of a zone-free timestamp."""
+    day = F.datediff(stamp, F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = day * 86400 + F.hour(stamp) * 3600 + F.minute(stamp) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), stamp) * 1_000_000).cast("long")
 
 
 def _estimated_bytes(df: DataFrame) -> float:
@@ -60,31 +55,26 @@ def hot_groups(df: DataFrame, keys: list[str], position: Column, rule: SkewRule)
     """Cut points of the groups holding more than the rule's share of `df`; None when there are none.
 
     Runs at once, for inputs that are large enough: one pass over the keys, and one over the large groups'
-    positions if there are any. What comes to the driver is at most 1024 groups and about 1/share numbers.
+    positions if there are any. What comes to the driver is at most 1/share groups, and about 1/share positions.
     """
     if _estimated_bytes(df) < rule.min_bytes:
         return None
+    most = min(math.ceil(1 / rule.share), TRACKED // 4)
     tagged = df.select(F.xxhash64(*keys).alias("_tag"), position.alias("_pos"))
-    found = tagged.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_tag, {LARGEST}, {TRACKED})").alias("top")).first()
+    found = tagged.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_tag, {most}, {TRACKED})").alias("top")).first()
     rows_per_slice = max(found["n"] * rule.share, rule.min_rows, 1)
-    steps = {
-        t["item"]: FINEST // min(FINEST, math.ceil(t["count"] / rows_per_slice))
-        for t in found["top"]
-        if t["count"] > rows_per_slice
-    }
-    if not steps:
+    large = [t["item"] for t in found["top"] if t["count"] > rows_per_slice]
+    if not large:
         return None
     spark = df.sparkSession
-    wanted = spark.createDataFrame(pa.table({"_tag": list(steps), "_step": pa.array(steps.values(), pa.int32())}))
-    quantiles = F.percentile_approx("_pos", [i / FINEST for i in range(1, FINEST)], 10000)
-    step = F.col("_step")
-    cuts = (
-        tagged.join(F.broadcast(wanted), "_tag")
-        .groupBy("_tag", "_step")
-        .agg(quantiles.alias("_all"))
-        .select("_tag", F.transform(F.sequence(step, F.lit(FINEST - 1), step), lambda i: F.get("_all", i - 1)).alias("_cuts"))
-    )
-    return spark.createDataFrame(cuts.toArrow())
+    wanted = spark.createDataFrame(pa.table({"_tag": large}))
+    scale = 1 << 53
+    drawn = F.pmod(F.xxhash64("_pos", F.lit(1)), F.lit(scale)) < int(min(1.0, SAMPLED / rows_per_slice) * scale)
+    sample = tagged.where(drawn).join(F.broadcast(wanted), "_tag").groupBy("_tag").agg(F.sort_array(F.collect_list("_pos")).alias("_all"))
+    step = max(1, round(min(SAMPLED, rows_per_slice)))  # where all rows are drawn, the rows of a slice
+    cuts = F.transform(F.sequence(F.lit(step), F.size("_all"), F.lit(step)), lambda i: F.get("_all", i - 1))
+    cuts = sample.where(F.size("_all") > step).select("_tag", cuts.alias("_cuts"))
+    return spark.createDataFrame(cuts.toArrow(), cuts.schema)
 
 
 def with_slice(df: DataFrame, keys: list[str], position: Column, hot: DataFrame) -> DataFrame:

@@ -196,7 +196,7 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
     keys, same = ["archive_id", "carrier", "number", "variant"], []
     if by_edit:
         order, same = ["edited", "seq", "rec_no"], ["valid_from"]
-        spot = position_of(time_position(F.col("edited")), F.col("seq"))
+        spot = position_of(time_position(F.col("edited")), F.col("seq"), F.col("rec_no"))
     else:
         keys, order = [*keys, "valid_from"], ["seq", "rec_no"]
         spot = position_of(F.col("seq"), F.col("rec_no"))
@@ -233,6 +233,7 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
         status="label",
         message=texts.worded(route.wording, "carrier", "number", "label", "variant", day, "previous_name", "code"),
         **{n: n for n in ("rec_no", "carrier", "number", "variant", "valid_from", "seq", "code", "name")},
+        **({"edited": "edited"} if by_edit else {}),
     )
     return AuditResult(found, section_counts(active, route.section), rejects)
 

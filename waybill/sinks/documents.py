@@ -1,24 +1,26 @@
 """Writer of named text files in a code page, from rows that are already in order.
 
 Input rows: `doc` (file name below the output folder), `part` and `text` (written as it stands, line ends
-included). A document whose rows all have one part number becomes one file of that name. A document with more
-parts becomes one file per part, `name.part00000.ext` and so on, which give the document when put together in
-order: no task and no file has to take a whole document of any size.
+included). The first part of a document has the document's name, the others `name.part00001.ext` and so on, however many
+there are; put together in order they give the document: no task and no file has to take a whole one of any size.
 
-Tasks write below a staging folder; the driver moves the files to their names when every task is through, so
-a lost executor or a repeated task leaves no partial document.
+Tasks write below a staging folder and note what they wrote in a table, of which Spark keeps the rows of each task once.
+When all are through, names are worked out and files moved by Spark jobs too. A repeated task finds what is moved already
+and goes on, so a lost executor leaves no partial document, and the driver sees no list of files.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-FORMAT = "waybill_documents"
+STAGED = "doc string, part long, file string"
 
 
 def file_system(path: str):
@@ -32,117 +34,114 @@ def file_system(path: str):
     return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
 
-def part_name(doc: str, part: int) -> str:
-    stem, ext = os.path.splitext(doc)
-    return f"{stem}.part{part:05d}{ext}"
-
-
-@dataclass
-class Written(WriterCommitMessage):
-    files: list
-
-
-class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, encoding: str, overwrite: bool):
-        self.path, self.encoding, self.overwrite = path, encoding, overwrite
-        self.staging = f"_staging-{uuid.uuid4().hex}"
-
-    def write(self, iterator):
-        system, root = file_system(self.path)
-        folder = f"{root}/{self.staging}"
-        system.create_dir(folder, recursive=True)
-        files, current, out = [], None, None
-        try:
-            for batch in iterator:
-                docs, parts, texts = (batch.column(n).to_pylist() for n in ("doc", "part", "text"))
-                start = 0
-                for i in range(1, len(docs) + 1):
-                    if i < len(docs) and docs[i] == docs[start] and parts[i] == parts[start]:
-                        continue
-                    if (docs[start], parts[start]) != current:
-                        if out is not None:
-                            out.close()
-                        current = (docs[start], parts[start])
-                        name = f"{folder}/{uuid.uuid4().hex}"
-                        out = system.open_output_stream(name)
-                        files.append((*current, name))
-                    out.write("".join(texts[start:i]).encode(self.encoding, "replace"))
-                    start = i
-        finally:
-            if out is not None:
-                out.close()
-        return Written(files)
-
-    def commit(self, messages):
-        from pyarrow import fs
-
-        system, root = file_system(self.path)
-        docs: dict = {}
-        for message in messages:
-            for doc, part, name in message.files if message else []:
-                docs.setdefault(doc, []).append((part, name))
-        targets = {}
-        for doc, parts in docs.items():
-            parts.sort()
-            if len({p for p, _ in parts}) < len(parts):
-                raise ValueError(f"{doc}: rows of one part came in several runs; sort them before writing")
-            for i, (_, name) in enumerate(parts):
-                targets[name] = f"{root}/{doc if len(parts) == 1 else part_name(doc, i)}"
-        folders = {os.path.dirname(t) for t in targets.values()}
-        present = {}
-        for folder in folders:
-            system.create_dir(folder, recursive=True)
-            present[folder] = {f.path for f in system.get_file_info(fs.FileSelector(folder)) if f.is_file}
-        stale = set()
-        for doc in docs:
-            stem, ext = os.path.splitext(f"{root}/{doc}")
-            for old in present[os.path.dirname(f"{root}/{doc}")]:
-                if old == stem + ext or (old.startswith(f"{stem}.part") and old.endswith(ext)):
-                    stale.add(old)
-        if stale and not self.overwrite:
-            raise FileExistsError(f"already written: {min(stale)}")
-        for old in stale:
-            system.delete_file(old)
-        for name, target in targets.items():
-            system.move(name, target)
-        self._clear()
-
-    def abort(self, messages):
-        self._clear()
-
-    def _clear(self):
-        from pyarrow import fs
-
-        system, root = file_system(self.path)
-        folder = f"{root}/{self.staging}"
-        if system.get_file_info(folder).type == fs.FileType.Directory:
-            system.delete_dir(folder)
-
-
-class DocumentSource(DataSource):
-    @classmethod
-    def name(cls):
-        return FORMAT
-
-    def schema(self):
-        return "doc string, part long, text string"
-
-    def writer(self, schema, overwrite):
-        path, encoding = self.options["path"], self.options.get("encoding", "utf-8")
-        return _Writer(path, encoding, self.options.get("replace", "true") == "true")
+def part_name(doc: Column, index: Column) -> Column:
+    """File name of a part by its place in the document, counted from 0."""
+    ending = F.regexp_extract(doc, r"(\.[^./]*)$", 1)
+    stem = F.substring(doc, F.lit(1), F.length(doc) - F.length(ending))
+    return F.when(index == 0, doc).otherwise(F.concat(stem, F.format_string(".part%05d", index), ending))
+
+
+def doc_of(file: Column) -> Column:
+    """Document a file belongs to, by its name."""
+    return F.regexp_replace(file, r"\.part\d{5,}(\.[^./]*)?$", "$1")
+
+
+def _stage(batches, folder: str, encoding: str):
+    """Write each run of rows with equal document and part to a file of its own; tells which is which."""
+    system, root = file_system(folder)
+    system.create_dir(root, recursive=True)
+    current, out, made = None, None, []
+
+    def told():
+        arrays = [pa.array(c, k) for c, k in zip(zip(*made), (pa.string(), pa.int64(), pa.string()))]
+        made.clear()
+        return pa.record_batch(arrays, names=["doc", "part", "file"])
+
+    try:
+        for batch in batches:
+            docs, parts, texts = (batch.column(n).to_pylist() for n in ("doc", "part", "text"))
+            start = 0
+            for i in range(1, len(docs) + 1):
+                if i < len(docs) and docs[i] == docs[start] and parts[i] == parts[start]:
+                    continue
+                if (docs[start], parts[start]) != current:
+                    if out is not None:
+                        out.close()
+                    current, file = (docs[start], parts[start]), uuid.uuid4().hex
+                    out = system.open_output_stream(f"{root}/{file}")
+                    made.append((*current, file))
+                out.write("".join(texts[start:i]).encode(encoding, "replace"))
+                start = i
+            if len(made) >= 10_000:
+                yield told()
+    finally:
+        if out is not None:
+            out.close()
+    if made:
+        yield told()
+
+
+def _finish(batches, root: str, staging: str):
+    """Move staged files to their names, and delete files without one; both may have been done before."""
+    from pyarrow import fs
+
+    system, folder = file_system(root)
+    _, staged = file_system(staging)
+    known, count = set(), 0
+    for batch in batches:
+        for file, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            target = f"{folder}/{target}"
+            there = system.get_file_info(target).type == fs.FileType.File
+            if file is None:
+                if there:
+                    system.delete_file(target)
+            elif system.get_file_info(f"{staged}/{file}").type == fs.FileType.File:
+                if there:
+                    system.delete_file(target)
+                parent = os.path.dirname(target)
+                if parent not in known:
+                    system.create_dir(parent, recursive=True)
+                    known.add(parent)
+                system.move(f"{staged}/{file}", target)
+            elif not there:
+                raise FileNotFoundError(f"{staged}/{file} of {target}")
+            count += 1
+    yield pa.record_batch([pa.array([count], pa.int64())], names=["files"])
+
+
+def _files_below(spark: SparkSession, root: str) -> DataFrame:
+    """(file), paths below the folder as they are now."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    tail = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+    return listed.select(F.col("path").substr(F.locate(tail, F.col("path")) + len(tail), F.length("path")).alias("file"))
 
 
 def write_documents(
     lines: DataFrame, path: str, order: list[str], encoding: str = "utf-8", replace: bool = True
 ) -> None:
-    """Write rows `doc`, `part`, `text`, sorted by `order` within each part."""
-    lines.sparkSession.dataSource.register(DocumentSource)
+    """Write rows `doc`, `part`, `text`, sorted by `order` within each part.
+
+    Files of an earlier writing of the same documents are replaced, parts that are no more included; without `replace` they
+    are an error, and nothing is written.
+    """
+    spark = lines.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    root = system.makeQualified(folder).toString()
+    staging = f"{root}/_staging-{uuid.uuid4().hex}"
     placed = lines.repartition("doc", "part").sortWithinPartitions("doc", "part", *order)
-    (
-        placed.select("doc", "part", "text")
-        .write.format(FORMAT)
-        .mode("append")
-        .option("encoding", encoding)
-        .option("replace", str(replace).lower())
-        .save(path)
-    )
+    try:
+        staged = placed.select("doc", "part", "text").mapInArrow(partial(_stage, folder=staging, encoding=encoding), STAGED)
+        staged.write.parquet(f"{staging}/_names")
+        files = spark.read.schema(STAGED).parquet(f"{staging}/_names")
+        place = F.row_number().over(Window.partitionBy("doc").orderBy("part")) - 1
+        targets = files.select("file", part_name(F.col("doc"), place).alias("target"))
+        docs = files.select("doc").distinct()
+        old = _files_below(spark, root).withColumn("doc", doc_of(F.col("file"))).join(docs, "doc", "left_semi").select(F.col("file").alias("target"))
+        if not replace and (first := old.first()) is not None:
+            raise FileExistsError(f"already written: {first['target']}")
+        gone = old.join(targets, "target", "left_anti").select(F.lit(None).cast("string").alias("file"), "target")
+        actions = targets.unionByName(gone).repartition(2 * spark.sparkContext.defaultParallelism)
+        actions.mapInArrow(partial(_finish, root=root, staging=staging), "files long").agg(F.sum("files")).first()
+    finally:
+        system.delete(spark._jvm.org.apache.hadoop.fs.Path(staging), True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..operators.findings import SECTIONS, concat_frames
+from ..operators.slices import hot_groups, position_of, with_rank
 from ..plans.audit import AuditOptions
 from .documents import write_documents
 from .scripts import file_safe
@@ -20,6 +21,7 @@ RULES = (
     "same_name", "same_name_and_code", "same_code", "no_administration", "no_coordinates", "consecutive_stop",
     "missing_table",
 )
+BY_RECORD = ("no_administration", "no_coordinates")  # listed in the order of the stops
 LINES_PER_PART = 1_000_000
 
 
@@ -52,23 +54,23 @@ def report_lines(
 ) -> DataFrame:
     """Report rows in the shape of the document writer: head, then per section its count, findings and total.
 
-    Reports of up to `lines_per_part` findings are one part; larger ones are cut by section, rule and record
-    range, so that no task takes a whole report of any size.
+    Findings come by carrier, number, variant, time of edit where that is the order, validity and sequence number;
+    repeats by their key, and all by record in the end. In that order every row has its place, and each
+    `lines_per_part` of them are a part: put together, the parts of a report of any size are the report. No task takes a
+    whole report: places are counted by slices.
     """
-    sizes = findings.groupBy("archive_id").agg(F.count(F.lit(1)).alias("lines"))
-    big = F.coalesce(F.col("lines") > lines_per_part, F.lit(False))
-    columns = ["archive_id", "section_no", "step", "rule_no", "block", "sort", "text"]
+    columns = ["archive_id", "section_no", "step", "rule_no", "sort", "text"]
 
     def sort_key(**values):
-        parts = {"a": "int", "b": "int", "c": "int", "d": "date", "e": "int", "f": "string", "g": "long"}
+        parts = {"a": "int", "b": "int", "c": "int", "t": "timestamp_ntz", "d": "date", "e": "int", "f": "string", "g": "long", "h": "string"}
         return F.struct(*[values.get(n, F.lit(None)).cast(t).alias(n) for n, t in parts.items()])
 
     col = F.col
     body = findings.select(
         "archive_id", _place(SECTIONS, "section").alias("section_no"), F.lit(1).alias("step"),
-        _place(RULES, "rule").alias("rule_no"), F.floor(F.coalesce("rec_no", F.lit(0)) / lines_per_part).alias("block"),
-        sort_key(a=col("carrier"), b=col("number"), c=col("variant"), d=col("valid_from"), e=col("seq"), f=col("key"),
-                 g=col("rec_no")).alias("sort"),
+        _place(RULES, "rule").alias("rule_no"),
+        sort_key(a=col("carrier"), b=col("number"), c=col("variant"), t=col("edited"), d=col("valid_from"), e=col("seq"),
+                 f=F.when(~col("rule").isin(*BY_RECORD), col("key")), g=col("rec_no"), h=col("message")).alias("sort"),
         F.expr(texts.worded("\n\t{}\n", "message")).alias("text"),
     )
     # Names and names with codes are one pass over the stops and share a place.
@@ -82,26 +84,24 @@ def report_lines(
     )
     edges = F.explode(F.array(F.struct(F.lit(0).alias("step"), wording.alias("text")), F.struct(F.lit(2).alias("step"), total.alias("text"))))
     frame = summary.select("archive_id", _place(SECTIONS, "section").alias("section_no"), edges.alias("e")).select(
-        "archive_id", "section_no", "e.step", F.lit(0).alias("rule_no"), F.lit(0).cast("long").alias("block"),
-        sort_key().alias("sort"), "e.text",
+        "archive_id", "section_no", "e.step", F.lit(0).alias("rule_no"), sort_key().alias("sort"), "e.text",
     )
     before, after = parameter_text(options, when)
     company = F.expr(texts.worded(f"\t{texts.COMPANY}\n", "company"))
     head = manifest.select(
-        "archive_id", F.lit(-1).alias("section_no"), F.lit(0).alias("step"), F.lit(0).alias("rule_no"),
-        F.lit(0).cast("long").alias("block"), sort_key().alias("sort"),
+        "archive_id", F.lit(-1).alias("section_no"), F.lit(0).alias("step"), F.lit(0).alias("rule_no"), sort_key().alias("sort"),
         F.concat(F.lit(before), company, F.lit(after)).alias("text"),
     )
     lines = concat_frames([d.select(*columns) for d in (head, frame, body)])
-    lines = lines.join(manifest.select("archive_id", "company"), "archive_id", "left").join(sizes, "archive_id", "left")
-    part = ((col("section_no") + 1) * 3 + col("step")) * 10 + col("rule_no")
-    part = part.cast("long") * (1 << 40) + col("block")
+    order = ["section_no", "step", "rule_no", "sort"]
+    spot = position_of(*[col(c) for c in order])
+    hot = hot_groups(lines, ["archive_id"], spot, options.skew)
+    placed = with_rank(lines, ["archive_id"], order, "place", spot, hot)
     archive = F.regexp_replace("archive_id", r"(?i)\.zip$", "")
     name = F.concat_ws("_", file_safe(F.coalesce("company", F.lit(""))), file_safe(archive), F.lit(when.strftime(NAME_TIME)))
-    return lines.select(
-        F.concat(name, F.lit(".txt")).alias("doc"), F.when(big, part).otherwise(0).alias("part"),
-        "section_no", "step", "rule_no", F.when(big, F.col("block")).otherwise(0).alias("block"), "sort", "text",
-    )
+    placed = placed.join(manifest.select("archive_id", "company"), "archive_id", "left")
+    part = F.floor((col("place") - 1) / lines_per_part)
+    return placed.select(F.concat(name, F.lit(".txt")).alias("doc"), part.alias("part"), "place", "text")
 
 
 def write_report(
@@ -110,4 +110,4 @@ def write_report(
 ) -> None:
     """Save `{company}_{archive}_{ddMMyyyyHHmm}.txt` for every archive."""
     lines = report_lines(findings, summary, manifest, options, when or dt.datetime.now(), lines_per_part)
-    write_documents(lines, path, ["section_no", "step", "rule_no", "block", "sort"])
+    write_documents(lines, path, ["place"])
