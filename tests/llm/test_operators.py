@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,18 @@ def hash_long(value, seed):
     return signed(xxhash.xxh64_intdigest(int(value).to_bytes(8, "little", signed=True), seed & (1 << 64) - 1))
 
 
+def test_a_filter_on_verdicts_costs_no_more_than_the_verdicts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    found = quality.quality_verdicts(docs, labels)
+    seconds = {}
+    for test in ("true", "kept", "score > 0", "n_repeat_words > 3 and n_words > 100", "base_failed"):
+        start = time.monotonic()
+        found.where(test).write.format("noop").mode("overwrite").save()
+        seconds[test] = time.monotonic() - start
+    assert max(seconds.values()) < 3 * seconds["true"] + 5
+
+
 def test_quality_rules(spark):
     rng = random.Random(3)
     good = [prose(rng, rng.randint(55, 120)) for _ in range(30)]
@@ -356,6 +369,16 @@ def test_line_dedup(spark):
         assert (found[i].n_lines, found[i].n_removed) == (len(parts), len(parts) - len(kept))
         assert found[i].text == (None if t is None else "\n".join(kept))
     assert lines.without_boilerplate(frame(spark, texts).limit(0)).count() == 0
+    shuffled = lines.without_boilerplate(frame(spark, texts, sources=sources), sent_hashes=0)
+    assert rows_of(shuffled) == sorted(map(tuple, found.values()), key=repr)
+
+
+def test_sites_are_counted_exactly_near_the_threshold(spark):
+    """Also for small thresholds, empty site names and sites that come again."""
+    texts = ["a\nb\nc", "a\nb", "a", "c", "c"]
+    docs = frame(spark, texts, sources=["", "x", "x", "", None])
+    gone = {sites: {r.doc_id: r.text for r in lines.without_boilerplate(docs, sites=sites).collect()} for sites in (2, 3)}
+    assert gone == {2: {0: "c", 1: "", 2: "", 3: "c", 4: "c"}, 3: dict(enumerate(texts))}
 
 
 def test_longest_common_subsequence():

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that separate words, and those that count as symbols.
-SPACE = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
 BUCKETS = 1 << 16
@@ -24,19 +24,34 @@ THRESHOLD = -0.2
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; percent of words in repeated windows
 
 
-def _hashed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = docs.select(*more, F.col(id_col).alias("id"), text.alias("text"))
-    words = words.withColumn("words", F.filter(F.split("text", SPACE), lambda w: w != ""))
-    return words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+def _once(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
+    """The columns `keep`, and others that are made once for each row.
 
+    They come out of a generator, which no rule moves: plain columns would be put into their uses, and so be made again
+    for every element of a lambda, or a second time in a filter on the result.
+    """
+    row = F.explode(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))).alias("made")
+    return df.select(*keep, row).select(*keep, *[F.col(f"made.{n}").alias(n) for n in made])
 
-def _grams() -> Column:
-    """Buckets of the words and of the pairs of neighbours."""
-    return F.expr(
-        f"concat(transform(hashes, x -> cast(x & {BUCKETS - 1} as int)), zip_with(slice(hashes, 1, greatest(size(hashes) - 1, 0)),"
-        f" slice(hashes, 2, greatest(size(hashes) - 1, 0)), (x, y) -> cast(xxhash64(x, y) & {BUCKETS - 1} as int)))"
-    )
+
+def _replaced(c: Column, chars: str, by: str) -> Column:
+    for char in chars:
+        c = F.replace(c, F.lit(char), F.lit(by))
+    return c
+
+
+def _neighbours(array: str) -> Column:
+    """A hash of each element of an array of numbers and the one behind it."""
+    rest = f"greatest(size({array}) - 1, 0)"
+    return F.expr(f"zip_with(slice({array}, 1, {rest}), slice({array}, 2, {rest}), (x, y) -> xxhash64(x, y))")
+
+
+def _hashed(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """Adds `words`, and hashes of the words and of the pairs of neighbours."""
+    content = F.coalesce(F.col(text), F.lit(""))
+    rows = _once(rows, keep, words=F.array_remove(F.split(_replaced(content, SPACES[1:], " "), " "), ""))
+    rows = _once(rows, [*keep, "words"], hashes=F.transform("words", lambda w: F.xxhash64(w)))
+    return _once(rows, [*keep, "words", "hashes"], pairs=_neighbours("hashes"))
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id", quality_col: str = "quality", rows: int = TRUSTED_ROWS) -> DataFrame:
@@ -51,9 +66,10 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     The counts cover all documents. What reaches the driver is one number per bucket.
     """
     trusted = F.broadcast(trusted_ids(labels).withColumn("trusted", F.lit(1)))
-    rows = _hashed(docs, id_col, text_col).join(trusted, "id", "left")
-    grams = rows.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_grams()).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("good"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(trusted, "id", "left")
+    grams = _hashed(rows, "text", ["trusted"]).select(F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(F.concat("hashes", "pairs")).alias("gram"))
+    bucket = F.col("gram").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket")
+    counts = grams.groupBy(bucket).agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("good"))
     found = counts.collect()
     raw_all, good_all = sum(r.raw for r in found), sum(r.good for r in found)
     weights = [0.0] * BUCKETS
@@ -62,63 +78,71 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return weights
 
 
-def _repeated() -> Column:
-    """Words in windows of three that are found more than once; needs `windows`, a hash for each."""
-    return F.expr("""
-        case when size(array_distinct(windows)) = size(windows) then 0L else
-        aggregate(array_sort(transform(
-            transform(array(array_sort(transform(windows, (x, i) -> struct(x as hash, i as place)))),
-                s -> filter(s, (e, k) -> (k > 0 and s[greatest(k - 1, 0)].hash = e.hash)
-                    or (k < size(s) - 1 and s[least(k + 1, size(s) - 1)].hash = e.hash)))[0],
-            e -> e.place)),
-            named_struct('last', -3, 'total', 0L),
-            (a, p) -> named_struct('last', p, 'total', a.total + least(3, p - a.last)), a -> a.total) end""")
+def _repeated(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Adds `n_repeat_words`, the words in windows of three that are found more than once.
+
+    Windows are sorted by hash where any comes again; the places of those with an equal neighbour, sorted, cover three
+    words each, or as many as lie between one and the next.
+    """
+    rows = _once(rows, keep, windows=_neighbours("pairs"))
+    again = F.expr("""if(size(array_distinct(windows)) < size(windows),
+        sort_array(transform(windows, (x, i) -> struct(x as hash, i as place))), null)""")
+    rows = _once(rows, keep, by_hash=again)
+    places = F.expr("""sort_array(transform(filter(by_hash, (e, k) -> (k > 0 and by_hash[greatest(k - 1, 0)].hash = e.hash)
+        or (k < size(by_hash) - 1 and by_hash[least(k + 1, size(by_hash) - 1)].hash = e.hash)), e -> e.place))""")
+    rows = _once(rows, keep, places=places)
+    gaps = F.expr("zip_with(slice(places, 2, size(places) - 1), slice(places, 1, size(places) - 1), (b, a) -> least(3, b - a))")
+    covered = F.aggregate(gaps, F.lit(3).cast("long"), lambda total, gap: total + gap)
+    return _once(rows, keep, n_repeat_words=F.coalesce(covered, F.lit(0).cast("long")))
+
+
+def _judged(rows: DataFrame, text: str, keep: list[str], weights: list[float], threshold: float) -> DataFrame:
+    """The columns `keep`, of which no name is one of those made here, with all counts, the score and the verdict."""
+    table = F.split(F.lit(",".join(f"{w:.6g}" for w in weights)), ",").cast("array<double>")
+    kept = list(dict.fromkeys([*keep, text]))
+    rows = _hashed(rows, text, kept)
+
+    def total(array: str) -> Column:
+        weight = lambda x: F.get(table, x.bitwiseAND(BUCKETS - 1).cast("int"))
+        return F.aggregate(array, F.lit(0.0), lambda sum_, x: sum_ + weight(x))
+
+    content = F.coalesce(F.col(text), F.lit(""))
+    lines = F.filter(F.split(content, "\n"), lambda line: _replaced(line, SPACES, "") != "")
+    counts = {
+        "n_words": F.size("words").cast("long"),
+        "word_chars": F.char_length(F.array_join("words", "")).cast("long"),
+        "n_symbols": (F.char_length(content) - F.char_length(_replaced(content, SYMBOLS, ""))).cast("long"),
+        "n_dup_lines": F.get(F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x))), F.lit(0)).cast("long"),
+        "score": (total("hashes") + total("pairs")) / F.greatest(2 * F.size("words") - 1, F.lit(1)),
+    }
+    rows = _once(rows, [*kept, "pairs"], **counts)
+    rows = _repeated(rows, [*kept, *counts])
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    return rows.select(
+        *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", failed.alias("base_failed"),
+        (~failed & (F.col("score") >= threshold)).alias("kept"),
+    )
 
 
 def quality_verdicts(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-    more: tuple[str, ...] = (), weights: list[float] | None = None,
+    weights: list[float] | None = None,
 ) -> DataFrame:
-    """Counts, score and verdict for every row of `docs`; other columns are left out unless named in `more`.
+    """Counts, score and verdict for every row of `docs`; other columns are left out.
 
     Null texts count as empty. A text without words has score 0 and fails the base rules, as all with fewer than 50
     words do. Rows with a null or repeated id are judged each for itself; a null id is never trusted, and labels that
     are null or of unknown documents count for nothing. With no trusted document all scores are 0, which passes. Empty tables give an
-    empty result.
+    empty result. A filter on any column of the result costs no more than the result itself.
     """
     weights = bucket_weights(docs, labels, id_col, text_col) if weights is None else weights
-    table = F.split(F.lit(",".join(f"{w:.6g}" for w in weights)), ",").cast("array<double>")
-    rows = _hashed(docs, id_col, text_col, *more).select(
-        *more, "id", "text", "hashes", F.size("words").cast("long").alias("n_words"),
-        F.expr("""transform(filter(sequence(0, greatest(size(hashes) - 3, 0)), i -> size(hashes) >= 3),
-            i -> xxhash64(hashes[i], hashes[i + 1], hashes[i + 2]))""").alias("windows"),
-    )
-
-    def add(acc, x):
-        pair = F.element_at(table, F.xxhash64(acc["prev"], x).bitwiseAND(BUCKETS - 1).cast("int") + 1)
-        own = F.element_at(table, x.bitwiseAND(BUCKETS - 1).cast("int") + 1)
-        return F.struct((acc["sum"] + own + F.when(acc["prev"].isNull(), 0.0).otherwise(pair)).alias("sum"), x.alias("prev"))
-
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("prev"))
-    total = F.aggregate("hashes", start, add, lambda acc: acc["sum"])
-    chars = F.char_length("text")
-    lines = F.filter(F.split("text", "\n"), lambda line: F.translate(line, " \t\n\x0b\f\r", "") != "")
-    judged = rows.select(
-        *more, F.col("id").alias(id_col), "n_words",
-        F.char_length(F.translate("text", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        (chars - F.char_length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
-        _repeated().alias("n_repeat_words"),
-        (total / F.greatest(2 * F.col("n_words") - 1, F.lit(1))).alias("score"),
-    )
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    judged = judged.withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _judged(rows, "text", ["id"], weights, threshold).withColumnRenamed("id", id_col)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` with all their columns that `quality_verdicts` keeps."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col], docs[text_col])
-    judged = quality_verdicts(packed, labels, id_col, text_col, more=("row",), weights=bucket_weights(docs, labels, id_col, text_col))
-    # Filtered behind a generator: Spark would move the condition below the steps that build it and repeat them in it.
-    return judged.select("row", F.explode(F.array("kept")).alias("stays")).where("stays").select("row.*")
+    weights = bucket_weights(docs, labels, id_col, text_col)
+    numbered = docs.toDF(*[f"column_{i}" for i in range(len(docs.columns))])  # no name that the steps use
+    judged = _judged(numbered, numbered.columns[docs.columns.index(text_col)], numbered.columns, weights, THRESHOLD)
+    return judged.where("kept").select(numbered.columns).toDF(*docs.columns)
