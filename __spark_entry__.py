@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -461,6 +462,132 @@ def archive_audit_findings(spark, sf_dir):
     return findings.select("archive_id", "section", "rule", "rec_no", "message")
 
 
+# Archives whose headers differ: those of even number hold numbers and dates, the others text where others have numbers.
+ORDERS_PER_ARCHIVE, USERS_PER_ARCHIVE, CUSTOMERS_PER_ARCHIVE = 2000, 20, 200
+TIMETABLES = {
+    "linie": (
+        [("STATLINII", "N", 1, 0), ("NRF", "N", 5, 0), ("NRLINII", "N", 9, 0), ("WARLINII", "N", 3, 0), ("WAZNAOD", "D", 8, 0), ("WAZNADO", "D", 8, 0)],
+        [("STATLINII", "C", 1, 0), ("NRF", "N", 7, 1), ("NRLINII", "C", 9, 0), ("WARLINII", "N", 3, 0), ("WAZNAOD", "D", 8, 0), ("WAZNADO", "C", 10, 0)],
+    ),
+    "trasylinii": (
+        [("NRF", "N", 5, 0), ("NRLINII", "N", 9, 0), ("WARLINII", "N", 3, 0), ("WAZNAOD", "D", 8, 0), ("NRPRZYST", "N", 3, 0), ("KOD2", "N", 8, 0),
+         ("NAZPRZYST", "C", 12, 0)],
+        [("NRF", "C", 5, 0), ("NRLINII", "N", 11, 1), ("WARLINII", "C", 3, 0), ("WAZNAOD", "C", 10, 0), ("NRPRZYST", "C", 3, 0), ("KOD2", "C", 8, 0),
+         ("NAZPRZYST", "C", 12, 0)],
+    ),
+    "kursy": (
+        [("STATKURSU", "N", 1, 0), ("NRF", "N", 3, 0), ("NRKURSU", "N", 7, 0), ("WARIANT", "N", 2, 0), ("WAZNYOD", "D", 8, 0), ("WAZNYDO", "D", 8, 0)],
+        [("STATKURSU", "F", 3, 0), ("NRF", "C", 3, 0), ("NRKURSU", "F", 7, 0), ("WARIANT", "N", 2, 0), ("WAZNYOD", "D", 8, 0), ("WAZNYDO", "D", 8, 0)],
+    ),
+    "trasykursow": (
+        [("NRFK", "N", 3, 0), ("NRKURSU", "N", 7, 0), ("WARIANT", "N", 2, 0), ("WAZNYOD", "D", 8, 0), ("NRPRZYST", "N", 6, 0), ("KOD2", "N", 4, 0),
+         ("NAZPRZYST", "C", 12, 0), ("DATAOP", "D", 8, 0), ("GODZOP", "C", 8, 0)],
+        [("NRFK", "N", 3, 0), ("NRKURSU", "C", 7, 0), ("WARIANT", "C", 2, 0), ("WAZNYOD", "C", 10, 0), ("NRPRZYST", "F", 6, 0), ("KOD2", "F", 7, 2),
+         ("NAZPRZYST", "C", 12, 0), ("DATAOP", "C", 10, 0), ("GODZOP", "C", 8, 0)],
+    ),
+    "kasyfiskalne": (
+        [("LOGO", "C", 8, 0), ("NRFABR", "N", 10, 0), ("DATAPROD", "D", 8, 0), ("TYPBIL", "C", 10, 0), ("DATAZORF", "D", 8, 0), ("UWAGI", "C", 60, 0),
+         ("WERPSB", "C", 12, 0)],
+        [("LOGO", "C", 8, 0), ("NRFABR", "C", 10, 0), ("DATAPROD", "C", 10, 0), ("TYPBIL", "C", 10, 0), ("DATAZORF", "D", 8, 0), ("UWAGI", "C", 60, 0),
+         ("WERPSB", "N", 12, 2)],
+    ),
+    "pracownicy": (
+        [("NR_SLUZB", "N", 10, 0), ("IMIE", "C", 25, 0), ("NAZWISKO", "C", 12, 0), ("STATUS", "N", 1, 0), ("ETAT", "N", 12, 2)],
+        [("NR_SLUZB", "C", 10, 0), ("IMIE", "C", 25, 0), ("NAZWISKO", "C", 12, 0), ("STATUS", "C", 1, 0), ("ETAT", "F", 12, 2)],
+    ),
+    "kartypamieci": (
+        [("NRKP", "N", 9, 0), ("DATAPROD", "D", 8, 0), ("POJEMN", "N", 14, 2), ("TYP", "C", 16, 0), ("STATUS", "C", 1, 0), ("DATAREJ", "D", 8, 0)],
+        [("NRKP", "F", 9, 0), ("DATAPROD", "D", 8, 0), ("POJEMN", "F", 14, 2), ("TYP", "C", 16, 0), ("STATUS", "C", 1, 0), ("DATAREJ", "C", 10, 0)],
+    ),
+}
+
+
+def _day(c, odd):
+    """A date as its field holds it: packed where it is a date, with hyphens where it is text."""
+    return F.date_format(c, "yyyyMMdd") if odd is None else F.when(odd, F.date_format(c, "yyyy-MM-dd")).otherwise(F.date_format(c, "yyyyMMdd"))
+
+
+def packed_timetables(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of archives with timetables and devices made from orders, line items, events and customers."""
+    if ("timetables", sf_dir) in _packed:
+        return _packed["timetables", sf_dir]
+
+    def rows(name, source, number, order, **columns):
+        """Rows of one table, with their archive's number and their place in the file."""
+        values = {n: (c(odd) if callable(c) else c).cast("string") for odd in [number % 2 == 1] for n, c in columns.items()}
+        made = table(spark, sf_dir, source).select(
+            F.lit(name).alias("kind"), number.alias("number"), *[F.col(c).alias(f"by_{i}") for i, c in enumerate(order)],
+            *[c.alias(n) for n, c in values.items()],
+        )
+        place = F.row_number().over(Window.partitionBy("number").orderBy(*[f"by_{i}" for i in range(len(order))]))
+        return made.withColumn("rec_no", place).drop(*[f"by_{i}" for i in range(len(order))])
+
+    def fraction(c):
+        return lambda odd: F.when(odd, F.concat(c.cast("string"), F.lit(".0"))).otherwise(c.cast("string"))
+
+    def whole(c, per):
+        return F.floor(F.col(c) / per).cast("int")
+
+    order, line, user, event, one = F.col("o_orderkey"), F.col("l_orderkey"), F.col("user_id"), F.col("event_id"), F.lit(1)
+    status = F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "O", 1).otherwise(3)
+    until = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
+    opened = F.to_date(F.lit("1995-03-01"))
+    day, clock = F.col("ts").cast("date"), F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    in_orders, in_events = whole("o_orderkey", ORDERS_PER_ARCHIVE), whole("user_id", USERS_PER_ARCHIVE)
+    parts = [
+        rows("linie", "orders", in_orders, ["o_orderkey"], STATLINII=status, NRF=fraction(order % 5), NRLINII=order, WARLINII=one,
+             WAZNAOD=_day(opened, None), WAZNADO=lambda odd: _day(until, odd)),
+        rows("trasylinii", "lineitem", whole("l_orderkey", ORDERS_PER_ARCHIVE), ["l_orderkey", *LINE_ORDER], NRF=line % 5,
+             NRLINII=fraction(line), WARLINII=one, WAZNAOD=lambda odd: _day(opened, odd), NRPRZYST=F.col("l_linenumber"),
+             KOD2=lambda odd: F.when(F.col("l_suppkey") % 50 != 0, F.col("l_suppkey").cast("string")).when(odd, F.lit("x")).otherwise(F.lit("*****")),
+             NAZPRZYST=F.concat(F.lit("P"), "l_partkey")),
+        rows("kursy", "events", in_events, ["event_id"], STATKURSU=F.when(F.col("event_type") == "view", event % 5), NRF=user % 4, NRKURSU=user,
+             WARIANT=one, WAZNYOD=_day(day, None), WAZNYDO=F.lit(None)),
+        rows("trasykursow", "events", in_events, ["event_id"], NRFK=user % 4, NRKURSU=user, WARIANT=one, WAZNYOD=lambda odd: _day(day, odd),
+             NRPRZYST=clock, KOD2=F.when(F.col("event_type") != "click", F.length("event_type")), NAZPRZYST=F.col("event_type"),
+             DATAOP=lambda odd: _day(day, odd), GODZOP=F.date_format("ts", "HH:mm:ss")),
+        rows("kasyfiskalne", "events", in_events, ["event_id"], LOGO=F.when(user % 10 != 0, F.concat(F.lit("K"), user)), NRFABR=event,
+             DATAPROD=lambda odd: _day(day, odd), TYPBIL=F.when(F.col("event_type") == "error", "EMAR-105").otherwise("OTHER"),
+             DATAZORF=_day(day, None), UWAGI=F.substring("props", 1, 60),
+             WERPSB=F.when(F.col("value") > 1, F.col("value").cast("decimal(10,2)"))),
+        rows("pracownicy", "customer", whole("c_custkey", CUSTOMERS_PER_ARCHIVE), ["c_custkey"], NR_SLUZB=F.col("c_custkey"), IMIE=F.col("c_name"),
+             NAZWISKO=F.col("c_mktsegment"), STATUS=F.col("c_nationkey") % 10, ETAT=F.col("c_acctbal").cast("decimal(10,2)")),
+        rows("kartypamieci", "orders", in_orders, ["o_orderkey"], NRKP=order, DATAPROD=_day(F.col("o_orderdate"), None),
+             POJEMN=F.col("o_totalprice").cast("decimal(12,2)"), TYP=F.col("o_orderpriority"), STATUS=F.col("o_orderstatus"),
+             DATAREJ=lambda odd: _day(F.col("o_orderdate"), odd)),
+    ]
+    every = concat_frames(parts).withColumns({f"is_{t}": F.col("kind") == t for t in TIMETABLES})
+    every = every.withColumns({"archive_id": F.format_string("t%05d.zip", "number"), "company": F.concat(F.lit("K"), "number")})
+    folder = scratch_folder(spark)
+    for odd in (0, 1):
+        members = {f"{t}.dbf": (f"is_{t}", fields[odd]) for t, fields in TIMETABLES.items()}
+        pack_archives(every.where(F.col("number") % 2 == odd), folder, members)
+    _packed["timetables", sf_dir] = folder
+    return folder
+
+
+ROUTE_OPTIONS = AuditOptions(ref_date=dt.date(1996, 1, 1), only_active=False)
+
+
+def archive_route_findings(spark, sf_dir):
+    """Repeats in lines and courses read from archives of different headers."""
+    findings, _, _ = audit(spark, packed_timetables(spark, sf_dir), ROUTE_OPTIONS, AUDIT_DAY)
+    found = findings.where("rule = 'consecutive_stop'")
+    return found.select("archive_id", "section", "rec_no", "carrier", "number", "seq", "code", "status", "message")
+
+
+def archive_rejects(spark, sf_dir):
+    """Cells that could not be read, with the text that stood there."""
+    _, _, rejects = audit(spark, packed_timetables(spark, sf_dir), ROUTE_OPTIONS, AUDIT_DAY)
+    return rejects
+
+
+def archive_scripts(spark, sf_dir):
+    """Statements for machines, employees and cards read from archives of different headers."""
+    result, _ = start_data(spark, packed_timetables(spark, sf_dir), TODAY)
+    return result.scripts
+
+
 TEMPLATE = "-- dane początkowe\r\n--START\r\n-- stare\r\n--KONIEC\r\nCOMMIT;"
 
 
@@ -489,12 +616,14 @@ def script_files(spark, sf_dir):
 
 
 def report_files(spark, sf_dir):
+    """Every line of every report, with its place."""
     folder, out = packed_archives(spark, sf_dir), scratch_folder(spark)
     options, when = AuditOptions(), dt.datetime(2026, 12, 1, 8, 30)
     findings, summary, _ = audit(spark, folder, options, AUDIT_DAY)
     write_report(findings, summary, read_manifest(spark, folder), out, options, when)
-    lines = _lines_of(spark, out, "*.txt", None)
-    return lines.where("line like '\tPrzystan%'").select(F.substring_index("file", "/", -1).alias("file"), "line")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(out)
+    lines = F.posexplode(F.split(F.decode("content", "UTF-8"), "\n")).alias("place", "line")
+    return files.select(F.substring_index("path", "/", -1).alias("file"), lines)
 
 
 QUERIES = (
@@ -503,7 +632,7 @@ QUERIES = (
     device_recency, device_version_findings, device_version_flag, status_default, sql_literals, insert_statements,
     audit_summary, stop_audit, findings_table, matched_line_routes, line_audit, course_audit, course_audit_by_edit_time, timetable_rejects, machine_import,
     machine_findings, employee_import, card_import, script_counts, archive_members, archive_scan, archive_columns,
-    manifest, archive_audit, archive_audit_findings, script_files, report_files,
+    manifest, archive_audit, archive_audit_findings, archive_route_findings, archive_rejects, archive_scripts, script_files, report_files,
 )
 
 

@@ -153,6 +153,76 @@ PART_WINDOW = "window w as (partition by upper(p_name), p_size order by p_partke
 FULL = "rows between unbounded preceding and unbounded following"
 DEVICES = "select event_id, user_id, event_type, case when value < 2 then null else value end as v from events"
 
+# Archives of timetables and devices: those of odd number have text fields, and other forms of numbers and dates.
+TIMETABLE = "printf('t%05d.zip', {key} // {per})"
+LINE_ARCHIVE, EVENT_ARCHIVE = TIMETABLE.format(key="l_orderkey", per=2000), TIMETABLE.format(key="user_id", per=20)
+PLACE = "row_number() over (partition by {key} // {per} order by {order})"
+FILED_LINES = f"""
+select *, {LINE_ARCHIVE} as archive_id, (l_orderkey // 2000) % 2 = 1 as odd,
+ {PLACE.format(key="l_orderkey", per=2000, order="l_orderkey, " + LINE_ORDER)} as rec_no from lineitem
+"""
+FILED_EVENTS = f"select *, {EVENT_ARCHIVE} as archive_id, (user_id // 20) % 2 = 1 as odd, {PLACE.format(key='user_id', per=20, order='event_id')} as rec_no from events"
+FOUND_LINES = f"""
+select archive_id, 'lines' as section, rec_no, carrier, number, seq, cast(code as varchar) as code, status,
+ {ROUTE_MESSAGE.format(kind="Linia", end="a", day="'1995-03-01'")} as message from (
+select *, case o_orderstatus when 'F' then 'aktywna' when 'O' then 'projektowana' else 'zawieszona' end as status,
+ lag(seq) over w as prev_seq, lag(code) over w as prev_code, lag(name) over w as prev_name from (
+ select archive_id, rec_no, cast(l_orderkey % 5 as integer) as carrier, cast(l_orderkey as integer) as number, l_linenumber as seq,
+  l_suppkey as code, 'P' || l_partkey as name, o_orderstatus from ({FILED_LINES}) join orders on l_orderkey = o_orderkey
+  where l_suppkey % 50 <> 0 and (o_orderpriority = '5-LOW' or cast(o_orderdate as date) > date '1996-01-01'))
+window w as (partition by number order by seq, rec_no)) where seq > prev_seq and code = prev_code
+"""
+FOUND_COURSES = f"""
+select archive_id, 'courses' as section, rec_no, carrier, number, seq, cast(code as varchar) as code, status,
+ {ROUTE_MESSAGE.format(kind="Kurs", end="y", day="strftime(day, '%Y-%m-%d')")} as message from (
+select *, lag(seq) over w as prev_seq, lag(code) over w as prev_code, lag(name) over w as prev_name from (
+ select archive_id, rec_no, cast(user_id % 4 as integer) as carrier, cast(user_id as integer) as number, cast(ts as date) as day,
+  cast(hour(ts) * 3600 + minute(ts) * 60 + second(ts) as integer) as seq,
+  case when event_type <> 'click' then length(event_type) else -1 end as code, event_type as name, {COURSE_LABEL} as status
+ from ({FILED_EVENTS}) join (select user_id as owner, cast(ts as date) as from_day,
+  arg_min(case when event_type = 'view' then event_id % 5 end, event_id) filter (event_type = 'view') as first_view,
+  case when arg_min(event_type, event_id) = 'view' then arg_min(event_id % 5, event_id) end as stat from events group by all)
+ on user_id = owner and cast(ts as date) = from_day where stat is not null)
+window w as (partition by number, day order by seq, rec_no)) where seq > prev_seq and code = prev_code
+"""
+PLAIN_NUMBER = "case when contains({0}, '.') then rtrim(rtrim({0}, '0'), '.') else {0} end"
+FILED_MACHINES = f"""
+select archive_id, 'KasyFiskalne' as script, rec_no, {MACHINE_STATEMENT} as stmt from (select *, 'K' || user_id as logo,
+ case when event_type = 'error' then 'EMAR-105' else 'OTHER' end as typbil,
+ case when odd then {PLAIN_NUMBER.format("version")} else coalesce(version, '') end as werpsb from (select * exclude (props), substr(props, 1, 60) as props,
+  case when value > 1 then cast(cast(value as decimal(10,2)) as varchar) end as version from ({FILED_EVENTS})))
+where cast(ts as date) >= date '2024-01-16' and user_id % 10 <> 0
+"""
+FILED_EMPLOYEES = f"""
+select printf('t%05d.zip', c_custkey // 200) as archive_id, 'Pracownicy' as script,
+ {PLACE.format(key="c_custkey", per=200, order="c_custkey")} as rec_no, {EMPLOYEE_STATEMENT} as stmt from customer
+"""
+FILED_CARDS = f"""
+select printf('t%05d.zip', o_orderkey // 2000) as archive_id, 'KartyPamieci' as script,
+ {PLACE.format(key="o_orderkey", per=2000, order="o_orderkey")} as rec_no, {CARD_STATEMENT} as stmt from orders
+"""
+
+REPORT_HEAD = (
+    "'01/12/2026 08:30' || chr(10) || 'Parametry weryfikacji:' || chr(10) || chr(10) || chr(9) || 'Firma: Łódź ' || number || chr(10) || "
+    "chr(9) || 'Sprawdź współrzędne przystanków: nie' || chr(10) || chr(9) || 'Sprawdź administrację przystanków: tak' || chr(10) || chr(9) || "
+    "'Sprawdź linie/kursy firm obcych: tak' || chr(10) || chr(9) || 'Linie/kursy: tylko aktywne, data ważności do > 01/01/2018 lub pole puste' || chr(10)"
+)
+REPORT_RULE = "case rule when 'same_name' then 1 when 'same_name_and_code' then 1 when 'same_code' then 2 else 3 end"
+REPORT_PIECES = f"""
+select archive_id, -1 as section, 0 as step, 0 as rule_no, null as sort, 0 as rec_no, {REPORT_HEAD} as text from ({PACKED_ARCHIVES})
+union all select archive_id, 0, 0, 0, null, 0, chr(10) || chr(10) || 'Przystanki: ' || count(*) || chr(10) from stops group by archive_id
+union all select archive_id, 0, 1, {REPORT_RULE}, case when rule <> 'no_administration' then key end, rec_no, chr(10) || chr(9) || message || chr(10) from found
+union all select a.archive_id, 0, 2, 0, null, 0, case when n = 0 then chr(10) || chr(9) || 'Nie znaleziono błędów.' || chr(10)
+ else chr(10) || chr(10) || chr(9) || 'Znaleziono błędów: ' || n || chr(10) end from (
+ select archive_id, (select count(*) from found f where f.archive_id = p.archive_id) as n from ({PACKED_ARCHIVES}) p) a
+union all select archive_id, no, 0, 0, null, 0, chr(10) || chr(10) || head || ': 0' || chr(10)
+ from ({PACKED_ARCHIVES}) cross join (values (1, 'Linie'), (2, 'Kursy')) t(no, head)
+union all select archive_id, no, 1, 9, name, 0, chr(10) || chr(9) || 'Archiwum nie zawiera tabeli ' || name || '.' || chr(10)
+ from ({PACKED_ARCHIVES}) cross join (values (1, 'linie'), (1, 'trasylinii'), (2, 'kursy'), (2, 'trasykursow')) t(no, name)
+union all select archive_id, no, 2, 0, null, 0, chr(10) || chr(9) || 'Nie sprawdzono żadnych danych.' || chr(10)
+ from ({PACKED_ARCHIVES}) cross join (values (1), (2)) t(no)
+"""
+
 ORACLES = {
     "duplicate_name_groups": """
 select upper(p_name) as name_key, p_size as part_size, count(*) as members, count(*) - 1 as findings, min(p_partkey) as first_rec
@@ -274,7 +344,19 @@ cross join (values ('linie', 'lines'), ('trasylinii', 'lines'), ('kursy', 'cours
 select {SCRIPT_FILE} as file, {PACKED_STATEMENT} as line from ({PACKED})
 union all select {SCRIPT_FILE}, line from ({PACKED_ARCHIVES})
 cross join (values ('-- dane początkowe'), ('--START'), ('--KONIEC'), ('COMMIT;')) t(line)""",
-    "report_files": stop_findings(PACKED_STOPS, False) + """
+    "archive_route_findings": f"select * from ({FOUND_LINES}) union all select * from ({FOUND_COURSES})",
+    "archive_rejects": f"""
+select archive_id, 'trasylinii' as "table", rec_no, 'KOD2' as "column", case when odd then 'x' else '*****' end as value
+ from ({FILED_LINES}) join orders on l_orderkey = o_orderkey where l_suppkey % 50 = 0
+ and (not odd or o_orderpriority = '5-LOW' or cast(o_orderdate as date) > date '1996-01-01')
+union all select archive_id, 'trasykursow', rec_no, 'STATKURSU', null from ({FILED_EVENTS}) join (select user_id as owner,
+ cast(ts as date) as from_day, arg_min(event_type, event_id) as first_type from events group by all)
+ on user_id = owner and cast(ts as date) = from_day where first_type <> 'view'""",
+    "archive_scripts": f"{FILED_MACHINES} union all {FILED_EMPLOYEES} union all {FILED_CARDS}",
+    "report_files": stop_findings(PACKED_STOPS, False) + f"""
+, pieces as ({REPORT_PIECES}),
+reports as (select archive_id, string_split(string_agg(text, '' order by section, step, rule_no, sort nulls first, rec_no), chr(10)) as lines
+ from pieces group by archive_id)
 select 'Łódź ' || cast(substr(archive_id, 2, 7) as integer) || '_' || replace(archive_id, '.zip', '') || '_011220260830.txt' as file,
- chr(9) || message as line from found""",
+ cast(unnest(range(0, len(lines))) as integer) as place, unnest(lines) as line from reports""",
 }
