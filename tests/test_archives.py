@@ -98,6 +98,9 @@ def test_manifest(spark, folder):
         ("{\\rtf1{\\fonttbl{\\f0 A:B;}{\\f1 C;}}{\\colortbl;\\red0;}\\pard x\\par}", "x\n"),
         ("{\\rtf1 \\'a3\\'f3d\\'9f \\u321?\\u243\\'f3 {\\b bold} \\{z\\} a\\\\b}", "Łódź Łó bold {z} a\\b"),
         ("{\\rtf1 x\\tab y\\parx\\pard z}", "x\tyz"),
+        ("{\\rtf1 a{\\*\\x b{c{d{e{f{g{h{i}j}k}l}m}n}o}p}q}r{s{t{\\info u{v}}w}x}}", "aqrstwx"),
+        ("{\\rtf1{\\fonttbl" + "{\\f0 A" * 40 + "}" * 40 + "}b{\\pict{\\*\\c}d}{e}", "be"),
+        ("{\\rtf1 a}{\\*\\never closed {b", "a"),
         ("plain: 1\nnext \\par", "plain: 1\nnext \\par"),
     ],
 )

@@ -432,7 +432,29 @@ def read_table(
 
 # Escapes are parked on private characters while control words and groups are removed.
 _PARKED = {"\\\\": "\ue000", "\\{": "\ue001", "\\}": "\ue002"}
-_GROUP = r"(?:[^{}]++|\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\})*+"
+_HIDDEN = r"^\{\\(?:\*|fonttbl|colortbl|stylesheet|info|pict)"
+
+
+def _without_hidden_groups(rtf: Column) -> Column:
+    """The text without groups that are no text of the document, however deep groups lie within them.
+
+    A fold over the pieces that begin with a brace counts the depth, and leaves out all from the brace that opens such a
+    group to the one that closes it.
+    """
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("hidden"), F.array().cast("array<string>").alias("kept"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        opens, closes = piece.startswith("{"), piece.startswith("}")
+        depth = acc["depth"] + opens.cast("int")
+        hidden = F.when((acc["hidden"] == 0) & piece.rlike(_HIDDEN), depth).otherwise(acc["hidden"])
+        ends = closes & (hidden == depth)
+        kept = F.when(ends, F.substring(piece, 2, 1 << 30)).when(hidden == 0, piece).otherwise("")
+        return F.struct(
+            (depth - closes.cast("int")).alias("depth"), F.when(ends, 0).otherwise(hidden).alias("hidden"),
+            F.concat(acc["kept"], F.array(kept)).alias("kept"),
+        )
+
+    return F.aggregate(F.split(rtf, r"(?=[{}])"), start, step, lambda acc: F.array_join(acc["kept"], ""))
 
 
 def rtf_text(rtf: Column) -> Column:
@@ -440,7 +462,7 @@ def rtf_text(rtf: Column) -> Column:
     c = F.regexp_replace(rtf, r"[\r\n]+", "")
     for escape, parked in _PARKED.items():
         c = F.replace(c, F.lit(escape), F.lit(parked))
-    c = F.regexp_replace(c, r"\{\\(?:\*|fonttbl|colortbl|stylesheet|info|pict)" + _GROUP + r"\}", "")
+    c = _without_hidden_groups(c)
     c = F.regexp_replace(c, r"\\(?:par|line|sect|page)(?![a-z])(?:-?\d+)? ?", "\n")
     c = F.regexp_replace(c, r"\\tab(?![a-z]) ?", "\t")
     c = F.regexp_replace(c, r"\\~", "\u00a0")
