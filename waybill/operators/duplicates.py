@@ -65,6 +65,25 @@ def drop_same_name_and_code(
     return df.join(runs.where("same_code").select(*keys), keys, "left_anti")
 
 
+def with_runs(
+    df: DataFrame, keys: list[str], name: str, code: str, rec: str = "rec_no", skew: SkewRule = SkewRule()
+) -> DataFrame | None:
+    """Rows with the size of their group (`members`), its first member and whether its first two codes agree.
+
+    One shuffle and one sort serve the findings of a key and all that follows from them. None where a group is too large
+    for one task; then each of them is worked out for itself.
+    """
+    if hot_groups(df.select(*keys, rec), keys, position_of(F.col(rec)), skew) is not None:
+        return None
+    whole = Win.partitionBy(*keys).orderBy(rec).rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
+    return df.select(
+        "*",
+        F.count(F.lit(1)).over(whole).alias("members"),
+        F.first(member_text(F.col(name), F.col(code))).over(whole).alias("_first"),
+        F.first(code).over(whole).eqNullSafe(F.nth_value(code, 2).over(whole)).alias("same_code"),
+    )
+
+
 def _with_carry(rows: DataFrame, keys: list[str], rec: str, spot: Column, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their slices, and for each slice but the first of a long run the texts of all slices before it."""
     cut = with_slice(rows, keys, spot, hot).repartition(*keys, "_slice")
@@ -85,6 +104,7 @@ def duplicate_findings(
     rec: str = "rec_no",
     mode: str = "member",
     skew: SkewRule = SkewRule(),
+    marked: bool = False,
 ) -> DataFrame:
     """Repeats of a key, the last of `keys`, in record order.
 
@@ -94,6 +114,8 @@ def duplicate_findings(
     of the slices before it.
     mode `group`: one row per key, `listed` naming the first two members.
 
+    `marked` rows come from `with_runs` for the same key.
+
     Result: keys, `k`, the record number, `name`, `code`, `members`, `errors`, `same_code`, `listed`.
     """
     if mode == "group":
@@ -111,10 +133,11 @@ def duplicate_findings(
         )
     if mode not in ("member", "cumulative"):
         raise ValueError(f"unknown mode {mode!r}")
-    narrow = df.select(*dict.fromkeys([*keys, rec, name, code])).where(F.col(keys[-1]).isNotNull())
+    marks = ["members", "_first", "same_code"] if marked else []
+    narrow = df.select(*dict.fromkeys([*keys, rec, name, code]), *marks).where(F.col(keys[-1]).isNotNull())
     narrow = narrow.withColumn("_text", member_text(F.col(name), F.col(code)))
     spot = position_of(F.col(rec))
-    hot = hot_groups(narrow, keys, spot, skew)
+    hot = None if marked else hot_groups(narrow, keys, spot, skew)
     upto = F.collect_list("_text")
     also = {}
     if mode == "cumulative":
@@ -122,13 +145,7 @@ def duplicate_findings(
     carry = None
     if hot is None:
         # No group is large: its size and first members come from the same window as the places.
-        whole = Win.partitionBy(*keys).orderBy(rec).rowsBetween(Win.unboundedPreceding, Win.unboundedFollowing)
-        rows = narrow.select(
-            "*",
-            F.count(F.lit(1)).over(whole).alias("members"),
-            F.first("_text").over(whole).alias("_first"),
-            F.first(code).over(whole).eqNullSafe(F.nth_value(code, 2).over(whole)).alias("same_code"),
-        )
+        rows = narrow if marked else with_runs(narrow, keys, name, code, rec, SkewRule(min_bytes=1 << 62))
         ranked = with_rank(rows.where("members > 1"), keys, [rec], "k", also=also)
     else:
         rows = _repeated(narrow, keys, rec)

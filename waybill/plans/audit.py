@@ -24,7 +24,7 @@ from ..functions.scalars import (
     to_ts_or_min,
     upper_key,
 )
-from ..operators.duplicates import drop_same_name_and_code, duplicate_findings
+from ..operators.duplicates import drop_same_name_and_code, duplicate_findings, with_runs
 from ..operators.filters import check_ref_date, filter_active, filter_carrier, filter_valid, missing_rows
 from ..operators.findings import as_findings, concat_frames, readable, rejected, section_counts, summarise, unread_cells
 from ..operators.joins import first_match_join
@@ -62,7 +62,10 @@ def audit_stops(stops: DataFrame, options: AuditOptions = AuditOptions()) -> Aud
     named = stops.where("NAZWA is not null").withColumn("name_key", upper_key(F.col("NAZWA")))
     by_name = ["archive_id", "name_key"]
     mode = options.duplicate_mode
-    names = duplicate_findings(named, by_name, "NAZWA", "KOD2", mode=mode, skew=options.skew)
+    marked = with_runs(named, by_name, "NAZWA", "KOD2", skew=options.skew) if mode != "group" else None
+    names = duplicate_findings(
+        named if marked is None else marked, by_name, "NAZWA", "KOD2", mode=mode, skew=options.skew, marked=marked is not None
+    )
     both, name_only = [texts.worded(w, "listed") for w in (texts.SAME_NAME_AND_CODE, texts.SAME_NAME)]
     shared = {"rec_no": "rec_no", "members": "k", "errors": "errors", "code": "KOD2", "name": "NAZWA"}
     found = [
@@ -71,7 +74,10 @@ def audit_stops(stops: DataFrame, options: AuditOptions = AuditOptions()) -> Aud
             message=f"if(same_code, {both}, {name_only})", **shared,
         )
     ]
-    kept = drop_same_name_and_code(named, by_name, "NAZWA", "KOD2")
+    if marked is None:
+        kept = drop_same_name_and_code(named, by_name, "NAZWA", "KOD2")
+    else:
+        kept = marked.where("members = 1 or not same_code").select(named.columns)
     coded = kept.where("KOD2 is not null") if options.blank_is_key else kept.where(~is_blank(F.col("KOD2")))
     codes = duplicate_findings(coded, ["archive_id", "KOD2"], "NAZWA", "KOD2", mode=mode, skew=options.skew)
     message = texts.worded(texts.SAME_CODE, "listed")
