@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from driver_archives import pack_archives, scratch_folder  # noqa: E402
+from driver_archives import pack_archives, scratch_folder, write_file  # noqa: E402
 from waybill.functions.codepages import decode  # noqa: E402
 from waybill.functions.literals import insert_statement, sql_date, sql_value  # noqa: E402
 from waybill.functions.scalars import default_status, line_status, upper_key  # noqa: E402
@@ -592,10 +592,8 @@ TEMPLATE = "-- dane początkowe\r\n--START\r\n-- stare\r\n--KONIEC\r\nCOMMIT;"
 
 
 def _write_templates(folder: str) -> None:
-    os.makedirs(folder, exist_ok=True)
     for name in ("KasyFiskalne", "Pracownicy", "KartyPamieci"):
-        with open(f"{folder}/import_{name}.sql", "wb") as f:
-            f.write(TEMPLATE.encode("cp1250"))
+        write_file(folder, f"import_{name}.sql", TEMPLATE.encode("cp1250"))
 
 
 def _lines_of(spark, folder, pattern, codepage):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
 import struct
 import sys
 import tempfile
@@ -14,6 +13,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+from waybill.sinks.documents import file_system
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -58,11 +59,23 @@ def zip_bytes(members: dict, stored: bool = False) -> bytes:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """New folder for packed archives: in the cluster's shared folder, or a temporary one where none is named."""
+    """New folder in the cluster's shared folder, or where none is named and all runs on this machine, a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        return tempfile.mkdtemp(prefix="archives-")
-    return os.path.join(shared.removeprefix("file:"), f"archives-{uuid.uuid4().hex}")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="archives-")
+    return f"{shared.rstrip('/')}/archives-{uuid.uuid4().hex}"
+
+
+def write_file(folder: str, name: str, content: bytes) -> None:
+    """Write a file whole, under another name first."""
+    system, root = file_system(folder)
+    system.create_dir(root, recursive=True)
+    draft = f"{root}/.{uuid.uuid4().hex}"
+    with system.open_output_stream(draft) as f:
+        f.write(content)
+    system.move(draft, f"{root}/{name}")
 
 
 def pack_archives(df: DataFrame, folder: str, tables: dict, manifest: str = "company") -> int:
@@ -80,11 +93,7 @@ def pack_archives(df: DataFrame, folder: str, tables: dict, manifest: str = "com
             chosen = pdf[pdf[pick]] if pick else pdf
             cells = chosen[[f[0] for f in fields]].astype(object)
             members[f"bazy/{member}"] = dbf_bytes(fields, cells.where(cells.notna(), None).values.tolist())
-        os.makedirs(folder, exist_ok=True)
-        scratch = os.path.join(folder, f".{uuid.uuid4().hex}")
-        with open(scratch, "wb") as f:
-            f.write(zip_bytes(members))
-        os.replace(scratch, os.path.join(folder, name))
+        write_file(folder, name, zip_bytes(members))
         return pd.DataFrame({"archive_id": [name]})
 
     return df.groupBy("archive_id").applyInPandas(pack, "archive_id string").count()
