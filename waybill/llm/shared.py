@@ -28,6 +28,8 @@ class Landing:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, shared_folder(spark, name)
         self._fs, root = self._path(self.root)
+        root = self._fs.makeQualified(root)
+        self.root = root.toString()  # a whole address: tasks that write files themselves know no default file system
         self._fs.deleteOnExit(root)
 
     def _path(self, path: str):

@@ -19,12 +19,13 @@ from pyspark.sql.window import Window
 
 from .dac import DacFile, to_bytes
 from .shared import Landing, worker_store
-from .words import PIECE_BYTES, Hasher, mixed
+from .words import PIECE_BYTES, Hasher, mixed, slices
 
 END_ID = 2
-FILE_TOKENS = 8_000_000  # tokens after which a file is closed
-BATCH_CHARS = 2 << 20
-CACHED_PIECES = 1_500_000
+FILE_TOKENS = 2_000_000  # tokens after which a file is closed
+BATCH_CHARS = 1 << 19  # of text encoded at a time
+CACHED_PIECES = 1_000_000  # of about 40 bytes each
+READ_TOKENS = 16_000_000  # tokens that a task reads back
 
 # Code points up to here are cut into pieces here; texts with others, with rare white space or with the text of an added
 # token, by the library.
@@ -42,12 +43,21 @@ class PieceEncoder:
     cut here, each different piece is encoded once by the library, and the ids are put together with numpy.
     """
 
+    added: list[str] = []  # texts with one of these are left to the library
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self._prepare()
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts by the library."""
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _prepare(self):
         kinds = [unicodedata.category(chr(c))[0] for c in range(KNOWN)]
         self.classes = np.array([LETTER if k == "L" else DIGIT if k == "N" else OTHER for k in kinds], np.int8)
         self.classes[[9, 10, 11, 12, 13, 32]] = SPACE
@@ -96,14 +106,14 @@ class PieceEncoder:
         if len(missing):
             if len(self.keys) + len(missing) > CACHED_PIECES:
                 self._forget()
-                missing = np.arange(len(hashes))
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([text_of(i) for i in missing], add_special_tokens=False)]
+                found, missing = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+            got = self.encode_all([text_of(i) for i in missing])
             length = np.array([len(g) for g in got], np.int64)
             at = len(self.ids) + np.cumsum(length) - length
             self.ids = np.concatenate([self.ids, np.array([i for g in got for i in g], np.uint32)])
-            keys = np.concatenate([self.keys, hashes[missing]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.at, self.length = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.length, length])[order]
+            place = np.searchsorted(self.keys, hashes[missing])  # both are sorted, and stay so
+            self.keys = np.insert(self.keys, place, hashes[missing])
+            self.at, self.length = np.insert(self.at, place, at), np.insert(self.length, place, length)
             found = np.searchsorted(self.keys, hashes)
         return self.at[found], self.length[found]
 
@@ -151,9 +161,8 @@ class PieceEncoder:
         rest = sorted(set(range(len(texts))) - set(known))
         rest = [i for i in rest if texts[i]]
         if rest:
-            coded = self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
-            for i, e in zip(rest, coded):
-                out[i] = np.array(e.ids, np.uint32)
+            for i, ids in zip(rest, self.encode_all([texts[i] for i in rest])):
+                out[i] = np.array(ids, np.uint32)
         return out
 
 
@@ -164,11 +173,15 @@ def encoder_of(path: str) -> PieceEncoder:
     return store[path]
 
 
+def _local(folder: str) -> str | None:
+    """Path of a folder that is one of this machine, or of a file system all machines have mounted."""
+    return "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith("file:") else None
+
+
 def _write_file(folder: str, name: str, content: bytes) -> None:
     """Write under another name and rename, so that a lost or doubled task leaves whole files only."""
-    draft = f"_{name}-{uuid.uuid4().hex}"
-    if folder.startswith("file:") or "://" not in folder:
-        root = "/" + folder.removeprefix("file:").lstrip("/")
+    draft, root = f"_{name}-{uuid.uuid4().hex}", _local(folder)
+    if root is not None:
         os.makedirs(root, exist_ok=True)
         with open(f"{root}/{draft}", "wb") as f:
             f.write(content)
@@ -183,8 +196,20 @@ def _write_file(folder: str, name: str, content: bytes) -> None:
     system.move(f"{root}/{draft}", f"{root}/{name}")
 
 
+def _read_file(folder: str, name: str) -> bytes:
+    root = _local(folder)
+    if root is not None:
+        with open(f"{root}/{name}", "rb") as f:
+            return f.read()
+    from pyarrow import fs
+
+    system, root = fs.FileSystem.from_uri(folder)
+    with system.open_input_file(f"{root}/{name}") as f:
+        return f.read()
+
+
 def _writer(folder: str, path: str, end_id: int, file_tokens: int):
-    """Rows (id, text) of one range in order to (file, documents, tokens) of the files written."""
+    """Rows (id, text) of one range in order to (part, file, documents, tokens) of the files written."""
 
     def write(batches):
         from pyspark import TaskContext
@@ -196,19 +221,19 @@ def _writer(folder: str, path: str, end_id: int, file_tokens: int):
             name = f"part-{part:07d}-{count:05d}.dac"
             bounds = np.concatenate([[0], np.cumsum([len(c) for c in coded])])
             _write_file(folder, name, to_bytes(ids, bounds, np.concatenate(coded)))
-            return pa.RecordBatch.from_pydict({"file": [name], "documents": [len(ids)], "tokens": [size]})
+            return pa.RecordBatch.from_pydict(
+                {"part": pa.array([part], pa.int32()), "file": [name], "documents": [len(ids)], "tokens": [size]}
+            )
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                numbers = batch.column(0).slice(at, 1000).to_pylist()
-                texts = [t or "" for t in batch.column(1).slice(at, 1000).to_pylist()]
-                for number, tokens in zip(numbers, encoder.encode(texts)):
-                    ids.append(number)
-                    coded.append(np.append(tokens, np.uint32(end_id)))
-                    size += len(tokens) + 1
-                    if size >= file_tokens:
-                        yield close()
-                        ids, coded, size, count = [], [], 0, count + 1
+        for batch in slices(batches, most=BATCH_CHARS):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for number, tokens in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                ids.append(number)
+                coded.append(np.append(tokens, np.uint32(end_id)))
+                size += len(tokens) + 1
+                if size >= file_tokens:
+                    yield close()
+                    ids, coded, size, count = [], [], 0, count + 1
         if ids:
             yield close()
 
@@ -219,45 +244,60 @@ def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
     file_tokens: int = FILE_TOKENS,
 ) -> DataFrame:
-    """Write files of `docs` in ascending order of id below `folder`; (file, documents, tokens) of each file.
+    """Write files of `docs` in ascending order of id below `folder`; (part, file, documents, tokens) of each file.
 
+    Ids are whole numbers of 64 bits, or text that spells one; other text is an error, as the files have no place for it.
     Null ids come first, rows with the same id by a hash of the text and then the text. Null texts are empty: their
-    only token is the end id, which follows each document. No rows give no file.
+    only token is the end id, which follows each document. No rows give no file. `folder` is a whole address of a
+    shared file system.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    return ranged.mapInArrow(_writer(folder, tokenizer, end_id, file_tokens), "file string, documents long, tokens long")
-
-
-def _reader(batches):
-    """Rows (content, first) of files to (doc_id, start, n_tokens, ids_crc32) of their documents."""
-    for batch in batches:
-        for content, first in zip(batch.column(0), batch.column(1)):
-            file = DacFile(content.as_buffer())
-            bounds, checks = file.bounds, []
-            step = 1 << 20
-            block, held = np.empty(0, np.uint32), (0, 0)
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                if b > held[1]:
-                    held = (a, min(max(b, a + step), file.n_tokens))
-                    block = file.tokens(*held)
-                checks.append(zlib.crc32(block[a - held[0] : b - held[0]].astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(file.doc_ids, pa.int64()), pa.array(bounds[:-1] + first.as_py()), pa.array(np.diff(bounds)),
-                 pa.array(checks, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+    return ranged.mapInArrow(_writer(folder, tokenizer, end_id, file_tokens), "part int, file string, documents long, tokens long")
+
+
+def _reader(folder: str):
+    """Rows (file, first) to (doc_id, start, n_tokens, ids_crc32) of the documents in the files."""
+
+    def read(batches):
+        for batch in batches:
+            for name, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                file = DacFile(_read_file(folder, name))
+                bounds, checks = file.bounds, []
+                step = 1 << 20
+                block, held = np.empty(0, np.uint32), (0, 0)
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    if b > held[1]:
+                        held = (a, min(max(b, a + step), file.n_tokens))
+                        block = file.tokens(*held)
+                    checks.append(zlib.crc32(block[a - held[0] : b - held[0]].astype("<u4").tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(file.doc_ids, pa.int64()), pa.array(bounds[:-1] + first), pa.array(np.diff(bounds)), pa.array(checks, pa.int64())],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                )
+
+    return read
+
+
+def first_tokens(files: DataFrame) -> DataFrame:
+    """(file, first): how many tokens come before each file; sums of whole parts, and of files within a part."""
+    ahead = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("tokens").alias("tokens"))  # a row for each writing task
+    parts = parts.select("part", F.coalesce(F.sum("tokens").over(ahead(Window.orderBy("part"))), F.lit(0)).alias("before"))
+    within = F.coalesce(F.sum("tokens").over(ahead(Window.partitionBy("part").orderBy("file"))), F.lit(0))
+    return files.withColumn("within", within).join(parts, "part").select("file", (F.col("before") + F.col("within")).alias("first"))
 
 
 def read_tokens(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the files of `folder`, from the files themselves."""
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = files.select("file", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("first"))
-    stored = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.dac").load(folder)
-    stored = stored.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    joined = stored.join(F.broadcast(firsts), "file").select("content", "first")
-    return joined.mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the files of `folder`, from the files themselves.
+
+    Names and first places are dealt out to tasks, which open the files; no content is shuffled.
+    """
+    count, tokens = files.agg(F.count(F.lit(1)), F.sum("tokens")).first()
+    tasks = max(1, min(count, max(2 * spark.sparkContext.defaultParallelism, (tokens or 0) // READ_TOKENS)))
+    dealt = first_tokens(files).repartition(tasks, "file")
+    return dealt.mapInArrow(_reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
