@@ -12,8 +12,6 @@ others by shuffle, where no key has more rows than the least of the frequent one
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,16 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .bpe import Remembered, cuts_of, portable
 from .shared import Landing, worker_store
+from .tokens import PieceEncoder
 from .words import slices
 
 BROADCAST_PAIRS = 500_000  # of 17 bytes each
 SEGMENT_BYTES = 1 << 20  # of text that a task aligns at a time
 SPACE_MARK = "▁"  # fixed value: how sentencepiece writes a space
 
-# The pattern of the byte-level pre-tokenizer, and its bytes that stand for themselves.
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Bytes that stand for themselves in byte-level vocabularies.
 PRINTED = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 
@@ -41,99 +38,86 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Side:
-    """One tokenizer over texts that have a space put before them.
-
-    Texts are cut where no token reaches over the cut, and each different cut is encoded once. Cuts whose tokens' bytes
-    are not the cut's own make the text be encoded whole.
-    """
-
-    bytes_of: list[bytes]
-
-    def __init__(self):
-        self.remembered, self.changed = Remembered(self._encode_all), False
-        self.sizes = np.array([len(b) for b in self.bytes_of])
-
-    def _encode_all(self, cuts: list[str]) -> list[list[int]]:
-        coded = self.encode_cuts(cuts)
-        self.changed |= any(not self._same(ids, cut) for ids, cut in zip(coded, cuts))
-        return coded
-
-    def _same(self, ids: list[int], text: str) -> bool:
-        return b"".join(map(self.bytes_of.__getitem__, ids)) == text.encode()
-
-    def tokens(self, text: str) -> np.ndarray | None:
-        """Ids of a text; None where the bytes of the tokens are not those of a space and the text."""
-        if self.cuttable(text):
-            self.changed = False
-            coded = b"".join([self.remembered.code(cuts) for cuts in cuts_of(self.cutter, " " + text)])
-            if not self.changed:
-                return np.frombuffer(coded, "<u4").astype(np.int64)
-            self.remembered = Remembered(self._encode_all)
-        ids = self.encode_whole(text)
-        return np.array(ids, np.int64) if self._same(ids, " " + text) else None
-
-
-class ByteLevelSide(Side):
+class ByteLevelSide(PieceEncoder):
     """A byte-level BPE of the tokenizers library, which takes the strings of special tokens as plain text."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        super().__init__(path)
+        self.tokenizer.encode_special_tokens, self.added = True, []
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         chars = byte_of_char()
-        self.bytes_of = [b""] * (max(vocabulary.values()) + 1)
+        bytes_of = [b""] * (max(vocabulary.values()) + 1)
         for piece, i in vocabulary.items():
-            self.bytes_of[i] = bytes(chars[c] for c in piece) if all(c in chars for c in piece) else piece.encode()
-        self.cutter = regex.compile(portable(BYTE_LEVEL))
-        # Characters that tables of Unicode of another year may class otherwise are left to the library.
-        self.rare = regex.compile("[\x1c-\x1f\x85\xa0]|[^\x00-\u024f]")
-        super().__init__()
+            bytes_of[i] = bytes(chars[c] for c in piece) if all(c in chars for c in piece) else piece.encode()
+        self.spelling = Spelling(bytes_of)
 
-    def cuttable(self, text: str) -> bool:
-        return not self.rare.search(text)
 
-    def encode_cuts(self, cuts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False)]
-
-    def encode_whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
-
-
-class PieceSide(Side):
+class PieceSide(PieceEncoder):
     """A sentencepiece model that puts a space before each text; cut before each run of spaces.
 
-    No token reaches over such a cut where no piece has a space behind another character. The model adds the first
-    space of each cut.
+    No token reaches over such a cut where no piece has a space behind another character. Texts come with their first
+    space, and so does each cut: the model adds it.
     """
 
     def __init__(self, path: str):
-        import regex
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes_of = [
-            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)
-        ]
-        self.cutter = regex.compile(r" +[^ ]*")
-        self.no_inner_space = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
+        if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces):
+            self.added = [" "]  # no text is cut
         self.space = self.model.piece_to_id(SPACE_MARK)
-        super().__init__()
+        self.spelling = Spelling(
+            [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
+        )
+        self._prepare()
+
+    def piece_starts(self, points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        begin = points == 32
+        begin[1:] &= points[:-1] != 32
+        begin[cuts] = True
+        return np.flatnonzero(begin)
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        coded = self.model.encode([text[1:] for text in texts], num_threads=1)
+        return [ids if text != " " else [self.space] for text, ids in zip(texts, coded)]
+
 
-    def cuttable(self, text: str) -> bool:
-        return self.no_inner_space and SPACE_MARK not in text
+class Spelling:
+    """The bytes of tokens, for spelling whole texts at once."""
 
-    def encode_cuts(self, cuts: list[str]) -> list[list[int]]:
-        coded = self.model.encode([cut[1:] for cut in cuts], num_threads=1)
-        return [ids if cut != " " else [self.space] for cut, ids in zip(cuts, coded)]
+    def __init__(self, bytes_of: list[bytes]):
+        self.bytes_of = bytes_of
+        self.sizes = np.array([len(b) for b in bytes_of])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(bytes_of), np.uint8)
 
-    def encode_whole(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[ids] - ends + sizes, sizes)]
+
+    def spells(self, ids: np.ndarray, content: bytes) -> bool:
+        return np.array_equal(self.spelled(ids), np.frombuffer(content, np.uint8))
+
+
+def tokens_of(side: PieceEncoder, texts: list[str]) -> list[np.ndarray | None]:
+    """Ids of each text with a space before it; None where the bytes of the tokens are not those of the two.
+
+    Cuts are remembered by a hash. A text whose tokens by cuts spell other bytes, by chance of two equal hashes or as the
+    tokenizer changes texts, is encoded whole.
+    """
+    texts = [" " + text for text in texts]
+    out: list = []
+    for text, ids in zip(texts, side.encode(texts)):
+        content = text.encode()
+        if not side.spelling.spells(ids, content):
+            ids = np.array(side.encode_all([text])[0], np.uint32)
+            if not side.spelling.spells(ids, content):
+                out.append(None)
+                continue
+        out.append(ids.astype(np.int64))
+    return out
 
 
 def follow(pointers: np.ndarray) -> np.ndarray:
@@ -209,24 +193,24 @@ def _tools(a_path: str, b_path: str) -> tuple[ByteLevelSide, PieceSide, Written]
     store = worker_store("alignment")
     if (a_path, b_path) not in store:
         a, b = ByteLevelSide(a_path), PieceSide(b_path)
-        store[a_path, b_path] = a, b, Written(len(a.bytes_of), len(b.bytes_of))
+        store[a_path, b_path] = a, b, Written(len(a.spelling.sizes), len(b.spelling.sizes))
     return store[a_path, b_path]
 
 
-def _aligned_batch(texts: list, a_side: Side, b_side: Side, written: Written) -> dict[str, pa.Array]:
+def _aligned_batch(texts: list, a_side: PieceEncoder, b_side: PieceEncoder, written: Written) -> dict[str, pa.Array]:
     """Columns of the result for some texts; all of them lie one after another, as no group reaches over their bounds."""
     nothing = np.empty(0, np.int64)
-    a_of, b_of = [], []
-    for text in texts:
-        a = a_side.tokens(text) if text else None
-        b = b_side.tokens(text) if a is not None else None
-        a_of.append(a if b is not None else nothing)
-        b_of.append(b if b is not None else nothing)
     n = len(texts)
+    a_of, b_of = [nothing] * n, [nothing] * n
+    some = [i for i, text in enumerate(texts) if text]
+    chosen = [texts[i] for i in some]
+    for i, a, b in zip(some, tokens_of(a_side, chosen), tokens_of(b_side, chosen)):
+        if a is not None and b is not None:
+            a_of[i], b_of[i] = a, b
     n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_of, b_of))
     a_ids, b_ids = np.concatenate([nothing, *a_of]), np.concatenate([nothing, *b_of])
     del a_of, b_of
-    a_ends, b_ends = np.cumsum(a_side.sizes[a_ids]), np.cumsum(b_side.sizes[b_ids])
+    a_ends, b_ends = np.cumsum(a_side.spelling.sizes[a_ids]), np.cumsum(b_side.spelling.sizes[b_ids])
     text_of = np.repeat(np.arange(n), n_a)
     n_groups, n_links = np.zeros(n, np.int64), np.zeros(n, np.int64)
     parts: list[list[bytes]] = [[] for _ in range(n)]

@@ -84,34 +84,45 @@ class Remembered:
     """Codes of cuts of text, each different cut being encoded once as long as it is remembered.
 
     `encode_all` gives the ids of each of a list of cuts; a code is its ids as little-endian unsigned 32-bit integers.
+    Cuts come in two generations: when the younger has half of the memory, the older one is forgotten but for the cuts
+    that came again, so that common cuts stay however many others pass by.
     """
 
     def __init__(self, encode_all):
         self.encode_all = encode_all
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
 
-    def _learn(self, cuts) -> dict[str, bytes]:
-        """Codes of the cuts that are not remembered."""
-        new = list(set(cuts).difference(self.known))
-        codes = {cut: struct.pack(f"<{len(ids)}I", *ids) for cut, ids in zip(new, self.encode_all(new))}
-        kept = {cut: code for cut, code in codes.items() if len(cut) <= LONG_CUT}
-        size = sum(200 + 2 * len(cut) + len(code) for cut, code in kept.items())
-        if self.size + size > CACHE_BYTES:
-            self.known, self.size = {}, 0
-        if size <= CACHE_BYTES:
-            self.known.update(kept)
-            self.size += size
-        return codes
+    def _learn(self, cuts) -> list[str]:
+        """Makes all cuts known; gives those that are too long to be kept."""
+        new = set(cuts).difference(self.known)
+        again = {cut: self.older[cut] for cut in new if cut in self.older}
+        unknown = list(new.difference(again))
+        for cut, ids in zip(unknown, self.encode_all(unknown)):
+            again[cut] = struct.pack(f"<{len(ids)}I", *ids)
+        self.known.update(again)
+        self.size += sum(200 + 2 * len(cut) + len(code) for cut, code in again.items() if len(cut) <= LONG_CUT)
+        return [cut for cut in unknown if len(cut) > LONG_CUT]
+
+    def _forget(self, long: list[str]) -> None:
+        for cut in long:
+            del self.known[cut]
+        if self.size > CACHE_BYTES // 2:
+            self.known, self.older, self.size = {}, self.known, 0
+
+    def codes(self, groups: list[list[str]]) -> list[bytes]:
+        """For each group of cuts, their codes one after another."""
+        long = self._learn(itertools.chain.from_iterable(groups))
+        out = [b"".join(map(self.known.__getitem__, cuts)) for cuts in groups]
+        self._forget(long)
+        return out
 
     def code(self, cuts: list[str]) -> bytes:
-        """The codes of all cuts, one after another."""
         try:
             return b"".join(map(self.known.__getitem__, cuts))
         except KeyError:
-            before = self.known
-            new = self._learn(cuts)
-            return b"".join([new[cut] if cut in new else before[cut] for cut in cuts])
+            return self.codes([cuts])[0]
 
 
 def cuts_of(cutter, text: str):
