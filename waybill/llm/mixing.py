@@ -49,12 +49,12 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def _rank(rows: DataFrame, landing: Landing) -> DataFrame:
-    """Adds `rank`, the place among all rows of the source by (size, draw, id), without a task for a whole source.
+    """Adds `rank`, the place among all rows of the source by (size, draw, id, tie), without a task for a whole source.
 
     Rows are sorted into ranges and numbered on; the first number and the count of each source in each range, summed up
     over earlier ranges, turn numbers into ranks.
     """
-    order = [F.col("source").asc_nulls_last(), "size", "draw", F.col("id").asc_nulls_last()]
+    order = [F.col("source").asc_nulls_last(), "size", "draw", F.col("id").asc_nulls_last(), "tie", "other_tie"]
     number = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("number", number)
     ranged = landing.land(ranged.withColumn("range", F.shiftright("number", 33)), "ranges")
@@ -76,14 +76,16 @@ def mixture(
     The draw that orders documents of equal size and the offset of a source come from hashes of the id, the source and
     the seed, so reruns agree. Null texts have size 0; null is a source of its own, the last. Documents of size 0 are
     drawn like others, though they take no words; a source without words has target 0 and none of it is taken. Rows
-    that agree in id and size are told apart by nothing, so which of them is taken is open, but not how many. Empty
-    tables give an empty result.
+    that agree in id, size and source come in the order of two hashes of their text and of the columns in `keep`, so it
+    makes no difference how the table is partitioned. Empty tables give an empty result.
     """
     landing = Landing(docs.sparkSession, "mix")
+    told = [text_col, *[c for c in keep if "map<" not in docs.schema[c].dataType.simpleString()]]  # maps have no hash
     draw = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = docs.select(
         *[F.col(c).alias(f"kept_{c}") for c in keep], F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"), draw.alias("draw"),
+        F.xxhash64(*told).alias("tie"), F.xxhash64(F.lit(seed), *told).alias("other_tie"),
     )
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("")))), 1, 8), 16, 10).cast("double")
