@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import xxhash
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from waybill.llm import dac, decontamination, jaccard, language, lines, mixing, pages, quality, secrets, tokens, toxicity, words  # noqa: E402
+from waybill.llm import dac, decontamination, jaccard, language, lines, mixing, pages, quality, secrets, shared, tokens, toxicity, words  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id string, key string, size int, row int"
@@ -391,11 +392,88 @@ def test_longest_common_subsequence():
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
         return best[-1][-1]
 
-    for _ in range(200):
-        a, b = rng.sample(range(15), 10), rng.sample(range(15), 9)
+    assert len(pages.shared_blocks([1, 2, 1, 3], [2, 1, 3])) == 3
+    for round_ in range(600):
+        kinds = rng.choice([2, 3, 8, 15])
+        a, b = ([rng.randrange(kinds) for _ in range(rng.randint(0, 40))] for _ in range(2))
         found = pages.shared_blocks(a, b)
-        at = [b.index(a[i]) for i in found]
-        assert len(found) == longest(a, b) and at == sorted(at) and found == sorted(found)
+        rest = iter(b)
+        assert len(found) == longest(a, b) and found == sorted(set(found)) and all(a[i] in rest for i in found)  # a subsequence of b
+
+
+def test_common_subsequence_of_long_pages():
+    rng = random.Random(12)
+    same = [7] * 3000  # blocks that all come again
+    assert len(pages.shared_blocks(same, same[:2000] + [8] + same[:999])) == 2999
+    a = [rng.randrange(50) for _ in range(4000)]
+    b = [x for x in a if rng.random() < 0.9]
+    assert len(pages.shared_blocks(a, b)) == len(b) == len(pages.shared_blocks(b, a))
+
+
+def test_blocks_of_a_page_that_decide_by_their_neighbours(spark):
+    """A teaser article beside the text, unnamed menus within main, the same text twice, and stock sentences of articles."""
+    menu = "<div>Home</div><div>Products and services</div><div>Contact us</div>"
+    teaser = "<article><p>Teaser %d</p></article>"
+    story = "<div class='story'>" + "".join(f"<div>Part {{0}}.{i} of a story that goes on and on</div>" for i in range(6)) + "</div>"
+    rows = [(i, f"http://a.example/n/{i}", f"<body>{menu}{story.format(i)}{teaser % i}<div>All rights</div></body>") for i in range(5)]
+    rows += [(10 + i, f"http://b.example/{i}.html", f"<body><main>{menu}<p>Only text {i}</p><div>All rights</div></main>") for i in range(3)]
+    rows += [(20 + i, f"http://c.example/x?{i}", f"<body>{story.format(9)}</body>") for i in range(2)]
+    rows += [(30 + i, f"http://d.example/{i}", f"<body>{menu}<article><h1 class='article-header'>H{i}</h1><p>Stock.</p><p>Text {i} {'of many words ' * 9}</p><p class=legal>L</p></article>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in pages.main_texts(df).collect()}
+    lines = lambda i: [f"Part {i}.{k} of a story that goes on and on" for k in range(6)]
+    assert all(found[i].split("\n") == [*lines(i), f"Teaser {i}"] for i in range(5))
+    assert [found[10 + i] for i in range(3)] == [f"Only text {i}" for i in range(3)]
+    assert found[20] == found[21] == "\n".join(lines(9))
+    assert [found[30 + i] for i in range(2)] == [f"H{i}\nStock.\nText {i} {'of many words ' * 9}".strip() + "\nL" for i in range(2)]
+
+
+def brute_site_blocks(page, others):
+    """Places of compared blocks that other texts share, by a table of all pairs of blocks."""
+    gone, whole = set(), sum(s for _, s in page)
+    for other in others:
+        n, m = len(page), len(other)
+        best = [[0] * (m + 1) for _ in range(n + 1)]
+        for i in range(n):
+            for j in range(m):
+                best[i + 1][j + 1] = best[i][j] + 1 if page[i][0] == other[j][0] else max(best[i][j + 1], best[i + 1][j])
+        i, j, met = n, m, []
+        while i and j:
+            if page[i - 1][0] == other[j - 1][0] and best[i][j] == best[i - 1][j - 1] + 1:
+                i, j = i - 1, j - 1
+                met.append(i)
+            elif best[i - 1][j] >= best[i][j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        if sum(page[i][1] for i in met) < pages.SAME_TEXT * whole:
+            gone |= {i for i in met if page[i][1]}
+    return sorted(gone)
+
+
+def test_differencing_against_brute_force(spark):
+    """Pages of several hosts whose shared and own blocks are all different within a page, found by hand-made neighbours."""
+    rng = random.Random(15)
+    hosts, rows, want, removed = {}, [], {}, 0
+    for h in range(6):
+        menu = [f"Menu {h} entry {k}" for k in range(rng.randint(1, 6))]
+        for k in rng.sample(range(1000), rng.randint(1, 12)):
+            parts = [m for m in menu if rng.random() < 0.9]  # in the same order everywhere: one longest common subsequence
+            for i in range(rng.randint(0, 5)):
+                parts.insert(rng.randint(0, len(parts)), f"own {h} {k} {i}")
+            hosts.setdefault(h, []).append((f"/p/{k}", len(rows), parts))
+            rows.append((len(rows), f"https://h{h}.example/p/{k}/#x", "".join(f"<div>{p}</div>" for p in parts)))
+    for found in hosts.values():
+        found.sort()
+        for at, (_, i, parts) in enumerate(found):
+            beside = [found[n][2] for n in (at - 1, at + 1) if 0 <= n < len(found)]
+            sized = lambda ps: [(p, len(p)) for p in ps]
+            gone = brute_site_blocks(sized(parts), [sized(b) for b in beside])
+            want[i] = "\n".join(p for n, p in enumerate(parts) if n not in gone)
+            removed += len(gone)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    assert {r.page_id: r.text for r in pages.main_texts(df).collect()} == want
+    assert removed > 50
 
 
 def test_main_texts(spark):
@@ -504,3 +582,113 @@ def test_toxicity(spark):
     untaught = toxicity.fit_toxicity(docs, labels.limit(0))
     assert {r.predicted for r in toxicity.toxicity_scores(docs, untaught).collect()} == {0}
     assert toxicity.toxicity_scores(docs.limit(0), model).count() == 0
+
+
+def test_sparse_scores_against_brute_force():
+    """Each text's score by a loop over its n-grams, in batches of every size."""
+    rng = random.Random(21)
+    texts = [None, "", "123 !", *[prose(rng, rng.randint(1, 60)) for _ in range(40)], "Łódź ß " * 30]
+    letters = language._letters()
+    nprng = np.random.default_rng(3)
+    matrix = np.log(nprng.random((language.BUCKETS, 5))).astype(np.float32)
+    share = np.log(nprng.random(5))
+    want = []
+    for t in texts:
+        total = [float(x) for x in share]
+        for bucket in language.gram_buckets(t or "", letters):
+            total = [x + float(matrix[bucket, k]) for k, x in enumerate(total)]
+        want.append(total)
+    for piece in (7, 1 << 18):
+        language.PIECE, before = piece, language.PIECE
+        for size in (1, 5, len(texts)):
+            got = np.concatenate([
+                language.sparse_scores(*language.sparse_counts(texts[i : i + size], letters), matrix, share) for i in range(0, len(texts), size)
+            ])
+            assert np.allclose(got, want)
+        language.PIECE = before
+    assert language.sparse_scores(*language.sparse_counts([], letters), matrix, share).shape == (0, 5)
+
+
+def test_spans_against_brute_force():
+    """All spans of mixed texts, the random ones by a test of every run, and whether any base span overlaps them."""
+    encoding = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(23)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def piece():
+        key = "".join(rng.choice(letters) for _ in range(rng.randint(4, 50)))
+        return rng.choice([
+            key, f"password={key}", f"token: '{key}'", "AKIA" + key.upper(), key.encode().hex(), "ordinary_long_identifier_name", "plain words here",
+            "d41d8cd98f00b204e9800998ecf8427e", "AAAAAAAAAAAAAAAAAAAAAAAAAAAA", "zażółć", f"{key}/{key}",
+        ])
+
+    found = 0
+    for _ in range(400):
+        text = rng.choice([" ", ",", ""]).join(piece() for _ in range(rng.randint(0, 8)))
+        base, spans = secrets.scan_text(text, encoding)
+        assert base == secrets.base_spans(text)
+        runs = []
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])", text):
+            run = m.group()
+            parts = re.findall("[A-Za-z]{3,}", run) if secrets.one_case(run) else [run]
+            few = sum(map(len, parts)) < 2.0 * sum(len(encoding.encode_ordinary(p)) for p in parts)
+            overlaps = any(m.start() < e and s < m.end() for s, _, e in base)
+            if few and not secrets.is_known(run) and not overlaps:
+                runs.append((m.start(), 3, m.end()))
+        assert spans == sorted(base + runs)
+        found += len(runs)
+    assert found > 100
+
+
+def test_many_spans_take_linear_time():
+    encoding = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    part = "password=abcdefgh12345 Zq8xR2kLm9Tv3Wp7Yb1Nc5Hd "
+    seconds = []
+    for n in (1000, 8000):
+        start = time.monotonic()
+        base, spans = secrets.scan_text(part * n, encoding)
+        seconds.append(time.monotonic() - start)
+        assert len(base) == n and len(spans) == 2 * n
+    assert seconds[1] < 25 * seconds[0] + 0.5
+
+
+def test_the_mix_is_the_same_however_the_table_is_partitioned(spark):
+    """Rows that agree in id, size and source are told apart by their text and other columns."""
+    rng = random.Random(31)
+    rows = [(7, f"{rng.choice('abc')} {rng.choice('abc')}{i}", "en", "s" if i % 2 else None, 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumn("extra", mixing.F.create_map(mixing.F.lit("a"), mixing.F.lit(1)))
+    mixes = [sorted(repr(r) for r in mixing.mixed_documents(docs.repartition(n)).collect()) for n in (1, 3, 7, 16)]
+    assert mixes[0] and all(m == mixes[0] for m in mixes)
+
+
+def test_token_files_of_few_tokens(spark, tmp_path):
+    """Many files to a task, files of one document, and their places in the whole sequence."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(41)
+    texts = [*ODD[:6], *[prose(rng, rng.randint(1, 60)) for _ in range(200)]]
+    folder = f"file:{tmp_path}/files"
+    written = tokens.write_tokens(frame(spark, texts), folder, BPE, file_tokens=150).cache()
+    found = {r.doc_id: r for r in tokens.read_tokens(spark, folder, written).collect()}
+    assert written.count() > 20 and written.agg({"tokens": "sum"}).first()[0] == sum(r.n_tokens for r in found.values())
+    library, start = Tokenizer.from_file(BPE), 0
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, tokens.END_ID], "<u4")
+        assert (found[i].start, found[i].n_tokens, found[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tokens.write_tokens(frame(spark, ["a"]).withColumn("doc_id", mixing.F.lit("x1")), folder, BPE).collect()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "yarn"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Session(), "x")

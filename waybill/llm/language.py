@@ -1,8 +1,9 @@
 """Language of texts: multinomial naive Bayes over hashed character n-grams.
 
 Characters are lower-cased, everything that is no letter becomes one mark, and runs of GRAM characters are hashed into
-buckets. Spark counts the buckets of each language; the matrix of log-probabilities goes to all executors and whole Arrow
-batches are scored at once: the rows of the matrix that a text's n-grams name are added up.
+buckets. Spark counts the buckets of each language; the matrix of log-probabilities goes to all executors. The n-grams of
+a whole Arrow batch are counted into one sparse matrix of texts by buckets, in compressed rows, and its product with the
+matrix of log-probabilities scores all texts at once.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ GRAM = 3
 BUCKETS = 1 << 16
 TRAIN_ROWS = 40_000  # labelled rows learned from, expected number at most, by hash of their id
 SMOOTHING = 0.5
-PIECE = 1 << 18  # n-grams scored at a time
+MOST_LANGUAGES = 300
+PIECE = 1 << 18  # entries of the sparse matrix that are multiplied at a time
 UNKNOWN = "und"
 
 
@@ -72,14 +74,23 @@ class LanguageModel:
         self.share = np.log(documents / documents.sum()) if len(langs) else np.empty(0)
 
 
-def text_scores(text: str, letters: np.ndarray, matrix: np.ndarray, share: np.ndarray) -> np.ndarray | None:
-    """Log-likelihood of a text in each language; None without letters or languages."""
-    grams = gram_buckets(text, letters)
-    if not len(grams) or not len(share):
-        return None
-    total = share.copy()
-    for at in range(0, len(grams), PIECE):
-        total += matrix[grams[at : at + PIECE]].sum(axis=0, dtype=np.float64)
+def sparse_counts(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bounds of the rows, buckets and counts of a sparse matrix with a row for each text."""
+    rows = [np.unique(gram_buckets(text or "", letters), return_counts=True) for text in texts]
+    bounds = np.cumsum([0, *(len(buckets) for buckets, _ in rows)])
+    buckets, counts = (np.concatenate([np.empty(0, np.int64), *parts]) for parts in (zip(*rows) if rows else ((), ())))
+    return bounds, buckets, counts
+
+
+def sparse_scores(bounds: np.ndarray, buckets: np.ndarray, counts: np.ndarray, matrix: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each row in each language; rows without n-grams have the log of the shares."""
+    total = np.repeat(share[None, :], len(bounds) - 1, axis=0)
+    row_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    for lang in range(len(share)):
+        for at in range(0, len(buckets), PIECE):
+            part = slice(at, at + PIECE)
+            weights = counts[part] * matrix[buckets[part], lang].astype(np.float64)
+            total[:, lang] += np.bincount(row_of[part], weights=weights, minlength=len(total))
     return total
 
 
@@ -87,7 +98,7 @@ def fit_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     """A model of the languages in `docs`; rows without text or language don't count.
 
     Beyond `rows` rows a share is learned from, chosen by hash of id and text. What reaches the driver is one number
-    per language and bucket.
+    for each language and bucket, of at most `MOST_LANGUAGES` languages; more are an error.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     total = usable.count()
@@ -95,6 +106,8 @@ def fit_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     chosen = usable.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_000)) < share)
     counted = chosen.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counted = counted.mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    if chosen.select(lang_col).distinct().count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; raise MOST_LANGUAGES if the driver has the memory")
     found = counted.collect()
     langs = sorted({r.lang for r in found})
     place = {lang: i for i, lang in enumerate(langs)}
@@ -108,12 +121,14 @@ def _predict(shared):
     def read(batches):
         (names, matrix, share), letters = shared.value, _letters()
         for batch in slices(batches):
-            langs, scores = [], []
-            for text in batch.column(1):
-                total = text_scores(text.as_py() or "", letters, matrix, share)
-                best = UNKNOWN if total is None else names[int(np.argmax(total))]
-                langs.append(best)
-                scores.append(0.0 if total is None else float(1 / np.exp(total - total.max()).sum()))
+            bounds, buckets, counts = sparse_counts(batch.column(1).to_pylist(), letters)
+            known = (np.diff(bounds) > 0) & (len(names) > 0)
+            langs, scores = np.full(len(known), UNKNOWN, object), np.zeros(len(known))
+            if known.any():
+                total = sparse_scores(bounds, buckets, counts, matrix, share)[known]
+                best = total.argmax(axis=1)
+                langs[known] = np.array(names, object)[best]
+                scores[known] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"]
             )

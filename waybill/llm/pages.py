@@ -1,10 +1,10 @@
-"""Main text of web pages, by markup and by comparing each page with its neighbours on the host.
+"""Main text of web pages, by comparing each page with its neighbours on the host.
 
-A page becomes blocks of text. Blocks inside its article are main text, those of menus, headers, footers, forms, adverts,
-comments and the like are noise, by element, role or class. What neither rule decides is compared: pages of a host
-are sorted by URL path, each is paired with the nearest before and after it, the blocks of both are aligned by their
-longest common subsequence, and undecided blocks that a neighbour shares are the site's, not the page's. A page with
-an article keeps that alone; one without keeps the undecided blocks that no neighbour shares.
+A page becomes blocks of text. Those of menus, headers, footers, forms, adverts, comments and the like are noise, by
+element, role or class, and those of its articles are main text. All others are compared: pages of a host are sorted by
+URL path, each is paired with the nearest before and after it, the blocks of both are aligned by their longest common
+subsequence, and blocks that a neighbour shares are the site's, not the page's. What no neighbour shares is text of the
+page, beside an article too. A neighbour that shares nearly all of it is the same text under another address and says nothing.
 
 Blocks of an article are kept even where a neighbour shares them: they are stock sentences of the text or the same
 article under another address, and the text must be whole.
@@ -12,17 +12,17 @@ article under another address, and the text must be whole.
 
 from __future__ import annotations
 
-import bisect
 import html as entities
 import re
-from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import Landing
+from .words import slices
 
 # Elements that hold no text, that break blocks, and that hold what is not the page's own text.
 SKIPPED = "script style noscript template head svg math iframe object select option button canvas audio video textarea".split()
@@ -33,7 +33,7 @@ BREAKING = (
     "tr ul"
 ).split()
 NOISE = "nav header footer aside form dialog menu fieldset".split()
-MAIN = "article main".split()
+MAIN = ["article"]
 NOISE_ROLES = "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split()
 NOISE_NAMES = (
     "nav navbar navigation menu header masthead footer sidebar aside ad ads advert adverts advertisement banner promo "
@@ -41,7 +41,10 @@ NOISE_NAMES = (
     "replies share sharing social related recommended breadcrumb breadcrumbs newsletter subscribe signup login search "
     "widget toolbar pager pagination skip copyright legal"
 ).split()
+OWN_NAMES = "header masthead banner legal search copyright related widget overlay skip".split()  # no noise within an article
 MAIN_NOISE, MAIN_TEXT, OPEN = 0, 1, 2
+SIGNS = (0, -1, 1)
+SAME_TEXT = 0.9  # share of a page's text, noise aside, from which a neighbour is the same text
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>", re.DOTALL
@@ -50,7 +53,8 @@ ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 WORDS = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
 _SETS = {n: frozenset(v) for n, v in {
-    "skipped": SKIPPED, "void": VOID, "breaking": BREAKING, "noise": NOISE, "main": MAIN, "roles": NOISE_ROLES, "names": NOISE_NAMES
+    "skipped": SKIPPED, "void": VOID, "breaking": BREAKING, "noise": NOISE, "main": MAIN, "roles": NOISE_ROLES, "names": NOISE_NAMES,
+    "inner": set(NOISE_NAMES) - set(OWN_NAMES),
 }.items()}
 _CLOSED_BY = {"p": frozenset(BREAKING) - {"br"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
               "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"])}
@@ -65,7 +69,7 @@ def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
     if found.get("role", "").lower() in _SETS["roles"] or found.get("aria-hidden") == "true":
         return True
     named = set(WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    return bool(named & _SETS["names"]) and name != "article"
+    return bool(named & _SETS["inner" if in_main else "names"]) and name != "article"
 
 
 def page_blocks(page: str) -> list[tuple[str, int]]:
@@ -124,64 +128,88 @@ def page_blocks(page: str) -> list[tuple[str, int]]:
     return blocks
 
 
-def shared_blocks(a: list[int], b: list[int]) -> list[int]:
-    """Places in `a` of a longest common subsequence with `b`, the k-th of equal blocks in one answering the k-th in the other."""
-    count, place = Counter(), {}
+def _common_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of `a` with each beginning of `b`, by one number with a bit for each of `b`."""
+    where: dict[int, int] = {}
     for j, x in enumerate(b):
-        count[x] += 1
-        place[x, count[x]] = j
-    count, met = Counter(), []
-    for i, x in enumerate(a):
-        count[x] += 1
-        if (x, count[x]) in place:
-            met.append((i, place[x, count[x]]))
-    tails, ends, before = [], [], [-1] * len(met)  # longest rising run of places in b
-    for k, (_, j) in enumerate(met):
-        n = bisect.bisect_left(tails, j)
-        before[k] = ends[n - 1] if n else -1
-        tails[n : n + 1] = [j]
-        ends[n : n + 1] = [k]
-    k, found = ends[-1] if ends else -1, []
-    while k >= 0:
-        found.append(met[k][0])
-        k = before[k]
-    return found[::-1]
+        where[x] = where.get(x, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    open_ = every  # a bit is cleared where the subsequence grows
+    for x in a:
+        met = open_ & where.get(x, 0)
+        open_ = (open_ + met | open_ - met) & every
+    bits = np.unpackbits(np.frombuffer((every ^ open_).to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(bits[: len(b)], dtype=np.int64)])
+
+
+def shared_blocks(a: list[int], b: list[int]) -> list[int]:
+    """Places in `a` of a longest common subsequence with `b`; blocks may come again on either side.
+
+    The longer halves of a problem are split where the lengths of both parts add up to most, so that no table of all pairs
+    is kept.
+    """
+    found, rest = [], [(a, b, 0)]
+    while rest:
+        a, b, first = rest.pop()
+        start = 0
+        while start < min(len(a), len(b)) and a[start] == b[start]:
+            start += 1
+        end = 0
+        while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+            end += 1
+        found += [*range(first, first + start), *range(first + len(a) - end, first + len(a))]
+        a, b, first = a[start : len(a) - end], b[start : len(b) - end], first + start
+        if len(a) == 1 and a[0] in b:
+            found.append(first)
+        if len(a) < 2 or not b:
+            continue
+        half = len(a) // 2
+        total = _common_lengths(a[:half], b) + _common_lengths(a[half:][::-1], b[::-1])[::-1]
+        cut = int(total.argmax())
+        if total[cut]:
+            rest += [(a[:half], b[:cut], first), (a[half:], b[cut:], first + half)]
+    return sorted(found)
 
 
 def _open_blocks(batches):
-    """Rows (key, html) to (key, blocks, open): hashes of all blocks, and the places of those that stay undecided."""
+    """Rows (key, html) to (key, blocks, sizes): hashes of all blocks, and their characters: 0 for noise, below 0 in articles."""
     import xxhash
 
-    for batch in batches:
-        hashes, places = [], []
+    for batch in slices(batches):
+        hashes, sizes = [], []
         for page in batch.column(1):
             found = page_blocks(page.as_py() or "")
             hashes.append([xxhash.xxh64_intdigest(t) - (1 << 63) for t, _ in found])
-            whole = any(kind == MAIN_TEXT for _, kind in found)
-            places.append([] if whole else [i for i, (_, kind) in enumerate(found) if kind == OPEN])
+            sizes.append([SIGNS[kind] * len(t) for t, kind in found])
         kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, kind), pa.array(places, kind)], ["key", "blocks", "open"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, kind), pa.array(sizes, kind)], ["key", "blocks", "sizes"])
+
+
+def site_blocks(blocks: list[int], sizes: list[int], neighbours: list[list[int] | None]) -> list[int]:
+    """Places of blocks outside articles that a neighbour shares, unless it shares nearly all text of the page."""
+    gone, whole = set(), sum(map(abs, sizes))
+    for other in neighbours:
+        met = shared_blocks(blocks, other) if other else []
+        if sum(abs(sizes[i]) for i in met) < SAME_TEXT * whole:
+            gone.update(i for i in met if sizes[i] > 0)
+    return sorted(gone)
 
 
 def _compare(batches):
-    """Rows (key, blocks, open, before, after) to (key, shared): places of undecided blocks that a neighbour shares."""
+    """Rows (key, blocks, sizes, before, after) to (key, shared): places of the blocks that are the site's."""
     for batch in batches:
-        rows = []
-        for blocks, places, before, after in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3, 4)]):
-            met = {i for other in (before, after) if other is not None for i in shared_blocks(blocks, other)}
-            rows.append(sorted(met & set(places)))
+        rows = [site_blocks(*row[:2], row[2:]) for row in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3, 4)])]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["key", "shared"])
 
 
 def _texts(batches):
     """Rows (page_id, url, html, shared) to (page_id, url, text)."""
-    for batch in batches:
+    for batch in slices(batches, 2):
         texts = []
         for page, shared in zip(batch.column(2), batch.column(3)):
-            found = page_blocks(page.as_py() or "")
-            wanted = MAIN_TEXT if any(kind == MAIN_TEXT for _, kind in found) else OPEN
             gone = set(shared.as_py() or ())
-            texts.append("\n".join(t for i, (t, kind) in enumerate(found) if kind == wanted and i not in gone))
+            found = enumerate(page_blocks(page.as_py() or ""))
+            texts.append("\n".join(t for i, (t, kind) in found if kind != MAIN_NOISE and i not in gone))
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -202,15 +230,16 @@ def _neighbours(rows: DataFrame, landing: Landing) -> DataFrame:
     found = ranged.withColumn("p", F.lag(page).over(within)).withColumn("q", F.lead(page).over(within)).join(edges, "range")
     found = found.withColumn("p", F.coalesce("p", "earlier")).withColumn("q", F.coalesce("q", "later"))
     same = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.blocks"))
-    return found.where(F.size("open") > 0).select("key", "blocks", "open", same("p").alias("before"), same("q").alias("after"))
+    compared = F.exists("sizes", lambda n: n > 0)
+    return found.where(compared).select("key", "blocks", "sizes", same("p").alias("before"), same("q").alias("after"))
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) for every row of `pages`.
 
     Null, empty and markup-only pages have an empty text. Pages that agree in id, URL and markup are one page when
-    compared, but each row is returned. A page without URL, or alone on its host, has no neighbours: undecided blocks
-    stay. Other columns are ignored; an empty table gives an empty one.
+    compared, but each row is returned. A page without URL, or alone on its host, has no neighbours: what would be
+    compared stays. Other columns are ignored; an empty table gives an empty one.
     """
     landing = Landing(pages.sparkSession, "pages")
     kind = pages.schema[id_col].dataType.simpleString()
@@ -220,7 +249,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     address = F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)([^?#]*)", 1)
     path = F.regexp_replace(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), "/+$", "")
     keyed = rows.where(address != "").select("key", address.alias("host"), path.alias("path"), "html")
-    blocks = keyed.select("key", "html").mapInArrow(_open_blocks, "key long, blocks array<long>, open array<long>")
+    blocks = keyed.select("key", "html").mapInArrow(_open_blocks, "key long, blocks array<long>, sizes array<long>")
     places = rows.select("key", address.alias("host"), path.alias("path")).where("host <> ''").distinct()
     blocks = landing.land(blocks.dropDuplicates(["key"]).join(places, "key"), "blocks")
     shared = _neighbours(blocks, landing).mapInArrow(_compare, "key long, shared array<long>").where(F.size("shared") > 0)

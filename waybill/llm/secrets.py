@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import worker_store
+from .words import slices
 
 # The base forms, and the order of kinds.
 ASSIGN = re.compile(
@@ -96,8 +97,13 @@ def random_spans(text: str, encoding) -> list[tuple[int, int, int]]:
 def scan_text(text: str, encoding) -> tuple[list, list]:
     """Base spans, and those with the random ones that overlap none of them, both in order."""
     base = base_spans(text)
-    found = random_spans(text, encoding)
-    apart = [s for s in found if all(s[2] <= b[0] or s[0] >= b[2] for b in base)] if base else found
+    apart, at, reached = [], 0, 0
+    for span in random_spans(text, encoding):  # both are in order: one pass over the two
+        while at < len(base) and base[at][0] < span[2]:
+            reached = max(reached, base[at][2])
+            at += 1
+        if reached <= span[0]:
+            apart.append(span)
     return base, sorted(base + apart)
 
 
@@ -108,7 +114,7 @@ def spelled(spans) -> str:
 def _scan(path: str):
     def read(batches):
         encoding = vocabulary(path)
-        for batch in batches:
+        for batch in slices(batches):
             rows = {"n_assign": [], "n_access": [], "n_hex": [], "base_sha256": [], "spans": []}
             for text in batch.column(1):
                 base, spans = scan_text(text.as_py() or "", encoding)
