@@ -139,12 +139,9 @@ def _match_key(df: DataFrame, name: str, other: DataFrame, other_name: str) -> C
     return F.col(name) if same else text_of(df, name)
 
 
-def matched_routes(routes: DataFrame, active: DataFrame, route: _Route, status: Column | None = None) -> DataFrame:
-    """Route rows of active lines or courses, every column kept, with the status of the first match.
-
-    `status` is what to bring as the status; its trimmed text by default.
-    """
-    status = text_of(active, route.status) if status is None else status
+def matched_routes(routes: DataFrame, active: DataFrame, route: _Route) -> DataFrame:
+    """Route rows of active lines or courses, every column kept, with the status text of the first match."""
+    status = text_of(active, route.status)
     pairs = [*route.keys, (route.valid_from, route.valid_from)]
     rows = routes.select("*", *[_match_key(routes, a, active, b).alias(f"k_{i}") for i, (a, b) in enumerate(pairs)])
     some = F.coalesce(*[text_of(active, c) for c in [*[b for _, b in pairs], route.status]])
@@ -225,8 +222,8 @@ def _audit_routes(table, routes, manifest, route: _Route, options: AuditOptions)
         usable = first_match_join(rows, lookup, [(k, k) for k in match], ["status_code"], null_safe=False, hot=shared)
         usable = usable.where(sound)
     else:
-        coded = typed(matched_routes(routes, active, route, status)).withColumnRenamed(route.status, "status_code")
-        usable = coded.where(sound).select(*columns, "status_code")
+        # Keys compared as text: findings and rejects come from one join.
+        usable = matched.where(sound).select(*columns, "status_code")
     repeats = consecutive_repeats(
         usable, keys, order, "seq", "code", bring={"previous_name": "name"}, same=same, position=spot, hot=hot
     )
