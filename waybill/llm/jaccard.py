@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .graphs import component_roots
 from .shared import Landing, broadcast_if_small
@@ -275,7 +276,8 @@ def distinct_documents(
 ) -> DataFrame:
     """The rows of `docs`, with all their columns, that name their component: one of each group of near copies.
 
-    Rows that share an id stay or go together; of those that agree in text too, one stays. Rows without id stay.
+    Rows that share an id stay or go together; of those that agree in text too, one stays, the first by a hash of its
+    columns. Rows without id stay.
     """
     landing = Landing(docs.sparkSession, "distinct")
     inner = Landing(docs.sparkSession, "jaccard")
@@ -288,5 +290,8 @@ def distinct_documents(
     repeated = landing.land(groups.groupBy("of").count().where("of is not null and count > 1").select("of"), "repeated")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, kept[id_col] == repeated["of"], "left_semi").dropDuplicates([id_col, text_col])
+    told = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]  # maps have no hash
+    first = Window.partitionBy(id_col, text_col).orderBy(F.xxhash64(*told), F.xxhash64(F.lit(1), *told))
+    copies = kept.join(repeated, kept[id_col] == repeated["of"], "left_semi").withColumn("_copy_of_a_row", F.row_number().over(first))
+    once = copies.where(F.col("_copy_of_a_row") == 1).drop("_copy_of_a_row")
     return kept.join(repeated, kept[id_col] == repeated["of"], "left_anti").unionByName(once)
