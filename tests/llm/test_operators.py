@@ -300,6 +300,10 @@ def test_jaccard_odd_rows(spark):
     assert jaccard.jaccard_components(docs.limit(0)).count() == 0
     kept = jaccard.distinct_documents(docs).collect()
     assert sorted(map(repr, [r.doc_id for r in kept])) == ["5", "9", "None", "None", "None"]
+    rows = [(3, "a b c d e f", f"lang{i}", "s", 1, {"a": i}) for i in range(12)]
+    copies = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, extra map<string,int>")
+    stays = {r.lang for n in (1, 3, 8) for r in jaccard.distinct_documents(copies.repartition(n)).collect()}
+    assert len(stays) == 1  # the same one however the table is partitioned
 
 
 # --- decontamination -----------------------------------------------------------------------------------------
@@ -348,6 +352,105 @@ def test_decontamination_of_items_with_few_literal_words(spark, monkeypatch, mos
     assert sorted(r.doc_id for r in clean.collect()) == [5, 6, 7, 8]
 
 
+def brute_contaminated(texts, items):
+    """(document, item) -> matched and item windows, by comparing every window of every item with every one of every text."""
+    units = set(decontamination.UNITS)
+
+    def canonical(text, opening_is_name=False):
+        out, last = [], 0
+        for m in re.finditer("[A-Za-z0-9]+", text):
+            word = m.group()
+            opens = not out or any(c in ".!?\n" for c in text[last : m.start()])
+            kind = "N" if any(c.isdigit() for c in word) else "U" if word.lower() in units else ""
+            if not kind and word[0].isupper() and (not opens or opening_is_name and not out):
+                kind = "P"
+            out.append((word.lower(), kind))
+            last = m.end()
+        return out
+
+    def fits(window):
+        return sum(not k for _, k in window) >= 0.5 * len(window)
+
+    def template(window):
+        return [k or w for w, k in window]
+
+    found = {}
+    for j, item in items.items():
+        plain, quoted = canonical(item or ""), canonical(item or "", True)
+        if len(plain) < 4:
+            for d, text in enumerate(texts):
+                if any([w for w, _ in canonical(line)] == [w for w, _ in plain] for line in (text or "").split("\n") if plain):
+                    found[d, j] = (1, 1)
+            continue
+        width = min(8, len(plain))
+        places = range(len(plain) - width + 1)
+        for d, text in enumerate(texts):
+            words = canonical(text or "")
+            results = []
+            for raw in (False, True):
+                met = {}  # shift -> (item place, slots of the item, of the document)
+                for form in [plain] if raw else [plain] + [quoted] * (quoted != plain):
+                    for a in places if form is plain else [0]:
+                        for b in range(len(words) - width + 1):
+                            x, y = form[a : a + width], words[b : b + width]
+                            if raw:
+                                if [w for w, _ in x] == [w for w, _ in y]:
+                                    met.setdefault(b - a, []).append((a, [], []))
+                            elif fits(x) and fits(y) and template(x) == template(y):
+                                slots = [[w for w, k in z if k] for z in (x, y)]
+                                if form is plain or slots[0][0] == slots[1][0]:
+                                    met.setdefault(b - a, []).append((a, *slots))
+                held = set()
+                for windows in met.values():
+                    values = collections.defaultdict(set)
+                    for _, x, y in windows:
+                        for v, w in zip(x, y):
+                            values[v].add(w)
+                    if all(len(v) == 1 for v in values.values()):
+                        held |= {a for a, _, _ in windows}
+                every = len(places) if raw else sum(fits(plain[a : a + width]) for a in places)
+                if held and len(held) >= 0.3 * every:
+                    results.append((len(held), every))
+            if results:
+                found[d, j] = results[0]
+    return found
+
+
+@pytest.mark.parametrize("most, stock", [(decontamination.BROADCAST_WINDOWS, 50), (decontamination.BROADCAST_WINDOWS, 3), (0, 1)])
+def test_decontamination_against_a_window_join_by_brute_force(spark, monkeypatch, most, stock):
+    """Also where many windows are stock ones, which several items share."""
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
+    monkeypatch.setattr(decontamination, "STOCK", stock)
+    rng = random.Random(51)
+    pool = vocabulary(30, seed=9)
+    names, units = ["Anna", "Carl", "Eva"], ["km", "kg", "hours", "cents"]
+
+    def word():
+        return rng.choices([rng.choice(pool), str(rng.randint(1, 40)), rng.choice(names), rng.choice(units), rng.choice(pool) + "."], [10, 2, 1, 1, 1])[0]
+
+    items = {j: " ".join(word() for _ in range(rng.choice([1, 2, 3, 4, 6, 8, 9, 14, 25]))).capitalize() for j in range(40)}
+    opening = "which of these is the right answer to the question that " + " ".join(rng.choice(pool) for _ in range(6))
+    items |= {40 + j: f"{opening} {' '.join(word() for _ in range(rng.choice([1, 3, 12, 40])))}" for j in range(12)}
+    texts = []
+    for _ in range(120):
+        parts = [word() for _ in range(rng.randint(0, 12))]
+        for _ in range(rng.randint(0, 2)):
+            taken = rng.choice(list(items.values())).split()
+            a, b = sorted(rng.sample(range(len(taken) + 1), 2)) if rng.random() < 0.3 else (0, len(taken))
+            change, twice = {}, rng.random() < 0.2  # other numbers and names, sometimes not the same throughout
+            for w in taken[a:b]:
+                if w.isdigit() or w in names:
+                    new = str(rng.randint(1, 40)) if w.isdigit() else rng.choice(names)
+                    w = new if twice else change.setdefault(w, new if rng.random() < 0.6 else w)
+                parts.append(w)
+            parts += [word() for _ in range(rng.randint(0, 6))]
+        texts.append("".join(w + rng.choice("   \n") for w in parts))
+    want = brute_contaminated(texts, items)
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.matched_windows, r.item_windows) for r in decontamination.contaminated(frame(spark, texts), benchmark).collect()}
+    assert found == want and len(want) > 60
+
+
 # --- the others ----------------------------------------------------------------------------------------------
 
 
@@ -584,6 +687,77 @@ def test_toxicity(spark):
     assert toxicity.toxicity_scores(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_short_and_long_texts(spark):
+    """One word makes a short text toxic; long clean texts hold one by chance and stay clean."""
+    rng = random.Random(16)
+    bad = [w + "zz" for w in vocabulary(12, seed=5)]
+    texts, toxic, size = [], [], []
+    for i in range(1600):
+        short, t = i % 2, int(i % 4 < 2 and i % 5 != 0)
+        found = prose(rng, 20 if short else 700, tuple(vocabulary(3000, seed=8))).split()
+        for _ in range((1 if short else 12) if t else int(not short and rng.random() < 0.15)):
+            found.insert(rng.randrange(len(found)), rng.choice(bad))
+        texts.append(" ".join(found))
+        toxic.append(t)
+        size.append(short)
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic) if i < 1200], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, toxicity.fit_toxicity(docs, labels)).collect()}
+    for short in (0, 1):
+        held = [i for i in range(1200, 1600) if size[i] == short]
+        assert sum(found[i] == toxic[i] for i in held) >= 0.95 * len(held)
+
+
+def brute_cut(histogram):
+    """The cut of the best F1 by trying each value on the documents one by one."""
+    docs = [(t, e) for t, e, n in histogram for _ in range(n)]
+    best = None
+    for cut in sorted({e for _, e in docs if e > 0}):
+        right = sum(t for t, e in docs if e >= cut)
+        wrong = sum(1 - t for t, e in docs if e >= cut)
+        f1 = 2 * right / (sum(t for t, _ in docs) + right + wrong)
+        if best is None or f1 > best[0] + 1e-12:
+            best = f1, right, wrong
+    return best
+
+
+def test_calibration_against_brute_force():
+    rng = random.Random(17)
+    for _ in range(200):
+        histogram = [(rng.randint(0, 1), rng.randint(0, 12), rng.randint(1, 4)) for _ in range(rng.randint(1, 12))]
+        if not any(t == 1 and e > 0 for t, e, _ in histogram):
+            continue
+        right, wrong, middle, slope = toxicity.best_cut(histogram)
+        assert (right, wrong) == brute_cut(histogram)[1:] and slope > 0
+        assert (sum(n for t, e, n in histogram if t and e > middle), sum(n for t, e, n in histogram if not t and e > middle)) == (right, wrong)
+        bands = [(t, rng.randint(0, 3), e, n) for t, e, n in histogram]
+        score, logistics = toxicity.calibrated(bands)
+        every = sum(n for t, *_, n in bands if t == 1)
+        hits = [(t, n) for t, b, e, n in bands if e > logistics[b][0]]
+        assert score == pytest.approx(2 * sum(n for t, n in hits if t) / (every + sum(n for _, n in hits)))
+    assert toxicity.calibrated([(0, 1, 5, 3)]) == (0.0, [(1.0, 1.0)] * 4)
+
+
+def test_excess_against_windows_compressed_one_by_one():
+    """Batches, remembered windows and sums give what each window of each text gives alone."""
+    rng = random.Random(18)
+    bad, good = vocabulary(30, seed=6), vocabulary(60, seed=7)
+    contents = [b"".join(toxicity.spelled(f" {w} ") for w in ws) for ws in (bad, good)]
+    shared_ = type("Shared", (), {"value": tuple(contents)})()
+    texts = [None, "", *(" ".join(rng.choice(bad + good) + rng.choice(["", "!", ", x"]) for _ in range(rng.randint(1, 300))) for _ in range(40))]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["key", "text"])
+    got = {(r["key"], r["least"]): (r["band"], r["excess"]) for b in toxicity._excess(shared_, toxicity.LEAST_EXCESS)([batch]) for r in b.to_pylist()}
+    for key, text in enumerate(texts):
+        words_ = set(re.sub(r"[^\w]+", " ", (text or "").lower()).split())
+        sizes = []
+        for w in words_:
+            ordinary, toxic = (len(toxicity.compressor(c).compress(toxicity.spelled(f" {w} "))) for c in (contents[1], contents[0]))
+            sizes.append(ordinary - toxic)
+        band = 0 if len(words_) < 50 else 1 if len(words_) < 200 else 2
+        for least in toxicity.LEAST_EXCESS:
+            assert got[key, least] == (band, sum(x for x in sizes if x >= least))
+
+
 def test_sparse_scores_against_brute_force():
     """Each text's score by a loop over its n-grams, in batches of every size."""
     rng = random.Random(21)

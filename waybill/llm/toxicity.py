@@ -5,7 +5,8 @@ text and of ordinary words that begin like toxic segments. A window, one word wi
 either; the bytes that the toxic dictionary saves are its excess. A document's excess is the sum over its different
 windows whose own reaches a threshold, and its score a logistic of it. The windows' threshold and the logistic's middle
 are calibrated on a third of the training documents that the dictionaries have not seen, so that the score of 0.7 falls
-where labels are told apart best.
+where labels are told apart best: for each band of lengths by itself, as few toxic words make a short text toxic, and a long one
+gathers some excess by chance.
 
 Windows are spelled out for the compressor: every character comes with a checksum of the word up to it. Matches
 can then begin only where words begin, so a dictionary's word never matches the inside of another.
@@ -32,6 +33,8 @@ LONGEST = 20  # characters of a segment
 ORDINARY_WORDS, TOXIC_SEGMENTS, LOOKALIKES = 2000, 300, 4000
 THRESHOLD = 0.7
 LEAST_EXCESS = (6, 9, 12, 15)  # of a window that counts, one of these
+BANDS = (50, 200, 500)  # different words from which a text is of the next band
+BAND_TOXIC = 5  # toxic documents with an excess that a band needs for a middle of its own
 SEPARATORS = re.compile(r"[^\w]+")
 
 
@@ -116,16 +119,17 @@ class WindowScores:
             self.known[word] = found
         return found
 
-    def document(self, text: str, least: int) -> int:
-        """The sum of the excess of a text's different windows that have at least `least`."""
-        return sum(x for x in map(self.window, set(words_of(text))) if x >= least)
+    def document(self, text: str) -> tuple[int, list[int]]:
+        """A text's band of length, and the excess of those of its different windows that have the least that may count."""
+        words = set(words_of(text))
+        return sum(len(words) >= b for b in BANDS), [x for x in map(self.window, words) if x >= LEAST_EXCESS[0]]
 
 
 class ToxicityModel:
-    """Contents of the two dictionaries, the least excess of windows that count, and the logistic's middle and slope."""
+    """Contents of the two dictionaries, the least excess of windows that count, and (middle, slope) of each band's logistic."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, least: int, middle: float, slope: float):
-        self.toxic, self.ordinary, self.least, self.middle, self.slope = toxic, ordinary, least, middle, slope
+    def __init__(self, toxic: bytes, ordinary: bytes, least: int, logistics: list[tuple[float, float]]):
+        self.toxic, self.ordinary, self.least, self.logistics = toxic, ordinary, least, logistics
 
 
 def _prefix_free(found: list[tuple[str, int]], most: int) -> list[str]:
@@ -175,37 +179,56 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     toxic = b"".join(spelled(s) for s in reversed(kept))
     plain = b"".join(spelled(r.segment) for r in [*reversed(common), *reversed(alike)])
     shared = docs.sparkSession.sparkContext.broadcast((toxic, plain))
-    excess = chosen.where(unseen).mapInArrow(_excess(shared, LEAST_EXCESS), "key int, least long, excess long")
-    histogram = excess.groupBy("least", "key", "excess").agg(F.count(F.lit(1)).alias("n")).collect()
+    excess = chosen.where(unseen).mapInArrow(_excess(shared, LEAST_EXCESS), "key int, least long, band int, excess long")
+    histogram = excess.groupBy("least", "key", "band", "excess").agg(F.count(F.lit(1)).alias("n")).collect()
     found = [(least, *calibrated([tuple(r)[1:] for r in histogram if r.least == least])) for least in LEAST_EXCESS]
-    least, _, middle, slope = max(found, key=lambda x: (x[1], x[0]))
-    return ToxicityModel(toxic, plain, least, middle, slope)
+    least, _, logistics = max(found, key=lambda x: (x[1], x[0]))
+    return ToxicityModel(toxic, plain, least, logistics)
 
 
-def calibrated(histogram: list[tuple[int, int, int]]) -> tuple[float, float, float]:
-    """Best balance of precision and recall (F1) over (toxic, excess, documents), and the middle and slope it calls for."""
-    if not any(t == 1 and e > 0 for t, e, _ in histogram):
-        return 0.0, 1.0, 1.0
+def best_cut(histogram: list[tuple[int, int, int]]) -> tuple[int, int, float, float]:
+    """(toxic documents found, others flagged, middle, slope) of the best balance (F1) over (toxic, excess, documents)."""
     toxic = sum(n for t, _, n in histogram if t == 1)
 
-    def balance(cut):
-        right = sum(n for t, e, n in histogram if t == 1 and e >= cut)
-        return 2 * right / (toxic + sum(n for _, e, n in histogram if e >= cut))
+    def flagged(cut, kind):
+        return sum(n for t, e, n in histogram if t == kind and e >= cut)
 
     values = sorted({e for _, e, _ in histogram if e > 0})
-    cut = max(values, key=lambda v: (balance(v), -v))
+    cut = max(values, key=lambda v: (2 * flagged(v, 1) / (toxic + flagged(v, 0) + flagged(v, 1)), -v))
     below = max((v for v in values if v < cut), default=0)
-    return balance(cut), (cut + below) / 2, 4.0 / max(cut, 1)
+    return flagged(cut, 1), flagged(cut, 0), (cut + below) / 2, 4.0 / max(cut, 1)
+
+
+def calibrated(histogram: list[tuple[int, int, int, int]]) -> tuple[float, list[tuple[float, float]]]:
+    """F1 over all (toxic, band, excess, documents), and each band's middle and slope.
+
+    A band with few toxic documents that have an excess takes the middle of all bands together.
+    """
+    every = [(t, e, n) for t, _, e, n in histogram]
+    if not any(t == 1 and e > 0 for t, e, _ in every):
+        return 0.0, [(1.0, 1.0)] * (len(BANDS) + 1)
+    _, _, middle, slope = best_cut(every)
+    logistics, right, wrong = [], 0, 0
+    for band in range(len(BANDS) + 1):
+        here = [(t, e, n) for t, b, e, n in histogram if b == band]
+        own = sum(n for t, e, n in here if t == 1 and e > 0) >= BAND_TOXIC
+        logistics.append(best_cut(here)[2:] if own else (middle, slope))
+        for t, e, n in here:
+            right, wrong = (right + n * (t == 1), wrong + n * (t == 0)) if e > logistics[-1][0] else (right, wrong)
+    toxic = sum(n for t, _, n in every if t == 1)
+    return 2 * right / (toxic + right + wrong), logistics
 
 
 def _excess(shared, leasts: tuple[int, ...]):
     def read(batches):
         scores = WindowScores(*shared.value)
         for batch in slices(batches):
+            found = [scores.document(t.as_py() or "") for t in batch.column(1)]
+            bands = pa.array([band for band, _ in found], pa.int32())
             for least in leasts:
-                found = [scores.document(t.as_py() or "", least) for t in batch.column(1)]
-                columns = [batch.column(0), pa.array([least] * len(found), pa.int64()), pa.array(found, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "least", "excess"])
+                sums = pa.array([sum(x for x in excess if x >= least) for _, excess in found], pa.int64())
+                columns = [batch.column(0), pa.array([least] * len(found), pa.int64()), bands, sums]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "least", "band", "excess"])
 
     return read
 
@@ -219,8 +242,9 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
     shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(_excess(shared, (model.least,)), f"key {kind}, least long, excess long")
+    found = rows.mapInArrow(_excess(shared, (model.least,)), f"key {kind}, least long, band int, excess long")
     shift = float(np.log(THRESHOLD / (1 - THRESHOLD)))
-    score = 1 / (1 + F.exp(-(F.col("excess") - model.middle) * model.slope - shift))
+    middle, slope = (F.get(F.array(*[F.lit(float(x[i])) for x in model.logistics]), F.col("band")) for i in (0, 1))
+    score = 1 / (1 + F.exp(-(F.col("excess") - middle) * slope - shift))
     scored = found.select(F.col("key").alias(id_col), "excess", score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
