@@ -387,10 +387,11 @@ def test_every_member_is_inflated_once(spark, tmp_path, monkeypatch, split):
     assert len({u["archive_id"] for u in units.to_pylist()}) == 2 and (len(units) == 2) == (split > 1 << 20)
 
 
-def test_units_are_dealt_out_by_size(spark):
+def test_units_are_dealt_out_by_size(spark, monkeypatch):
     rng = random.Random(5)
     costs = [int(1000 * rng.paretovariate(1.5)) for _ in range(3000)]
-    rows = [(f"a{i}", "p", "", [], min(c, source.SPLIT_BYTES)) for i, c in enumerate(costs)]
+    monkeypatch.setattr(source, "SPLIT_BYTES", sum(costs) // 16)
+    rows = [(f"a{i}", "p", "", [], c) for i, c in enumerate(costs)]
     units = spark.createDataFrame(rows, "archive_id string, path string, unit string, items array<string>, cost long")
     loads = source._dealt(units).groupBy(F.spark_partition_id()).agg(F.sum("cost"), F.count("*")).collect()
     assert sum(r[2] for r in loads) == 3000 and sum(r[1] for r in loads) == sum(costs)

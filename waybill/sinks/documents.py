@@ -116,6 +116,15 @@ def _files_below(spark: SparkSession, root: str) -> DataFrame:
     return listed.select(F.col("path").substr(F.locate(tail, F.col("path")) + len(tail), F.length("path")).alias("file"))
 
 
+def _holds_files(system, folder) -> bool:
+    """Whether the folder has any entry of an earlier writing; looks no further than the first one."""
+    entries = system.listStatusIterator(folder)
+    while entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def write_documents(
     lines: DataFrame, path: str, order: list[str], encoding: str = "utf-8", replace: bool = True
 ) -> None:
@@ -136,12 +145,15 @@ def write_documents(
         files = spark.read.schema(STAGED).parquet(f"{staging}/_names")
         place = F.row_number().over(Window.partitionBy("doc").orderBy("part")) - 1
         targets = files.select("file", part_name(F.col("doc"), place).alias("target"))
-        docs = files.select("doc").distinct()
-        old = _files_below(spark, root).withColumn("doc", doc_of(F.col("file"))).join(docs, "doc", "left_semi").select(F.col("file").alias("target"))
-        if not replace and (first := old.first()) is not None:
-            raise FileExistsError(f"already written: {first['target']}")
-        gone = old.join(targets, "target", "left_anti").select(F.lit(None).cast("string").alias("file"), "target")
-        actions = targets.unionByName(gone).repartition(2 * spark.sparkContext.defaultParallelism)
+        actions = targets
+        if _holds_files(system, folder):
+            docs = files.select("doc").distinct()
+            old = _files_below(spark, root).withColumn("doc", doc_of(F.col("file"))).join(docs, "doc", "left_semi").select(F.col("file").alias("target"))
+            if not replace and (first := old.first()) is not None:
+                raise FileExistsError(f"already written: {first['target']}")
+            gone = old.join(targets, "target", "left_anti").select(F.lit(None).cast("string").alias("file"), "target")
+            actions = targets.unionByName(gone)
+        actions = actions.repartition(2 * spark.sparkContext.defaultParallelism)
         actions.mapInArrow(partial(_finish, root=root, staging=staging), "files long").agg(F.sum("files")).first()
     finally:
         system.delete(spark._jvm.org.apache.hadoop.fs.Path(staging), True)

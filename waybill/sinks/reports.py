@@ -11,6 +11,7 @@ from ..functions import texts
 from ..operators.findings import SECTIONS, concat_frames
 from ..operators.slices import hot_groups, position_of, with_rank
 from ..plans.audit import AuditOptions
+from ..sources.archives import landing_folder
 from .documents import write_documents
 from .scripts import file_safe
 
@@ -93,6 +94,10 @@ def report_lines(
         F.concat(F.lit(before), company, F.lit(after)).alias("text"),
     )
     lines = concat_frames([d.select(*columns) for d in (head, frame, body)])
+    folder = landing_folder(lines.sparkSession)
+    if folder is not None:  # the findings are worked out once, and it is known how many there are
+        lines.write.parquet(f"{folder}/lines")
+        lines = lines.sparkSession.read.schema(lines.schema).parquet(f"{folder}/lines")
     order = ["section_no", "step", "rule_no", "sort"]
     spot = position_of(*[col(c) for c in order])
     hot = hot_groups(lines, ["archive_id"], spot, options.skew)

@@ -170,9 +170,11 @@ def _units(directory: DataFrame, tables: list[str], manifest: bool, check_only:
 
 
 def _dealt(units: DataFrame) -> DataFrame:
-    """Units in tasks of like size: sorted by cost into ranges, and dealt out in turn within each range."""
+    """Units in tasks of like size: sorted by cost into ranges, and dealt out in turn within each range; a few as they come."""
     count, cost = units.agg(F.count(F.lit(1)), F.sum("cost")).first()
     tasks = max(1, min(count, max(2 * units.sparkSession.sparkContext.defaultParallelism, (cost or 0) // SPLIT_BYTES)))
+    if (cost or 0) < SPLIT_BYTES:  # all of it is less than a task reads
+        return units.repartition(tasks)
     order = [F.desc("cost"), "archive_id", "unit"]
     ranged = units.repartitionByRange(min(tasks, 200), *order).sortWithinPartitions(*order)
     number = F.monotonically_increasing_id()  # the range in the upper bits, the place in it in the lower 33
