@@ -26,6 +26,7 @@ LEAST_WORDS = 4  # an item with fewer can't be told from ordinary text, but as a
 STOCK = 50  # items from which a window they share is a stock one
 LITERAL_SHARE = 0.5  # of a template window's words that aren't placeholders, at least
 COVER = 0.3  # of an item's windows, at least
+BATCH_BYTES = 1 << 20  # of text whose windows a task holds at a time, or one longer text
 BROADCAST_WINDOWS = 2_000_000  # hashes of item windows sent to all executors at most (16 MB); beyond, a shuffled join
 
 # Words of measure.
@@ -57,6 +58,8 @@ class Templates:
         values, starts, ends, bounds, data = word_table(column, self.hasher)
         kinds, capital, opens_line = np.zeros(len(values), np.int8), np.zeros(len(values), bool), np.ones(len(values), bool)
         if len(values):
+            low = int(starts[0])  # the buffer may hold the texts of a larger batch
+            data, starts, ends = data[low : int(ends[-1])], starts - low, ends - low
             first = data[starts]
             second = data[np.minimum(starts + 1, len(data) - 1)]
             capital = (first >= 65) & (first <= 90) | (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
@@ -114,7 +117,7 @@ def _windows_of(widths: tuple[int, ...] | None, wanted):
         templates = Templates()
         hashes_wanted = None if wanted is None else wanted.value
         own = widths is None
-        for batch in slices(batches):
+        for batch in slices(batches, most=BATCH_BYTES):
             template, values, kinds, capital, opens_line, bounds = templates.canonical(batch.column(1))
             sizes = np.diff(bounds)
             lines = np.append(np.flatnonzero(opens_line), len(values))
