@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from driver_archives import pack_archives, scratch_folder, write_file  # noqa: E402
+from driver_archives import pack_archives, record_of, scratch_folder, write_file  # noqa: E402
 from waybill.functions.codepages import decode  # noqa: E402
 from waybill.functions.literals import insert_statement, sql_date, sql_value  # noqa: E402
 from waybill.functions.scalars import default_status, line_status, upper_key  # noqa: E402
@@ -423,8 +423,11 @@ def packed_archives(spark: SparkSession, sf_dir: str) -> str:
             key.alias("NR_SLUZB"), F.concat(F.lit("Świętosław "), "p_name").alias("IMIE"), F.col("p_type").alias("NAZWISKO"),
             (F.col("p_size") % 10).cast("string").alias("STATUS"), F.lit("20200229").alias("DATA_PRZYJ"),
         )
+        layout = {"PRZYSTANKI.dbf": STOP_FIELDS, "Pracownicy.DBF": STAFF_FIELDS}
+        made = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), record_of(f).alias("record")) for i, f in enumerate(layout.values())]))
+        records = rows.select("archive_id", "company", F.lit(0).alias("layout"), "rec_no", made.alias("made"))
         folder = scratch_folder(spark)
-        pack_archives(rows, folder, {"PRZYSTANKI.dbf": (None, STOP_FIELDS), "Pracownicy.DBF": (None, STAFF_FIELDS)})
+        pack_archives(records.select("*", "made.*").drop("made"), folder, [layout], ["rec_no"])
         _packed[sf_dir] = folder
     return _packed[sf_dir]
 
@@ -513,14 +516,14 @@ def packed_timetables(spark: SparkSession, sf_dir: str) -> str:
         return _packed["timetables", sf_dir]
 
     def rows(name, source, number, order, **columns):
-        """Rows of one table, with their archive's number and their place in the file."""
+        """Records of one table, with their archive's number and what they are sorted by."""
         values = {n: (c(odd) if callable(c) else c).cast("string") for odd in [number % 2 == 1] for n, c in columns.items()}
-        made = table(spark, sf_dir, source).select(
-            F.lit(name).alias("kind"), number.alias("number"), *[F.col(c).alias(f"by_{i}") for i, c in enumerate(order)],
-            *[c.alias(n) for n, c in values.items()],
-        )
-        place = F.row_number().over(Window.partitionBy("number").orderBy(*[f"by_{i}" for i in range(len(order))]))
-        return made.withColumn("rec_no", place).drop(*[f"by_{i}" for i in range(len(order))])
+        sorted_by = [F.col(c).alias(f"by_{i}") for i, c in enumerate(order)]
+        made = table(spark, sf_dir, source).select(number.alias("number"), *sorted_by, *[c.alias(n) for n, c in values.items()])
+        even, odd = map(record_of, TIMETABLES[name])
+        record = F.when(F.col("number") % 2 == 1, odd).otherwise(even)
+        place = F.lit(list(TIMETABLES).index(name))
+        return made.select("number", place.alias("place"), *[f"by_{i}" for i in range(len(order))], record.alias("record"))
 
     def fraction(c):
         return lambda odd: F.when(odd, F.concat(c.cast("string"), F.lit(".0"))).otherwise(c.cast("string"))
@@ -556,12 +559,11 @@ def packed_timetables(spark: SparkSession, sf_dir: str) -> str:
              POJEMN=F.col("o_totalprice").cast("decimal(12,2)"), TYP=F.col("o_orderpriority"), STATUS=F.col("o_orderstatus"),
              DATAREJ=lambda odd: _day(F.col("o_orderdate"), odd)),
     ]
-    every = concat_frames(parts).withColumns({f"is_{t}": F.col("kind") == t for t in TIMETABLES})
+    every = concat_frames(parts).withColumn("layout", F.col("number") % 2).where(F.col("layout").isin(0, 1))
     every = every.withColumns({"archive_id": F.format_string("t%05d.zip", "number"), "company": F.concat(F.lit("K"), "number")})
     folder = scratch_folder(spark)
-    for odd in (0, 1):
-        members = {f"{t}.dbf": (f"is_{t}", fields[odd]) for t, fields in TIMETABLES.items()}
-        pack_archives(every.where(F.col("number") % 2 == odd), folder, members)
+    layouts = [{f"{t}.dbf": fields[odd] for t, fields in TIMETABLES.items()} for odd in (0, 1)]
+    pack_archives(every.drop("number"), folder, layouts, [f"by_{i}" for i in range(1 + len(LINE_ORDER))])
     _packed["timetables", sf_dir] = folder
     return folder
 

@@ -3,28 +3,42 @@
 from __future__ import annotations
 
 import io
+import shutil
 import struct
 import sys
 import tempfile
 import uuid
 import zipfile
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill.sinks.documents import file_system
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def dbf_bytes(fields: list, rows: list, deleted: set = frozenset(), codepage: str = "cp852") -> bytes:
-    """DBF file of `fields` (name, kind, length, decimals) and rows of texts; None is blank."""
+CODEPAGE = "cp852"
+RECORDS_PER_TASK = 500_000
+BUFFERED = 16 << 20  # bytes of a member, and of an archive, that a task keeps in memory
+
+
+def dbf_head(fields: list, records: int) -> bytes:
+    """Header of a DBF file of `fields` (name, kind, length, decimals)."""
     size = 1 + sum(f[2] for f in fields)
-    head = struct.pack("<BBBBIHH20x", 3, 126, 1, 1, len(rows), 32 + 32 * len(fields) + 1, size)
+    head = struct.pack("<BBBBIHH20x", 3, 126, 1, 1, records, 32 + 32 * len(fields) + 1, size)
     for name, kind, length, decimals in fields:
         head += struct.pack("<11sc4xBB14x", name.encode("ascii"), kind.encode("ascii"), length, decimals)
-    out = [head, b"\r"]
+    return head + b"\r"
+
+
+def dbf_bytes(fields: list, rows: list, deleted: set = frozenset(), codepage: str = CODEPAGE) -> bytes:
+    """DBF file of `fields` (name, kind, length, decimals) and rows of texts; None is blank."""
+    out = [dbf_head(fields, len(rows))]
     for i, row in enumerate(rows):
         out.append(b"*" if i in deleted else b" ")
         for (name, kind, length, decimals), value in zip(fields, row):
@@ -68,32 +82,103 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/archives-{uuid.uuid4().hex}"
 
 
-def write_file(folder: str, name: str, content: bytes) -> None:
-    """Write a file whole, under another name first."""
+def write_file(folder: str, name: str, content) -> None:
+    """Write bytes, or all of a file that is open, under another name first."""
     system, root = file_system(folder)
     system.create_dir(root, recursive=True)
     draft = f"{root}/.{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as f:
-        f.write(content)
+        if isinstance(content, bytes):
+            f.write(content)
+        else:
+            shutil.copyfileobj(content, f, BUFFERED)
     system.move(draft, f"{root}/{name}")
 
 
-def pack_archives(df: DataFrame, folder: str, tables: dict, manifest: str = "company") -> int:
-    """Write one archive per `archive_id`, each group by its own task; returns the number of archives.
+def record_of(fields: list) -> Column:
+    """A live record of `fields` as text, one character for each byte, out of the columns of their names; null is blank."""
 
-    `tables` maps a member name to (column of `df` that picks its rows, DBF fields); `manifest` names the
-    column with the company. Callers keep groups to a bounded number of rows.
+    def cell(name, kind, length):
+        if kind == "I":
+            value, page = F.col(name).cast("int"), F.lit(bytes(range(256)).decode(CODEPAGE))
+            return F.concat(*[F.substr(page, F.shiftright(value, 8 * i).bitwiseAND(255) + 1, F.lit(1)) for i in range(4)])
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        padded = F.lpad(text, length, " ") if kind in "NF" else F.rpad(text, length, " ")
+        problem = F.concat(F.lit(f"{name}: "), text, F.lit(f" is longer than {length}"))
+        return F.when(F.length(text) <= length, padded).otherwise(F.raise_error(problem))
+
+    return F.concat(F.lit(" "), *[cell(name, kind, length) for name, kind, length, _ in fields])
+
+
+class _Packer:
+    """Writes the archives of a partition one after another, from records sorted by archive and member.
+
+    Memory holds a batch, and of the archive at work what fits a buffer; the rest is in temporary files.
     """
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = pdf["archive_id"].iloc[0]
-        pdf = pdf.sort_values("rec_no")
-        members = {"info/ArchiwumInfo_1.rtf": manifest_bytes(str(pdf[manifest].iloc[0]))}
-        for member, (pick, fields) in tables.items():
-            chosen = pdf[pdf[pick]] if pick else pdf
-            cells = chosen[[f[0] for f in fields]].astype(object)
-            members[f"bazy/{member}"] = dbf_bytes(fields, cells.where(cells.notna(), None).values.tolist())
-        write_file(folder, name, zip_bytes(members))
-        return pd.DataFrame({"archive_id": [name]})
-
-    return df.groupBy("archive_id").applyInPandas(pack, "archive_id string").count()
+    def __init__(self, folder: str, layouts: list):
+        self.folder, self.layouts = folder, [list(members.items()) for members in layouts]
+
+    def __call__(self, batches):
+        name = None
+        for batch in batches:
+            names = batch.column("archive_id").dictionary_encode()
+            places = batch.column("place").to_numpy(zero_copy_only=False)
+            at = names.indices.to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.diff(at, prepend=-1) | np.diff(places, prepend=-1))
+            for start, stop in zip(starts, [*starts[1:], len(at)]):
+                if (found := names.dictionary[at[start]].as_py()) != name:
+                    if name is not None:
+                        yield self.close(name)
+                    name = found
+                    self.open(batch.column("company")[start].as_py(), batch.column("layout")[start].as_py())
+                self.add(int(places[start]), batch.column("record").slice(start, stop - start))
+        if name is not None:
+            yield self.close(name)
+
+    def open(self, company: str, layout: int) -> None:
+        self.members = self.layouts[layout]
+        self.file = tempfile.SpooledTemporaryFile(BUFFERED)
+        self.archive = zipfile.ZipFile(self.file, "w", zipfile.ZIP_DEFLATED)
+        self.archive.writestr("info/ArchiwumInfo_1.rtf", manifest_bytes(str(company)))
+        self.place, self.records, self.body = 0, 0, tempfile.SpooledTemporaryFile(BUFFERED)
+
+    def add(self, place: int, records: pa.Array) -> None:
+        while self.place < place:
+            self.end_member()
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(records)], records.cast(pa.string())), "")[0].as_py()
+        self.body.write(text.encode("ascii" if text.isascii() else CODEPAGE))  # the first is far quicker
+        self.records += len(records)
+
+    def end_member(self) -> None:
+        name, fields = self.members[self.place]
+        self.body.seek(0)
+        with self.archive.open(f"bazy/{name}", "w", force_zip64=True) as member:
+            member.write(dbf_head(fields, self.records))
+            shutil.copyfileobj(self.body, member, BUFFERED)
+            member.write(b"\x1a")
+        self.body.close()
+        self.place, self.records, self.body = self.place + 1, 0, tempfile.SpooledTemporaryFile(BUFFERED)
+
+    def close(self, name: str) -> pa.RecordBatch:
+        while self.place < len(self.members):
+            self.end_member()
+        self.body.close()
+        self.archive.close()
+        self.file.seek(0)
+        write_file(self.folder, name, self.file)
+        self.file.close()
+        return pa.record_batch([pa.array([name], pa.string())], names=["archive_id"])
+
+
+def pack_archives(records: DataFrame, folder: str, layouts: list, order: list) -> int:
+    """Write one archive per `archive_id`; returns the number of archives.
+
+    Records have `archive_id`, `company`, `layout` (of the archive, a number in `layouts`), `place` (the member's in its
+    layout), `record` (see `record_of`) and the columns by which the records of a member are sorted. A layout maps member
+    names to DBF fields. A task streams through its archives in order, so that none has to fit in memory.
+    """
+    tasks = max(2 * records.sparkSession.sparkContext.defaultParallelism, records.count() // RECORDS_PER_TASK)
+    dealt = records.repartition(tasks, "archive_id").sortWithinPartitions("archive_id", "place", *order)
+    made = dealt.select("archive_id", "company", "layout", "place", "record").mapInArrow(_Packer(folder, layouts), "archive_id string")
+    return made.count()

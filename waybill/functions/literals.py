@@ -54,10 +54,16 @@ def _number(c: str, kind: T.DataType) -> str:
     return f"case when {plain} and {c} % 1 = 0 then {whole} when {c} = 0 then '0' when {plain} then {text} else coalesce({moved}, {text}) end"
 
 
-def value_text(df: DataFrame, name: str) -> str:
+def _literal(text: str | None) -> str:
+    """The quoted text, or null where there is none."""
+    return "'null'" if text is None else f"coalesce({_quoted(text)}, 'null')"
+
+
+def value_text(df: DataFrame, name: str) -> str | None:
+    """Text of a value before it is quoted; None where a column has none by its type."""
     c, kind = _name(name), df.schema[name].dataType
     if isinstance(kind, (T.BinaryType, T.NullType)):
-        return "'null'"
+        return None
     if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
         text = _number(c, kind)
     elif isinstance(kind, TEMPORAL):
@@ -68,10 +74,10 @@ def value_text(df: DataFrame, name: str) -> str:
         text = f"replace({_trimmed(df, name)}, '\\'', '\\'\\'')"
     else:
         text = f"cast({c} as string)"
-    return f"coalesce({_quoted(text)}, 'null')"
+    return text
 
 
-def date_text(df: DataFrame, name: str) -> str:
+def date_text(df: DataFrame, name: str) -> str | None:
     c, kind = _name(name), df.schema[name].dataType
     if isinstance(kind, T.StringType):
         text = _trimmed(df, name)
@@ -80,19 +86,18 @@ def date_text(df: DataFrame, name: str) -> str:
         iso = f"case when length({text}) >= 8 then try_cast({text} as date) end"
         c = f"coalesce({packed}, {iso}, try_to_date({day}, 'dd.MM.yyyy'), try_to_date({day}, 'yyyy/MM/dd'))"
     elif not isinstance(kind, TEMPORAL):
-        return "'null'"
-    shown = f"date_format(cast({c} as date), '{DATE_FORM}')"
-    return f"coalesce({_quoted(shown)}, 'null')"
+        return None
+    return f"date_format(cast({c} as date), '{DATE_FORM}')"
 
 
 def sql_value(df: DataFrame, name: str) -> Column:
     """Literal of a column by its type: null and binary give null, the rest a quoted text, quotes doubled."""
-    return F.expr(value_text(df, name))
+    return F.expr(_literal(value_text(df, name)))
 
 
 def sql_date(df: DataFrame, name: str) -> Column:
     """Quoted day.month.year literal, or null when the value is no date."""
-    return F.expr(date_text(df, name))
+    return F.expr(_literal(date_text(df, name)))
 
 
 def insert_statement(df: DataFrame, table: str, spec: list) -> Column:
@@ -100,6 +105,12 @@ def insert_statement(df: DataFrame, table: str, spec: list) -> Column:
     absent = [name for name, _ in spec if name not in df.columns]
     if absent:
         raise ValueError(f"columns missing for {table}: {', '.join(absent)}")
-    literals = [(date_text if kind == "date" else value_text)(df, name) for name, kind in spec]
+    texts = []
+    for name, kind in spec:
+        text = (date_text if kind == "date" else value_text)(df, name)
+        # Most cells of a row are null, which one look tells before any text is made or parsed.
+        texts.append("cast(null as string)" if text is None else f"if({_name(name)} is null, null, {text})")
     head = f"INSERT INTO {table} ({', '.join(n for n, _ in spec)}) VALUES ("
-    return F.expr(f"concat({_string(head)}, concat_ws(',', {', '.join(literals)}), ');')")
+    # Quoted in one place: as one literal after another the code for a row is too long to be compiled, and slower.
+    quoted = f"transform(array({', '.join(texts)}), x -> if(x is null, 'null', {_quoted('x')}))"
+    return F.expr(f"concat({_string(head)}, concat_ws(',', {quoted}), ');')")
