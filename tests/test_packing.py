@@ -1,4 +1,4 @@
-"""Archives packed from records, and the statements made of what they hold."""
+"""Archives packed from records, and what is made of their cells by code that the JVM compiles."""
 
 import re
 import struct
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 import driver_archives as packing
 from driver_archives import dbf_bytes, pack_archives, record_of
+from waybill.functions.scalars import CLEAN, date_of, int_of
+from waybill.plans.audit import AuditOptions, audit_courses, audit_lines
 from waybill.plans.imports import import_cards, import_employees
-from waybill.plans.specs import CARDS, EMPLOYEES
+from waybill.plans.specs import AUDIT_TABLES, CARDS, EMPLOYEES
 
 STOPS = [("NAZWA", "C", 12, 0), ("KOD2", "N", 6, 0)]
 ODD_STOPS = [("NAZWA", "C", 12, 0), ("KOD2", "C", 8, 0)]
@@ -81,3 +83,32 @@ def test_statements_are_made_by_code_that_is_compiled(spark, spec, imported, tmp
     imported(spark.read.parquet(str(tmp_path / "rows"))).scripts.explain(mode="codegen")
     sizes = re.findall(r"maxMethodCodeSize:(\d+)", capfd.readouterr().out)
     assert all(int(size) < 8000 for size in sizes)
+
+
+@pytest.mark.parametrize("table, routes, check", [("linie", "trasylinii", audit_lines), ("kursy", "trasykursow", audit_courses)])
+def test_routes_are_audited_by_code_that_is_compiled(spark, table, routes, check, tmp_path, capfd):
+    clean = {}
+    for name in (table, routes):
+        columns = AUDIT_TABLES[name][0]
+        spark.range(3).select(F.lit("a").alias("archive_id"), F.col("id").alias("rec_no"), *[F.col("id").cast("string").alias(n) for n in columns],
+                              F.create_map(F.lit("x"), F.lit("y")).alias("unread")).write.parquet(str(tmp_path / name))
+        df = spark.read.parquet(str(tmp_path / name))
+        clean[name] = df.select("archive_id", "rec_no", *[F.col(n).alias(n, metadata={CLEAN: True}) for n in columns], "unread")
+    result = check(clean[table], clean[routes], None, AuditOptions(only_active=False))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan has its code made as it runs
+    try:
+        for found in (result.findings, result.rejects):
+            found.explain(mode="codegen")
+            sizes = re.findall(r"maxMethodCodeSize:(\d+)", capfd.readouterr().out)
+            assert sizes and all(int(size) < 8000 for size in sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_clean_text_is_read_as_trimmed_text_is(spark):
+    texts = ["2024-01-31", "20240131", "31.01.2024", "2024/01/31", "2024-02-30", "20240230", "2024-01-31 10:00:00", "5", "-0", "5.0", "", "x", None, "99999999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    df = df.select("raw", F.col("raw").alias("clean", metadata={CLEAN: True}))
+    rows = df.select(*[read(df, n).alias(f"{read.__name__}_{n}") for read in (date_of, int_of) for n in df.columns]).collect()
+    assert [(r[0], r[2]) for r in rows] == [(r[1], r[3]) for r in rows]
+    assert [r[0] for r in rows].count(None) == 9 and rows[7][2] == 5

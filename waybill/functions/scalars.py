@@ -74,7 +74,7 @@ def int_of(df: DataFrame, name: str) -> Column:
         return F.col(name).try_cast("int")
     if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
         return F.when(F.col(name) % 1 == 0, F.col(name).try_cast("int"))
-    return to_int(F.col(name))
+    return F.col(name).try_cast("int") if is_clean(df, name) else to_int(F.col(name))
 
 
 def upper_key(c: Column) -> Column:
@@ -97,9 +97,12 @@ def to_version(c: Column) -> Column:
     return trimmed(c).try_cast("float")
 
 
-def parse_date(c: Column) -> Column:
-    """Date written as text, in ISO, archive (yyyyMMdd) or day.month.year form, a time of day being ignored."""
-    text = trimmed(c)
+def parse_date(c: Column, clean: bool = False) -> Column:
+    """Date written as text, in ISO, archive (yyyyMMdd) or day.month.year form, a time of day being ignored.
+
+    Text known to be `clean` isn't trimmed, which keeps the code for a row short enough to be compiled.
+    """
+    text = c if clean else trimmed(c)
     return F.coalesce(
         F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")),
         F.when(F.length(text) >= 8, text.try_cast("date")),
@@ -114,7 +117,7 @@ def date_of(df: DataFrame, name: str) -> Column:
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(name)
     if isinstance(kind, T.StringType):
-        return parse_date(F.col(name))
+        return parse_date(F.col(name), is_clean(df, name))
     return F.lit(None).cast("date")
 
 
