@@ -1,5 +1,6 @@
 """Archives packed from records, and what is made of their cells by code that the JVM compiles."""
 
+import datetime as dt
 import re
 import struct
 import zipfile
@@ -14,6 +15,7 @@ from waybill.functions.scalars import CLEAN, date_of, int_of
 from waybill.plans.audit import AuditOptions, audit_courses, audit_lines
 from waybill.plans.imports import import_cards, import_employees
 from waybill.plans.specs import AUDIT_TABLES, CARDS, EMPLOYEES
+from waybill.sources import dbf
 
 STOPS = [("NAZWA", "C", 12, 0), ("KOD2", "N", 6, 0)]
 ODD_STOPS = [("NAZWA", "C", 12, 0), ("KOD2", "C", 8, 0)]
@@ -112,3 +114,28 @@ def test_clean_text_is_read_as_trimmed_text_is(spark):
     rows = df.select(*[read(df, n).alias(f"{read.__name__}_{n}") for read in (date_of, int_of) for n in df.columns]).collect()
     assert [(r[0], r[2]) for r in rows] == [(r[1], r[3]) for r in rows]
     assert [r[0] for r in rows].count(None) == 9 and rows[7][2] == 5
+
+
+def test_usual_decimals_take_one_pattern(monkeypatch):
+    cells = pa.array(["12.50", "0.00", "-0.00", "7", "", "-3.", "100.010"])
+    expected = ["12.5", "0", "0", "7", None, "-3", "100.01"]
+    assert dbf._numbers(pa.concat_arrays([cells, pa.array(["+1"])]))[0].to_pylist() == [*expected, "1"]
+    monkeypatch.setattr(dbf, "PLAINER", None)
+    shown, unread = dbf._numbers(cells)
+    assert shown.to_pylist() == expected and not any(unread.to_pylist())
+
+
+def test_days_are_those_of_the_calendar(monkeypatch):
+    monkeypatch.delattr(dbf.pc, "strftime")  # slower than all the rest
+    cells = [f"{y:04}{m:02}{d:02}" for y in (1, 4, 100, 400, 1900, 2000, 2023, 2024, 9999) for m in range(14) for d in range(33)]
+
+    def shown(cell):
+        try:
+            return dt.date(int(cell[:4]), int(cell[4:6]), int(cell[6:])).isoformat()
+        except ValueError:
+            return None
+
+    found, unread = dbf._dates(pa.array([*cells, "", "00000000", "2024013", "2024x101"]), dbf.ISO_DATE)
+    expected = [*map(shown, cells), None, None, None, None]
+    assert found.to_pylist() == expected
+    assert unread.to_pylist() == [*[e is None for e in expected[:-4]], False, False, True, True]
